@@ -1,0 +1,9 @@
+"""Structured Streaming: file-stream ingest, dedup and the hourly window (STR-01..06)."""
+
+
+def registry_entries() -> dict:
+    return {}
+
+
+def oracle_entries() -> dict:
+    return {}
