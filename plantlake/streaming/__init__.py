@@ -1,9 +1,78 @@
-"""Structured Streaming: file-stream ingest, dedup and the hourly window (STR-01..06)."""
+"""Structured Streaming: file-stream ingest, dedup and the hourly window (STR-01..06).
+
+``registry_entries`` runs the streams over messages landed from the driver's
+``events`` table: the landing, checkpoint and sink folders live under the
+shared ``spark.checkpoint.dir`` (a fresh sub-folder per run), the stream runs
+with ``availableNow`` and the sink is then read back as a batch frame.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _run_dirs(spark: SparkSession, tag: str) -> dict:
+    from ..session import shared_dir
+    base = shared_dir(spark, "streams", f"{tag}-{uuid.uuid4().hex[:12]}")
+    return {k: f"{base}/{k}" for k in ("landing", "bronze", "bronze_ckpt", "silver", "silver_ckpt",
+                                       "hourly", "hourly_ckpt")}
+
+
+def land_messages(spark: SparkSession, sf_dir: str, landing: str, files: int = 8) -> None:
+    """Write the shim's point messages as text files (one JSON array per line)."""
+    from ..sources import shims
+    msgs = shims.point_messages(spark, sf_dir)
+    msgs.repartition(files, "_hour").select("value").write.mode("overwrite").text(landing)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-01..05: messages -> bronze (file sink) -> deduplicated silver (file sink)."""
+    from ..session import configure
+    from .ingest import bronze_stream, point_message_stream, silver_stream, start_file_sink
+    configure(spark)
+    d = _run_dirs(spark, "ingest")
+    land_messages(spark, sf_dir, d["landing"])
+    bronze = bronze_stream(point_message_stream(spark, d["landing"]))
+    q1 = start_file_sink(bronze, d["bronze"], d["bronze_ckpt"])
+    q1.awaitTermination()
+    bronze_again = spark.readStream.schema(spark.read.parquet(d["bronze"]).schema).parquet(d["bronze"])
+    q2 = start_file_sink(silver_stream(bronze_again), d["silver"], d["silver_ckpt"])
+    q2.awaitTermination()
+    out = spark.read.parquet(d["silver"])
+    return out.select("tag_name", "asset_id", "event_ts", "value", "quality", "uom", "source_system",
+                      "plant_id", "area_id", "tag_suffix")
+
+
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-06: windowed hourly aggregate in append mode (final windows only)."""
+    from ..functions import round6
+    from ..session import configure
+    from .ingest import bronze_stream, hourly_stream, point_message_stream, silver_stream, start_file_sink
+    configure(spark)
+    d = _run_dirs(spark, "hourly")
+    land_messages(spark, sf_dir, d["landing"])
+    silver = silver_stream(bronze_stream(point_message_stream(spark, d["landing"])))
+    q = start_file_sink(hourly_stream(silver), d["hourly"], d["hourly_ckpt"], partition_by=())
+    q.awaitTermination()
+    out = spark.read.parquet(d["hourly"])
+    return out.select(*[round6(c).alias(c) if c in ("avg_value", "std_value") else c for c in out.columns])
 
 
 def registry_entries() -> dict:
-    return {}
+    return {"stream_ingest": stream_ingest, "stream_hourly": stream_hourly}
 
 
 def oracle_entries() -> dict:
-    return {}
+    """Batch truth: distinct on-time silver points; hourly windows the watermark has passed."""
+    return {
+        "stream_ingest": """
+SELECT DISTINCT ON (tag_name, event_ts) tag_name, asset_id, event_ts, value, quality, uom, source_system,
+       plant_id, area_id, tag_suffix FROM silver_points""",
+        "stream_hourly": """
+SELECT plant_id, area_id, asset_id, tag_suffix, hour_ts, round(avg_value + 1e-9, 6) AS avg_value, max_value,
+       min_value, round(std_value + 1e-9, 6) AS std_value, sample_count
+FROM hourly
+WHERE hour_ts + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM silver_points) - INTERVAL 1 HOUR""",
+    }
