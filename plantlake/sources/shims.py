@@ -27,8 +27,22 @@ SEC_FMT = "yyyy-MM-dd HH:mm:ss"
 MICRO_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+_HANDLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Table handle for one driver table, resolved once per application.
+
+    Like a catalogue table: the file listing and footer schema are read on
+    first use; later queries reuse the analysed scan.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
+    return df
 
 
 def _s(c) -> Column:
