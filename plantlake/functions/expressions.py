@@ -184,3 +184,8 @@ def names_pattern(names: Iterable[str]) -> str:
     """Case-insensitive alternation, longest first, so ``Ann Lee`` wins over ``Ann``."""
     uniq = sorted({n for n in names if n}, key=lambda s: (-len(s), s))
     return "(?i)(" + "|".join(regex_quote(n) for n in uniq) + ")"
+
+
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..config import REFERENCE_POLICY, RETENTION_DAYS, LeakPatterns, Policy
-from ..functions import mask_email, mask_name, mask_phone, names_pattern, plant_predicate, pseudonym
+from ..functions import mask_email, mask_name, mask_phone, names_pattern, plant_predicate, pseudonym, sql_str
 from .metrics import as_of_ts
 
 
@@ -113,13 +113,21 @@ def content_leaks(df: DataFrame, table: str, text_columns: Iterable[str] | None
     """
     cols = list(text_columns) if text_columns is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    names = [n for n in names if n]
     name_pat = names_pattern(names) if names else None
     aggs = []
     for c in cols:
-        aggs.append(F.count_if(F.col(c).rlike(patterns.email)).alias(f"{c}__email"))
-        aggs.append(F.count_if(F.col(c).rlike(patterns.phone)).alias(f"{c}__phone"))
+        q = f"`{c}`"
+        # Cheap necessary conditions guard each regex (same result, far less work):
+        # an email needs an '@'; an ASCII case-insensitive name match implies the
+        # lower-cased text contains the lower-cased name.  Built as SQL text, so
+        # each aggregate is one expression for the driver to send.
+        aggs.append(F.expr(f"count_if(contains({q}, '@') AND {q} RLIKE {sql_str(patterns.email)})")
+                    .alias(f"{c}__email"))
+        aggs.append(F.expr(f"count_if({q} RLIKE {sql_str(patterns.phone)})").alias(f"{c}__phone"))
         if name_pat:
-            aggs.append(F.count_if(F.col(c).rlike(name_pat)).alias(f"{c}__name"))
+            maybe = " OR ".join(f"contains(lower({q}), {sql_str(n.lower())})" for n in names)
+            aggs.append(F.expr(f"count_if(({maybe}) AND {q} RLIKE {sql_str(name_pat)})").alias(f"{c}__name"))
         else:
             aggs.append(F.lit(0).cast("bigint").alias(f"{c}__name"))
     wide = df.agg(*aggs)

@@ -163,42 +163,47 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     """TOOL-15: evidence for many incident windows at once.
 
     Per window: alarms meeting it, tags that rose inside it (positive
-    least-squares slope and last - first > ``min_delta``), downtime hours
-    meeting it, and the asset's modal failure code (ties: latest, then code).
-    Windows join points and intervals by the bucketed range join.
+    least-squares slope and last - first > ``min_delta``), downtime meeting
+    it (count and hours clipped to the window), and the asset's modal failure
+    code (ties: latest order, then code).  Windows meet points, alarms and
+    downtime through the bucketed range join.  The three kinds of evidence
+    are unioned and aggregated once per window (one shuffle), then joined
+    back to the windows.
     """
     win = windows.select("window_id", "asset_id", "win_start", "win_end")
-    keyw = win.drop("win_start", "win_end")
+    kw = dict(bucketed=bucketed, unit=rule.interval_bucket, max_span_units=rule.max_span_units)
+    nul = lambda t: F.lit(None).cast(t)
 
     al = alarms.select("asset_id", "alarm_id", "raised_at", "cleared_at")
-    al_pairs = interval_join(win, al, ["asset_id"], "win_start", "win_end", "raised_at", "cleared_at",
-                             bucketed=bucketed, unit=rule.bucket)
-    al_agg = al_pairs.groupBy("window_id").agg(
-        F.array_join(F.sort_array(F.collect_list("alarm_id")), ",").alias("alarms"),
-        F.count(F.lit(1)).alias("n_alarms"))
+    al_rows = interval_join(win, al, ["asset_id"], "win_start", "win_end", "raised_at", "cleared_at", **kw).select(
+        "window_id", "alarm_id", nul("string").alias("tag_suffix"), nul("bigint").alias("dt_secs"))
 
     pts = points.select("asset_id", "tag_suffix", "event_ts", "value")
-    p_pairs = interval_join(win, pts, ["asset_id"], "win_start", "win_end", "event_ts",
-                            bucketed=bucketed, unit=rule.bucket)
+    p_pairs = interval_join(win, pts, ["asset_id"], "win_start", "win_end", "event_ts", bucketed=bucketed,
+                            unit=rule.bucket)
     t = F.unix_micros("event_ts").cast("double") / F.lit(1e6)
     per_tag = p_pairs.groupBy("window_id", "tag_suffix").agg(
         F.regr_slope(F.col("value"), t).alias("slope"),
         (F.max_by("value", "event_ts") - F.min_by("value", "event_ts")).alias("delta"),
         F.count(F.lit(1)).alias("n"))
-    rising = per_tag.filter((F.col("n") >= rule.min_points) & (F.col("slope") > 0)
-                            & (F.col("delta") > F.lit(rule.min_delta)))
-    tag_agg = rising.groupBy("window_id").agg(
-        F.array_join(F.sort_array(F.collect_list("tag_suffix")), ",").alias("rising_tags"))
+    tag_rows = per_tag.filter((F.col("n") >= rule.min_points) & (F.col("slope") > 0)
+                              & (F.col("delta") > F.lit(rule.min_delta))).select(
+        "window_id", nul("string").alias("alarm_id"), "tag_suffix", nul("bigint").alias("dt_secs"))
 
     dt = production_events.filter(F.col("event_type") == "DOWNTIME").select(
-        "asset_id", F.col("event_id").alias("downtime_id"), "event_start", "event_end")
-    d_pairs = interval_join(win, dt, ["asset_id"], "win_start", "win_end", "event_start", "event_end",
-                            bucketed=bucketed, unit=rule.bucket)
+        "asset_id", "event_start", "event_end")
     clip_s = F.greatest(F.col("event_start"), F.col("win_start"))
     clip_e = F.least(F.coalesce(F.col("event_end"), F.col("win_end")), F.col("win_end"))
-    d_agg = d_pairs.groupBy("window_id").agg(
-        F.count(F.lit(1)).alias("n_downtime"),
-        (F.sum(F.unix_timestamp(clip_e) - F.unix_timestamp(clip_s)).cast("double") / 3600.0).alias("downtime_hours"))
+    dt_rows = interval_join(win, dt, ["asset_id"], "win_start", "win_end", "event_start", "event_end", **kw).select(
+        "window_id", nul("string").alias("alarm_id"), nul("string").alias("tag_suffix"),
+        (F.unix_timestamp(clip_e) - F.unix_timestamp(clip_s)).alias("dt_secs"))
+
+    evidence = al_rows.unionByName(tag_rows).unionByName(dt_rows).groupBy("window_id").agg(
+        F.array_join(F.sort_array(F.collect_list("alarm_id")), ",").alias("alarms"),
+        F.count("alarm_id").alias("n_alarms"),
+        F.array_join(F.sort_array(F.collect_list("tag_suffix")), ",").alias("rising_tags"),
+        F.count("dt_secs").alias("n_downtime"),
+        (F.sum("dt_secs").cast("double") / 3600.0).alias("downtime_hours"))
 
     codes = (outcomes.filter(F.col("failure_code").isNotNull())
              .groupBy("asset_id", "failure_code")
@@ -207,8 +212,7 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     modal = codes.withColumn("_rn", F.row_number().over(wc)).filter("_rn = 1").select(
         "asset_id", F.col("failure_code").alias("likely_failure_code"))
 
-    out = (windows.join(al_agg, "window_id", "left").join(tag_agg, "window_id", "left")
-           .join(d_agg, "window_id", "left").join(modal, "asset_id", "left"))
+    out = windows.join(evidence, "window_id", "left").join(modal, "asset_id", "left")
     return out.select(
         "window_id", "asset_id", "win_start", "win_end",
         F.coalesce("alarms", F.lit("")).alias("alarms"),

@@ -71,12 +71,10 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
         sb = short.withColumn("_ebucket", F.explode(F.sequence(F.date_trunc(unit, es), F.date_trunc(unit, ee), step)))
     else:
         sb = short.withColumn("_ebucket", F.date_trunc(unit, es))
-    pairs = (
-        wb.join(sb.withColumnRenamed("_ebucket", "_bucket"), keys + ["_bucket"], "inner")
-        .filter(overlap)
-        .filter(F.col("_bucket") == F.date_trunc(unit, F.greatest(F.col(win_start), es)))
-        .drop("_bucket")
-    )
+    pairs = wb.join(sb.withColumnRenamed("_ebucket", "_bucket"), keys + ["_bucket"], "inner").filter(overlap)
+    if ev_end:  # a point event has one bucket, so only spans can meet a window twice
+        pairs = pairs.filter(F.col("_bucket") == F.date_trunc(unit, F.greatest(F.col(win_start), es)))
+    pairs = pairs.drop("_bucket")
     if long_ is None:
         return pairs
     rest = windows.join(long_, keys, "inner").filter(overlap)
