@@ -5,7 +5,10 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+TESTS = os.path.join(ROOT, "tests")
 sys.path.insert(0, ROOT)
+# Python workers import test helpers (the poll source's fake fetcher) by module name.
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, TESTS, os.environ.get("PYTHONPATH")) if p)
 FIXTURES = os.path.join(ROOT, "tests", "fixtures")
 SF_SMALL = "/root/testdata/sf0.001"
 INGEST = dt.datetime(2026, 8, 12, 9, 0, 0)
