@@ -189,3 +189,28 @@ def names_pattern(names: Iterable[str]) -> str:
 def sql_str(text: str) -> str:
     """A Spark SQL string literal (backslash and quote escaped)."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register_sql_functions(spark, groups: Iterable[str] = (), privileged_group: str = "pii_readers") -> None:
+    """UDF-01/02 for SQL users: temporary SQL functions (no Python runs per row).
+
+    ``mask_email``, ``mask_phone``, ``mask_name`` take one string;
+    ``plant_filter(plant_id)`` is true for a privileged caller or a member of
+    ``plant_<plant_id>``.  The caller's groups are fixed when registering,
+    since open-source Spark has no group-membership function.
+    """
+    names = sorted(set(groups))
+    privileged = privileged_group in names
+    member = ("FALSE" if not names else
+              "coalesce(concat('plant_', plant_id) IN (" + ", ".join(sql_str(g) for g in names) + "), FALSE)")
+    keep = "TRUE" if privileged else member
+    clear = lambda body, arg: arg if privileged else body
+    defs = {
+        "mask_email(email STRING) RETURNS STRING":
+            clear(f"regexp_replace(email, {sql_str(EMAIL_MASK_PATTERN)}, {sql_str(EMAIL_MASK_REPLACEMENT)})", "email"),
+        "mask_phone(phone STRING) RETURNS STRING": clear(f"concat({sql_str(PHONE_MASK_PREFIX)}, right(phone, 4))", "phone"),
+        "mask_name(name STRING) RETURNS STRING": clear(sql_str(NAME_MASK), "name"),
+        "plant_filter(plant_id STRING) RETURNS BOOLEAN": keep,
+    }
+    for sig, body in defs.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {sig} RETURN {body}")

@@ -72,7 +72,9 @@ def catalogue(spark: SparkSession, databases=DATABASES) -> DataFrame:
         if not spark.catalog.databaseExists(db):
             continue
         for t in spark.catalog.listTables(db):
-            for c in spark.catalog.listColumns(t.name, db):
+            if t.isTemporary:
+                continue
+            for c in spark.catalog.listColumns(f"{db}.{t.name}"):
                 rows.append((db, t.name, c.name, c.dataType, t.tableType))
     return spark.createDataFrame(rows, "database string, table_name string, column_name string, "
                                        "data_type string, table_type string")
