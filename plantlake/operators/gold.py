@@ -8,8 +8,9 @@ Plan shapes, as checked with ``explain``:
 * ``health_daily``: a second aggregate by (plant, asset, day) over the hourly
   rows, then the asset dimension joined by a size-checked broadcast.
   ``prepartition=True`` hash-partitions points by (plant, asset) first, so
-  both aggregates reuse one exchange (useful when points are not yet
-  partitioned that way; benchmarked both ways).
+  both aggregates reuse one exchange.  It shuffles raw points before the
+  partial aggregate, so it is only for data without a hot asset; the
+  default shuffles pre-aggregated rows only (benchmarked both ways).
 * ``oee_daily``: one aggregate; the RUN duration sum is written once.
 """
 

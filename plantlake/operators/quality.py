@@ -99,7 +99,8 @@ def key_summary(df: DataFrame, table: str, keys: list[str], assets: DataFrame |
 
 def orphan_rows(df: DataFrame, assets: DataFrame) -> DataFrame:
     """DQ-03: rows whose (asset_id, plant_id) is not in the asset table."""
-    return df.join(assets.select("asset_id", "plant_id"), ["asset_id", "plant_id"], "left_anti")
+    from ..plans.joins import join_dimension
+    return join_dimension(df, assets.select("asset_id", "plant_id"), ["asset_id", "plant_id"], "left_anti")
 
 
 def interval_check(df: DataFrame, table: str, start: str, end: str) -> DataFrame:

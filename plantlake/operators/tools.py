@@ -212,7 +212,7 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     modal = codes.withColumn("_rn", F.row_number().over(wc)).filter("_rn = 1").select(
         "asset_id", F.col("failure_code").alias("likely_failure_code"))
 
-    out = windows.join(evidence, "window_id", "left").join(modal, "asset_id", "left")
+    out = join_dimension(windows.join(evidence, "window_id", "left"), modal, "asset_id", "left")
     return out.select(
         "window_id", "asset_id", "win_start", "win_end",
         F.coalesce("alarms", F.lit("")).alias("alarms"),
@@ -241,7 +241,9 @@ def shift_brief(shifts: DataFrame, health: DataFrame, alarms: DataFrame, work_or
         "plant_id", F.lit("anomaly").alias("item_type"), "asset_id", F.col("signal").alias("item"))
     wos = list_open_high_priority_wos(work_orders, plant_id, max_priority).select(
         "plant_id", F.lit("open_priority_wo").alias("item_type"), "asset_id", F.col("work_order_id").alias("item"))
-    items = head.join(anomalies.unionByName(wos), "plant_id", "inner")
+    # the few shifts on duty are the size-checked broadcast side, so a plant
+    # holding most of the items is never shuffled into one task
+    items = join_dimension(anomalies.unionByName(wos), head, "plant_id", "inner")
     notes = ctx.select("shift_id", "plant_id", "crew_id", F.lit("notes").alias("item_type"),
                        F.lit(None).cast("string").alias("asset_id"),
                        F.col("handoff_notes_redacted").alias("item"))
@@ -269,7 +271,7 @@ def flagged_today(health: DataFrame, as_of=None) -> DataFrame:
 def critical_open_orders(work_orders: DataFrame, assets: DataFrame, criticality: str = "A") -> DataFrame:
     """TOOL-19: open orders of assets of a criticality (semi join on asset and plant)."""
     crit = assets.filter(F.col("criticality") == criticality).select("asset_id", "plant_id")
-    return work_orders.filter(F.col("status") == "OPEN").join(crit, ["asset_id", "plant_id"], "left_semi")
+    return join_dimension(work_orders.filter(F.col("status") == "OPEN"), crit, ["asset_id", "plant_id"], "left_semi")
 
 
 def compare_lines(oee: DataFrame, lines=None) -> DataFrame:

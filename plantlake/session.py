@@ -60,11 +60,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     (local tests) do we create a scratch folder and record it on the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the conf is available
+        sc = None
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="plantlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return os.path.join(base, *parts) if parts else base

@@ -47,11 +47,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     groups is left as it is, so no full shuffle is added at scale.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no context: plain read
+        return spark.read.parquet(path)
+    key = (sc.applicationId, path)
     df = _HANDLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
-        slots = spark.sparkContext.defaultParallelism
+        slots = sc.defaultParallelism
         if (name in TABLE_KEYS and os.path.getsize(path) >= SPREAD_MIN_BYTES
                 and df.rdd.getNumPartitions() < slots):
             df = df.repartition(slots, TABLE_KEYS[name])
