@@ -212,7 +212,10 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     modal = codes.withColumn("_rn", F.row_number().over(wc)).filter("_rn = 1").select(
         "asset_id", F.col("failure_code").alias("likely_failure_code"))
 
-    out = join_dimension(windows.join(evidence, "window_id", "left"), modal, "asset_id", "left")
+    # ``modal`` is an aggregate (one row per asset): AQE broadcasts it when its
+    # real shuffle size is small, else keeps the sort-merge join and splits a
+    # hot asset's windows (skew join).  A bounded pre-check would compute it twice.
+    out = windows.join(evidence, "window_id", "left").join(modal, "asset_id", "left")
     return out.select(
         "window_id", "asset_id", "win_start", "win_end",
         F.coalesce("alarms", F.lit("")).alias("alarms"),

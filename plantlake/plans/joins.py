@@ -1,10 +1,12 @@
 """Join helpers: size-checked broadcast and the bucketed interval (range) join.
 
-Broadcast rule: a dimension is broadcast only after a bounded check proves
-it small -- ``limit(max_rows + 1).count()`` reads at most ``max_rows + 1``
-rows, so the check itself never scans a large table.  Beyond the bound the
-join is left to the planner (sort-merge, re-planned by AQE with the real
-sizes), which is the way that scales.
+Broadcast rule: a dimension table is broadcast only after a bounded check
+proves it small -- ``limit(max_rows + 1).count()`` reads at most
+``max_rows + 1`` rows, so the check itself never scans a large table.
+Beyond the bound the join is left to the planner (sort-merge, re-planned by
+AQE with the real sizes), which is the way that scales.  Derived sides
+(aggregates) are not pre-checked, since the check would compute them; AQE
+converts such a join to a broadcast from the real shuffle size.
 """
 
 from __future__ import annotations
