@@ -67,94 +67,84 @@ def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def _person(k: Column) -> Column:
-    names = F.array(*[F.lit(n) for n in REFERENCE_REDACT_NAMES])
-    return F.element_at(names, (k % len(REFERENCE_REDACT_NAMES) + 1).cast("int"))
+# Spark SQL text of the mappings: one ``selectExpr`` per frame keeps the
+# driver's work (one expression parse instead of a round trip per column
+# function) small.
+_PEOPLE = "array(" + ", ".join(f"'{n}'" for n in REFERENCE_REDACT_NAMES) + ")"
 
 
-def _email(name: Column) -> Column:
-    return F.concat(F.lower(F.translate(name, " ", ".")), F.lit("@example.com"))
+def _person_sql(k: str) -> str:
+    return f"element_at({_PEOPLE}, CAST(({k}) % {len(REFERENCE_REDACT_NAMES)} + 1 AS INT))"
 
 
-def _plant(k: Column) -> Column:
-    return F.concat(F.lit("PLANT-0"), _s(k % 3 + 1))
+def _email_sql(k: str) -> str:
+    return f"concat(lower(translate({_person_sql(k)}, ' ', '.')), '@example.com')"
 
 
-def _suffix_value_uom(event_type: Column, value: Column, event_id: Column):
-    sfx = (F.when(event_type == "view", "Vibration").when(event_type == "click", "BearingTemp")
-           .when(event_type == "purchase", "MotorAmps").when(event_type == "signup", "RunStatus")
-           .otherwise("SuctionPressure"))
-    val = (F.when(event_type == "view", value / 40).when(event_type == "click", 55 + value / 10)
-           .when(event_type == "purchase", 40 + value / 20)
-           .when(event_type == "signup", (event_id % 2).cast("double"))
-           .otherwise(value / 100))
-    uom = (F.when(event_type == "view", "mm/s").when(event_type == "click", "degC")
-           .when(event_type == "purchase", "A").when(event_type == "signup", "bool").otherwise("bar"))
-    return sfx, val, uom
+def _plant_sql(k: str) -> str:
+    return f"concat('PLANT-0', CAST(({k}) % 3 + 1 AS STRING))"
+
+
+_SFX_SQL = ("CASE event_type WHEN 'view' THEN 'Vibration' WHEN 'click' THEN 'BearingTemp' "
+            "WHEN 'purchase' THEN 'MotorAmps' WHEN 'signup' THEN 'RunStatus' ELSE 'SuctionPressure' END")
+_VAL_SQL = ("CASE event_type WHEN 'view' THEN value / 40 WHEN 'click' THEN 55 + value / 10 "
+            "WHEN 'purchase' THEN 40 + value / 20 WHEN 'signup' THEN CAST(event_id % 2 AS DOUBLE) "
+            "ELSE value / 100 END")
+_UOM_SQL = ("CASE event_type WHEN 'view' THEN 'mm/s' WHEN 'click' THEN 'degC' WHEN 'purchase' THEN 'A' "
+            "WHEN 'signup' THEN 'bool' ELSE 'bar' END")
+_QUALITY_SQL = "CASE WHEN event_id % 20 = 0 THEN 'Bad' WHEN event_id % 20 = 1 THEN 'Uncertain' ELSE 'Good' END"
+_TAG_SQL = ("concat(chr(92), chr(92), 'PLANT-0', CAST(user_id % 3 + 1 AS STRING), chr(92), 'AST-', "
+            f"CAST(user_id AS STRING), '|', {_SFX_SQL})")
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def points_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze points from ``events``: one reading per event."""
-    ev = read_table(spark, sf_dir, "events")
-    sfx, val, uom = _suffix_value_uom(F.col("event_type"), F.col("value"), F.col("event_id"))
-    uid = F.col("user_id")
-    quality = (F.when(F.col("event_id") % 20 == 0, "Bad").when(F.col("event_id") % 20 == 1, "Uncertain")
-               .otherwise("Good"))
-    ts = F.col("ts").cast("timestamp")
-    base = ev.select(
-        F.concat(F.lit("\\\\PLANT-0"), _s(uid % 3 + 1), F.lit("\\AST-"), _s(uid), F.lit("|"), sfx).alias("tag_name"),
-        F.concat(F.lit("AST-"), _s(uid)).alias("asset_id"),
-        ts.alias("event_ts"),
-        val.alias("value"),
-        quality.alias("quality"),
-        uom.alias("uom"),
-        F.lit("mock_pi").alias("source_system"),
-        _plant(uid).alias("plant_id"),
-        F.concat(F.lit("AREA-"), _s(uid % 2 + 1)).alias("area_id"),
-        (ts + F.make_dt_interval(secs=(F.col("event_id") % 60).cast("int"))).alias("ingest_ts"),
+    base = read_table(spark, sf_dir, "events").selectExpr(
+        f"{_TAG_SQL} AS tag_name",
+        "concat('AST-', CAST(user_id AS STRING)) AS asset_id",
+        "CAST(ts AS TIMESTAMP) AS event_ts",
+        f"{_VAL_SQL} AS value",
+        f"{_QUALITY_SQL} AS quality",
+        f"{_UOM_SQL} AS uom",
+        "'mock_pi' AS source_system",
+        f"{_plant_sql('user_id')} AS plant_id",
+        "concat('AREA-', CAST(user_id % 2 + 1 AS STRING)) AS area_id",
+        "CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, event_id % 60) AS ingest_ts",
     )
-    payload = F.to_json(F.struct(
-        "tag_name", "asset_id", F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
-        "value", "quality", "uom", "source_system", "plant_id", "area_id"))
-    return base.withColumn("raw_payload", payload).select(*BRONZE_POINT_COLUMNS)
+    return base.selectExpr(
+        "*", "to_json(named_struct('tag_name', tag_name, 'asset_id', asset_id, 'timestamp', "
+        f"date_format(event_ts, \"{_ISO}\"), 'value', value, 'quality', quality, 'uom', uom, "
+        "'source_system', source_system, 'plant_id', plant_id, 'area_id', area_id)) AS raw_payload",
+    ).select(*BRONZE_POINT_COLUMNS)
 
 
 def point_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points as JSON-array messages (one message per user and hour), for stream tests."""
-    ev = read_table(spark, sf_dir, "events")
-    sfx, val, uom = _suffix_value_uom(F.col("event_type"), F.col("value"), F.col("event_id"))
-    uid = F.col("user_id")
-    quality = (F.when(F.col("event_id") % 20 == 0, "Bad").when(F.col("event_id") % 20 == 1, "Uncertain")
-               .otherwise("Good"))
-    pts = ev.select(
-        uid.alias("_uid"), F.date_trunc("HOUR", F.col("ts")).alias("_hour"),
-        F.struct(
-            F.concat(F.lit("\\\\PLANT-0"), _s(uid % 3 + 1), F.lit("\\AST-"), _s(uid), F.lit("|"), sfx).alias("tag_name"),
-            F.concat(F.lit("AST-"), _s(uid)).alias("asset_id"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
-            val.alias("value"), quality.alias("quality"), uom.alias("uom"),
-            F.lit("mock_pi").alias("source_system"), _plant(uid).alias("plant_id"),
-            F.concat(F.lit("AREA-"), _s(uid % 2 + 1)).alias("area_id"),
-        ).alias("p"))
+    pts = read_table(spark, sf_dir, "events").selectExpr(
+        "user_id AS _uid", "date_trunc('HOUR', ts) AS _hour",
+        f"named_struct('tag_name', {_TAG_SQL}, 'asset_id', concat('AST-', CAST(user_id AS STRING)), "
+        f"'timestamp', date_format(ts, \"{_ISO}\"), 'value', {_VAL_SQL}, 'quality', {_QUALITY_SQL}, "
+        f"'uom', {_UOM_SQL}, 'source_system', 'mock_pi', 'plant_id', {_plant_sql('user_id')}, "
+        "'area_id', concat('AREA-', CAST(user_id % 2 + 1 AS STRING))) AS p")
     return pts.groupBy("_uid", "_hour").agg(F.to_json(F.collect_list("p")).alias("value")).select(
         "_hour", "value")
 
 
 def assets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    seg = F.col("c_mktsegment")
-    return c.select(
-        _plant(k).alias("plant_id"),
-        F.concat(F.lit("AREA-"), _s(k % 2 + 1)).alias("area_id"),
-        F.concat(F.lit("UNIT-"), _s("c_nationkey")).alias("unit_id"),
-        F.concat(F.lit("AST-"), _s(k)).alias("asset_id"),
-        F.col("c_name").alias("asset_name"),
-        F.when(k % 3 == 0, "pump").when(k % 3 == 1, "compressor").otherwise("fan").alias("asset_type"),
-        F.when(seg.isin("AUTOMOBILE", "BUILDING"), "A").when(seg == "MACHINERY", "B").otherwise("C").alias("criticality"),
-        F.concat(F.lit("MFR-"), _s(F.col("c_nationkey") % 5)).alias("manufacturer"),
-        F.date_format(F.date_add(F.lit("2015-01-01").cast("date"), (k % 3000).cast("int")), "yyyy-MM-dd").alias("install_date"),
-        F.when(k % 10 == 0, F.concat(F.lit("AST-"), _s(k + 1))).otherwise(F.lit("")).alias("parent_asset_id"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        f"{_plant_sql('c_custkey')} AS plant_id",
+        "concat('AREA-', CAST(c_custkey % 2 + 1 AS STRING)) AS area_id",
+        "concat('UNIT-', CAST(c_nationkey AS STRING)) AS unit_id",
+        "concat('AST-', CAST(c_custkey AS STRING)) AS asset_id",
+        "c_name AS asset_name",
+        "CASE c_custkey % 3 WHEN 0 THEN 'pump' WHEN 1 THEN 'compressor' ELSE 'fan' END AS asset_type",
+        "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'A' WHEN c_mktsegment = 'MACHINERY' THEN 'B' "
+        "ELSE 'C' END AS criticality",
+        "concat('MFR-', CAST(c_nationkey % 5 AS STRING)) AS manufacturer",
+        "date_format(date_add(DATE'2015-01-01', CAST(c_custkey % 3000 AS INT)), 'yyyy-MM-dd') AS install_date",
+        "CASE WHEN c_custkey % 10 = 0 THEN concat('AST-', CAST(c_custkey + 1 AS STRING)) ELSE '' END "
+        "AS parent_asset_id",
     )
 
 
@@ -163,100 +153,92 @@ def work_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # pre-aggregate lineitem per order before the join (one row per order)
     last = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
     j = o.join(last, o.o_orderkey == last.l_orderkey, "inner")
-    k, ok = F.col("o_custkey"), F.col("o_orderkey")
-    closed = F.col("o_orderstatus") == "F"
-    name = _person(k)
-    fcode = (F.when(k % 5 == 1, "BRG-WEAR").when(k % 5 == 2, "SEAL-LEAK").when(k % 5 == 3, "ALIGN")
-             .when(k % 5 == 4, "VIB-HIGH"))
-    return j.select(
-        F.concat(F.lit("WO-"), _s(ok)).alias("work_order_id"),
-        F.concat(F.lit("AST-"), _s(k)).alias("asset_id"),
-        _plant(k).alias("plant_id"),
-        F.date_format("o_orderdate", SEC_FMT).alias("opened_at"),
-        F.when(closed, F.date_format("last_ship", SEC_FMT)).alias("closed_at"),
-        F.when(closed, "CLOSED").otherwise("OPEN").alias("status"),
-        fcode.alias("failure_code"),
-        F.substring("o_orderpriority", 1, 1).alias("priority"),
-        F.concat(F.lit("E"), _s(k % 40 + 10000)).alias("technician_employee_id"),
-        name.alias("technician_name"),
-        _email(name).alias("technician_email"),
-        F.concat(F.lit("BDG-"), _s(k % 40 + 4000)).alias("technician_badge_id"),
-        F.when(ok % 3 != 0, F.concat(F.lit("kit-"), _s(ok % 7))).alias("parts_used"),
-        F.when(ok % 97 == 0, F.lit("n/a")).when(ok % 5 != 0, F.concat(_s(ok % 17), F.lit(".5"))).alias("labor_hours"),
-        F.concat(F.lit("order "), _s(ok)).alias("notes"),
+    return j.selectExpr(
+        "concat('WO-', CAST(o_orderkey AS STRING)) AS work_order_id",
+        "concat('AST-', CAST(o_custkey AS STRING)) AS asset_id",
+        f"{_plant_sql('o_custkey')} AS plant_id",
+        f"date_format(o_orderdate, '{SEC_FMT}') AS opened_at",
+        f"CASE WHEN o_orderstatus = 'F' THEN date_format(last_ship, '{SEC_FMT}') END AS closed_at",
+        "CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END AS status",
+        "CASE o_custkey % 5 WHEN 1 THEN 'BRG-WEAR' WHEN 2 THEN 'SEAL-LEAK' WHEN 3 THEN 'ALIGN' "
+        "WHEN 4 THEN 'VIB-HIGH' END AS failure_code",
+        "substring(o_orderpriority, 1, 1) AS priority",
+        "concat('E', CAST(o_custkey % 40 + 10000 AS STRING)) AS technician_employee_id",
+        f"{_person_sql('o_custkey')} AS technician_name",
+        f"{_email_sql('o_custkey')} AS technician_email",
+        "concat('BDG-', CAST(o_custkey % 40 + 4000 AS STRING)) AS technician_badge_id",
+        "CASE WHEN o_orderkey % 3 <> 0 THEN concat('kit-', CAST(o_orderkey % 7 AS STRING)) END AS parts_used",
+        "CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' WHEN o_orderkey % 5 <> 0 "
+        "THEN concat(CAST(o_orderkey % 17 AS STRING), '.5') END AS labor_hours",
+        "concat('order ', CAST(o_orderkey AS STRING)) AS notes",
     )
 
 
+_CODE_SQL = ("CASE event_id % 4 WHEN 0 THEN 'VIB_HI' WHEN 1 THEN 'TEMP_HI' WHEN 2 THEN 'SUCT_LO' "
+             "ELSE 'AMP_SPIKE' END")
+
+
 def alarms_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    eid, uid, v = F.col("event_id"), F.col("user_id"), F.col("value")
-    acked = eid % 11 != 0
-    code = (F.when(eid % 4 == 0, "VIB_HI").when(eid % 4 == 1, "TEMP_HI").when(eid % 4 == 2, "SUCT_LO")
-            .otherwise("AMP_SPIKE"))
-    return ev.select(
-        F.concat(F.lit("ALM-"), _s(eid)).alias("alarm_id"),
-        F.concat(F.lit("AST-"), _s(uid)).alias("asset_id"),
-        _plant(uid).alias("plant_id"),
-        F.date_format("ts", MICRO_FMT).alias("raised_at"),
-        F.when(eid % 7 != 0, F.date_format(F.col("ts") + F.make_dt_interval(mins=F.floor(v).cast("int")), MICRO_FMT)).alias("cleared_at"),
-        F.when(v >= 100, "HIGH").when(v >= 40, "MEDIUM").otherwise("LOW").alias("severity"),
-        code.alias("alarm_code"),
-        F.concat(F.lit("alarm "), code).alias("alarm_text"),
-        F.when(acked, F.date_format(F.col("ts") + F.make_dt_interval(mins=F.lit(2)), MICRO_FMT)).alias("acked_at"),
-        F.when(acked, F.concat(F.lit("E"), _s(uid % 40 + 10000))).alias("acked_by_employee_id"),
-        F.when(acked, _person(uid)).alias("acked_by_name"),
+    return read_table(spark, sf_dir, "events").filter(F.col("event_type") == "error").selectExpr(
+        "concat('ALM-', CAST(event_id AS STRING)) AS alarm_id",
+        "concat('AST-', CAST(user_id AS STRING)) AS asset_id",
+        f"{_plant_sql('user_id')} AS plant_id",
+        f"date_format(ts, '{MICRO_FMT}') AS raised_at",
+        "CASE WHEN event_id % 7 <> 0 THEN date_format(ts + make_dt_interval(0, 0, CAST(floor(value) AS INT), 0), "
+        f"'{MICRO_FMT}') END AS cleared_at",
+        "CASE WHEN value >= 100 THEN 'HIGH' WHEN value >= 40 THEN 'MEDIUM' ELSE 'LOW' END AS severity",
+        f"{_CODE_SQL} AS alarm_code",
+        f"concat('alarm ', {_CODE_SQL}) AS alarm_text",
+        f"CASE WHEN event_id % 11 <> 0 THEN date_format(ts + make_dt_interval(0, 0, 2, 0), '{MICRO_FMT}') END "
+        "AS acked_at",
+        "CASE WHEN event_id % 11 <> 0 THEN concat('E', CAST(user_id % 40 + 10000 AS STRING)) END "
+        "AS acked_by_employee_id",
+        f"CASE WHEN event_id % 11 <> 0 THEN {_person_sql('user_id')} END AS acked_by_name",
     )
 
 
 def production_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    s = F.col("l_suppkey")
-    q = F.col("l_quantity").cast("bigint")
-    down = F.col("l_returnflag") == "R"
-    return li.select(
-        F.concat(F.lit("PRD-"), _s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("event_id"),
-        _plant(s).alias("plant_id"),
-        F.concat(F.lit("AREA-"), _s(s % 2 + 1)).alias("area_id"),
-        F.when(s % 2 == 0, "LINE-A").otherwise("LINE-B").alias("line_id"),
-        F.concat(F.lit("AST-"), _s(s)).alias("asset_id"),
-        F.date_format("l_shipdate", SEC_FMT).alias("event_start"),
-        F.date_format(F.col("l_shipdate") + F.make_dt_interval(hours=q.cast("int")), SEC_FMT).alias("event_end"),
-        F.when(down, "DOWNTIME").otherwise("RUN").alias("event_type"),
-        F.when(down, F.lit("UNPLANNED_MECH")).alias("downtime_code"),
-        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string")).when(down, F.lit("0")).otherwise(_s(q * 9)).alias("good_count"),
-        F.when(down, F.lit("0")).otherwise(_s(q % 3)).alias("scrap_count"),
-        _s(q * 10).alias("planned_count"),
-        F.lit("line event").alias("notes"),
+    q = "CAST(l_quantity AS BIGINT)"
+    return read_table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('PRD-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS event_id",
+        f"{_plant_sql('l_suppkey')} AS plant_id",
+        "concat('AREA-', CAST(l_suppkey % 2 + 1 AS STRING)) AS area_id",
+        "CASE WHEN l_suppkey % 2 = 0 THEN 'LINE-A' ELSE 'LINE-B' END AS line_id",
+        "concat('AST-', CAST(l_suppkey AS STRING)) AS asset_id",
+        f"date_format(l_shipdate, '{SEC_FMT}') AS event_start",
+        f"date_format(l_shipdate + make_dt_interval(0, CAST({q} AS INT), 0, 0), '{SEC_FMT}') AS event_end",
+        "CASE WHEN l_returnflag = 'R' THEN 'DOWNTIME' ELSE 'RUN' END AS event_type",
+        "CASE WHEN l_returnflag = 'R' THEN 'UNPLANNED_MECH' END AS downtime_code",
+        f"CASE WHEN l_linenumber = 7 THEN NULL WHEN l_returnflag = 'R' THEN '0' ELSE CAST({q} * 9 AS STRING) END "
+        "AS good_count",
+        f"CASE WHEN l_returnflag = 'R' THEN '0' ELSE CAST({q} % 3 AS STRING) END AS scrap_count",
+        f"CAST({q} * 10 AS STRING) AS planned_count",
+        "'line event' AS notes",
     )
 
 
 def shifts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cv = read_table(spark, sf_dir, "conversations")
-    c = F.col("conv_id")
-    slot = (c % 90).cast("int")
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=slot * 8)
-    end = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=slot * 8 + 8)
-    sup, op = _person(c), _person(c + 3)
-    notes = (F.when(c % 10 == 0, F.concat(F.col("text"), F.lit(" Ask "), F.upper(sup), F.lit(" first.")))
-             .when(c % 10 == 5, F.concat(F.col("text"), F.lit(" Call "), F.lower(op), F.lit(".")))
-             .otherwise(F.col("text")))
-    return cv.select(
-        F.concat(F.lit("SH-"), _s(c * 100 + F.col("turn"))).alias("shift_id"),
-        _plant(c).alias("plant_id"),
-        F.concat(F.lit("AREA-"), _s(c % 2 + 1)).alias("area_id"),
-        F.when(slot % 3 == 0, "Night").when(slot % 3 == 1, "Day").otherwise("Evening").alias("shift_name"),
-        F.date_format(start, SEC_FMT).alias("shift_start"),
-        F.date_format(end, SEC_FMT).alias("shift_end"),
-        F.concat(F.lit("CREW-"), _s(c % 4 + 1)).alias("crew_id"),
-        F.concat(F.lit("E"), _s(c % 8 + 20000)).alias("supervisor_employee_id"),
-        sup.alias("supervisor_name"),
-        _email(sup).alias("supervisor_email"),
-        F.concat(F.lit("+1-555-01"), F.lpad(_s(c % 100), 2, "0")).alias("supervisor_phone"),
-        F.concat(F.lit("E"), _s((c + 3) % 8 + 20010)).alias("operator_employee_id"),
-        op.alias("operator_name"),
-        _email(op).alias("operator_email"),
-        F.concat(F.lit("+1-555-02"), F.lpad(_s(c % 100), 2, "0")).alias("operator_phone"),
-        notes.alias("handoff_notes"),
+    slot = "CAST(conv_id % 90 AS INT)"
+    t0 = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+    sup, op = _person_sql("conv_id"), _person_sql("conv_id + 3")
+    return read_table(spark, sf_dir, "conversations").selectExpr(
+        "concat('SH-', CAST(conv_id * 100 + turn AS STRING)) AS shift_id",
+        f"{_plant_sql('conv_id')} AS plant_id",
+        "concat('AREA-', CAST(conv_id % 2 + 1 AS STRING)) AS area_id",
+        f"CASE {slot} % 3 WHEN 0 THEN 'Night' WHEN 1 THEN 'Day' ELSE 'Evening' END AS shift_name",
+        f"date_format({t0} + make_dt_interval(0, {slot} * 8, 0, 0), '{SEC_FMT}') AS shift_start",
+        f"date_format({t0} + make_dt_interval(0, {slot} * 8 + 8, 0, 0), '{SEC_FMT}') AS shift_end",
+        "concat('CREW-', CAST(conv_id % 4 + 1 AS STRING)) AS crew_id",
+        "concat('E', CAST(conv_id % 8 + 20000 AS STRING)) AS supervisor_employee_id",
+        f"{sup} AS supervisor_name",
+        f"{_email_sql('conv_id')} AS supervisor_email",
+        "concat('+1-555-01', lpad(CAST(conv_id % 100 AS STRING), 2, '0')) AS supervisor_phone",
+        "concat('E', CAST((conv_id + 3) % 8 + 20010 AS STRING)) AS operator_employee_id",
+        f"{op} AS operator_name",
+        f"{_email_sql('conv_id + 3')} AS operator_email",
+        "concat('+1-555-02', lpad(CAST(conv_id % 100 AS STRING), 2, '0')) AS operator_phone",
+        f"CASE WHEN conv_id % 10 = 0 THEN concat(text, ' Ask ', upper({sup}), ' first.') "
+        f"WHEN conv_id % 10 = 5 THEN concat(text, ' Call ', lower({op}), '.') ELSE text END AS handoff_notes",
     )
 
 
