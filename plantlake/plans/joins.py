@@ -52,9 +52,10 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
     span, and the equi-join on (keys, bucket) spreads even a hot key over many
     tasks instead of pairing every window of that key with every event of it.
     A pair met in several buckets is kept only in its first common bucket.
-    Events longer than ``max_span_units`` buckets, or still open, take the
-    plain keyed join with the same residual filter, so the result is exact and
-    equals the plain form row for row.
+    Events longer than ``max_span_units`` buckets, or still open, are keyed
+    to one extra "long" bucket that every window of the key also carries, so
+    they meet all windows of their key inside the same join: the result is
+    exact (no partner is capped) and each input is read once.
     """
     es = F.col(ev_start)
     ee = F.col(ev_end) if ev_end else es
@@ -63,21 +64,21 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
         return windows.join(events, keys, "inner").filter(overlap)
 
     step = F.expr(f"INTERVAL 1 {unit}")
+    tag = lambda long_, b: F.struct(F.lit(long_).alias("_long"), b.alias("_bucket"))
+    lo, hi = F.least(F.col(win_start), F.col(win_end)), F.greatest(F.col(win_start), F.col(win_end))
+    w_buckets = F.transform(hour_buckets(lo, hi, unit), lambda b: tag(False, b))
     if ev_end:
+        long_key = F.lit("1970-01-01 00:00:00").cast("timestamp")
+        w_buckets = F.concat(w_buckets, F.array(tag(True, long_key)))
         span_ok = ee.isNotNull() & (ee >= es) & (ee <= es + F.expr(f"INTERVAL {max_span_units} {unit}"))
-        short, long_ = events.filter(span_ok), events.filter(~span_ok)
+        e_buckets = F.when(span_ok, F.transform(F.sequence(F.date_trunc(unit, es), F.date_trunc(unit, ee), step),
+                                                lambda b: tag(False, b))).otherwise(F.array(tag(True, long_key)))
+        eb = events.withColumn("_eb", F.explode(e_buckets)).select("*", "_eb._long", "_eb._bucket").drop("_eb")
     else:
-        short, long_ = events, None
-    wb = windows.withColumn("_bucket", F.explode(hour_buckets(F.col(win_start), F.col(win_end), unit)))
-    if ev_end:
-        sb = short.withColumn("_ebucket", F.explode(F.sequence(F.date_trunc(unit, es), F.date_trunc(unit, ee), step)))
-    else:
-        sb = short.withColumn("_ebucket", F.date_trunc(unit, es))
-    pairs = wb.join(sb.withColumnRenamed("_ebucket", "_bucket"), keys + ["_bucket"], "inner").filter(overlap)
+        eb = events.withColumn("_long", F.lit(False)).withColumn("_bucket", F.date_trunc(unit, es))
+    wb = windows.withColumn("_wb", F.explode(w_buckets)).select("*", "_wb._long", "_wb._bucket").drop("_wb")
+    pairs = wb.join(eb, keys + ["_long", "_bucket"], "inner").filter(overlap)
     if ev_end:  # a point event has one bucket, so only spans can meet a window twice
-        pairs = pairs.filter(F.col("_bucket") == F.date_trunc(unit, F.greatest(F.col(win_start), es)))
-    pairs = pairs.drop("_bucket")
-    if long_ is None:
-        return pairs
-    rest = windows.join(long_, keys, "inner").filter(overlap)
-    return pairs.unionByName(rest.select(pairs.columns))
+        first = F.date_trunc(unit, F.greatest(F.col(win_start), es))
+        pairs = pairs.filter(F.col("_long") | (F.col("_bucket") == first))
+    return pairs.drop("_long", "_bucket")
