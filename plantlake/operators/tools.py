@@ -1,10 +1,14 @@
 """Consumer tools (TOOL-01..23): parameterised queries over serving and metrics.
 
 Every tool takes its contract's inputs plus ``as_of`` (None = now) and
-returns a DataFrame.  Lists in the evidence composites are built per group
-whose size is bounded by a time window or by one asset's open orders; the
-shift brief (whose per-plant order list is not bounded) is returned in long
-form, one row per evidence item.
+returns a DataFrame.  An ``asset_id`` or ``plant_id`` of None means every
+asset or plant, so one job answers the question for the whole fleet (the
+scheduled form of many agent calls).  Evidence whose size grows with the
+data (an asset's open orders, a window's alarms, a plant's items for a
+shift) is returned in long form, one row per item, with counts from partial
+aggregates; no list is built over a group that one hot asset can fill.  The
+only list kept is a window's rising tags, bounded by the asset's tag
+catalogue.
 """
 
 from __future__ import annotations
@@ -44,11 +48,11 @@ def list_unhealthy_assets(health_metric: DataFrame, plant_id: str | None, min_he
     return latest.filter(F.col("health_score") < F.lit(float(min_health))).orderBy("health_score", "asset_id")
 
 
-def get_asset_health(health: DataFrame, asset_id: str, days: int = 7, as_of=None) -> DataFrame:
-    """TOOL-02: one asset's daily health over ``days`` days up to ``as_of``."""
+def get_asset_health(health: DataFrame, asset_id: str | None = None, days: int = 7, as_of=None) -> DataFrame:
+    """TOOL-02: an asset's (None: every asset's) daily health over ``days`` days up to ``as_of``."""
     d = as_of_date(as_of)
-    return (health.filter((F.col("asset_id") == asset_id) & (F.col("day_dt") >= F.date_sub(d, days))
-                          & (F.col("day_dt") <= d)).orderBy("day_dt"))
+    out = _opt(health, asset_id=asset_id).filter((F.col("day_dt") >= F.date_sub(d, days)) & (F.col("day_dt") <= d))
+    return out.orderBy("day_dt") if asset_id is not None else out
 
 
 def list_open_work_orders(work_orders: DataFrame, asset_id: str | None = None, plant_id: str | None = None) -> DataFrame:
@@ -56,41 +60,51 @@ def list_open_work_orders(work_orders: DataFrame, asset_id: str | None = None, p
     return _opt(work_orders.filter(F.col("status") == "OPEN"), asset_id=asset_id, plant_id=plant_id)
 
 
-def get_anomaly_rate(health: DataFrame, asset_id: str, days: int = 7, as_of=None) -> DataFrame:
-    """TOOL-04: MET-02 for one asset (the asset filter is pushed below the aggregate)."""
-    return anomaly_rate(health.filter(F.col("asset_id") == asset_id), days, as_of)
+def get_anomaly_rate(health: DataFrame, asset_id: str | None = None, days: int = 7, as_of=None) -> DataFrame:
+    """TOOL-04: MET-02 for an asset (the asset filter is pushed below the aggregate)."""
+    return anomaly_rate(_opt(health, asset_id=asset_id), days, as_of)
 
 
-def get_mtbf_proxy(outcomes: DataFrame, asset_id: str) -> DataFrame:
-    """TOOL-05: MET-03 for one asset."""
-    return mtbf_proxy(outcomes.filter(F.col("asset_id") == asset_id))
+def get_mtbf_proxy(outcomes: DataFrame, asset_id: str | None = None) -> DataFrame:
+    """TOOL-05: MET-03 for an asset."""
+    return mtbf_proxy(_opt(outcomes, asset_id=asset_id))
 
 
 # -- RCA ---------------------------------------------------------------------
 
-def get_alarms_in_window(alarms: DataFrame, asset_id: str, start, end) -> DataFrame:
+def get_alarms_in_window(alarms: DataFrame, asset_id: str | None, start, end) -> DataFrame:
     """TOOL-06: alarms of an asset whose active interval meets ``[start, end]``."""
-    return alarms.filter((F.col("asset_id") == asset_id)
-                         & overlaps("raised_at", "cleared_at", _ts(start), _ts(end)))
+    return _opt(alarms, asset_id=asset_id).filter(overlaps("raised_at", "cleared_at", _ts(start), _ts(end)))
 
 
-def get_tag_series(points_recent: DataFrame, asset_id: str, tag_suffix: str, start, end) -> DataFrame:
-    """TOOL-07: one tag's readings in ``[start, end]``, in time order."""
-    return (points_recent.filter((F.col("asset_id") == asset_id) & (F.col("tag_suffix") == tag_suffix)
-                                 & F.col("event_ts").between(_ts(start), _ts(end))).orderBy("event_ts"))
+def get_tag_series(points_recent: DataFrame, asset_id: str | None, tag_suffix: str, start, end) -> DataFrame:
+    """TOOL-07: one tag's readings in ``[start, end]``; in time order for a single asset."""
+    out = _opt(points_recent, asset_id=asset_id).filter(
+        (F.col("tag_suffix") == tag_suffix) & F.col("event_ts").between(_ts(start), _ts(end)))
+    return out.orderBy("event_ts") if asset_id is not None else out
 
 
-def get_downtime_events(production_events: DataFrame, asset_id: str, start, end) -> DataFrame:
+def get_downtime_events(production_events: DataFrame, asset_id: str | None, start, end) -> DataFrame:
     """TOOL-08: DOWNTIME events of an asset that meet ``[start, end]``."""
-    return production_events.filter(
-        (F.col("asset_id") == asset_id) & (F.col("event_type") == "DOWNTIME")
-        & overlaps("event_start", "event_end", _ts(start), _ts(end)))
+    return _opt(production_events, asset_id=asset_id).filter(
+        (F.col("event_type") == "DOWNTIME") & overlaps("event_start", "event_end", _ts(start), _ts(end)))
 
 
-def get_recent_failures(outcomes: DataFrame, asset_id: str, n: int = 10) -> DataFrame:
-    """TOOL-09: the asset's ``n`` latest orders with a failure code (a top-k report)."""
-    return (outcomes.filter((F.col("asset_id") == asset_id) & F.col("failure_code").isNotNull())
-            .orderBy(F.col("opened_at").desc(), F.col("work_order_id")).limit(n))
+def get_recent_failures(outcomes: DataFrame, asset_id: str | None = None, n: int = 10) -> DataFrame:
+    """TOOL-09: each asset's ``n`` latest orders with a failure code (a top-k report).
+
+    For one asset this is a global top-k (``TakeOrderedAndProject``).  For
+    every asset it is ``row_number() <= n`` per asset, which Spark plans with
+    a partial ``WindowGroupLimit`` before the shuffle: each map task forwards
+    at most ``n`` rows per asset, so a hot asset's task sorts
+    ``n * map tasks`` rows, not all of its orders.
+    """
+    failed = _opt(outcomes, asset_id=asset_id).filter(F.col("failure_code").isNotNull())
+    order = (F.col("opened_at").desc(), F.col("work_order_id"))
+    if asset_id is not None:
+        return failed.orderBy(*order).limit(n)
+    w = Window.partitionBy("plant_id", "asset_id").orderBy(*order)
+    return failed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 # -- shift briefing -----------------------------------------------------------
@@ -135,17 +149,29 @@ def list_active_alarms(alarms: DataFrame, plant_id: str | None) -> DataFrame:
 
 def advisor_evidence(health_metric: DataFrame, work_orders: DataFrame, plant_id: str | None = None,
                      min_health: float = 70.0) -> DataFrame:
-    """TOOL-14: latest health per asset + its open orders; ``inspect`` when score < 70 or flagged."""
+    """TOOL-14: latest health per asset with its open orders, in long form.
+
+    One row per (asset, open order), or one row with ``open_wo`` NULL for an
+    asset without open orders; ``n_open_wos`` and ``inspect`` (score below
+    ``min_health`` or flagged) repeat the asset's values.  The count is a
+    partial aggregate, and the orders are the streamed side of an inner join
+    to one head row per asset (broadcast by AQE when small, otherwise a
+    sort-merge join whose skewed order side AQE splits), so a hot asset's
+    orders are never gathered into one list or one task.
+    """
+    keys = ["plant_id", "asset_id"]
     latest = latest_health(_opt(health_metric, plant_id=plant_id))
-    open_wos = (_opt(work_orders, plant_id=plant_id).filter(F.col("status") == "OPEN")
-                .groupBy("plant_id", "asset_id")
-                .agg(F.sort_array(F.collect_list("work_order_id")).alias("open_wos")))
-    out = latest.join(open_wos, ["plant_id", "asset_id"], "left")
-    return out.select(
-        "plant_id", "asset_id", "day_dt", "health_score", "anomaly_flag",
-        F.coalesce(F.col("open_wos"), F.array().cast("array<string>")).alias("open_wos"),
-        ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"),
-    )
+    open_wos = _opt(work_orders, plant_id=plant_id).filter(F.col("status") == "OPEN").select(
+        *keys, F.col("work_order_id").alias("open_wo"))
+    counts = open_wos.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_open_wos"))
+    head = latest.join(counts, keys, "left").select(
+        *keys, "day_dt", "health_score", "anomaly_flag",
+        F.coalesce(F.col("n_open_wos"), F.lit(0)).alias("n_open_wos"),
+        ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"))
+    cols = head.columns + ["open_wo"]
+    with_orders = open_wos.join(head, keys, "inner").select(*cols)
+    without = head.filter(F.col("n_open_wos") == 0).withColumn("open_wo", F.lit(None).cast("string"))
+    return with_orders.unionByName(without.select(*cols))
 
 
 def incident_windows(alarms: DataFrame, before_hours: int = 2, after_hours: int = 2,
@@ -158,24 +184,36 @@ def incident_windows(alarms: DataFrame, before_hours: int = 2, after_hours: int
     )
 
 
+def _kw(rule: RcaRule, bucketed: bool) -> dict:
+    return dict(bucketed=bucketed, unit=rule.interval_bucket, max_span_units=rule.max_span_units)
+
+
+def rca_alarms(windows: DataFrame, alarms: DataFrame, rule: RcaRule = RcaRule(), bucketed: bool = True) -> DataFrame:
+    """TOOL-15 alarm evidence in long form: one row per (window, alarm meeting it)."""
+    win = windows.select("window_id", "asset_id", "win_start", "win_end")
+    al = alarms.select("asset_id", "alarm_id", "raised_at", "cleared_at")
+    return interval_join(win, al, ["asset_id"], "win_start", "win_end", "raised_at", "cleared_at",
+                         **_kw(rule, bucketed)).select("window_id", "alarm_id")
+
+
 def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, production_events: DataFrame,
                  outcomes: DataFrame, rule: RcaRule = RcaRule(), bucketed: bool = True) -> DataFrame:
-    """TOOL-15: evidence for many incident windows at once.
-
-    Per window: alarms meeting it, tags that rose inside it (positive
-    least-squares slope and last - first > ``min_delta``), downtime meeting
-    it (count and hours clipped to the window), and the asset's modal failure
-    code (ties: latest order, then code).  Windows meet points, alarms and
-    downtime through the bucketed range join.  The three kinds of evidence
-    are unioned and aggregated once per window (one shuffle), then joined
-    back to the windows.
+    """TOOL-15: evidence summary for many incident windows at once.
+
+    Per window: the number of alarms meeting it (their ids are
+    :func:`rca_alarms`, in long form, because a hot asset can fill a window
+    with any number of alarms), the tags that rose inside it (positive
+    least-squares slope and last - first > ``min_delta``; a list bounded by
+    the asset's tags), downtime meeting it (count and hours clipped to the
+    window), and the asset's modal failure code (ties: latest order, then
+    code).  Windows meet points, alarms and downtime through the bucketed
+    range join.  The three kinds of evidence are unioned and aggregated once
+    per window (one shuffle), then joined back to the windows.
     """
     win = windows.select("window_id", "asset_id", "win_start", "win_end")
-    kw = dict(bucketed=bucketed, unit=rule.interval_bucket, max_span_units=rule.max_span_units)
     nul = lambda t: F.lit(None).cast(t)
 
-    al = alarms.select("asset_id", "alarm_id", "raised_at", "cleared_at")
-    al_rows = interval_join(win, al, ["asset_id"], "win_start", "win_end", "raised_at", "cleared_at", **kw).select(
+    al_rows = rca_alarms(windows, alarms, rule, bucketed).select(
         "window_id", "alarm_id", nul("string").alias("tag_suffix"), nul("bigint").alias("dt_secs"))
 
     pts = points.select("asset_id", "tag_suffix", "event_ts", "value")
@@ -194,12 +232,12 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
         "asset_id", "event_start", "event_end")
     clip_s = F.greatest(F.col("event_start"), F.col("win_start"))
     clip_e = F.least(F.coalesce(F.col("event_end"), F.col("win_end")), F.col("win_end"))
-    dt_rows = interval_join(win, dt, ["asset_id"], "win_start", "win_end", "event_start", "event_end", **kw).select(
+    dt_rows = interval_join(win, dt, ["asset_id"], "win_start", "win_end", "event_start", "event_end",
+                            **_kw(rule, bucketed)).select(
         "window_id", nul("string").alias("alarm_id"), nul("string").alias("tag_suffix"),
         (F.unix_timestamp(clip_e) - F.unix_timestamp(clip_s)).alias("dt_secs"))
 
     evidence = al_rows.unionByName(tag_rows).unionByName(dt_rows).groupBy("window_id").agg(
-        F.array_join(F.sort_array(F.collect_list("alarm_id")), ",").alias("alarms"),
         F.count("alarm_id").alias("n_alarms"),
         F.array_join(F.sort_array(F.collect_list("tag_suffix")), ",").alias("rising_tags"),
         F.count("dt_secs").alias("n_downtime"),
@@ -218,7 +256,6 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     out = windows.join(evidence, "window_id", "left").join(modal, "asset_id", "left")
     return out.select(
         "window_id", "asset_id", "win_start", "win_end",
-        F.coalesce("alarms", F.lit("")).alias("alarms"),
         F.coalesce("n_alarms", F.lit(0)).alias("n_alarms"),
         F.coalesce("rising_tags", F.lit("")).alias("rising_tags"),
         F.coalesce("n_downtime", F.lit(0)).alias("n_downtime"),
@@ -253,8 +290,12 @@ def shift_brief(shifts: DataFrame, health: DataFrame, alarms: DataFrame, work_or
     return items.select(notes.columns).unionByName(notes)
 
 
-def health_trend(health: DataFrame, asset_id: str, days: int = 7, as_of=None) -> DataFrame:
-    """TOOL-17: daily score, change from the previous day and the window's slope per day."""
+def health_trend(health: DataFrame, asset_id: str | None = None, days: int = 7, as_of=None) -> DataFrame:
+    """TOOL-17: daily score, change from the previous day and the window's slope per day.
+
+    The window functions partition by asset over at most ``days + 1`` daily
+    rows, so no partition grows with the data.
+    """
     h = get_asset_health(health, asset_id, days, as_of)
     w = Window.partitionBy("plant_id", "asset_id").orderBy("day_dt")
     whole = Window.partitionBy("plant_id", "asset_id")

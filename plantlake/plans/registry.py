@@ -26,7 +26,6 @@ from ..sources import shims
 AS_OF = "2024-01-31 00:00:00"
 LATE_AS_OF = "2024-01-30 12:00:00"
 SHIFT_AS_OF = "2024-01-05 09:00:00"
-ASSET = "AST-7"
 SALT = "plantlake-v1"
 
 
@@ -393,86 +392,85 @@ def _identity(i: Inputs):
 @query("unhealthy_assets")
 def _t01(i: Inputs):
     """TOOL-01."""
-    return present(tools.list_unhealthy_assets(i.health_metric, "PLANT-01", 70), rounded=METRIC_ROUND)
+    return present(tools.list_unhealthy_assets(i.health_metric, None, 70), rounded=METRIC_ROUND)
 
 
 @query("asset_health")
 def _t02(i: Inputs):
     """TOOL-02."""
-    return present(serving.serving_health(tools.get_asset_health(i.health, ASSET, 7, AS_OF)), rounded=HEALTH_ROUND)
+    return present(serving.serving_health(tools.get_asset_health(i.health, None, 7, AS_OF)), rounded=HEALTH_ROUND)
 
 
 @query("open_orders")
 def _t03(i: Inputs):
     """TOOL-03."""
-    return tools.list_open_work_orders(i.s_work_orders, plant_id="PLANT-02")
+    return tools.list_open_work_orders(i.s_work_orders)
 
 
 @query("asset_anomaly_rate")
 def _t04(i: Inputs):
     """TOOL-04."""
-    return tools.get_anomaly_rate(i.health, ASSET, 7, AS_OF)
+    return tools.get_anomaly_rate(i.health, None, 7, AS_OF)
 
 
 @query("asset_mtbf")
 def _t05(i: Inputs):
     """TOOL-05."""
-    return present(tools.get_mtbf_proxy(i.outcomes, ASSET), rounded=("avg_mttr_hours",))
+    return present(tools.get_mtbf_proxy(i.outcomes, None), rounded=("avg_mttr_hours",))
 
 
 @query("alarms_in_window")
 def _t06(i: Inputs):
     """TOOL-06."""
-    return tools.get_alarms_in_window(i.s_alarms, "AST-8", "2024-01-10 00:00:00", "2024-01-20 00:00:00")
+    return tools.get_alarms_in_window(i.s_alarms, None, "2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 
 @query("tag_series")
 def _t07(i: Inputs):
     """TOOL-07."""
-    return tools.get_tag_series(i.points_recent, ASSET, "Vibration", "2024-01-24 00:00:00", AS_OF)
+    return tools.get_tag_series(i.points_recent, None, "Vibration", "2024-01-24 00:00:00", AS_OF)
 
 
 @query("downtime_events")
 def _t08(i: Inputs):
     """TOOL-08."""
-    return tools.get_downtime_events(i.s_production, "AST-5", "1996-01-01 00:00:00", "1997-12-31 00:00:00")
+    return tools.get_downtime_events(i.s_production, None, "1996-01-01 00:00:00", "1997-12-31 00:00:00")
 
 
 @query("recent_failures")
 def _t09(i: Inputs):
     """TOOL-09."""
-    return tools.get_recent_failures(i.s_outcomes, ASSET, 10)
+    return tools.get_recent_failures(i.s_outcomes, None, 10)
 
 
 @query("shift_context")
 def _t10(i: Inputs):
     """TOOL-10."""
-    return tools.get_shift_context(i.s_shifts, "PLANT-02", None, SHIFT_AS_OF)
+    return tools.get_shift_context(i.s_shifts, None, None, SHIFT_AS_OF)
 
 
 @query("overnight_anomalies")
 def _t11(i: Inputs):
     """TOOL-11."""
-    return tools.list_overnight_anomalies(i.health, i.s_alarms, "PLANT-01", 48, LATE_AS_OF)
+    return tools.list_overnight_anomalies(i.health, i.s_alarms, None, 48, LATE_AS_OF)
 
 
 @query("priority_orders")
 def _t12(i: Inputs):
     """TOOL-12."""
-    return tools.list_open_high_priority_wos(i.s_work_orders, "PLANT-01")
+    return tools.list_open_high_priority_wos(i.s_work_orders, None)
 
 
 @query("active_alarms")
 def _t13(i: Inputs):
     """TOOL-13."""
-    return tools.list_active_alarms(i.s_alarms, "PLANT-01")
+    return tools.list_active_alarms(i.s_alarms, None)
 
 
 @query("advisor_evidence")
 def _t14(i: Inputs):
     """TOOL-14."""
-    return present(tools.advisor_evidence(i.health_metric, i.s_work_orders), rounded=("health_score",),
-                   joined=("open_wos",))
+    return present(tools.advisor_evidence(i.health_metric, i.s_work_orders), rounded=("health_score",))
 
 
 @query("rca_evidence")
@@ -482,6 +480,12 @@ def _t15(i: Inputs):
     return tools.rca_evidence(win, i.s_alarms, i.points, i.s_production, i.s_outcomes, bucketed=True)
 
 
+@query("rca_alarms")
+def _t15a(i: Inputs):
+    """TOOL-15 alarm evidence, long form (window, alarm)."""
+    return tools.rca_alarms(tools.incident_windows(i.s_alarms), i.s_alarms, bucketed=True)
+
+
 @query("rca_evidence_plain")
 def _t15p(i: Inputs):
     """TOOL-15 (keyed join + residual filter); must equal the bucketed form."""
@@ -498,7 +502,7 @@ def _t16(i: Inputs):
 @query("health_trend")
 def _t17(i: Inputs):
     """TOOL-17."""
-    return present(tools.health_trend(i.health, ASSET, 7, AS_OF),
+    return present(tools.health_trend(i.health, None, 7, AS_OF),
                    rounded=("health_score", "delta_prev", "trend_slope"))
 
 

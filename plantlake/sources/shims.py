@@ -120,14 +120,19 @@ def points_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points as JSON-array messages (one message per user and hour), for stream tests."""
+    """Points as JSON-array messages, for stream tests.
+
+    One message per (user, reading time), like one poll's snapshot: a message
+    holds the readings taken at one instant, so its size does not grow with
+    the table even when one user owns most of the events.
+    """
     pts = read_table(spark, sf_dir, "events").selectExpr(
-        "user_id AS _uid", "date_trunc('HOUR', ts) AS _hour",
+        "user_id AS _uid", "ts AS _ts", "date_trunc('HOUR', ts) AS _hour",
         f"named_struct('tag_name', {_TAG_SQL}, 'asset_id', concat('AST-', CAST(user_id AS STRING)), "
         f"'timestamp', date_format(ts, \"{_ISO}\"), 'value', {_VAL_SQL}, 'quality', {_QUALITY_SQL}, "
         f"'uom', {_UOM_SQL}, 'source_system', 'mock_pi', 'plant_id', {_plant_sql('user_id')}, "
         "'area_id', concat('AREA-', CAST(user_id % 2 + 1 AS STRING))) AS p")
-    return pts.groupBy("_uid", "_hour").agg(F.to_json(F.collect_list("p")).alias("value")).select(
+    return pts.groupBy("_uid", "_ts", "_hour").agg(F.to_json(F.collect_list("p")).alias("value")).select(
         "_hour", "value")
 
 

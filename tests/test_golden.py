@@ -196,7 +196,9 @@ def test_tool15_rca_on_fixture(spark, fx):
     out = gold.maintenance_outcomes(fx["work_orders"])
     for bucketed in (True, False):
         r = tools.rca_evidence(win, al, pts, ev, out, bucketed=bucketed).first()
-        assert r.alarms == "ALM-9001" and r.n_downtime == 1 and r.downtime_hours == 2.0
+        assert r.n_alarms == 1 and r.n_downtime == 1 and r.downtime_hours == 2.0
+        ids = [(a.window_id, a.alarm_id) for a in tools.rca_alarms(win, al, bucketed=bucketed).collect()]
+        assert ids == [("W1", "ALM-9001")]
         assert r.likely_failure_code == "VIB-HIGH"  # tie on count 1: latest order wins
 
 
@@ -213,3 +215,27 @@ def test_interval_join_open_and_long(spark):
     for b in (True, False):
         got = sorted(r.id for r in interval_join(w, e, ["key"], "ws", "we", "s", "e", bucketed=b).collect())
         assert got == ["inside", "long", "negative", "open"]
+
+
+def test_tool14_advisor_long_form(spark, fx):
+    hm = spark.createDataFrame([
+        ("PLANT-01", "PMP-12", dt.date(2026, 8, 10), 62.5, True),
+        ("PLANT-01", "PMP-12", dt.date(2026, 8, 9), 90.0, False),
+        ("PLANT-01", "CMP-03", dt.date(2026, 8, 10), 95.0, False),
+        ("PLANT-01", "PMP-14", dt.date(2026, 8, 10), 88.0, False),
+    ], "plant_id string, asset_id string, day_dt date, health_score double, anomaly_flag boolean")
+    extra = fx["work_orders"].filter("work_order_id = 'WO-1004'").withColumn("work_order_id", F.lit("WO-1006"))
+    wos = serving.serving_work_orders(fx["work_orders"].unionByName(extra))
+    got = sorted((r.asset_id, r.open_wo, r.n_open_wos, r.inspect, r.health_score)
+                 for r in tools.advisor_evidence(hm, wos).collect())
+    # one row per open order (the latest day's score repeats); an asset without orders keeps one row
+    assert got == [("CMP-03", "WO-1005", 1, False, 95.0), ("PMP-12", "WO-1004", 2, True, 62.5),
+                   ("PMP-12", "WO-1006", 2, True, 62.5), ("PMP-14", None, 0, False, 88.0)]
+
+
+def test_tool09_recent_failures_every_asset(fx):
+    out = serving.serving_outcomes(gold.maintenance_outcomes(fx["work_orders"]))
+    one = [r.work_order_id for r in tools.get_recent_failures(out, "PMP-12", 10).collect()]
+    assert one == ["WO-1004", "WO-1001"]
+    latest = dict(rows(tools.get_recent_failures(out, None, 1), "asset_id", "work_order_id"))
+    assert latest == {"PMP-12": "WO-1004", "CMP-03": "WO-1005", "PMP-14": "WO-1003"}
