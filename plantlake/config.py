@@ -135,9 +135,8 @@ class RcaRule:
 
     min_points: int = 2           # a slope needs two points
     min_delta: float = 0.0        # last - first must exceed this
-    bucket: str = "HOUR"          # bucket of the windows x points join (points have one bucket each)
-    interval_bucket: str = "DAY"  # bucket of the windows x alarms / downtime joins (events span hours)
-    max_span_units: int = 7       # longer or open intervals take the exact keyed path
+    bucket: str = "HOUR"           # bucket of the windows x points join (points have one bucket each)
+    interval_bucket: str = "HOUR"  # leaf bucket of the windows x alarms / downtime stabbing join
 
 
 @dataclass(frozen=True)

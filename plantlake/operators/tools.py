@@ -185,7 +185,7 @@ def incident_windows(alarms: DataFrame, before_hours: int = 2, after_hours: int
 
 
 def _kw(rule: RcaRule, bucketed: bool) -> dict:
-    return dict(bucketed=bucketed, unit=rule.interval_bucket, max_span_units=rule.max_span_units)
+    return dict(bucketed=bucketed, unit=rule.interval_bucket)
 
 
 def rca_alarms(windows: DataFrame, alarms: DataFrame, rule: RcaRule = RcaRule(), bucketed: bool = True) -> DataFrame:

@@ -11,6 +11,8 @@ converts such a join to a broadcast from the real shuffle size.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,15 +33,57 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(dim, on, how)
 
 
-def hour_buckets(start: Column, end: Column, unit: str = "HOUR") -> Column:
-    """All ``unit`` buckets a closed interval ``[start, end]`` (end >= start) touches."""
-    step = F.expr(f"INTERVAL 1 {unit}")
-    return F.sequence(F.date_trunc(unit, start), F.date_trunc(unit, end), step)
+# Bucket indices count whole units since 1970; the block levels of the
+# stabbing join reach past the year 2500, so an open interval ends in one
+# top-level block.
+UNIT_SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
+HORIZON_SECONDS = 531 * 366 * 86400
+
+
+def levels(unit: str) -> int:
+    """Number of block levels above the unit bucket (top blocks span the horizon)."""
+    return max(1, math.ceil(math.log2(HORIZON_SECONDS / UNIT_SECONDS[unit])))
+
+
+def bucket_index(ts: Column, unit: str = "HOUR") -> Column:
+    """Whole ``unit`` buckets since 1970 (floor, exact integer arithmetic), BIGINT."""
+    u = F.lit(UNIT_SECONDS[unit] * 1_000_000).cast("bigint")
+    us = F.unix_micros(ts)
+    return ((us - F.pmod(us, u)) / u).cast("bigint")
+
+
+def _cover_sql(k: int) -> str:
+    """SQL for the canonical block cover of buckets ``[_a, _b]``: structs (_lvl, _node).
+
+    Block ``(l, n)`` holds buckets ``[n * 2^l, (n + 1) * 2^l - 1]``.  A block
+    is in the cover when it lies inside ``[_a, _b]`` and its parent does not
+    (top level: when it lies inside).  The cover partitions ``[_a, _b]``;
+    per level only the first and the last inside block can qualify, so an
+    interval of ``d`` buckets yields at most ``2 log2(d) + 2`` blocks, and
+    only ``log2(d) + 2`` levels are examined.
+    """
+    lo = "shiftright(_a + shiftleft(1L, {l}) - 1, {l})"
+    hi = "(shiftright(_b + 1, {l}) - 1)"
+
+    def inside(node: str, l: str) -> str:
+        return f"({node} >= {lo.format(l=l)} AND {node} <= {hi.format(l=l)})"
+
+    # blocks above level log2(_b - _a + 1) cannot lie inside the range; one
+    # level of margin absorbs rounding of log2, the inside test stays exact
+    top_l = f"least({k - 1}, CAST(floor(log2(_b - _a + 1)) AS INT) + 1)"
+    cand = (f"flatten(transform(sequence(0, {top_l}), l -> array("
+            f"named_struct('_lvl', l, '_node', {lo.format(l='l')}), "
+            f"named_struct('_lvl', l, '_node', {hi.format(l='l')}))))")
+    keep = (f"c -> {inside('c._node', 'c._lvl')} "
+            f"AND NOT {inside('shiftright(c._node, 1)', '(c._lvl + 1)')}")
+    top = (f"CASE WHEN {lo.format(l=k)} <= {hi.format(l=k)} THEN transform(sequence({lo.format(l=k)}, "
+           f"{hi.format(l=k)}), n -> named_struct('_lvl', {k}, '_node', n)) ELSE array() END")
+    return f"CASE WHEN _a <= _b THEN concat(array_distinct(filter({cand}, {keep})), {top}) END"
 
 
 def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
                   win_start: str, win_end: str, ev_start: str, ev_end: str | None = None,
-                  bucketed: bool = True, unit: str = "HOUR", max_span_units: int = 24) -> DataFrame:
+                  bucketed: bool = True, unit: str = "HOUR") -> DataFrame:
     """Range join: pairs of a window and an event on the same keys whose times meet.
 
     ``ev_end`` None means point events; an event end of NULL means "still
@@ -47,38 +91,50 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
     must not clash apart from ``keys`` (the key columns are taken from the
     window side).
 
-    With ``bucketed`` both sides are keyed by (keys, time bucket): a window
-    explodes to the few buckets it covers, an event to the buckets of its own
-    span, and the equi-join on (keys, bucket) spreads even a hot key over many
-    tasks instead of pairing every window of that key with every event of it.
-    A pair met in several buckets is kept only in its first common bucket.
-    Events longer than ``max_span_units`` buckets, or still open, are keyed
-    to one extra "long" bucket that every window of the key also carries, so
-    they meet all windows of their key inside the same join: the result is
-    exact (no partner is capped) and each input is read once.
+    With ``bucketed`` every overlapping pair is found exactly once, by one
+    equi-join on (keys, level, node), in one of two disjoint ways:
+
+    * the event starts inside the window (``ws <= s``): the event's start
+      bucket meets the few ``unit`` buckets the window covers;
+    * the event started before the window and is still on at its start
+      (``s < ws <= e``, or open): the event's bucket range is cut into its
+      canonical power-of-two blocks (a few per level), and the window
+      carries, per level, the one block holding its start bucket.  Exactly
+      one block of the cover holds that bucket.
+
+    No side explodes with the data: a window adds ``levels(unit) + 1`` rows,
+    an event ``O(log span)``, an open event at most one block per level.
+    Each candidate pair shares a bucket or a block that lies wholly inside
+    the event, so the residual filter only drops pairs that touch a boundary
+    bucket: no key's windows are paired with all of its events, and a hot
+    key spreads over its buckets and blocks (AQE splits what is still
+    skewed).  Nothing is capped.
     """
     es = F.col(ev_start)
     ee = F.col(ev_end) if ev_end else es
-    overlap = (es <= F.col(win_end)) & (ee.isNull() | (ee >= F.col(win_start)))
+    ws, we = F.col(win_start), F.col(win_end)
+    overlap = (es <= we) & (ee.isNull() | (ee >= ws))
     if not bucketed:
         return windows.join(events, keys, "inner").filter(overlap)
 
-    step = F.expr(f"INTERVAL 1 {unit}")
-    tag = lambda long_, b: F.struct(F.lit(long_).alias("_long"), b.alias("_bucket"))
-    lo, hi = F.least(F.col(win_start), F.col(win_end)), F.greatest(F.col(win_start), F.col(win_end))
-    w_buckets = F.transform(hour_buckets(lo, hi, unit), lambda b: tag(False, b))
+    k = levels(unit)
+    mark = lambda lvl, node: F.struct(lvl.alias("_lvl"), node.alias("_node"))
+    lo, hi = F.least(ws, we), F.greatest(ws, we)
+    w_rows = F.transform(F.sequence(bucket_index(lo, unit), bucket_index(hi, unit)),
+                         lambda b: mark(F.lit(-1), b))
+    e_rows = F.array(mark(F.lit(-1), bucket_index(es, unit)))
+    ev = events
     if ev_end:
-        long_key = F.lit("1970-01-01 00:00:00").cast("timestamp")
-        w_buckets = F.concat(w_buckets, F.array(tag(True, long_key)))
-        span_ok = ee.isNotNull() & (ee >= es) & (ee <= es + F.expr(f"INTERVAL {max_span_units} {unit}"))
-        e_buckets = F.when(span_ok, F.transform(F.sequence(F.date_trunc(unit, es), F.date_trunc(unit, ee), step),
-                                                lambda b: tag(False, b))).otherwise(F.array(tag(True, long_key)))
-        eb = events.withColumn("_eb", F.explode(e_buckets)).select("*", "_eb._long", "_eb._bucket").drop("_eb")
-    else:
-        eb = events.withColumn("_long", F.lit(False)).withColumn("_bucket", F.date_trunc(unit, es))
-    wb = windows.withColumn("_wb", F.explode(w_buckets)).select("*", "_wb._long", "_wb._bucket").drop("_wb")
-    pairs = wb.join(eb, keys + ["_long", "_bucket"], "inner").filter(overlap)
-    if ev_end:  # a point event has one bucket, so only spans can meet a window twice
-        first = F.date_trunc(unit, F.greatest(F.col(win_start), es))
-        pairs = pairs.filter(F.col("_long") | (F.col("_bucket") == first))
-    return pairs.drop("_long", "_bucket")
+        w_rows = F.concat(w_rows, F.expr(
+            f"transform(sequence(0, {k}), l -> named_struct('_lvl', l, '_node', shiftright(_w, l)))"))
+        top = F.lit((1 << k) - 1).cast("bigint")
+        ev = events.withColumn("_a", bucket_index(es, unit)).withColumn(
+            "_b", F.coalesce(bucket_index(ee, unit), top))
+        e_rows = F.concat(e_rows, F.coalesce(F.expr(_cover_sql(k)), F.array().cast(
+            "array<struct<_lvl:int,_node:bigint>>")))
+    wb = (windows.withColumn("_w", bucket_index(ws, unit))
+          .withColumn("_m", F.explode(w_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_w"))
+    eb = ev.withColumn("_m", F.explode(e_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_a", "_b")
+    started_inside = es >= ws
+    case = F.when(F.col("_lvl") < 0, started_inside).otherwise(~started_inside)
+    return wb.join(eb, keys + ["_lvl", "_node"], "inner").filter(overlap & case).drop("_lvl", "_node")

@@ -56,10 +56,25 @@ def test_bucketed_interval_join_equals_plain(spark, events, windows):
     win = spark.createDataFrame(
         [(j, f"k{k}", t0 + dt.timedelta(minutes=s), t0 + dt.timedelta(minutes=s + d)) for j, (k, s, d) in enumerate(windows)],
         "wid int, key string, ws timestamp, we timestamp")
-    for unit, span in (("HOUR", 24), ("DAY", 1)):
-        b = interval_join(win, ev, ["key"], "ws", "we", "s", "e", bucketed=True, unit=unit, max_span_units=span)
+    for unit in ("MINUTE", "HOUR", "DAY"):
+        b = interval_join(win, ev, ["key"], "ws", "we", "s", "e", bucketed=True, unit=unit)
         p = interval_join(win, ev, ["key"], "ws", "we", "s", "e", bucketed=False)
         assert sorted(map(tuple, b.select("wid", "eid").collect())) == sorted(map(tuple, p.select("wid", "eid").collect()))
     bp = interval_join(win, ev.drop("e"), ["key"], "ws", "we", "s", bucketed=True)
     pp = interval_join(win, ev.drop("e"), ["key"], "ws", "we", "s", bucketed=False)
     assert sorted(map(tuple, bp.select("wid", "eid").collect())) == sorted(map(tuple, pp.select("wid", "eid").collect()))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5000), st.integers(-3, 5000)), min_size=1, max_size=20))
+def test_block_cover_partitions_the_range(spark, ranges):
+    from plantlake.plans.joins import _cover_sql
+    k = 13  # 2^13 buckets hold every range drawn here
+    df = spark.createDataFrame([(a, a + d) for a, d in ranges], "_a bigint, _b bigint")
+    for r in df.select("_a", "_b", F.expr(_cover_sql(k)).alias("c")).collect():
+        if r._b < r._a:
+            assert r.c is None
+            continue
+        covered = sorted(b for c in r.c for b in range(c._node << c._lvl, (c._node + 1) << c._lvl))
+        assert covered == list(range(r._a, r._b + 1))  # disjoint and complete
+        assert len(r.c) <= 2 * max(1, (r._b - r._a + 1).bit_length()) + 2
