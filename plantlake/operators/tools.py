@@ -148,30 +148,33 @@ def list_active_alarms(alarms: DataFrame, plant_id: str | None) -> DataFrame:
 # -- composites ----------------------------------------------------------------
 
 def advisor_evidence(health_metric: DataFrame, work_orders: DataFrame, plant_id: str | None = None,
-                     min_health: float = 70.0) -> DataFrame:
+                     min_health: float = 70.0, salts: int = 32) -> DataFrame:
     """TOOL-14: latest health per asset with its open orders, in long form.
 
     One row per (asset, open order), or one row with ``open_wo`` NULL for an
     asset without open orders; ``n_open_wos`` and ``inspect`` (score below
     ``min_health`` or flagged) repeat the asset's values.  The count is a
-    partial aggregate, and the orders are the streamed side of an inner join
-    to one head row per asset (broadcast by AQE when small, otherwise a
-    sort-merge join whose skewed order side AQE splits), so a hot asset's
-    orders are never gathered into one list or one task.
+    partial aggregate.  Orders carry a salt (hash of the order id mod
+    ``salts``) and the head row of an asset with orders is repeated once per
+    salt, so a hot asset's orders meet their head in ``salts`` tasks instead
+    of one; the left join keeps assets without orders, and unmatched salt
+    copies of assets with orders are dropped.  The head (the latest-health
+    aggregate over all points) is computed once.
     """
     keys = ["plant_id", "asset_id"]
     latest = latest_health(_opt(health_metric, plant_id=plant_id))
     open_wos = _opt(work_orders, plant_id=plant_id).filter(F.col("status") == "OPEN").select(
         *keys, F.col("work_order_id").alias("open_wo"))
     counts = open_wos.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_open_wos"))
+    n = F.coalesce(F.col("n_open_wos"), F.lit(0))
     head = latest.join(counts, keys, "left").select(
-        *keys, "day_dt", "health_score", "anomaly_flag",
-        F.coalesce(F.col("n_open_wos"), F.lit(0)).alias("n_open_wos"),
-        ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"))
-    cols = head.columns + ["open_wo"]
-    with_orders = open_wos.join(head, keys, "inner").select(*cols)
-    without = head.filter(F.col("n_open_wos") == 0).withColumn("open_wo", F.lit(None).cast("string"))
-    return with_orders.unionByName(without.select(*cols))
+        *keys, "day_dt", "health_score", "anomaly_flag", n.alias("n_open_wos"),
+        ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"),
+        F.explode(F.sequence(F.lit(0), F.when(n > 0, F.lit(salts - 1)).otherwise(F.lit(0)))).alias("_salt"))
+    salted = open_wos.withColumn("_salt", F.pmod(F.xxhash64("open_wo"), F.lit(salts)).cast("int"))
+    out = head.join(salted, keys + ["_salt"], "left")
+    return out.filter(F.col("open_wo").isNotNull() | (F.col("n_open_wos") == 0)).select(
+        *keys, "day_dt", "health_score", "anomaly_flag", "n_open_wos", "inspect", "open_wo")
 
 
 def incident_windows(alarms: DataFrame, before_hours: int = 2, after_hours: int = 2,

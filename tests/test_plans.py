@@ -81,3 +81,21 @@ def test_whole_stage_codegen_present(spark):
     df.collect()  # the adaptive plan of this frame is final after it ran
     p = plan(df)
     assert "isFinalPlan=true" in p and "*(" in p
+
+
+def test_per_asset_top_k_is_limited_before_the_shuffle(spark):
+    # row_number() <= n per asset: each map task forwards at most n rows per asset
+    for name in ("recent_failures", "advisor_evidence"):
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        lines = p.splitlines()
+        partial = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Partial" in ln]
+        assert partial, name
+        # the partial limit sits below (is fed into) a hash exchange on the asset keys
+        assert any("Exchange hashpartitioning(plant_id" in ln for ln in lines[:partial[0]]), name
+
+
+def test_lists_do_not_grow_with_a_group(spark):
+    # per-asset orders and per-window alarms are long form: no collect over them
+    for name in ("advisor_evidence", "rca_alarms", "shift_brief"):
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        assert "collect_list" not in p and "collect_set" not in p, name
