@@ -116,7 +116,18 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
     overlap = (es <= we) & (ee.isNull() | (ee >= ws))
     if not bucketed:
         return windows.join(events, keys, "inner").filter(overlap)
+    wb, eb = stab_sides(windows, events, win_start, win_end, ev_start, ev_end, unit)
+    started_inside = es >= ws
+    case = F.when(F.col("_lvl") < 0, started_inside).otherwise(~started_inside)
+    return wb.join(eb, keys + ["_lvl", "_node"], "inner").filter(overlap & case).drop("_lvl", "_node")
 
+
+def stab_sides(windows: DataFrame, events: DataFrame, win_start: str, win_end: str, ev_start: str,
+               ev_end: str | None = None, unit: str = "HOUR") -> tuple[DataFrame, DataFrame]:
+    """Both sides of :func:`interval_join` keyed by ``(_lvl, _node)``: level -1 = unit bucket."""
+    es = F.col(ev_start)
+    ee = F.col(ev_end) if ev_end else es
+    ws, we = F.col(win_start), F.col(win_end)
     k = levels(unit)
     mark = lambda lvl, node: F.struct(lvl.alias("_lvl"), node.alias("_node"))
     lo, hi = F.least(ws, we), F.greatest(ws, we)
@@ -135,6 +146,4 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
     wb = (windows.withColumn("_w", bucket_index(ws, unit))
           .withColumn("_m", F.explode(w_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_w"))
     eb = ev.withColumn("_m", F.explode(e_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_a", "_b")
-    started_inside = es >= ws
-    case = F.when(F.col("_lvl") < 0, started_inside).otherwise(~started_inside)
-    return wb.join(eb, keys + ["_lvl", "_node"], "inner").filter(overlap & case).drop("_lvl", "_node")
+    return wb, eb

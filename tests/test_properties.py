@@ -78,3 +78,22 @@ def test_block_cover_partitions_the_range(spark, ranges):
         covered = sorted(b for c in r.c for b in range(c._node << c._lvl, (c._node + 1) << c._lvl))
         assert covered == list(range(r._a, r._b + 1))  # disjoint and complete
         assert len(r.c) <= 2 * max(1, (r._b - r._a + 1).bit_length()) + 2
+
+
+def test_hot_key_candidates_stay_near_the_output(spark):
+    # one key holds every window and event, a third of them still open: the
+    # stabbing join's candidate pairs (before the residual filter) must stay
+    # close to the true pairs, where a per-key "long" bucket would pair all
+    from plantlake.plans.joins import stab_sides
+    t0 = dt.datetime(2024, 1, 1)
+    win = spark.createDataFrame([(j, "hot", t0 + dt.timedelta(minutes=97 * j), t0 + dt.timedelta(minutes=97 * j + 30))
+                                 for j in range(300)], "wid int, key string, ws timestamp, we timestamp")
+    ev = spark.createDataFrame(
+        [(i, "hot", t0 + dt.timedelta(minutes=131 * i),
+          None if i % 3 == 0 else t0 + dt.timedelta(minutes=131 * i + 45 + 600 * (i % 5))) for i in range(300)],
+        "eid int, key string, s timestamp, e timestamp")
+    out = interval_join(win, ev, ["key"], "ws", "we", "s", "e").count()
+    assert out == interval_join(win, ev, ["key"], "ws", "we", "s", "e", bucketed=False).count()
+    wb, eb = stab_sides(win, ev, "ws", "we", "s", "e")
+    candidates = wb.join(eb, ["key", "_lvl", "_node"]).count()
+    assert out > 10_000 and candidates <= 1.2 * out
