@@ -33,16 +33,17 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(dim, on, how)
 
 
-# Bucket indices count whole units since 1970; the block levels of the
-# stabbing join reach past the year 2500, so an open interval ends in one
-# top-level block.
+# Bucket indices count whole units since 1970.  The top block level spans
+# Spark's whole timestamp range (years 1..9999) on both sides of 1970, so
+# every bucket index lies in [-2^K, 2^K) and the top level has at most the
+# two blocks -1 and 0.
 UNIT_SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
-HORIZON_SECONDS = 531 * 366 * 86400
+RANGE_SECONDS = 8031 * 366 * 86400  # 1970 -> 10000, more than 1970 -> 0001
 
 
 def levels(unit: str) -> int:
-    """Number of block levels above the unit bucket (top blocks span the horizon)."""
-    return max(1, math.ceil(math.log2(HORIZON_SECONDS / UNIT_SECONDS[unit])))
+    """Top block level ``K``: ``2^K`` buckets of ``unit`` exceed the timestamp range."""
+    return max(1, math.ceil(math.log2(RANGE_SECONDS / UNIT_SECONDS[unit])))
 
 
 def bucket_index(ts: Column, unit: str = "HOUR") -> Column:
@@ -52,33 +53,31 @@ def bucket_index(ts: Column, unit: str = "HOUR") -> Column:
     return ((us - F.pmod(us, u)) / u).cast("bigint")
 
 
-def _cover_sql(k: int) -> str:
-    """SQL for the canonical block cover of buckets ``[_a, _b]``: structs (_lvl, _node).
+def cover_levels_sql(k: int) -> str:
+    """SQL for the levels 0..L worth examining for the range ``[_a, _b]`` (NULL when empty).
 
-    Block ``(l, n)`` holds buckets ``[n * 2^l, (n + 1) * 2^l - 1]``.  A block
-    is in the cover when it lies inside ``[_a, _b]`` and its parent does not
-    (top level: when it lies inside).  The cover partitions ``[_a, _b]``;
-    per level only the first and the last inside block can qualify, so an
-    interval of ``d`` buckets yields at most ``2 log2(d) + 2`` blocks, and
-    only ``log2(d) + 2`` levels are examined.
+    Blocks above level log2(_b - _a + 1) cannot lie inside the range; one
+    level of margin absorbs rounding of log2, the tests below stay exact.
     """
-    lo = "shiftright(_a + shiftleft(1L, {l}) - 1, {l})"
-    hi = "(shiftright(_b + 1, {l}) - 1)"
+    return (f"CASE WHEN _a <= _b THEN sequence(0, least({k}, CAST(floor(log2(_b - _a + 1)) AS INT) + 1)) END")
 
-    def inside(node: str, l: str) -> str:
-        return f"({node} >= {lo.format(l=l)} AND {node} <= {hi.format(l=l)})"
 
-    # blocks above level log2(_b - _a + 1) cannot lie inside the range; one
-    # level of margin absorbs rounding of log2, the inside test stays exact
-    top_l = f"least({k - 1}, CAST(floor(log2(_b - _a + 1)) AS INT) + 1)"
-    cand = (f"flatten(transform(sequence(0, {top_l}), l -> array("
-            f"named_struct('_lvl', l, '_node', {lo.format(l='l')}), "
-            f"named_struct('_lvl', l, '_node', {hi.format(l='l')}))))")
-    keep = (f"c -> {inside('c._node', 'c._lvl')} "
-            f"AND NOT {inside('shiftright(c._node, 1)', '(c._lvl + 1)')}")
-    top = (f"CASE WHEN {lo.format(l=k)} <= {hi.format(l=k)} THEN transform(sequence({lo.format(l=k)}, "
-           f"{hi.format(l=k)}), n -> named_struct('_lvl', {k}, '_node', n)) ELSE array() END")
-    return f"CASE WHEN _a <= _b THEN concat(array_distinct(filter({cand}, {keep})), {top}) END"
+def cover_nodes_sql(k: int, level: str = "_l") -> tuple[str, str]:
+    """SQL for the (at most two) cover blocks of ``[_a, _b]`` at level ``level``; NULL = none.
+
+    Block ``(l, n)`` holds buckets ``[n * 2^l, (n + 1) * 2^l - 1]``.  The
+    canonical cover takes a block when it lies inside ``[_a, _b]`` and its
+    parent does not (top level: when it lies inside); it partitions the
+    range.  Per level only the first inside block ``lo`` and the last ``hi``
+    can qualify: ``lo`` does when it is odd (its parent reaches left of the
+    range) or the only one, ``hi`` when it is even (its parent reaches right
+    of the range).
+    """
+    lo = f"shiftright(_a + shiftleft(1L, {level}) - 1, {level})"
+    hi = f"(shiftright(_b + 1, {level}) - 1)"
+    left = f"CASE WHEN {lo} <= {hi} AND ({level} = {k} OR {lo} & 1 = 1 OR {lo} = {hi}) THEN {lo} END"
+    right = f"CASE WHEN {lo} < {hi} AND ({level} = {k} OR {hi} & 1 = 0) THEN {hi} END"
+    return left, right
 
 
 def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
@@ -133,17 +132,23 @@ def stab_sides(windows: DataFrame, events: DataFrame, win_start: str, win_end: s
     lo, hi = F.least(ws, we), F.greatest(ws, we)
     w_rows = F.transform(F.sequence(bucket_index(lo, unit), bucket_index(hi, unit)),
                          lambda b: mark(F.lit(-1), b))
-    e_rows = F.array(mark(F.lit(-1), bucket_index(es, unit)))
-    ev = events
+    start_bucket = events.withColumn("_lvl", F.lit(-1)).withColumn("_node", bucket_index(es, unit))
     if ev_end:
         w_rows = F.concat(w_rows, F.expr(
             f"transform(sequence(0, {k}), l -> named_struct('_lvl', l, '_node', shiftright(_w, l)))"))
+        # one row per event and level (-1 = its start bucket, 0..L = its block
+        # cover), then one per cover block: plain generators and expressions
         top = F.lit((1 << k) - 1).cast("bigint")
-        ev = events.withColumn("_a", bucket_index(es, unit)).withColumn(
-            "_b", F.coalesce(bucket_index(ee, unit), top))
-        e_rows = F.concat(e_rows, F.coalesce(F.expr(_cover_sql(k)), F.array().cast(
-            "array<struct<_lvl:int,_node:bigint>>")))
+        ev = (events.withColumn("_a", bucket_index(es, unit))
+              .withColumn("_b", F.coalesce(bucket_index(ee, unit), top))
+              .withColumn("_l", F.explode(F.concat(F.array(F.lit(-1)),
+                                                   F.coalesce(F.expr(cover_levels_sql(k)), F.array().cast("array<int>"))))))
+        left, right = cover_nodes_sql(k)
+        nodes = F.when(F.col("_l") < 0, F.array(F.col("_a"))).otherwise(F.array(F.expr(left), F.expr(right)))
+        eb = (ev.withColumn("_node", F.explode(nodes)).filter(F.col("_node").isNotNull())
+              .withColumnRenamed("_l", "_lvl").drop("_a", "_b"))
+    else:
+        eb = start_bucket
     wb = (windows.withColumn("_w", bucket_index(ws, unit))
           .withColumn("_m", F.explode(w_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_w"))
-    eb = ev.withColumn("_m", F.explode(e_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_a", "_b")
     return wb, eb

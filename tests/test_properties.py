@@ -66,18 +66,22 @@ def test_bucketed_interval_join_equals_plain(spark, events, windows):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 5000), st.integers(-3, 5000)), min_size=1, max_size=20))
+@given(st.lists(st.tuples(st.integers(-3000, 5000), st.integers(-3, 5000)), min_size=1, max_size=20))
 def test_block_cover_partitions_the_range(spark, ranges):
-    from plantlake.plans.joins import _cover_sql
-    k = 13  # 2^13 buckets hold every range drawn here
-    df = spark.createDataFrame([(a, a + d) for a, d in ranges], "_a bigint, _b bigint")
-    for r in df.select("_a", "_b", F.expr(_cover_sql(k)).alias("c")).collect():
-        if r._b < r._a:
-            assert r.c is None
+    from plantlake.plans.joins import cover_levels_sql, cover_nodes_sql
+    k = 13  # every index drawn here lies in [-2^13, 2^13)
+    left, right = cover_nodes_sql(k)
+    df = spark.createDataFrame([(i, a, a + d) for i, (a, d) in enumerate(ranges)], "i int, _a bigint, _b bigint")
+    rows = df.withColumn("_l", F.explode_outer(F.expr(cover_levels_sql(k)))).select(
+        "i", "_l", F.expr(left).alias("x"), F.expr(right).alias("y")).collect()
+    for i, (a, d) in enumerate(ranges):
+        blocks = [(r._l, n) for r in rows if r.i == i for n in (r.x, r.y) if n is not None]
+        if d < 0:
+            assert blocks == []
             continue
-        covered = sorted(b for c in r.c for b in range(c._node << c._lvl, (c._node + 1) << c._lvl))
-        assert covered == list(range(r._a, r._b + 1))  # disjoint and complete
-        assert len(r.c) <= 2 * max(1, (r._b - r._a + 1).bit_length()) + 2
+        covered = sorted(b for lvl, n in blocks for b in range(n << lvl, (n + 1) << lvl))
+        assert covered == list(range(a, a + d + 1))  # disjoint and complete
+        assert len(blocks) <= 2 * max(1, (d + 1).bit_length()) + 2
 
 
 def test_hot_key_candidates_stay_near_the_output(spark):
