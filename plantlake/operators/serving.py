@@ -88,19 +88,23 @@ def _redact_by_join(df: DataFrame, key: str, text_col: str, names: DataFrame, ou
     if fits_broadcast(dic):
         dic = F.broadcast(dic)
     hits = long_.join(dic, "g", "left_semi").groupBy(key, "pos").agg(F.max("n").alias("n"))
-    marked = toks.join(hits, [key, "pos"], "left").fillna({"n": 0})
-    # Rebuild each text in token order; a match consumes 2n-1 tokens.
-    parts = marked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "n"))).alias("parts"))
-    init = F.struct(F.lit("").alias("s"), F.lit(-1).alias("skip"))
-    rebuilt = F.aggregate(
-        "parts", init,
-        lambda acc, p: F.when(p["pos"] <= acc["skip"], acc).when(
-            p["n"] > 0,
-            F.struct(F.concat(acc["s"], F.lit(PERSON_TOKEN)).alias("s"), (p["pos"] + p["n"] * 2 - 2).alias("skip")),
-        ).otherwise(F.struct(F.concat(acc["s"], p["tok"]).alias("s"), acc["skip"].alias("skip"))),
-        lambda acc: acc["s"],
-    )
-    fixed = parts.select(key, rebuilt.alias("_redacted"))
+    # Accept matches left to right, longest at each start; a match of n words
+    # spans 2n-1 tokens.  Only the (sparse) hits of a text run through this
+    # sequential step; its tokens then take their piece by a join.
+    init = F.struct(F.lit(-1).alias("skip"), F.array().cast("array<struct<pos:int,n:int>>").alias("keep"))
+    accepted = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("h")).select(
+        key, F.explode(F.aggregate(
+            "h", init,
+            lambda acc, h: F.when(h["pos"] <= acc["skip"], acc).otherwise(F.struct(
+                (h["pos"] + h["n"] * 2 - 2).alias("skip"), F.concat(acc["keep"], F.array(h)).alias("keep"))),
+            lambda acc: acc["keep"])).alias("m"))
+    covered = accepted.select(key, F.col("m.pos").alias("_start"), F.posexplode(
+        F.sequence(F.col("m.pos"), F.col("m.pos") + F.col("m.n") * 2 - 2)).alias("_i", "pos"))
+    marked = toks.join(covered, [key, "pos"], "left")
+    piece = F.when(F.col("_i") == 0, F.lit(PERSON_TOKEN)).when(F.col("_i") > 0, F.lit("")).otherwise(F.col("tok"))
+    # Rebuild each text from its pieces in token order (sort + join: linear in the text, not quadratic).
+    fixed = marked.groupBy(key).agg(F.array_join(
+        F.sort_array(F.collect_list(F.struct("pos", piece.alias("piece"))))["piece"], "").alias("_redacted"))
     out = df.join(fixed, key, "left").withColumn(
         out_col, F.when(F.col(text_col).isNotNull(), F.col("_redacted")))
     return out.drop("_redacted")

@@ -239,3 +239,13 @@ def test_tool09_recent_failures_every_asset(fx):
     assert one == ["WO-1004", "WO-1001"]
     latest = dict(rows(tools.get_recent_failures(out, None, 1), "asset_id", "work_order_id"))
     assert latest == {"PMP-12": "WO-1004", "CMP-03": "WO-1005", "PMP-14": "WO-1003"}
+
+
+def test_srv03_token_join_overlaps_and_case(spark):
+    names = spark.createDataFrame([("Ann Lee",), ("lee",), ("Lee Smith Jr",)], "name string")
+    df = spark.createDataFrame([(1, "Ann Lee Smith Jr met LEE."), (2, "Leeward lee"), (3, None), (4, "")],
+                               "k int, t string")
+    got = dict(rows(serving.redact_names(df, "t", names, key="k"), "k", "t"))
+    # leftmost match first, longest at that start; an overlapping later match is skipped;
+    # whole words only ("Leeward" stays); NULL stays NULL
+    assert got == {1: "[PERSON] Smith Jr met [PERSON].", 2: "Leeward [PERSON]", 3: None, 4: ""}
