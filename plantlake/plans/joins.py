@@ -46,13 +46,23 @@ def levels(unit: str) -> int:
     return max(1, math.ceil(math.log2(RANGE_SECONDS / UNIT_SECONDS[unit])))
 
 
+def bucket_sql(expr: str, unit: str = "HOUR") -> str:
+    """SQL: whole ``unit`` buckets since 1970 (floor, exact integer arithmetic), BIGINT."""
+    u = UNIT_SECONDS[unit] * 1_000_000
+    return f"((unix_micros({expr}) - pmod(unix_micros({expr}), {u}L)) div {u}L)"
+
+
 def bucket_index(ts: Column, unit: str = "HOUR") -> Column:
-    """Whole ``unit`` buckets since 1970 (floor, exact integer arithmetic), BIGINT."""
-    u = F.lit(UNIT_SECONDS[unit] * 1_000_000).cast("bigint")
+    """Column form of :func:`bucket_sql`."""
     us = F.unix_micros(ts)
+    u = F.lit(UNIT_SECONDS[unit] * 1_000_000).cast("bigint")
     return ((us - F.pmod(us, u)) / u).cast("bigint")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def cover_levels_sql(k: int) -> str:
     """SQL for the levels 0..L worth examining for the range ``[_a, _b]`` (NULL when empty).
 
@@ -109,46 +119,39 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
     key spreads over its buckets and blocks (AQE splits what is still
     skewed).  Nothing is capped.
     """
-    es = F.col(ev_start)
-    ee = F.col(ev_end) if ev_end else es
-    ws, we = F.col(win_start), F.col(win_end)
-    overlap = (es <= we) & (ee.isNull() | (ee >= ws))
+    es, ws, we = _q(ev_start), _q(win_start), _q(win_end)
+    ee = _q(ev_end) if ev_end else es
+    overlap = f"{es} <= {we} AND ({ee} IS NULL OR {ee} >= {ws})"
     if not bucketed:
         return windows.join(events, keys, "inner").filter(overlap)
     wb, eb = stab_sides(windows, events, win_start, win_end, ev_start, ev_end, unit)
-    started_inside = es >= ws
-    case = F.when(F.col("_lvl") < 0, started_inside).otherwise(~started_inside)
-    return wb.join(eb, keys + ["_lvl", "_node"], "inner").filter(overlap & case).drop("_lvl", "_node")
+    case = f"CASE WHEN _lvl < 0 THEN {es} >= {ws} ELSE {es} < {ws} END"
+    return wb.join(eb, keys + ["_lvl", "_node"], "inner").filter(f"{overlap} AND {case}").drop("_lvl", "_node")
 
 
 def stab_sides(windows: DataFrame, events: DataFrame, win_start: str, win_end: str, ev_start: str,
                ev_end: str | None = None, unit: str = "HOUR") -> tuple[DataFrame, DataFrame]:
-    """Both sides of :func:`interval_join` keyed by ``(_lvl, _node)``: level -1 = unit bucket."""
-    es = F.col(ev_start)
-    ee = F.col(ev_end) if ev_end else es
-    ws, we = F.col(win_start), F.col(win_end)
+    """Both sides of :func:`interval_join` keyed by ``(_lvl, _node)``: level -1 = unit bucket.
+
+    Written as SQL text, one projection per step, so that building the plan
+    costs the driver a few parses rather than a call per column function.
+    """
+    es, ws, we = _q(ev_start), _q(win_start), _q(win_end)
     k = levels(unit)
-    mark = lambda lvl, node: F.struct(lvl.alias("_lvl"), node.alias("_node"))
-    lo, hi = F.least(ws, we), F.greatest(ws, we)
-    w_rows = F.transform(F.sequence(bucket_index(lo, unit), bucket_index(hi, unit)),
-                         lambda b: mark(F.lit(-1), b))
-    start_bucket = events.withColumn("_lvl", F.lit(-1)).withColumn("_node", bucket_index(es, unit))
-    if ev_end:
-        w_rows = F.concat(w_rows, F.expr(
-            f"transform(sequence(0, {k}), l -> named_struct('_lvl', l, '_node', shiftright(_w, l)))"))
-        # one row per event and level (-1 = its start bucket, 0..L = its block
-        # cover), then one per cover block: plain generators and expressions
-        top = F.lit((1 << k) - 1).cast("bigint")
-        ev = (events.withColumn("_a", bucket_index(es, unit))
-              .withColumn("_b", F.coalesce(bucket_index(ee, unit), top))
-              .withColumn("_l", F.explode(F.concat(F.array(F.lit(-1)),
-                                                   F.coalesce(F.expr(cover_levels_sql(k)), F.array().cast("array<int>"))))))
-        left, right = cover_nodes_sql(k)
-        nodes = F.when(F.col("_l") < 0, F.array(F.col("_a"))).otherwise(F.array(F.expr(left), F.expr(right)))
-        eb = (ev.withColumn("_node", F.explode(nodes)).filter(F.col("_node").isNotNull())
-              .withColumnRenamed("_l", "_lvl").drop("_a", "_b"))
-    else:
-        eb = start_bucket
-    wb = (windows.withColumn("_w", bucket_index(ws, unit))
-          .withColumn("_m", F.explode(w_rows)).select("*", "_m._lvl", "_m._node").drop("_m", "_w"))
-    return wb, eb
+    b = lambda e: bucket_sql(e, unit)
+    w_rows = (f"transform(sequence({b(f'least({ws}, {we})')}, {b(f'greatest({ws}, {we})')}), "
+              "_bk -> named_struct('_lvl', -1, '_node', _bk))")
+    if not ev_end:
+        return (windows.selectExpr("*", f"inline({w_rows})"),
+                events.selectExpr("*", "-1 AS _lvl", f"{b(es)} AS _node"))
+    w_rows = (f"concat({w_rows}, transform(sequence(0, {k}), _lv -> named_struct('_lvl', _lv, '_node', "
+              f"shiftright({b(ws)}, _lv))))")
+    # one row per event and level (-1 = its start bucket, 0..L = its block
+    # cover), then one per cover block: plain generators and expressions
+    ev = events.selectExpr("*", f"{b(es)} AS _a", f"coalesce({b(_q(ev_end))}, {(1 << k) - 1}L) AS _b")
+    ev = ev.selectExpr("*", f"explode(concat(array(-1), coalesce({cover_levels_sql(k)}, CAST(array() AS array<int>)))) AS _l")
+    left, right = cover_nodes_sql(k)
+    eb = ev.selectExpr(*[_q(c) for c in events.columns], "_l AS _lvl",
+                       f"explode(CASE WHEN _l < 0 THEN array(_a) ELSE array({left}, {right}) END) AS _node"
+                       ).filter("_node IS NOT NULL")
+    return windows.selectExpr("*", f"inline({w_rows})"), eb
