@@ -131,13 +131,11 @@ def content_leaks(df: DataFrame, table: str, text_columns: Iterable[str] | None
         else:
             aggs.append(F.lit(0).cast("bigint").alias(f"{c}__name"))
     wide = df.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__email").alias("email_rows"),
-                 F.col(f"{c}__phone").alias("phone_rows"), F.col(f"{c}__name").alias("name_rows"))
-        for c in cols
-    ]))
-    return wide.select(stacked.alias("x")).select(
-        F.lit(table).alias("table_name"), "x.column_name", "x.email_rows", "x.phone_rows", "x.name_rows")
+    # one row per column: a single projection of SQL text (one parse for the driver)
+    rows = ", ".join(
+        f"named_struct('column_name', {sql_str(c)}, 'email_rows', `{c}__email`, 'phone_rows', `{c}__phone`, "
+        f"'name_rows', `{c}__name`)" for c in cols)
+    return wide.selectExpr(f"{sql_str(table)} AS table_name", f"inline(array({rows}))")
 
 
 def leak_audit(tables: dict[str, DataFrame], names: Iterable[str] = (),
@@ -146,7 +144,7 @@ def leak_audit(tables: dict[str, DataFrame], names: Iterable[str] = (),
     out = None
     for name, df in tables.items():
         part = content_leaks(df, name, None, names, patterns)
-        out = part if out is None else out.unionByName(part)
+        out = part if out is None else out.union(part)  # same columns in the same order
     return out
 
 
@@ -187,7 +185,7 @@ def retention_report(people: dict[str, DataFrame], facts: dict[str, DataFrame],
         keep = F.coalesce((F.col("_anchor") >= lo) | F.col("_anchor").isNull(), F.lit(False))
         part = joined.agg(F.count_if(keep).alias("kept_rows"), F.count_if(~keep).alias("purged_rows")).select(
             F.lit(table).alias("table_name"), F.lit(int(days[table])).alias("retention_days"), "kept_rows", "purged_rows")
-        out = part if out is None else out.unionByName(part)
+        out = part if out is None else out.union(part)  # same columns in the same order
     return out
 
 
