@@ -99,3 +99,13 @@ def test_lists_do_not_grow_with_a_group(spark):
     for name in ("advisor_evidence", "rca_alarms", "shift_brief"):
         p = plan(E.queries()[name](spark, SF_SMALL))
         assert "collect_list" not in p and "collect_set" not in p, name
+
+
+def test_advisor_salts_orders_and_computes_health_once(spark):
+    p = plan(E.queries()["advisor_evidence"](spark, SF_SMALL))
+    # the hourly aggregate (grouped with area and tag) is planned once, not once per branch
+    hourly = [ln for ln in p.splitlines() if "Exchange hashpartitioning(plant_id" in ln and "tag_suffix" in ln]
+    assert len(hourly) == 1, hourly
+    # orders meet their head on (plant, asset, salt): a hot asset spreads over the salts
+    joins = [ln for ln in p.splitlines() if "Join" in ln and "_salt" in ln]
+    assert joins and all("LeftOuter" in ln for ln in joins)
