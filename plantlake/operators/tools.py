@@ -209,15 +209,24 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     least-squares slope and last - first > ``min_delta``; a list bounded by
     the asset's tags), downtime meeting it (count and hours clipped to the
     window), and the asset's modal failure code (ties: latest order, then
-    code).  Windows meet points, alarms and downtime through the bucketed
-    range join.  The three kinds of evidence are unioned and aggregated once
-    per window (one shuffle), then joined back to the windows.
+    code).  Alarms and downtime meet the windows in one stabbing join (one
+    window side for both), points in the bucket join.  The evidence is
+    unioned and aggregated once per window (one shuffle), then joined back
+    to the windows.
     """
     win = windows.select("window_id", "asset_id", "win_start", "win_end")
     nul = lambda t: F.lit(None).cast(t)
 
-    al_rows = rca_alarms(windows, alarms, rule, bucketed).select(
-        "window_id", "alarm_id", nul("string").alias("tag_suffix"), nul("bigint").alias("dt_secs"))
+    # alarms and downtime meet the windows in one stabbing join (_k: a = alarm, d = downtime)
+    al = alarms.selectExpr("asset_id", "'a' AS _k", "alarm_id AS _id", "raised_at AS _s", "cleared_at AS _e")
+    dt = production_events.filter(F.col("event_type") == "DOWNTIME").selectExpr(
+        "asset_id", "'d' AS _k", "CAST(NULL AS STRING) AS _id", "event_start AS _s", "event_end AS _e")
+    iv_rows = interval_join(win, al.unionByName(dt), ["asset_id"], "win_start", "win_end", "_s", "_e",
+                            **_kw(rule, bucketed)).selectExpr(
+        "window_id", "CASE WHEN _k = 'a' THEN _id END AS alarm_id", "CAST(NULL AS STRING) AS tag_suffix",
+        "CASE WHEN _k = 'd' THEN unix_timestamp(least(coalesce(_e, win_end), win_end)) "
+        "- unix_timestamp(greatest(_s, win_start)) END AS dt_secs",
+        "_k = 'a' AS _is_alarm")
 
     pts = points.select("asset_id", "tag_suffix", "event_ts", "value")
     p_pairs = interval_join(win, pts, ["asset_id"], "win_start", "win_end", "event_ts", bucketed=bucketed,
@@ -229,19 +238,11 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
         F.count(F.lit(1)).alias("n"))
     tag_rows = per_tag.filter((F.col("n") >= rule.min_points) & (F.col("slope") > 0)
                               & (F.col("delta") > F.lit(rule.min_delta))).select(
-        "window_id", nul("string").alias("alarm_id"), "tag_suffix", nul("bigint").alias("dt_secs"))
-
-    dt = production_events.filter(F.col("event_type") == "DOWNTIME").select(
-        "asset_id", "event_start", "event_end")
-    clip_s = F.greatest(F.col("event_start"), F.col("win_start"))
-    clip_e = F.least(F.coalesce(F.col("event_end"), F.col("win_end")), F.col("win_end"))
-    dt_rows = interval_join(win, dt, ["asset_id"], "win_start", "win_end", "event_start", "event_end",
-                            **_kw(rule, bucketed)).select(
-        "window_id", nul("string").alias("alarm_id"), nul("string").alias("tag_suffix"),
-        (F.unix_timestamp(clip_e) - F.unix_timestamp(clip_s)).alias("dt_secs"))
-
-    evidence = al_rows.unionByName(tag_rows).unionByName(dt_rows).groupBy("window_id").agg(
-        F.count("alarm_id").alias("n_alarms"),
+        "window_id", nul("string").alias("alarm_id"), "tag_suffix", nul("bigint").alias("dt_secs"),
+        F.lit(False).alias("_is_alarm"))
+
+    evidence = iv_rows.unionByName(tag_rows).groupBy("window_id").agg(
+        F.count_if("_is_alarm").alias("n_alarms"),
         F.array_join(F.sort_array(F.collect_list("tag_suffix")), ",").alias("rising_tags"),
         F.count("dt_secs").alias("n_downtime"),
         (F.sum("dt_secs").cast("double") / 3600.0).alias("downtime_hours"))
