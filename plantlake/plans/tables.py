@@ -45,19 +45,23 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     return int(obs.get.get("rows", 0))
 
 
-def compact(spark: SparkSession, path: str, partition_filter: str | None = None, target_files: int = 1,
+def compact(spark: SparkSession, path: str, partition_filter: str | None = None, target_files: int | None = None,
             partition_by=(), fmt: str = "parquet", tmp_suffix: str = "_compacted") -> str:
-    """Rewrite small files (one per 5 s micro-batch) into ``target_files`` per partition.
+    """Rewrite small files (one per 5 s micro-batch) into files of the advisory size.
 
     Reads the table (optionally one partition), writes it to a sibling folder
-    and returns that path; the caller swaps it in.  ``repartition`` by the
-    partition columns keeps each output partition in few files.
+    and returns that path; the caller swaps it in.  The ``rebalance`` hint
+    clusters rows by the partition columns, and AQE cuts the output at
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: small partitions are
+    merged into one file each, and a large (hot) partition is split into
+    several tasks instead of being written by one.  ``target_files`` only
+    sets the initial number of shuffle partitions.
     """
     df = spark.read.format(fmt).load(path)
     if partition_filter:
         df = df.filter(partition_filter)
     out = path.rstrip("/") + tmp_suffix
-    part = df.repartition(target_files, *partition_by) if partition_by else df.repartition(target_files)
+    part = df.hint("rebalance", *([target_files] if target_files else []), *partition_by)
     w = part.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -249,3 +249,11 @@ def test_srv03_token_join_overlaps_and_case(spark):
     # leftmost match first, longest at that start; an overlapping later match is skipped;
     # whole words only ("Leeward" stays); NULL stays NULL
     assert got == {1: "[PERSON] Smith Jr met [PERSON].", 2: "Leeward [PERSON]", 3: None, 4: ""}
+
+
+def test_gov09_purge_keeps_what_the_report_keeps(spark, raw, fx):
+    people = silver.work_order_people(raw["work_orders_raw"])
+    kept = governance.purge(people, fx["work_orders"], "work_order_id", "closed_at", 730, "2028-06-10 00:00:00")
+    # closed 2026-06-01 is older than two years; the other two closes and both open orders stay
+    assert sorted(r.work_order_id for r in kept.collect()) == ["WO-1002", "WO-1003", "WO-1004", "WO-1005"]
+    assert kept.columns == people.columns

@@ -83,3 +83,26 @@ def test_only_running_and_split_midnight(spark, fx):
     split = {str(r.day_dt): (r.run_hours, r.good_count) for r in gold.oee_daily(ev, split_midnight=True).collect()}
     assert whole == {"2026-08-10": 4.0}
     assert split == {"2026-08-10": (2.0, 10), "2026-08-11": (2.0, 0)}
+
+
+def test_compact_splits_a_hot_partition(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    # partition p=0 holds two thirds of the rows
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 5 + 1).alias("p"),
+                                     F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    write_table(df.repartition(16), path, partition_by=("p",))
+    # small split and advisory sizes stand in for a large table: many map tasks, 1 MB target
+    confs = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(1 << 20),
+             "spark.sql.files.maxPartitionBytes": str(256 << 10), "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        out = compact(spark, path, partition_by=("p",))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    hot = [f for f in os.listdir(os.path.join(out, "p=0")) if f.endswith(".parquet")]
+    assert len(hot) > 1  # split across tasks, not one writer for the hot partition
+    back = spark.read.parquet(out)
+    assert back.count() == 300_000 and back.filter("p = 0").count() == 200_000
