@@ -24,7 +24,9 @@ def land_messages(spark: SparkSession, sf_dir: str, landing: str, files: int = 8
     """Write the shim's point messages as text files (one JSON array per line)."""
     from ..sources import shims
     msgs = shims.point_messages(spark, sf_dir)
-    msgs.repartition(files, "_hour").select("value").write.mode("overwrite").text(landing)
+    # rebalance by hour: about ``files`` files for small inputs, AQE-sized files (and more
+    # writers) when the table is large, so landing never funnels into a fixed few tasks
+    msgs.hint("rebalance", files, "_hour").select("value").write.mode("overwrite").text(landing)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
