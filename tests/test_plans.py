@@ -109,3 +109,12 @@ def test_advisor_salts_orders_and_computes_health_once(spark):
     # orders meet their head on (plant, asset, salt): a hot asset spreads over the salts
     joins = [ln for ln in p.splitlines() if "Join" in ln and "_salt" in ln]
     assert joins and all("LeftOuter" in ln for ln in joins)
+
+
+def test_no_cross_or_nested_loop_join_in_any_query(spark):
+    # every join is an equi-join on keys (range joins go through the stabbing join)
+    for name, fn in E.queries().items():
+        if name.startswith("stream_"):
+            continue
+        p = plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
