@@ -257,3 +257,34 @@ def test_gov09_purge_keeps_what_the_report_keeps(spark, raw, fx):
     # closed 2026-06-01 is older than two years; the other two closes and both open orders stay
     assert sorted(r.work_order_id for r in kept.collect()) == ["WO-1002", "WO-1003", "WO-1004", "WO-1005"]
     assert kept.columns == people.columns
+
+
+def test_hot_asset_advisor_and_rca_stay_exact(spark):
+    # one asset holds most orders, windows, alarms and downtime
+    t0 = dt.datetime(2024, 3, 1)
+    hm = spark.createDataFrame([("P1", "HOT", dt.date(2024, 3, 9), 55.0, True), ("P1", "COLD", dt.date(2024, 3, 9), 99.0, False)],
+                               "plant_id string, asset_id string, day_dt date, health_score double, anomaly_flag boolean")
+    wos = spark.createDataFrame([(f"WO-{i}", "HOT" if i % 10 else "COLD", "P1", "OPEN") for i in range(1, 501)],
+                                "work_order_id string, asset_id string, plant_id string, status string")
+    adv = tools.advisor_evidence(hm, wos)
+    got = {r.asset_id: (r.c, r.n) for r in adv.groupBy("asset_id").agg(F.count("open_wo").alias("c"),
+                                                                         F.max("n_open_wos").alias("n")).collect()}
+    assert got == {"HOT": (450, 450), "COLD": (50, 50)} and adv.count() == 500
+
+    al = spark.createDataFrame(
+        [(f"A{i}", "HOT", "P1", t0 + dt.timedelta(minutes=37 * i),
+          None if i % 4 == 0 else t0 + dt.timedelta(minutes=37 * i + 20 + 90 * (i % 3)), "HIGH")
+         for i in range(200)],
+        "alarm_id string, asset_id string, plant_id string, raised_at timestamp, cleared_at timestamp, severity string")
+    win = tools.incident_windows(al)
+    ev = spark.createDataFrame(
+        [("HOT", "DOWNTIME", t0 + dt.timedelta(minutes=53 * i), None if i % 5 == 0 else t0 + dt.timedelta(minutes=53 * i + 70))
+         for i in range(150)], "asset_id string, event_type string, event_start timestamp, event_end timestamp")
+    pts = spark.createDataFrame(
+        [("HOT", "Vibration", t0 + dt.timedelta(minutes=7 * i), float(i % 11)) for i in range(1200)],
+        "asset_id string, tag_suffix string, event_ts timestamp, value double")
+    out = spark.createDataFrame([("HOT", "BRG-WEAR", t0)], "asset_id string, failure_code string, opened_at timestamp")
+    cols = ["window_id", "n_alarms", "rising_tags", "n_downtime", "downtime_hours", "likely_failure_code"]
+    b = sorted(tuple(r) for r in tools.rca_evidence(win, al, pts, ev, out, bucketed=True).select(cols).collect())
+    p = sorted(tuple(r) for r in tools.rca_evidence(win, al, pts, ev, out, bucketed=False).select(cols).collect())
+    assert b == p and len(b) == 200 and sum(r[1] for r in b) > 200
