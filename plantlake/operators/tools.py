@@ -171,9 +171,10 @@ def advisor_evidence(health_metric: DataFrame, work_orders: DataFrame, plant_id:
         *keys, "day_dt", "health_score", "anomaly_flag", n.alias("n_open_wos"),
         ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"),
         F.explode(F.sequence(F.lit(0), F.when(n > 0, F.lit(salts - 1)).otherwise(F.lit(0)))).alias("_salt"))
-    salted = open_wos.withColumn("_salt", F.pmod(F.xxhash64("open_wo"), F.lit(salts)).cast("int"))
+    salted = open_wos.select("*", F.pmod(F.xxhash64("open_wo"), F.lit(salts)).cast("int").alias("_salt"),
+                             F.lit(True).alias("_hit"))  # marks a matched order, even one without an id
     out = head.join(salted, keys + ["_salt"], "left")
-    return out.filter(F.col("open_wo").isNotNull() | (F.col("n_open_wos") == 0)).select(
+    return out.filter(F.col("_hit").isNotNull() | (F.col("n_open_wos") == 0)).select(
         *keys, "day_dt", "health_score", "anomaly_flag", "n_open_wos", "inspect", "open_wo")
 
 

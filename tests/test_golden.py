@@ -288,3 +288,12 @@ def test_hot_asset_advisor_and_rca_stay_exact(spark):
     b = sorted(tuple(r) for r in tools.rca_evidence(win, al, pts, ev, out, bucketed=True).select(cols).collect())
     p = sorted(tuple(r) for r in tools.rca_evidence(win, al, pts, ev, out, bucketed=False).select(cols).collect())
     assert b == p and len(b) == 200 and sum(r[1] for r in b) > 200
+
+
+def test_tool14_order_without_id_is_kept(spark):
+    hm = spark.createDataFrame([("P1", "A", dt.date(2024, 3, 9), 90.0, False)],
+                               "plant_id string, asset_id string, day_dt date, health_score double, anomaly_flag boolean")
+    wos = spark.createDataFrame([(None, "A", "P1", "OPEN"), ("WO-1", "A", "P1", "OPEN")],
+                                "work_order_id string, asset_id string, plant_id string, status string")
+    got = sorted((r.open_wo or "", r.n_open_wos) for r in tools.advisor_evidence(hm, wos).collect())
+    assert got == [("", 2), ("WO-1", 2)]  # as many rows as counted orders
