@@ -359,9 +359,15 @@ def nominal_deviation(hourly: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def ingest_status(points_raw: DataFrame) -> DataFrame:
-    """TOOL-23: assets, tags per asset and points in the raw table."""
-    g = points_raw.agg(F.count_distinct("asset_id").alias("assets"),
-                       F.count_distinct("tag_name").alias("_tags"), F.count(F.lit(1)).alias("points"))
+    """TOOL-23: assets, tags per asset and points in the raw table.
+
+    One partial aggregate by (asset, tag) first: the raw points collapse on
+    the map side to one row per pair, and the two distinct counts run over
+    that small result (no ``Expand`` that doubles every raw row).
+    """
+    pairs = points_raw.groupBy("asset_id", "tag_name").agg(F.count(F.lit(1)).alias("_n"))
+    g = pairs.agg(F.count_distinct("asset_id").alias("assets"),
+                  F.count_distinct("tag_name").alias("_tags"), F.sum("_n").cast("bigint").alias("points"))
     return g.select("assets", (F.col("_tags") / F.greatest(F.col("assets"), F.lit(1))).cast("bigint").alias("tags_per_asset"),
                     "points")
 
