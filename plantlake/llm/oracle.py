@@ -72,7 +72,116 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_a
 FROM doc LEFT JOIN one USING (rid)
 """
 
+_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+_PHRASES = "|".join(("all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service",
+                     "enable javascript", "click here", "subscribe to our newsletter", "sign up for", "log in to",
+                     "powered by", "skip to content", "share on"))
+_CLOSED = "regexp_matches(tr, '[.!?\\x{2026}\\x{3002}\\x{FF01}\\x{FF1F}][\"'')\\]\\x{201D}\\x{2019}\\x{BB}]*$')"
+_NAV = "regexp_matches(tr, '(?:[^|\\x{BB}\\x{203A}\\x{B7}\\x{2022}>]*[|\\x{BB}\\x{203A}\\x{B7}\\x{2022}>]){2}')"
+
+_OP3 = f"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+word AS (SELECT doc_id, rid, t, {_WORDS.format('t')} AS ws FROM doc),
+gram AS (
+  SELECT rid, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM word WHERE len(ws) >= 3)),
+twice AS (SELECT rid, a, b, c FROM gram GROUP BY ALL HAVING count(*) > 1),
+rep AS (
+  SELECT rid, count(DISTINCT p) AS n_rep
+  FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM gram JOIN twice USING (rid, a, b, c)) GROUP BY rid),
+line AS (
+  SELECT rid, l, trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS tr, len({_WORDS.format('l')}) AS n
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM doc)),
+lines AS (
+  SELECT rid, count(*) - count(DISTINCT l) AS n_dup,
+         sum(n) FILTER (({_CLOSED} OR (n >= 5 AND NOT {_NAV}))
+                        AND 2 * len(regexp_extract_all(tr, '[#*$%&|<>]')) <= n
+                        AND NOT regexp_matches(lower(tr), '{_PHRASES}')) AS n_clean
+  FROM line WHERE n > 0 GROUP BY rid),
+base AS (
+  SELECT doc_id, len(ws) AS n_words, list_sum(list_transform(ws, lambda w: length(w))) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+         coalesce(n_rep, 0) AS n_repeat_words, coalesce(n_clean, 0) AS n_clean_words
+  FROM word LEFT JOIN lines USING (rid) LEFT JOIN rep USING (rid))
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+       n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_clean_words::BIGINT AS n_clean_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND NOT 100 * (n_words - n_clean_words) > 50 * n_words AS kept
+FROM base
+"""
+
+_OP5 = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+url AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS rid
+  FROM cut),
+rule AS (
+  SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS r(verdict, h, p)),
+fit AS (
+  SELECT rid, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM url JOIN rule ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM url LEFT JOIN fit USING (rid)
+"""
+
+_OP6 = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, source, coalesce(len({_WORDS.format('text')}), 0) AS size,
+         md5(concat('20:', coalesce(doc_id::VARCHAR, '-'), ':', md5(coalesce(text, '')))) AS key FROM documents),
+src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w
+  FROM doc GROUP BY source),
+level(step, rest, total, clamped) AS (
+  SELECT 0, 1.5::DOUBLE * sum(source_size), sum(w)::DOUBLE, 0 FROM src
+  UNION ALL
+  SELECT step + 1, b - c, t, n FROM (
+    SELECT step, any_value(clamped) AS was, 1.5::DOUBLE * sum(source_size) AS b,
+           coalesce(sum(2.0::DOUBLE * source_size) FILTER (2 * source_size <= w * rest / total), 0) AS c,
+           coalesce(sum(w) FILTER (2 * source_size > w * rest / total), 0)::DOUBLE AS t,
+           count(*) FILTER (2 * source_size <= w * rest / total) AS n
+    FROM level, src WHERE total > 0 GROUP BY step) WHERE n > was),
+last AS (SELECT rest, total FROM level ORDER BY step DESC LIMIT 1),
+goal AS (
+  SELECT source, source_size, CASE WHEN total > 0 THEN least(2.0 * source_size, w * rest / total)
+                                   ELSE 2.0 * source_size END::DOUBLE AS target FROM src, last),
+part AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM goal),
+unit AS (SELECT source, key, sum(size) AS n FROM doc GROUP BY source, key),
+pick AS (
+  SELECT source, key, sum(n) OVER (PARTITION BY source ORDER BY key) - n / 2.0 AS middle FROM unit)
+SELECT d.doc_id, d.size::BIGINT AS size, p.source_size, p.target,
+       (d.size * (p.whole + CASE WHEN p.target - p.whole * p.source_size > 0 AND k.middle <= p.target - p.whole * p.source_size
+                                 THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM doc d JOIN part p ON d.source IS NOT DISTINCT FROM p.source
+     JOIN pick k ON d.source IS NOT DISTINCT FROM k.source AND d.key = k.key
+"""
+
+_OP8 = """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS h FROM pages),
+first AS (SELECT p, min(page_id) AS first FROM page GROUP BY p),
+five AS (SELECT page_id, p, list_transform(range(8), lambda g: ('0x' || substr(h, 5 * g::INT + 1, 5))::BIGINT) AS v FROM page)
+SELECT page_id, strlen(p)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(v, lambda x: concat(
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x // 32768 % 32 + 1)::INT, 1),
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x // 1024 % 32 + 1)::INT, 1),
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x // 32 % 32 + 1)::INT, 1),
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x % 32 + 1)::INT, 1))), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM five JOIN first USING (p)
+"""
+
 ORACLE = {
+    "op3_quality_rules": _OP3,
+    "op5_url_filter": _OP5,
+    "op6_mixing": _OP6,
+    "op8_warc": _OP8,
     "op2_decontaminate": _OP2,
     "op4_secret_scan": _OP4,
 }

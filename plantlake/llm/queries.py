@@ -16,6 +16,23 @@ def _sha256(parts: Column) -> Column:
     return F.sha2(F.array_join(parts, ","), 256)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify_documents
+    docs = table(spark, sf_dir, "documents")
+    return identify_documents(docs.select("doc_id", "text", "source"), docs, into="r").select(
+        "doc_id", "r.lang", "r.probability", "r.text_lang", "r.declared", "r.host_prior",
+        F.col("r.accepted").alias("kept"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator on raw pages, where markup and addresses are evidence too."""
+    from .language_id import identify_pages
+    pages = table(spark, sf_dir, "pages")
+    return identify_pages(pages, table(spark, sf_dir, "documents"), into="r").select(
+        "page_id", "r.lang", "r.probability", "r.text_lang", "r.declared", "r.suffix_lang", "r.host_prior",
+        "r.accepted")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import decontaminate
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,6 +44,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         r["contaminated"].alias("contaminated"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judge
+    return judge(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import BASE_RULES, scan_secrets
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,10 +63,56 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(as_text(F.col("spans")), ",").alias("spans"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, into="v").select("page_id", "v.*")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import taken
+    return taken(table(spark, sf_dir, "documents"))
+
+
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dup import classes
+    return classes(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), into="m")
+    names = F.array_join(F.array_sort(F.array_distinct(F.col("m.license"))), ",")
+    spans = F.transform("m", lambda s: F.concat_ws(":", s["license"], s["start"].cast("string"),
+                                                   s["end"].cast("string")))
+    return found.select("doc_id", F.size("m").cast("bigint").alias("n_matches"), names.alias("licenses"),
+                        F.coalesce(F.array_max(F.col("m.coverage")), F.lit(0.0)).alias("best_coverage"),
+                        F.array_join(spans, ",").alias("spans"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score
+    return score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_language_id,
         op2_decontaminate,
+        op3_quality_rules,
         op4_secret_scan,
+        op5_url_filter,
+        op6_mixing,
+        op7_near_dup,
+        op8_warc,
+        op9_license_scan,
+        op10_lm_score,
+        language_id_pages,
     )
 }
 
