@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for equal results.
@@ -46,9 +46,27 @@ TAG_SPECS = (
     ("RuntimeHours", "h", "Cumulative runtime hours", 12400.0, 0.0, 1.0),
 )
 
-# Retention (governance inventory): orders + 2 years, alarm acknowledgers
-# + 1 year, shift people and notes 90 days.
-RETENTION_DAYS = {"work_order_people": 730, "alarm_ack_people": 365, "shift_people": 90}
+# Governance inventory (fixed values): table, column, kind of personal data, sensitivity, domain, days kept.
+# Masks, row filters and retention below are all derived from it.
+CLASSIFIED = (
+    ("work_order_people", "technician_name", "direct", "high", "cmms", 730),
+    ("work_order_people", "technician_email", "direct", "high", "cmms", 730),
+    ("work_order_people", "technician_badge_id", "direct", "high", "cmms", 730),
+    ("work_order_people", "technician_employee_id", "quasi", "medium", "cmms", 730),
+    ("alarm_ack_people", "acked_by_name", "direct", "medium", "alarms", 365),
+    ("alarm_ack_people", "acked_by_employee_id", "quasi", "medium", "alarms", 365),
+    ("shift_people", "supervisor_name", "direct", "high", "workforce", 90),
+    ("shift_people", "supervisor_email", "direct", "high", "workforce", 90),
+    ("shift_people", "supervisor_phone", "direct", "high", "workforce", 90),
+    ("shift_people", "supervisor_employee_id", "direct", "high", "workforce", 90),
+    ("shift_people", "operator_name", "direct", "high", "workforce", 90),
+    ("shift_people", "operator_email", "direct", "high", "workforce", 90),
+    ("shift_people", "operator_phone", "direct", "high", "workforce", 90),
+    ("shift_people", "operator_employee_id", "direct", "high", "workforce", 90),
+    ("shift_people", "handoff_notes", "sensitive_text", "high", "workforce", 90),
+    ("shift_people", "crew_id", "quasi", "medium", "workforce", 90),
+)
+RETENTION_DAYS = {table: days for table, *_, days in CLASSIFIED}
 
 # Default windows of the consumer tools.
 DEFAULT_WINDOW_HOURS = 24
@@ -100,31 +118,32 @@ class Policy:
         return {m.column: m.mask for m in self.masks if m.table == table}
 
 
-_REFERENCE_MASKS = (
-    MaskBinding("work_order_people", "technician_email", "email"),
-    MaskBinding("work_order_people", "technician_name", "name"),
-    MaskBinding("shift_people", "supervisor_email", "email"),
-    MaskBinding("shift_people", "operator_email", "email"),
-    MaskBinding("shift_people", "supervisor_phone", "phone"),
-    MaskBinding("shift_people", "operator_phone", "phone"),
-    MaskBinding("shift_people", "supervisor_name", "name"),
-    MaskBinding("shift_people", "operator_name", "name"),
-)
+def _mask_kind(column: str, pii: str) -> str:
+    """Mask of a classified column, from its kind and name."""
+    if pii == "sensitive_text":
+        return "notes"
+    kind = column.rpartition("_")[2]
+    return kind if kind in ("email", "phone") else "name"
+
+
+def _bindings(tables: tuple[str, ...], kept: tuple[str, ...]) -> tuple[MaskBinding, ...]:
+    """Bindings of the classified columns of ``tables`` whose name ends with one of ``kept``."""
+    return tuple(MaskBinding(t, c, _mask_kind(c, pii)) for t, c, pii, *_ in CLASSIFIED
+                 if t in tables and pii in ("direct", "sensitive_text") and c.endswith(kept))
+
 
+#: The reference masks contact data and names of these two tables; badge ids, alarm names and notes stay clear.
+_REFERENCE_TABLES = ("work_order_people", "shift_people")
 REFERENCE_POLICY = Policy(
     name="reference",
-    masks=_REFERENCE_MASKS,
-    row_filtered=("shift_people", "work_order_people"),
+    masks=_bindings(_REFERENCE_TABLES, ("_email", "_phone", "_name")),
+    row_filtered=tuple(t for t in RETENTION_DAYS if t in _REFERENCE_TABLES),
 )
 
 STRICT_POLICY = Policy(
     name="strict",
-    masks=_REFERENCE_MASKS + (
-        MaskBinding("work_order_people", "technician_badge_id", "name"),
-        MaskBinding("alarm_ack_people", "acked_by_name", "name"),
-        MaskBinding("shift_people", "handoff_notes", "notes"),
-    ),
-    row_filtered=("shift_people", "work_order_people", "alarm_ack_people"),
+    masks=_bindings(tuple(RETENTION_DAYS), ("_email", "_phone", "_name", "_badge_id", "_notes")),
+    row_filtered=tuple(RETENTION_DAYS),
     strict_formats=True,
 )
 
@@ -148,4 +167,5 @@ class LeakPatterns:
 
     email: str = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z][A-Za-z]+"
     phone: str = r"[+]?[0-9]{1,3}[-. ][0-9]{3}[-. ][0-9]{4}"
-    extra: dict = field(default_factory=dict)
+    # A whole number with its country code, for masking: no digit group stays behind.
+    phone_number: str = r"[+]?(?:[0-9]{1,3}[-. ])?(?:[(]?[0-9]{3}[)]?[-. ])?[0-9]{3}[-. ][0-9]{4}"

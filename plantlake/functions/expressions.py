@@ -140,9 +140,6 @@ def mask_name(c: str | Column) -> Column:
     return F.lit(NAME_MASK)
 
 
-MASKS = {"email": mask_email, "phone": mask_phone}
-
-
 def plant_predicate(plant_id: str | Column, groups: Iterable[str], privileged: bool) -> Column:
     """Row filter (GOV-05): privileged, or member of ``plant_<plant_id>``.
 

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..config import HealthRule
 from ..functions import anomaly_flag, health_score, hours_between, safe_ratio, seconds_between
-from ..plans.joins import join_dimension
 
 
 def tag_hourly(points: DataFrame, only_running: bool = False, prepartition: bool = False) -> DataFrame:
@@ -79,7 +78,7 @@ def health_daily(hourly: DataFrame, assets: DataFrame, rule: HealthRule = Health
     """GLD-03: daily pivot left-joined to assets, then score and flag."""
     pivot = health_pivot(hourly, rule)
     dim = assets.select("asset_id", "plant_id", "asset_name", "criticality")
-    joined = join_dimension(pivot, dim, ["asset_id", "plant_id"], how="left")
+    joined = pivot.join(dim, ["asset_id", "plant_id"], "left")
     return joined.select(
         "plant_id", "asset_id", "asset_name", "criticality", "day_dt",
         "vib", "bearing_temp", "motor_amps", "run_frac",

@@ -14,7 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..config import REFERENCE_POLICY, RETENTION_DAYS, LeakPatterns, Policy
+from ..config import (
+    CLASSIFIED,
+    PERSON_TOKEN,
+    REFERENCE_POLICY,
+    REFERENCE_REDACT_NAMES,
+    RETENTION_DAYS,
+    LeakPatterns,
+    Policy,
+)
 from ..functions import mask_email, mask_name, mask_phone, names_pattern, plant_predicate, pseudonym, sql_str
 from .metrics import as_of_ts
 
@@ -27,7 +35,8 @@ def _mask(kind: str, column: str, policy: Policy):
     if kind == "notes":
         pats = LeakPatterns()
         c = F.regexp_replace(F.col(column), pats.email, "[EMAIL]")
-        return F.regexp_replace(c, pats.phone, "[PHONE]")
+        c = F.regexp_replace(c, pats.phone_number, "[PHONE]")
+        return F.regexp_replace(c, names_pattern(REFERENCE_REDACT_NAMES), PERSON_TOKEN)
     return mask_name(column)
 
 
@@ -62,32 +71,9 @@ REGISTRY_SCHEMA = StructType([
     StructField("retention_days", IntegerType()),
 ])
 
-# Classification from the governance inventory (fixed values).
-_CLASSIFIED = (
-    ("work_order_people", "technician_name", "direct", "high", "cmms", 730),
-    ("work_order_people", "technician_email", "direct", "high", "cmms", 730),
-    ("work_order_people", "technician_badge_id", "direct", "high", "cmms", 730),
-    ("work_order_people", "technician_employee_id", "quasi", "medium", "cmms", 730),
-    ("alarm_ack_people", "acked_by_name", "direct", "medium", "alarms", 365),
-    ("alarm_ack_people", "acked_by_employee_id", "quasi", "medium", "alarms", 365),
-    ("shift_people", "supervisor_name", "direct", "high", "workforce", 90),
-    ("shift_people", "supervisor_email", "direct", "high", "workforce", 90),
-    ("shift_people", "supervisor_phone", "direct", "high", "workforce", 90),
-    ("shift_people", "supervisor_employee_id", "direct", "high", "workforce", 90),
-    ("shift_people", "operator_name", "direct", "high", "workforce", 90),
-    ("shift_people", "operator_email", "direct", "high", "workforce", 90),
-    ("shift_people", "operator_phone", "direct", "high", "workforce", 90),
-    ("shift_people", "operator_employee_id", "direct", "high", "workforce", 90),
-    ("shift_people", "handoff_notes", "sensitive_text", "high", "workforce", 90),
-    ("shift_people", "crew_id", "quasi", "medium", "workforce", 90),
-)
-
-DIRECT_IDENTIFIER_COLUMNS = tuple(sorted({c for _, c, pii, *_ in _CLASSIFIED if pii == "direct"}))
-
-
 def classification(spark: SparkSession) -> DataFrame:
     """GOV-07: the registry as a small DataFrame (fixed size, 16 rows)."""
-    return spark.createDataFrame(list(_CLASSIFIED), REGISTRY_SCHEMA)
+    return spark.createDataFrame(list(CLASSIFIED), REGISTRY_SCHEMA)
 
 
 # -- GOV-08: leak audit -------------------------------------------------------
@@ -150,50 +136,53 @@ def leak_audit(tables: dict[str, DataFrame], names: Iterable[str] = (),
 
 # -- GOV-09: retention --------------------------------------------------------
 
-def retention_split(df: DataFrame, anchor, days: int, as_of=None, keep_null_anchor: bool = True):
-    """Rows to keep and rows to purge: keep when ``anchor >= as_of - days``.
+#: People table -> (record key, anchor of the fact, whether a fact without an anchor is still open and kept).
+RETENTION_RULES = {
+    "work_order_people": ("work_order_id", "closed_at", True),
+    "alarm_ack_people": ("alarm_id", "coalesce(cleared_at, raised_at)", False),
+    "shift_people": ("shift_id", "shift_end", False),
+}
 
-    A NULL anchor (an order still open) is kept.
+
+def retention_verdicts(people: DataFrame, fact: DataFrame, table: str, as_of=None,
+                       days: dict[str, int] = RETENTION_DAYS) -> DataFrame:
+    """``people`` with ``verdict``: ``keep``, ``purge`` or ``orphan`` (no fact has its key; a NULL key has none).
+
+    Facts are first aggregated to one row per key, so repeated keys neither
+    multiply people rows nor split their verdict: the latest anchor counts,
+    and an order with an open fact is open.
     """
-    a = F.col(anchor) if isinstance(anchor, str) else anchor
-    lo = as_of_ts(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    keep = (a >= lo) | (a.isNull() if keep_null_anchor else F.lit(False))
-    keep = F.coalesce(keep, F.lit(False))
-    return df.filter(keep), df.filter(~keep)
+    key, anchor, open_kept = RETENTION_RULES[table]
+    per_key = fact.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.max(F.expr(anchor)).alias("_anchor"), F.max(F.expr(f"{anchor} IS NULL")).alias("_open"))
+    lo = as_of_ts(as_of) - F.expr(f"INTERVAL {int(days[table])} DAYS")
+    recent = F.coalesce(F.col("_anchor") >= lo, F.lit(False))
+    keep = (recent | F.col("_open")) if open_kept else recent
+    verdict = F.when(F.col("_key").isNull(), "orphan").when(keep, "keep").otherwise("purge")
+    return people.join(per_key, people[key] == F.col("_key"), "left") \
+        .select(*[people[c] for c in people.columns], verdict.alias("verdict"))
 
 
 def retention_report(people: dict[str, DataFrame], facts: dict[str, DataFrame], as_of=None,
                      days: dict[str, int] = RETENTION_DAYS) -> DataFrame:
-    """GOV-09: kept / purged row counts per people table.
-
-    Anchors: order ``closed_at`` (open orders kept), alarm
-    ``coalesce(cleared_at, raised_at)``, shift ``shift_end``.  People rows
-    get their anchor by a join to the fact on the record key.
-    """
-    spec = {
-        "work_order_people": ("work_order_id", F.col("closed_at")),
-        "alarm_ack_people": ("alarm_id", F.coalesce(F.col("cleared_at"), F.col("raised_at"))),
-        "shift_people": ("shift_id", F.col("shift_end")),
-    }
+    """GOV-09: kept, purged and orphan row counts per people table; they add up to its rows."""
     out = None
-    for table, (key, anchor) in spec.items():
+    for table, (key, _, _) in RETENTION_RULES.items():
         if table not in people:
             continue
-        fact = facts[table].select(key, anchor.alias("_anchor"))
-        joined = people[table].select(key).join(fact, key, "left")
-        lo = as_of_ts(as_of) - F.expr(f"INTERVAL {int(days[table])} DAYS")
-        keep = F.coalesce((F.col("_anchor") >= lo) | F.col("_anchor").isNull(), F.lit(False))
-        part = joined.agg(F.count_if(keep).alias("kept_rows"), F.count_if(~keep).alias("purged_rows")).select(
-            F.lit(table).alias("table_name"), F.lit(int(days[table])).alias("retention_days"), "kept_rows", "purged_rows")
+        judged = retention_verdicts(people[table].select(key), facts[table], table, as_of, days)
+        part = judged.agg(*[F.count_if(F.col("verdict") == v).alias(c) for v, c in (
+            ("keep", "kept_rows"), ("purge", "purged_rows"), ("orphan", "orphan_rows"))]).select(
+            F.lit(table).alias("table_name"), F.lit(int(days[table])).alias("retention_days"),
+            "kept_rows", "purged_rows", "orphan_rows")
         out = part if out is None else out.union(part)  # same columns in the same order
     return out
 
 
-def purge(df: DataFrame, fact: DataFrame, key: str, anchor, days: int, as_of=None) -> DataFrame:
-    """Rows of a people table that survive retention (write them back with overwrite)."""
-    a = fact.select(key, (F.col(anchor) if isinstance(anchor, str) else anchor).alias("_anchor"))
-    kept, _ = retention_split(df.join(a, key, "left"), "_anchor", days, as_of)
-    return kept.drop("_anchor")
+def purge(people: DataFrame, fact: DataFrame, table: str, as_of=None,
+          days: dict[str, int] = RETENTION_DAYS) -> DataFrame:
+    """Rows of a people table that survive retention; purged rows and orphans go."""
+    return retention_verdicts(people, fact, table, as_of, days).filter("verdict = 'keep'").drop("verdict")
 
 
 # -- GOV-10 / GOV-11 ----------------------------------------------------------

@@ -24,13 +24,12 @@ def reject_reason(required=REQUIRED_POINT_FIELDS) -> F.Column:
 
 
 def check_contract(points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """DQ-01: split points into (good, quarantine with ``reject_reason``).
+    """DQ-01: split points into (good, quarantine with ``reject_reason``); no value is rewritten.
 
-    Missing quality / source take the contract defaults Good / mock_pi.
+    A missing quality or source system is not a rejection; silver drops a
+    missing quality by its own rule.
     """
-    typed = points.withColumn("quality", F.coalesce(F.col("quality"), F.lit("Good"))).withColumn(
-        "source_system", F.coalesce(F.col("source_system"), F.lit("mock_pi")))
-    tagged = typed.withColumn("reject_reason", reject_reason())
+    tagged = points.withColumn("reject_reason", reject_reason())
     good = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     bad = tagged.filter(F.col("reject_reason").isNotNull())
     return good, bad
@@ -38,9 +37,7 @@ def check_contract(points: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def contract_summary(points: DataFrame) -> DataFrame:
     """DQ-01 as counts: rows per reason (``ok`` for valid rows)."""
-    tagged = points.withColumn("quality", F.coalesce(F.col("quality"), F.lit("Good"))).withColumn(
-        "source_system", F.coalesce(F.col("source_system"), F.lit("mock_pi")))
-    return tagged.groupBy(F.coalesce(reject_reason(), F.lit("ok")).alias("reject_reason")).agg(
+    return points.groupBy(F.coalesce(reject_reason(), F.lit("ok")).alias("reject_reason")).agg(
         F.count(F.lit(1)).alias("rows"))
 
 
@@ -99,8 +96,7 @@ def key_summary(df: DataFrame, table: str, keys: list[str], assets: DataFrame |
 
 def orphan_rows(df: DataFrame, assets: DataFrame) -> DataFrame:
     """DQ-03: rows whose (asset_id, plant_id) is not in the asset table."""
-    from ..plans.joins import join_dimension
-    return join_dimension(df, assets.select("asset_id", "plant_id"), ["asset_id", "plant_id"], "left_anti")
+    return df.join(assets.select("asset_id", "plant_id"), ["asset_id", "plant_id"], "left_anti")
 
 
 def interval_check(df: DataFrame, table: str, start: str, end: str) -> DataFrame:

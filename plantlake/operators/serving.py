@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RECENT_DAYS, PERSON_TOKEN, REFERENCE_REDACT_NAMES
 from ..functions import is_set, names_pattern, technician_role
-from ..plans.joins import fits_broadcast
 from .metrics import as_of_ts
 
 ASSET_COLUMNS = ("plant_id", "area_id", "unit_id", "asset_id", "asset_name", "asset_type",
@@ -47,72 +46,62 @@ def serving_alarms(alarms: DataFrame) -> DataFrame:
 
 
 def redact_names(df: DataFrame, text_col: str, names=REFERENCE_REDACT_NAMES,
-                 out_col: str | None = None, key: str | None = None) -> DataFrame:
+                 out_col: str | None = None) -> DataFrame:
     """Replace person names in a text column by ``[PERSON]``.
 
     ``names`` as a list: one case-insensitive alternation, longest name first
-    (the reference's form; matches inside words too).  ``names`` as a
+    (the reference's form; it matches inside words too).  ``names`` as a
     DataFrame with a ``name`` column (a dictionary that grows with the
-    workforce): whole-word 1..3-word grams of each text are joined to the
-    dictionary and the text is rebuilt left to right, longest match first.
-    The join needs a unique row ``key``.
+    workforce): the same replacement of whole words only, in any script, with
+    names of any length.  Texts are told apart by their digest, so repeated
+    or NULL row keys do not matter; a NULL text stays NULL.
     """
     out_col = out_col or text_col
-    if not isinstance(names, DataFrame):
-        return df.withColumn(out_col, F.regexp_replace(F.col(text_col), names_pattern(names), PERSON_TOKEN))
-    if key is None:
-        raise ValueError("redact_names with a name table needs a unique row key")
-    return _redact_by_join(df, key, text_col, names, out_col)
+    if isinstance(names, DataFrame):
+        return _redact_by_table(df, text_col, names, out_col)
+    return df.withColumn(out_col, F.regexp_replace(F.col(text_col), names_pattern(names), PERSON_TOKEN))
 
 
 # Split at every word / non-word boundary: words and separators alternate.
-_BOUNDARY = r"(?<=\W)(?=\w)|(?<=\w)(?=\W)"
-
-
-def _redact_by_join(df: DataFrame, key: str, text_col: str, names: DataFrame, out_col: str) -> DataFrame:
-    toks = df.select(key, F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), _BOUNDARY)).alias("pos", "tok"))
-    w = Window.partitionBy(key).orderBy("pos")
-    nxt = [F.lead("tok", i).over(w) for i in range(1, 5)]
-    grams = toks.select(
-        key, "pos", "tok",
-        F.lower("tok").alias("g1"),
-        F.lower(F.concat(F.col("tok"), nxt[0], nxt[1])).alias("g2"),
-        F.lower(F.concat(F.col("tok"), nxt[0], nxt[1], nxt[2], nxt[3])).alias("g3"),
-    )
-    long_ = grams.select(key, "pos", F.explode(F.array(
-        F.struct(F.lit(1).alias("n"), F.col("g1").alias("g")),
-        F.struct(F.lit(2).alias("n"), F.col("g2").alias("g")),
-        F.struct(F.lit(3).alias("n"), F.col("g3").alias("g")),
-    )).alias("x")).select(key, "pos", "x.n", "x.g").filter(F.col("g").isNotNull())
-    dic = names.select(F.lower(F.col("name")).alias("g")).filter(F.col("g") != "").distinct()
-    if fits_broadcast(dic):
-        dic = F.broadcast(dic)
-    hits = long_.join(dic, "g", "left_semi").groupBy(key, "pos").agg(F.max("n").alias("n"))
-    # Accept matches left to right, longest at each start; a match of n words
-    # spans 2n-1 tokens.  Only the (sparse) hits of a text run through this
-    # sequential step; its tokens then take their piece by a join.
-    init = F.struct(F.lit(-1).alias("skip"), F.array().cast("array<struct<pos:int,n:int>>").alias("keep"))
-    accepted = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("h")).select(
-        key, F.explode(F.aggregate(
-            "h", init,
-            lambda acc, h: F.when(h["pos"] <= acc["skip"], acc).otherwise(F.struct(
-                (h["pos"] + h["n"] * 2 - 2).alias("skip"), F.concat(acc["keep"], F.array(h)).alias("keep"))),
-            lambda acc: acc["keep"])).alias("m"))
-    covered = accepted.select(key, F.col("m.pos").alias("_start"), F.posexplode(
-        F.sequence(F.col("m.pos"), F.col("m.pos") + F.col("m.n") * 2 - 2)).alias("_i", "pos"))
-    marked = toks.join(covered, [key, "pos"], "left")
-    piece = F.when(F.col("_i") == 0, F.lit(PERSON_TOKEN)).when(F.col("_i") > 0, F.lit("")).otherwise(F.col("tok"))
-    # Rebuild each text from its pieces in token order (sort + join: linear in the text, not quadratic).
-    fixed = marked.groupBy(key).agg(F.array_join(
-        F.sort_array(F.collect_list(F.struct("pos", piece.alias("piece"))))["piece"], "").alias("_redacted"))
-    out = df.join(fixed, key, "left").withColumn(
-        out_col, F.when(F.col(text_col).isNotNull(), F.col("_redacted")))
-    return out.drop("_redacted")
+_BOUNDARY = r"(?U)(?<=\W)(?=\w)|(?<=\w)(?=\W)"
+
+
+def _tokens(text) -> Column:
+    return F.split(F.lower(text), _BOUNDARY)
+
+
+def _redact_by_table(df: DataFrame, text_col: str, names: DataFrame, out_col: str) -> DataFrame:
+    """Each text's distinct token runs, of exactly the lengths that the dictionary has, are joined to the
+    dictionary; the few names found come back by the text's digest, and the text is rebuilt in its row by one
+    pattern of its own names.  Only (digest, run) pairs are shuffled, never a text's tokens in order."""
+    bare = F.regexp_replace(F.lower(F.col("name")), r"(?U)^\W+|\W+$", "")
+    dic = names.select(bare.alias("run")).filter("run != ''").distinct()
+    sizes = dic.select(F.collect_set(F.size(F.split("run", _BOUNDARY))).alias("sizes")).scalar()
+    texts = df.filter(F.col(text_col).isNotNull()).select(
+        F.sha2(F.col(text_col), 256).alias("digest"), _tokens(F.col(text_col)).alias("tokens"),
+        sizes.alias("sizes"))
+    starts = texts.select("digest", "tokens", F.explode("sizes").alias("n"))
+    runs = F.transform(F.sequence(F.lit(1), F.size("tokens") - F.col("n") + 1),
+                       lambda i: F.array_join(F.slice(F.col("tokens"), i, F.col("n")), ""))
+    found = starts.filter(F.col("n") <= F.size("tokens")).select(
+        "digest", F.explode(F.array_distinct(runs)).alias("run")).join(dic, "run").groupBy("digest").agg(
+        F.collect_set("run").alias("found"))
+    # Longest name first, quoted; (?iuU): any case and Unicode words.
+    longest = F.array_sort("found", lambda x, y: F.length(y) - F.length(x))
+    quoted = F.transform(longest, lambda x: F.concat(F.lit(r"\Q"), F.replace(x, F.lit(r"\E"), F.lit(r"\E\\E\Q")),
+                                                     F.lit(r"\E")))
+    pattern = F.concat(F.lit(r"(?iuU)(?<!\w)(?:"), F.array_join(quoted, "|"), F.lit(r")(?!\w)"))
+    found = found.select(F.col("digest").alias("_digest"), pattern.alias("_pattern"))
+    out = df.join(found, F.sha2(F.col(text_col), 256) == F.col("_digest"), "left")
+    text = F.col(text_col)
+    done = F.when(F.col("_pattern").isNull(), text).otherwise(
+        F.regexp_replace(text, F.col("_pattern"), F.lit(PERSON_TOKEN)))
+    return out.withColumn(out_col, done).drop("_digest", "_pattern")
 
 
 def serving_shifts(shifts: DataFrame, names=REFERENCE_REDACT_NAMES) -> DataFrame:
     """SRV-03: shift header plus notes with names replaced."""
-    red = redact_names(shifts, "handoff_notes", names, out_col="handoff_notes_redacted", key="shift_id")
+    red = redact_names(shifts, "handoff_notes", names, out_col="handoff_notes_redacted")
     return red.select("shift_id", "plant_id", "area_id", "shift_name", "shift_start", "shift_end",
                       "crew_id", "handoff_notes_redacted")
 
@@ -140,11 +129,12 @@ def serving_outcomes(outcomes: DataFrame) -> DataFrame:
 def points_recent(points: DataFrame, days: int = DEFAULT_RECENT_DAYS, as_of=None) -> DataFrame:
     """SRV-08: points of the last ``days`` days (bounds folded to literals, pushed to the scan)."""
     hi = as_of_ts(as_of)
-    cond = F.col("event_ts") >= hi - F.expr(f"INTERVAL {int(days)} DAYS")
+    lo = hi - F.expr(f"INTERVAL {int(days)} DAYS")
+    cond = F.col("event_ts") >= lo
     if as_of is not None:
         cond = cond & (F.col("event_ts") <= hi)
-        if "event_date" in points.columns:  # partition pruning on the date column
-            cond = cond & (F.col("event_date") >= F.to_date(hi - F.expr(f"INTERVAL {int(days)} DAYS")))
+    if "event_date" in points.columns:  # partition pruning on the date column
+        cond = cond & (F.col("event_date") >= F.to_date(lo))
     return points.filter(cond).select(*POINT_COLUMNS)
 
 

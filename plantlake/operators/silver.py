@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import SILVER_QUALITIES
 from ..functions import as_timestamp, as_type, empty_to_null, tag_suffix
+from .quality import reject_reason
 
 
 def silver_assets(assets_raw: DataFrame) -> DataFrame:
@@ -27,12 +28,12 @@ def silver_assets(assets_raw: DataFrame) -> DataFrame:
 
 
 def silver_points(points_raw: DataFrame, qualities=SILVER_QUALITIES, dedup: bool = False) -> DataFrame:
-    """SLV-02: keep Good/Uncertain (Bad and NULL drop), add ``tag_suffix``.
+    """SLV-02: keep contract-valid points (DQ-01) of quality Good/Uncertain (Bad and NULL drop), add ``tag_suffix``.
 
     ``dedup`` drops repeated ``(tag_name, event_ts)`` readings (retried polls);
     off by default, as in the reference.
     """
-    out = points_raw.filter(F.col("quality").isin(list(qualities))).select(
+    out = points_raw.filter(F.col("quality").isin(list(qualities)) & reject_reason().isNull()).select(
         "tag_name", "asset_id", "event_ts", "value", "quality", "uom", "source_system",
         "plant_id", "area_id", tag_suffix("tag_name").alias("tag_suffix"), "ingest_ts",
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_WINDOW_HOURS, TAG_SPECS, RcaRule
 from ..functions import overlaps, safe_ratio
-from ..plans.joins import interval_join, join_dimension
+from ..plans.joins import interval_join
 from ..schemas import TAG_DIM_SCHEMA
 from .metrics import anomaly_rate, as_of_date, as_of_ts, mtbf_proxy
 
@@ -148,18 +148,15 @@ def list_active_alarms(alarms: DataFrame, plant_id: str | None) -> DataFrame:
 # -- composites ----------------------------------------------------------------
 
 def advisor_evidence(health_metric: DataFrame, work_orders: DataFrame, plant_id: str | None = None,
-                     min_health: float = 70.0, salts: int = 32) -> DataFrame:
+                     min_health: float = 70.0) -> DataFrame:
     """TOOL-14: latest health per asset with its open orders, in long form.
 
     One row per (asset, open order), or one row with ``open_wo`` NULL for an
     asset without open orders; ``n_open_wos`` and ``inspect`` (score below
     ``min_health`` or flagged) repeat the asset's values.  The count is a
-    partial aggregate.  Orders carry a salt (hash of the order id mod
-    ``salts``) and the head row of an asset with orders is repeated once per
-    salt, so a hot asset's orders meet their head in ``salts`` tasks instead
-    of one; the left join keeps assets without orders, and unmatched salt
-    copies of assets with orders are dropped.  The head (the latest-health
-    aggregate over all points) is computed once.
+    partial aggregate.  Orders meet their asset in an inner join, in which
+    AQE can split the side that one hot asset fills (a left join from the
+    asset could not be split there); assets without open orders are added.
     """
     keys = ["plant_id", "asset_id"]
     latest = latest_health(_opt(health_metric, plant_id=plant_id))
@@ -169,13 +166,9 @@ def advisor_evidence(health_metric: DataFrame, work_orders: DataFrame, plant_id:
     n = F.coalesce(F.col("n_open_wos"), F.lit(0))
     head = latest.join(counts, keys, "left").select(
         *keys, "day_dt", "health_score", "anomaly_flag", n.alias("n_open_wos"),
-        ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"),
-        F.explode(F.sequence(F.lit(0), F.when(n > 0, F.lit(salts - 1)).otherwise(F.lit(0)))).alias("_salt"))
-    salted = open_wos.select("*", F.pmod(F.xxhash64("open_wo"), F.lit(salts)).cast("int").alias("_salt"),
-                             F.lit(True).alias("_hit"))  # marks a matched order, even one without an id
-    out = head.join(salted, keys + ["_salt"], "left")
-    return out.filter(F.col("_hit").isNotNull() | (F.col("n_open_wos") == 0)).select(
-        *keys, "day_dt", "health_score", "anomaly_flag", "n_open_wos", "inspect", "open_wo")
+        ((F.col("health_score") < F.lit(float(min_health))) | F.col("anomaly_flag")).alias("inspect"))
+    with_order = open_wos.join(head, keys).select(*head.columns, "open_wo")
+    return with_order.unionByName(head.filter("n_open_wos = 0").withColumn("open_wo", F.lit(None).cast("string")))
 
 
 def incident_windows(alarms: DataFrame, before_hours: int = 2, after_hours: int = 2,
@@ -188,15 +181,18 @@ def incident_windows(alarms: DataFrame, before_hours: int = 2, after_hours: int
     )
 
 
+_RCA_KEYS = ["asset_id", "plant_id"]
+
+
 def _kw(rule: RcaRule, bucketed: bool) -> dict:
     return dict(bucketed=bucketed, unit=rule.interval_bucket)
 
 
 def rca_alarms(windows: DataFrame, alarms: DataFrame, rule: RcaRule = RcaRule(), bucketed: bool = True) -> DataFrame:
     """TOOL-15 alarm evidence in long form: one row per (window, alarm meeting it)."""
-    win = windows.select("window_id", "asset_id", "win_start", "win_end")
-    al = alarms.select("asset_id", "alarm_id", "raised_at", "cleared_at")
-    return interval_join(win, al, ["asset_id"], "win_start", "win_end", "raised_at", "cleared_at",
+    win = windows.select("window_id", *_RCA_KEYS, "win_start", "win_end")
+    al = alarms.select(*_RCA_KEYS, "alarm_id", "raised_at", "cleared_at")
+    return interval_join(win, al, _RCA_KEYS, "win_start", "win_end", "raised_at", "cleared_at",
                          **_kw(rule, bucketed)).select("window_id", "alarm_id")
 
 
@@ -209,33 +205,34 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
     with any number of alarms), the tags that rose inside it (positive
     least-squares slope and last - first > ``min_delta``; a list bounded by
     the asset's tags), downtime meeting it (count and hours clipped to the
-    window), and the asset's modal failure code (ties: latest order, then
+    window), and the modal failure code of the asset (an asset id belongs to its plant everywhere) (ties: latest order, then
     code).  Alarms and downtime meet the windows in one stabbing join (one
     window side for both), points in the bucket join.  The evidence is
     unioned and aggregated once per window (one shuffle), then joined back
     to the windows.
     """
-    win = windows.select("window_id", "asset_id", "win_start", "win_end")
+    win = windows.select("window_id", *_RCA_KEYS, "win_start", "win_end")
     nul = lambda t: F.lit(None).cast(t)
 
     # alarms and downtime meet the windows in one stabbing join (_k: a = alarm, d = downtime)
-    al = alarms.selectExpr("asset_id", "'a' AS _k", "alarm_id AS _id", "raised_at AS _s", "cleared_at AS _e")
+    al = alarms.selectExpr(*_RCA_KEYS, "'a' AS _k", "alarm_id AS _id", "raised_at AS _s", "cleared_at AS _e")
     dt = production_events.filter(F.col("event_type") == "DOWNTIME").selectExpr(
-        "asset_id", "'d' AS _k", "CAST(NULL AS STRING) AS _id", "event_start AS _s", "event_end AS _e")
-    iv_rows = interval_join(win, al.unionByName(dt), ["asset_id"], "win_start", "win_end", "_s", "_e",
+        *_RCA_KEYS, "'d' AS _k", "CAST(NULL AS STRING) AS _id", "event_start AS _s", "event_end AS _e")
+    iv_rows = interval_join(win, al.unionByName(dt), _RCA_KEYS, "win_start", "win_end", "_s", "_e",
                             **_kw(rule, bucketed)).selectExpr(
         "window_id", "CASE WHEN _k = 'a' THEN _id END AS alarm_id", "CAST(NULL AS STRING) AS tag_suffix",
         "CASE WHEN _k = 'd' THEN unix_timestamp(least(coalesce(_e, win_end), win_end)) "
         "- unix_timestamp(greatest(_s, win_start)) END AS dt_secs",
         "_k = 'a' AS _is_alarm")
 
-    pts = points.select("asset_id", "tag_suffix", "event_ts", "value")
-    p_pairs = interval_join(win, pts, ["asset_id"], "win_start", "win_end", "event_ts", bucketed=bucketed,
+    pts = points.select(*_RCA_KEYS, "tag_suffix", "event_ts", "value")
+    p_pairs = interval_join(win, pts, _RCA_KEYS, "win_start", "win_end", "event_ts", bucketed=bucketed,
                             unit=rule.bucket)
     t = F.unix_micros("event_ts").cast("double") / F.lit(1e6)
+    at = F.struct("event_ts", "value")  # readings of one instant are told apart by their value
     per_tag = p_pairs.groupBy("window_id", "tag_suffix").agg(
         F.regr_slope(F.col("value"), t).alias("slope"),
-        (F.max_by("value", "event_ts") - F.min_by("value", "event_ts")).alias("delta"),
+        (F.max_by("value", at) - F.min_by("value", at)).alias("delta"),
         F.count(F.lit(1)).alias("n"))
     tag_rows = per_tag.filter((F.col("n") >= rule.min_points) & (F.col("slope") > 0)
                               & (F.col("delta") > F.lit(rule.min_delta))).select(
@@ -249,18 +246,18 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
         (F.sum("dt_secs").cast("double") / 3600.0).alias("downtime_hours"))
 
     codes = (outcomes.filter(F.col("failure_code").isNotNull())
-             .groupBy("asset_id", "failure_code")
+             .groupBy(*_RCA_KEYS, "failure_code")
              .agg(F.count(F.lit(1)).alias("_n"), F.max("opened_at").alias("_last")))
-    wc = Window.partitionBy("asset_id").orderBy(F.col("_n").desc(), F.col("_last").desc(), F.col("failure_code"))
+    wc = Window.partitionBy(*_RCA_KEYS).orderBy(F.col("_n").desc(), F.col("_last").desc(), F.col("failure_code"))
     modal = codes.withColumn("_rn", F.row_number().over(wc)).filter("_rn = 1").select(
-        "asset_id", F.col("failure_code").alias("likely_failure_code"))
+        *_RCA_KEYS, F.col("failure_code").alias("likely_failure_code"))
 
     # ``modal`` is an aggregate (one row per asset): AQE broadcasts it when its
     # real shuffle size is small, else keeps the sort-merge join and splits a
     # hot asset's windows (skew join).  A bounded pre-check would compute it twice.
-    out = windows.join(evidence, "window_id", "left").join(modal, "asset_id", "left")
+    out = windows.join(evidence, "window_id", "left").join(modal, _RCA_KEYS, "left")
     return out.select(
-        "window_id", "asset_id", "win_start", "win_end",
+        "window_id", "asset_id", "plant_id", "win_start", "win_end",
         F.coalesce("n_alarms", F.lit(0)).alias("n_alarms"),
         F.coalesce("rising_tags", F.lit("")).alias("rising_tags"),
         F.coalesce("n_downtime", F.lit(0)).alias("n_downtime"),
@@ -270,29 +267,32 @@ def rca_evidence(windows: DataFrame, alarms: DataFrame, points: DataFrame, produ
 
 
 def shift_brief(shifts: DataFrame, health: DataFrame, alarms: DataFrame, work_orders: DataFrame,
-                plant_id: str | None = None, area_id: str | None = None, hours: int = 12,
+                assets: DataFrame, plant_id: str | None = None, area_id: str | None = None, hours: int = 12,
                 as_of=None, max_priority: int = 1) -> DataFrame:
     """TOOL-16: brief for the crews on shift at ``as_of``, in long form.
 
-    One row per (shift, item): ``item_type`` is ``anomaly`` (TOOL-11 over the
-    ``hours`` before ``as_of``), ``open_priority_wo`` (TOOL-12) or ``notes``
-    (the redacted notes).  Long form keeps a plant with many open orders
-    from building one huge array.
+    Items stand once per (plant, area) that has a crew on duty: ``anomaly``
+    (TOOL-11 over the ``hours`` before ``as_of``), ``active_alarm``
+    (TOOL-13) and ``open_priority_wo`` (TOOL-12).  An item's area is its
+    asset's; items of unknown assets have no area and no brief.  Each shift
+    adds one ``notes`` row (the redacted notes) with its crew, and reads the
+    items of its plant and area: shifts and items are never multiplied.
     """
-    ctx = get_shift_context(shifts, plant_id, area_id, as_of).select(
-        "shift_id", "plant_id", "area_id", "crew_id", "handoff_notes_redacted")
-    head = ctx.select("shift_id", "plant_id", "crew_id")
-    anomalies = list_overnight_anomalies(health, alarms, plant_id, hours, as_of).select(
-        "plant_id", F.lit("anomaly").alias("item_type"), "asset_id", F.col("signal").alias("item"))
-    wos = list_open_high_priority_wos(work_orders, plant_id, max_priority).select(
-        "plant_id", F.lit("open_priority_wo").alias("item_type"), "asset_id", F.col("work_order_id").alias("item"))
-    # the few shifts on duty are the size-checked broadcast side, so a plant
-    # holding most of the items is never shuffled into one task
-    items = join_dimension(anomalies.unionByName(wos), head, "plant_id", "inner")
-    notes = ctx.select("shift_id", "plant_id", "crew_id", F.lit("notes").alias("item_type"),
-                       F.lit(None).cast("string").alias("asset_id"),
-                       F.col("handoff_notes_redacted").alias("item"))
-    return items.select(notes.columns).unionByName(notes)
+    ctx = get_shift_context(shifts, plant_id, area_id, as_of)
+    notes = ctx.select("plant_id", "area_id", "shift_id", "crew_id", F.lit("notes").alias("item_type"),
+                       F.lit(None).cast("string").alias("asset_id"), F.col("handoff_notes_redacted").alias("item"))
+    typed = lambda df, kind, item: df.select(
+        "plant_id", "asset_id", F.lit(kind).alias("item_type"), F.col(item).alias("item"))
+    found = typed(list_overnight_anomalies(health, alarms, plant_id, hours, as_of), "anomaly", "signal") \
+        .unionByName(typed(list_active_alarms(alarms, plant_id), "active_alarm", "alarm_id")) \
+        .unionByName(typed(list_open_high_priority_wos(work_orders, plant_id, max_priority), "open_priority_wo",
+                           "work_order_id"))
+    on_duty = ctx.select("plant_id", "area_id").distinct()
+    placed = assets.select("plant_id", "asset_id", "area_id").join(on_duty, ["plant_id", "area_id"], "left_semi")
+    nul = F.lit(None).cast("string")
+    items = found.join(placed, ["plant_id", "asset_id"]).select(
+        "plant_id", "area_id", nul.alias("shift_id"), nul.alias("crew_id"), "item_type", "asset_id", "item")
+    return items.unionByName(notes)
 
 
 def health_trend(health: DataFrame, asset_id: str | None = None, days: int = 7, as_of=None) -> DataFrame:
@@ -320,7 +320,7 @@ def flagged_today(health: DataFrame, as_of=None) -> DataFrame:
 def critical_open_orders(work_orders: DataFrame, assets: DataFrame, criticality: str = "A") -> DataFrame:
     """TOOL-19: open orders of assets of a criticality (semi join on asset and plant)."""
     crit = assets.filter(F.col("criticality") == criticality).select("asset_id", "plant_id")
-    return join_dimension(work_orders.filter(F.col("status") == "OPEN"), crit, ["asset_id", "plant_id"], "left_semi")
+    return work_orders.filter(F.col("status") == "OPEN").join(crit, ["asset_id", "plant_id"], "left_semi")
 
 
 def compare_lines(oee: DataFrame, lines=None) -> DataFrame:
@@ -371,5 +371,3 @@ def ingest_status(points_raw: DataFrame) -> DataFrame:
     return g.select("assets", (F.col("_tags") / F.greatest(F.col("assets"), F.lit(1))).cast("bigint").alias("tags_per_asset"),
                     "points")
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["join_dimension"]

@@ -1,12 +1,7 @@
-"""Join helpers: size-checked broadcast and the bucketed interval (range) join.
-
-Broadcast rule: a dimension table is broadcast only after a bounded check
-proves it small -- ``limit(max_rows + 1).count()`` reads at most
-``max_rows + 1`` rows, so the check itself never scans a large table.
-Beyond the bound the join is left to the planner (sort-merge, re-planned by
-AQE with the real sizes), which is the way that scales.  Derived sides
-(aggregates) are not pre-checked, since the check would compute them; AQE
-converts such a join to a broadcast from the real shuffle size.
+"""The bucketed interval (range) join.
+
+Equi-joins elsewhere are plain joins: whether a side is broadcast is decided
+by bytes, by Spark's planner and again by AQE with the real shuffle sizes.
 """
 
 from __future__ import annotations
@@ -14,24 +9,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# ~200 bytes per dimension row -> at most ~40 MB broadcast.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension when proven small."""
-    if fits_broadcast(dim, max_rows):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on, how)
-
 
 # Bucket indices count whole units since 1970.  The top block level spans
 # Spark's whole timestamp range (years 1..9999) on both sides of 1970, so
@@ -96,20 +73,22 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
     With ``bucketed`` every overlapping pair is found exactly once, by one
     equi-join on (keys, level, node), in one of two disjoint ways:
 
-    * the event starts inside the window (``ws <= s``): the event's start
-      bucket meets the few ``unit`` buckets the window covers;
+    * the event starts inside the window (``ws <= s``).  A window of ``n``
+      ``unit`` buckets has the size class ``c = ceil(log2 n)`` and lies in at
+      most two blocks of ``2^c`` buckets; an event has one row per size class
+      that some window has (one, when all windows are equally long);
     * the event started before the window and is still on at its start
-      (``s < ws <= e``, or open): the event's bucket range is cut into its
-      canonical power-of-two blocks (a few per level), and the window
-      carries, per level, the one block holding its start bucket.  Exactly
-      one block of the cover holds that bucket.
-
-    No side explodes with the data: a window adds ``levels(unit) + 1`` rows,
-    an event ``O(log span)``, an open event at most one block per level.
-    Each candidate pair shares a bucket or a block that lies wholly inside
-    the event, so the residual filter only drops pairs that touch a boundary
-    bucket: no key's windows are paired with all of its events, and a hot
-    key spreads over its buckets and blocks (AQE splits what is still
+      (``s < ws <= e``, or open): the event's bucket range, up to the last
+      window start, is cut into its canonical power-of-two blocks
+      (``O(log span)`` rows), and the window carries, per level that the
+      longest such range can use, the one block holding its start bucket.
+      Exactly one block of the cover holds that bucket.
+
+    The size classes, the last window start and the longest range are scalar
+    subqueries, so a window of any length has two rows plus one per level.
+    Each candidate pair shares a block of about the window's size or one that
+    lies inside the event, so no key's windows are paired with all of its
+    events, and a hot key spreads over its blocks (AQE splits what is still
     skewed).  Nothing is capped.
     """
     es, ws, we = _q(ev_start), _q(win_start), _q(win_end)
@@ -124,7 +103,7 @@ def interval_join(windows: DataFrame, events: DataFrame, keys: list[str],
 
 def stab_sides(windows: DataFrame, events: DataFrame, win_start: str, win_end: str, ev_start: str,
                ev_end: str | None = None, unit: str = "HOUR") -> tuple[DataFrame, DataFrame]:
-    """Both sides of :func:`interval_join` keyed by ``(_lvl, _node)``: level -1 = unit bucket.
+    """Both sides of :func:`interval_join` keyed by ``(_lvl, _node)``: level ``-1 - c`` = size class ``c``.
 
     Written as SQL text, one projection per step, so that building the plan
     costs the driver a few parses rather than a call per column function.
@@ -132,19 +111,28 @@ def stab_sides(windows: DataFrame, events: DataFrame, win_start: str, win_end: s
     es, ws, we = _q(ev_start), _q(win_start), _q(win_end)
     k = levels(unit)
     b = lambda e: bucket_sql(e, unit)
-    w_rows = (f"transform(sequence({b(f'least({ws}, {we})')}, {b(f'greatest({ws}, {we})')}), "
-              "_bk -> named_struct('_lvl', -1, '_node', _bk))")
+    none = "CAST(array() AS array<struct<_lvl:int,_node:bigint>>)"
+    w_cols, e_cols = [_q(c) for c in windows.columns], [_q(c) for c in events.columns]
+    w = windows.selectExpr("*", f"{b(f'least({ws}, {we})')} AS _wa", f"{b(f'greatest({ws}, {we})')} AS _wb")
+    w = w.selectExpr("*", "CAST(ceil(log2(_wb - _wa + 1)) AS INT) AS _c", f"{b(ws)} AS _ws")
+    classes = w.selectExpr("array_sort(collect_set(_c))").scalar()
+    e = events.withColumn("_classes", classes).selectExpr("*", f"{b(es)} AS _a")
+    inside = "transform(sequence(shiftright(_wa, _c), shiftright(_wb, _c)), n -> named_struct('_lvl', -1 - _c, '_node', n))"
+    at_start = "transform(_classes, c -> named_struct('_lvl', -1 - c, '_node', shiftright(_a, c)))"
     if not ev_end:
-        return (windows.selectExpr("*", f"inline({w_rows})"),
-                events.selectExpr("*", "-1 AS _lvl", f"{b(es)} AS _node"))
-    w_rows = (f"concat({w_rows}, transform(sequence(0, {k}), _lv -> named_struct('_lvl', _lv, '_node', "
-              f"shiftright({b(ws)}, _lv))))")
-    # one row per event and level (-1 = its start bucket, 0..L = its block
-    # cover), then one per cover block: plain generators and expressions
-    ev = events.selectExpr("*", f"{b(es)} AS _a", f"coalesce({b(_q(ev_end))}, {(1 << k) - 1}L) AS _b")
-    ev = ev.selectExpr("*", f"explode(concat(array(-1), coalesce({cover_levels_sql(k)}, CAST(array() AS array<int>)))) AS _l")
+        return (w.selectExpr(*w_cols, f"inline({inside})"), e.selectExpr(*e_cols, f"inline({at_start})"))
+    e = e.withColumn("_last", w.selectExpr("max(_ws)").scalar()) \
+        .selectExpr("*", f"least(coalesce({b(_q(ev_end))}, _last), _last) AS _b")
+    top = events.withColumn("_last", w.selectExpr("max(_ws)").scalar()).selectExpr(
+        f"{b(es)} AS _a", f"least(coalesce({b(_q(ev_end))}, _last), _last) AS _b").filter("_a <= _b") \
+        .selectExpr(f"max(least({k}, CAST(floor(log2(_b - _a + 1)) AS INT) + 1))").scalar()
+    w = w.withColumn("_top", top)
+    carried = ("transform(CASE WHEN _top IS NOT NULL THEN sequence(0, _top) ELSE CAST(array() AS array<int>) END, "
+               "l -> named_struct('_lvl', l, '_node', shiftright(_ws, l)))")
+    wb = w.selectExpr(*w_cols, f"inline(concat(coalesce({inside}, {none}), {carried}))")
+    # One row per event and block: its start in every size class, then its cover (two blocks per level at most).
     left, right = cover_nodes_sql(k)
-    eb = ev.selectExpr(*[_q(c) for c in events.columns], "_l AS _lvl",
-                       f"explode(CASE WHEN _l < 0 THEN array(_a) ELSE array({left}, {right}) END) AS _node"
-                       ).filter("_node IS NOT NULL")
-    return windows.selectExpr("*", f"inline({w_rows})"), eb
+    starts = e.selectExpr(*e_cols, "_a", "_b", f"inline({at_start})").selectExpr(*e_cols, "_lvl", "_node")
+    cover = e.selectExpr(*e_cols, "_a", "_b", f"explode({cover_levels_sql(k)}) AS _l").selectExpr(
+        *e_cols, "_l AS _lvl", f"explode(array({left}, {right})) AS _node").filter("_node IS NOT NULL")
+    return wb, starts.union(cover)

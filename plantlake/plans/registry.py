@@ -10,18 +10,25 @@ as sorted, comma-joined strings.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import REFERENCE_POLICY, REFERENCE_REDACT_NAMES
-from ..functions import round6
+from ..config import CLASSIFIED, REFERENCE_POLICY, REFERENCE_REDACT_NAMES
+from ..functions import register_sql_functions, round6
 from ..operators import diagnostics as dgn
 from ..operators import gold, governance, metrics, quality, serving, silver, tools
-from ..session import configure
+from ..schemas import CSV_COLUMNS
+from ..session import configure, shared_dir
 from ..sources import shims
+from ..sources.csv import load_csv
+from ..sources.points import bronze_points, parse_messages
+from .pipeline import run_batch
+from .tables import catalogue, compact, create_databases, define_raw_tables, write_table
 
 AS_OF = "2024-01-31 00:00:00"
 LATE_AS_OF = "2024-01-30 12:00:00"
@@ -254,13 +261,6 @@ def _health_daily(i: Inputs):
     return present(serving.serving_health(i.health), rounded=HEALTH_ROUND)
 
 
-@query("health_daily_prepartitioned")
-def _health_daily_pre(i: Inputs):
-    """GLD-02, GLD-03 with points hash-partitioned by (plant, asset) first."""
-    hourly = gold.tag_hourly(i.points, prepartition=True)
-    return present(serving.serving_health(gold.health_daily(hourly, i.assets)), rounded=HEALTH_ROUND)
-
-
 @query("health_metric")
 def _health_metric(i: Inputs):
     """MET-01."""
@@ -345,9 +345,6 @@ def _plant_rows(i: Inputs):
                                   ["plant_PLANT-02", "plant_PLANT-03"], REFERENCE_POLICY)
 
 
-LEAK_TABLES = ("documents", "serving_shifts", "serving_alarms", "serving_work_orders")
-
-
 @query("leak_audit")
 def _leak_audit(i: Inputs):
     """GOV-08: emails, phones and known names per text column."""
@@ -360,6 +357,32 @@ def _leak_audit(i: Inputs):
     return governance.leak_audit(tables, names=REFERENCE_REDACT_NAMES)
 
 
+@query("classified_values")
+def _classified(i: Inputs):
+    """GOV-07: the classification registry with the number of values each classified column holds."""
+    parts = []
+    for table in dict.fromkeys(t for t, *_ in CLASSIFIED):
+        df = getattr(i, table)
+        cols = [c for t, c, *_ in CLASSIFIED if t == table]
+        wide = df.agg(*[F.count(c).alias(c) for c in cols])
+        stacked = ", ".join(f"named_struct('column_name', '{c}', 'filled', `{c}`)" for c in cols)
+        parts.append(wide.selectExpr(f"'{table}' AS table_name", f"inline(array({stacked}))"))
+    counts = parts[0].union(parts[1]).union(parts[2])
+    registry = governance.classification(i.spark).select("table_name", "column_name", "pii", "retention_days")
+    return registry.join(counts, ["table_name", "column_name"])
+
+
+@query("masks_sql")
+def _masks_sql(i: Inputs):
+    """UDF-01/02: the SQL functions, called from SQL."""
+    register_sql_functions(i.spark, ["plant_PLANT-01"])
+    i.shift_people.createOrReplaceTempView("plantlake_shift_people")
+    return i.spark.sql(
+        "SELECT shift_id, mask_email(supervisor_email) AS supervisor_email, mask_phone(supervisor_phone) AS "
+        "supervisor_phone, mask_name(supervisor_name) AS supervisor_name, plant_filter(plant_id) AS mine "
+        "FROM plantlake_shift_people")
+
+
 @query("retention")
 def _retention(i: Inputs):
     """GOV-09: kept / purged people rows as of AS_OF."""
@@ -486,17 +509,11 @@ def _t15a(i: Inputs):
     return tools.rca_alarms(tools.incident_windows(i.s_alarms), i.s_alarms, bucketed=True)
 
 
-@query("rca_evidence_plain")
-def _t15p(i: Inputs):
-    """TOOL-15 (keyed join + residual filter); must equal the bucketed form."""
-    win = tools.incident_windows(i.s_alarms)
-    return tools.rca_evidence(win, i.s_alarms, i.points, i.s_production, i.s_outcomes, bucketed=False)
-
-
 @query("shift_brief")
 def _t16(i: Inputs):
     """TOOL-16 (long form)."""
-    return tools.shift_brief(i.s_shifts, i.health, i.s_alarms, i.s_work_orders, None, None, 12, SHIFT_AS_OF)
+    return tools.shift_brief(i.s_shifts, i.health, i.s_alarms, i.s_work_orders, i.assets, None, None, 12,
+                             SHIFT_AS_OF)
 
 
 @query("health_trend")
@@ -575,6 +592,13 @@ def _dq01(i: Inputs):
     return quality.contract_summary(i.points_raw)
 
 
+@query("quarantined_points")
+def _dq01_rows(i: Inputs):
+    """DQ-01: the rejected points with their reason."""
+    return quality.check_contract(i.points_raw)[1].select(
+        "tag_name", "asset_id", "event_ts", "value", "quality", "uom", "reject_reason")
+
+
 @query("cast_quarantine")
 def _dq02(i: Inputs):
     """DQ-02."""
@@ -610,6 +634,98 @@ def _dq04(i: Inputs):
             .unionByName(quality.interval_check(i.shifts, "shifts", "shift_start", "shift_end")))
 
 
+# -- sources and sinks over the shared folder -----------------------------------------
+
+def _folder(i: Inputs, kind: str) -> str:
+    return shared_dir(i.spark, kind, uuid.uuid4().hex)
+
+
+def _csv_query(name: str):
+    def run(i: Inputs):
+        root = _folder(i, "csv")
+        raw = i.raw(f"{name}_raw")
+        if name == "shifts":  # a landed line is one record
+            raw = raw.withColumn("handoff_notes", F.replace("handoff_notes", F.lit("\n"), F.lit(" ")))
+        raw.write.option("header", True).csv(f"{root}/{name}.csv")
+        return load_csv(i.spark, f"{root}/{name}.csv", name, file_name=f"{name}.csv").drop("ingest_ts")
+    run.__doc__ = f"SRC-01..03, SNK-02, BRZ-05: the {name} frame landed as CSV and loaded again."
+    return run
+
+
+for _name in CSV_COLUMNS:
+    Q[f"csv_{_name}"] = _csv_query(_name)
+
+
+@query("points_landing")
+def _points_landing(i: Inputs):
+    """SRC-05/07, BRZ-01..04, FN-18: messages landed as text, parsed, with landing time and payload."""
+    folder = _folder(i, "landing")
+    shims.point_messages(i.spark, i.sf_dir).select("value").write.text(folder)
+    points = bronze_points(parse_messages(i.spark.read.text(folder)), dt.datetime(2024, 2, 1))
+    payload = lambda key: F.get_json_object("raw_payload", f"$.{key}")
+    return points.select(*POINT_COLS, payload("tag_name").alias("payload_tag"),
+                         payload("quality").alias("payload_quality"))
+
+
+def _by_date(df: DataFrame, name: str) -> DataFrame:
+    return df.groupBy("event_date").agg(F.count(F.lit(1)).alias(name))
+
+
+@query("table_sink")
+def _table_sink(i: Inputs):
+    """SNK-01, SNK-03, SNK-07: a full write by date, then a rebuild of its dates only (every row twice)."""
+    path = _folder(i, "sink")
+    points = i.points.withColumn("event_date", F.to_date("event_ts"))
+    write_table(points, path, partition_by=("event_date",))
+    again = path + "-again"
+    write_table(points, again, partition_by=("event_date",))
+    write_table(points.union(points), again, partition_by=("event_date",), only_partitions=True)
+    return _by_date(i.spark.read.parquet(path), "rows").join(
+        _by_date(i.spark.read.parquet(again), "rows_after_rebuild"), "event_date")
+
+
+@query("table_compact")
+def _table_compact(i: Inputs):
+    """SNK-04: small files rewritten by the advisory size."""
+    path = _folder(i, "compact")
+    write_table(i.points.withColumn("event_date", F.to_date("event_ts")), path, partition_by=("event_date",))
+    return _by_date(i.spark.read.parquet(compact(i.spark, path, partition_by=("event_date",))), "rows")
+
+
+@query("bronze_tables")
+def _bronze_tables(i: Inputs):
+    """SNK-05, SNK-06, SNK-08: raw tables under their declared schemas, filled, and listed from the catalogue."""
+    root, db = _folder(i, "lake"), f"bronze_{uuid.uuid4().hex[:8]}"
+    create_databases(i.spark, root, (db,))
+    out = None
+    for table in define_raw_tables(i.spark, root, db):
+        raw = i.raw("points_raw" if table == "pi_timeseries_raw" else table)
+        if table != "pi_timeseries_raw":
+            raw = raw.withColumns({"ingest_ts": F.lit(AS_OF).cast("timestamp"), "source_file": F.lit(table)})
+        raw.select(*i.spark.table(f"{db}.{table}").columns).write.insertInto(f"{db}.{table}")
+        part = i.spark.table(f"{db}.{table}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(table).alias("table_name"), "rows")
+        out = part if out is None else out.union(part)
+    columns = catalogue(i.spark, (db,)).groupBy("table_name").agg(F.count(F.lit(1)).cast("int").alias("n_columns"))
+    return columns.join(out, "table_name")
+
+
+@query("batch_tables")
+def _batch_tables(i: Inputs):
+    """SNK-01..08: the whole batch pipeline into the shared folder; rows read back from some of its tables."""
+    root = _folder(i, "lake")
+    run_batch(i.spark, {name: i.raw(name) for name in shims.RAW_SHIMS}, root, as_of=AS_OF)
+    out = None
+    for table in ("bronze.pi_timeseries_raw", "silver.pi_timeseries", "silver.work_orders", "silver.shifts",
+                  "gold.asset_tag_hourly", "gold.asset_health_daily", "gold.maintenance_outcomes", "gold.oee_daily",
+                  "metrics.asset_health_score", "serving_safe.alarms", "serving_safe.shifts",
+                  "serving_safe.pi_timeseries_recent"):
+        part = i.spark.read.parquet(f"{root}/{table.replace('.', '/')}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(table).alias("table_name"), "rows")
+        out = part if out is None else out.union(part)
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _q(fn) for name, fn in Q.items()}
     from ..streaming import registry_entries

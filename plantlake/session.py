@@ -8,7 +8,6 @@ run time become broadcast joins and skewed shuffle partitions are split.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,6 +22,10 @@ RUNTIME_CONF = {
     # AQE re-checks it with the real shuffle sizes.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Stream state on disk with incremental checkpoints, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -54,10 +57,11 @@ def build_session(master: str = "local[*]", app: str = "plantlake",
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A folder under the cluster's shared checkpoint location, as a URI or path.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create a scratch folder and record it on the session.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a
+    single-machine session (``local[..]``) gets a scratch folder; on a cluster
+    that is an error, because executors would not see a driver's folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -67,8 +71,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="plantlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
-    return os.path.join(base, *parts) if parts else base
+    return "/".join([base.rstrip("/"), *parts])

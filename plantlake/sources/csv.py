@@ -8,7 +8,6 @@ the load with a clear error instead of silently changing the table.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,5 +36,5 @@ def load_enrichment(spark: SparkSession, landing_dir: str, ingest_ts: dt.datetim
     out = {}
     for file_name, table in ENRICHMENT_FILES.items():
         name = file_name[:-4]
-        out[table] = load_csv(spark, os.path.join(landing_dir, file_name), name, ingest_ts, file_name)
+        out[table] = load_csv(spark, f"{landing_dir.rstrip('/')}/{file_name}", name, ingest_ts, file_name)
     return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import POINT_BATCH_SCHEMA, POINT_SCHEMA
 
+# Fixed columns of the raw point table.
 BRONZE_POINT_COLUMNS = ("tag_name", "asset_id", "event_ts", "value", "quality", "uom", "source_system",
                         "plant_id", "area_id", "ingest_ts", "raw_payload")
 
@@ -45,10 +46,15 @@ def parse_messages(messages: DataFrame, column: str = "value") -> DataFrame:
 
     Works on any text column (text files, Kafka ``CAST(value AS STRING)``).
     """
-    arr = F.from_json(F.col(column).cast("string"), POINT_BATCH_SCHEMA)
-    return messages.select(F.explode(arr).alias("p")).select("p.*")
+    return messages.select(F.explode(_points_of(column)).alias("p")).select("p.*")
 
 
-def tag_name(plant_code: str, asset_id: str, suffix: str) -> str:
-    """Historian tag path: two backslashes, plant, backslash, asset, pipe, metric."""
-    return "\\\\" + plant_code + "\\" + asset_id + "|" + suffix
+def _points_of(column: str):
+    return F.from_json(F.col(column).cast("string"), POINT_BATCH_SCHEMA)
+
+
+def unreadable_messages(messages: DataFrame, column: str = "value") -> DataFrame:
+    """STR-04: messages that hold no readable array of points, whole, with the reason (batch or stream)."""
+    text = F.col(column).cast("string")
+    return messages.filter(text.isNotNull() & _points_of(column).isNull()).select(
+        text.alias("message"), F.lit("unreadable").alias("reject_reason"))

@@ -12,8 +12,6 @@ names inside shift notes) exercise the quality checks and the redaction.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,40 +25,9 @@ SEC_FMT = "yyyy-MM-dd HH:mm:ss"
 MICRO_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-_HANDLES: dict[tuple[str, str], DataFrame] = {}
-
-# Row key of each driver table, used to spread an under-partitioned scan.
-TABLE_KEYS = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
-              "documents": "doc_id", "conversations": "conv_id"}
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Table handle for one driver table, resolved once per application.
-
-    Like a catalogue table: the file listing and footer schema are read on
-    first use; later queries reuse the analysed scan.  A table that arrives
-    as fewer input splits than the cluster has task slots (the test tables
-    are single parquet row groups, so one task would do all per-row work) is
-    hash-partitioned by its row key right after the scan.  Filters and column
-    pruning still reach the scan; a large table made of many files or row
-    groups is left as it is, so no full shuffle is added at scale.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a Spark Connect session has no context: plain read
-        return spark.read.parquet(path)
-    key = (sc.applicationId, path)
-    df = _HANDLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        slots = sc.defaultParallelism
-        if (name in TABLE_KEYS and os.path.getsize(path) >= SPREAD_MIN_BYTES
-                and df.rdd.getNumPartitions() < slots):
-            df = df.repartition(slots, TABLE_KEYS[name])
-        _HANDLES[key] = df
-    return df
+    """One driver table, from any store that Spark reads."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -87,12 +54,13 @@ def _plant_sql(k: str) -> str:
 
 _SFX_SQL = ("CASE event_type WHEN 'view' THEN 'Vibration' WHEN 'click' THEN 'BearingTemp' "
             "WHEN 'purchase' THEN 'MotorAmps' WHEN 'signup' THEN 'RunStatus' ELSE 'SuctionPressure' END")
-_VAL_SQL = ("CASE event_type WHEN 'view' THEN value / 40 WHEN 'click' THEN 55 + value / 10 "
+_VAL_SQL = ("CASE WHEN event_id % 101 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CASE event_type WHEN 'view' THEN value / 40 WHEN 'click' THEN 55 + value / 10 "
             "WHEN 'purchase' THEN 40 + value / 20 WHEN 'signup' THEN CAST(event_id % 2 AS DOUBLE) "
-            "ELSE value / 100 END")
-_UOM_SQL = ("CASE event_type WHEN 'view' THEN 'mm/s' WHEN 'click' THEN 'degC' WHEN 'purchase' THEN 'A' "
-            "WHEN 'signup' THEN 'bool' ELSE 'bar' END")
-_QUALITY_SQL = "CASE WHEN event_id % 20 = 0 THEN 'Bad' WHEN event_id % 20 = 1 THEN 'Uncertain' ELSE 'Good' END"
+            "ELSE value / 100 END END")
+_UOM_SQL = ("CASE WHEN event_id % 109 = 0 THEN NULL ELSE CASE event_type WHEN 'view' THEN 'mm/s' WHEN 'click' "
+            "THEN 'degC' WHEN 'purchase' THEN 'A' WHEN 'signup' THEN 'bool' ELSE 'bar' END END")
+# Planted contract faults: no quality, an unknown quality, no unit, a value that is not a number.
+_QUALITY_SQL = "CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN 'Weird' WHEN event_id % 20 = 0 THEN 'Bad' WHEN event_id % 20 = 1 THEN 'Uncertain' ELSE 'Good' END"
 _TAG_SQL = ("concat(chr(92), chr(92), 'PLANT-0', CAST(user_id % 3 + 1 AS STRING), chr(92), 'AST-', "
             f"CAST(user_id AS STRING), '|', {_SFX_SQL})")
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -136,6 +104,15 @@ def point_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_hour", "value")
 
 
+BROKEN_SQL = "concat('[{\"tag_name\": \"broken-', CAST(event_id AS STRING))"
+
+
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages cut off in the middle, one for every 500th event."""
+    return read_table(spark, sf_dir, "events").filter("event_id % 500 = 0").selectExpr(
+        "date_trunc('HOUR', ts) AS _hour", f"{BROKEN_SQL} AS value")
+
+
 def assets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").selectExpr(
         f"{_plant_sql('c_custkey')} AS plant_id",
@@ -157,7 +134,7 @@ def work_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     # pre-aggregate lineitem per order before the join (one row per order)
     last = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
-    j = o.join(last, o.o_orderkey == last.l_orderkey, "inner")
+    j = o.join(last, o.o_orderkey == last.l_orderkey, "left")  # an order without lines has no closing time
     return j.selectExpr(
         "concat('WO-', CAST(o_orderkey AS STRING)) AS work_order_id",
         "concat('AST-', CAST(o_custkey AS STRING)) AS asset_id",
@@ -187,7 +164,8 @@ def alarms_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").filter(F.col("event_type") == "error").selectExpr(
         "concat('ALM-', CAST(event_id AS STRING)) AS alarm_id",
         "concat('AST-', CAST(user_id AS STRING)) AS asset_id",
-        f"{_plant_sql('user_id')} AS plant_id",
+        # some alarms carry the asset id of another plant's asset
+        f"{_plant_sql('user_id + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END')} AS plant_id",
         f"date_format(ts, '{MICRO_FMT}') AS raised_at",
         "CASE WHEN event_id % 7 <> 0 THEN date_format(ts + make_dt_interval(0, 0, CAST(floor(value) AS INT), 0), "
         f"'{MICRO_FMT}') END AS cleared_at",
@@ -225,9 +203,13 @@ def production_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shifts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = "CAST(conv_id % 90 AS INT)"
     t0 = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
-    sup, op = _person_sql("conv_id"), _person_sql("conv_id + 3")
+    sup = (f"CASE conv_id % 20 WHEN 3 THEN 'Maria da Silva Santos' WHEN 7 THEN 'Jean-Luc Van Dam' "
+           f"WHEN 11 THEN 'José Núñez' ELSE {_person_sql('conv_id')} END")
+    op = _person_sql("conv_id + 3")
     return read_table(spark, sf_dir, "conversations").selectExpr(
-        "concat('SH-', CAST(conv_id * 100 + turn AS STRING)) AS shift_id",
+        # planted: rows without an id, and one id for several rows
+        "CASE WHEN conv_id % 50 = 9 THEN NULL WHEN conv_id % 50 = 10 THEN 'SH-SAME' "
+        "ELSE concat('SH-', CAST(conv_id * 100 + turn AS STRING)) END AS shift_id",
         f"{_plant_sql('conv_id')} AS plant_id",
         "concat('AREA-', CAST(conv_id % 2 + 1 AS STRING)) AS area_id",
         f"CASE {slot} % 3 WHEN 0 THEN 'Night' WHEN 1 THEN 'Day' ELSE 'Evening' END AS shift_name",
@@ -242,7 +224,8 @@ def shifts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{op} AS operator_name",
         f"{_email_sql('conv_id + 3')} AS operator_email",
         "concat('+1-555-02', lpad(CAST(conv_id % 100 AS STRING), 2, '0')) AS operator_phone",
-        f"CASE WHEN conv_id % 10 = 0 THEN concat(text, ' Ask ', upper({sup}), ' first.') "
+        f"CASE WHEN conv_id % 20 IN (3, 7, 11) THEN concat(text, ' Ask ', upper({sup}), ' now') "
+        f"WHEN conv_id % 10 = 0 THEN concat(text, ' Ask ', upper({sup}), ' first.') "
         f"WHEN conv_id % 10 = 5 THEN concat(text, ' Call ', lower({op}), '.') ELSE text END AS handoff_notes",
     )
 
@@ -278,11 +261,13 @@ def _pemail(expr: str) -> str:
 
 _SFX = ("CASE event_type WHEN 'view' THEN 'Vibration' WHEN 'click' THEN 'BearingTemp' "
         "WHEN 'purchase' THEN 'MotorAmps' WHEN 'signup' THEN 'RunStatus' ELSE 'SuctionPressure' END")
-_VAL = ("CASE event_type WHEN 'view' THEN value / 40 WHEN 'click' THEN 55 + value / 10 "
+_VAL = ("CASE WHEN event_id % 101 = 0 THEN 'NaN'::DOUBLE ELSE CASE event_type WHEN 'view' THEN value / 40 WHEN 'click' THEN 55 + value / 10 "
         "WHEN 'purchase' THEN 40 + value / 20 WHEN 'signup' THEN CAST(event_id % 2 AS DOUBLE) "
-        "ELSE value / 100 END")
-_UOM = ("CASE event_type WHEN 'view' THEN 'mm/s' WHEN 'click' THEN 'degC' WHEN 'purchase' THEN 'A' "
-        "WHEN 'signup' THEN 'bool' ELSE 'bar' END")
+        "ELSE value / 100 END END")
+_UOM = ("CASE WHEN event_id % 109 = 0 THEN NULL ELSE CASE event_type WHEN 'view' THEN 'mm/s' WHEN 'click' "
+        "THEN 'degC' WHEN 'purchase' THEN 'A' WHEN 'signup' THEN 'bool' ELSE 'bar' END END")
+_SUP = ("CASE conv_id % 20 WHEN 3 THEN 'Maria da Silva Santos' WHEN 7 THEN 'Jean-Luc Van Dam' "
+        f"WHEN 11 THEN 'José Núñez' ELSE {_pname('conv_id')} END")
 _SEC = "'%Y-%m-%d %H:%M:%S'"
 _MICRO = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -293,7 +278,8 @@ SELECT concat(chr(92), chr(92), 'PLANT-0', CAST(user_id % 3 + 1 AS VARCHAR), chr
        'AST-' || CAST(user_id AS VARCHAR) AS asset_id,
        ts AS event_ts,
        {_VAL} AS value,
-       CASE WHEN event_id % 20 = 0 THEN 'Bad' WHEN event_id % 20 = 1 THEN 'Uncertain' ELSE 'Good' END AS quality,
+       CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN 'Weird' WHEN event_id % 20 = 0 THEN 'Bad'
+            WHEN event_id % 20 = 1 THEN 'Uncertain' ELSE 'Good' END AS quality,
        {_UOM} AS uom,
        'mock_pi' AS source_system,
        'PLANT-0' || CAST(user_id % 3 + 1 AS VARCHAR) AS plant_id,
@@ -329,12 +315,12 @@ SELECT 'WO-' || CAST(o.o_orderkey AS VARCHAR) AS work_order_id,
        CASE WHEN o.o_orderkey % 97 = 0 THEN 'n/a' WHEN o.o_orderkey % 5 <> 0 THEN CAST(o.o_orderkey % 17 AS VARCHAR) || '.5' END AS labor_hours,
        'order ' || CAST(o.o_orderkey AS VARCHAR) AS notes
 FROM orders o
-JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) l
+LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) l
   ON o.o_orderkey = l.l_orderkey""",
     "alarms_raw": f"""
 SELECT 'ALM-' || CAST(event_id AS VARCHAR) AS alarm_id,
        'AST-' || CAST(user_id AS VARCHAR) AS asset_id,
-       'PLANT-0' || CAST(user_id % 3 + 1 AS VARCHAR) AS plant_id,
+       'PLANT-0' || CAST((user_id + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END) % 3 + 1 AS VARCHAR) AS plant_id,
        strftime(ts, {_MICRO}) AS raised_at,
        CASE WHEN event_id % 7 <> 0 THEN strftime(ts + to_minutes(CAST(floor(value) AS BIGINT)), {_MICRO}) END AS cleared_at,
        CASE WHEN value >= 100 THEN 'HIGH' WHEN value >= 40 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
@@ -361,7 +347,8 @@ SELECT 'PRD-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARC
        'line event' AS notes
 FROM lineitem""",
     "shifts_raw": f"""
-SELECT 'SH-' || CAST(conv_id * 100 + turn AS VARCHAR) AS shift_id,
+SELECT CASE WHEN conv_id % 50 = 9 THEN NULL WHEN conv_id % 50 = 10 THEN 'SH-SAME'
+            ELSE 'SH-' || CAST(conv_id * 100 + turn AS VARCHAR) END AS shift_id,
        'PLANT-0' || CAST(conv_id % 3 + 1 AS VARCHAR) AS plant_id,
        'AREA-' || CAST(conv_id % 2 + 1 AS VARCHAR) AS area_id,
        CASE (conv_id % 90) % 3 WHEN 0 THEN 'Night' WHEN 1 THEN 'Day' ELSE 'Evening' END AS shift_name,
@@ -369,14 +356,15 @@ SELECT 'SH-' || CAST(conv_id * 100 + turn AS VARCHAR) AS shift_id,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST((conv_id % 90) * 8 + 8 AS BIGINT)), {_SEC}) AS shift_end,
        'CREW-' || CAST(conv_id % 4 + 1 AS VARCHAR) AS crew_id,
        'E' || CAST(conv_id % 8 + 20000 AS VARCHAR) AS supervisor_employee_id,
-       {_pname('conv_id')} AS supervisor_name,
+       {_SUP} AS supervisor_name,
        {_pemail('conv_id')} AS supervisor_email,
        '+1-555-01' || lpad(CAST(conv_id % 100 AS VARCHAR), 2, '0') AS supervisor_phone,
        'E' || CAST((conv_id + 3) % 8 + 20010 AS VARCHAR) AS operator_employee_id,
        {_pname('conv_id + 3')} AS operator_name,
        {_pemail('conv_id + 3')} AS operator_email,
        '+1-555-02' || lpad(CAST(conv_id % 100 AS VARCHAR), 2, '0') AS operator_phone,
-       CASE WHEN conv_id % 10 = 0 THEN text || ' Ask ' || upper({_pname('conv_id')}) || ' first.'
+       CASE WHEN conv_id % 20 IN (3, 7, 11) THEN text || ' Ask ' || upper({_SUP}) || ' now'
+            WHEN conv_id % 10 = 0 THEN text || ' Ask ' || upper({_pname('conv_id')}) || ' first.'
             WHEN conv_id % 10 = 5 THEN text || ' Call ' || lower({_pname('conv_id + 3')}) || '.'
             ELSE text END AS handoff_notes
 FROM conversations""",

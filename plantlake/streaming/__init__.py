@@ -23,7 +23,7 @@ def _run_dirs(spark: SparkSession, tag: str) -> dict:
 def land_messages(spark: SparkSession, sf_dir: str, landing: str, files: int = 8) -> None:
     """Write the shim's point messages as text files (one JSON array per line)."""
     from ..sources import shims
-    msgs = shims.point_messages(spark, sf_dir)
+    msgs = shims.point_messages(spark, sf_dir).unionByName(shims.broken_messages(spark, sf_dir))
     # rebalance by hour: about ``files`` files for small inputs, AQE-sized files (and more
     # writers) when the table is large, so landing never funnels into a fixed few tasks
     msgs.hint("rebalance", files, "_hour").select("value").write.mode("overwrite").text(landing)
@@ -47,6 +47,24 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "plant_id", "area_id", "tag_suffix")
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-04, DQ-01: what the stream cannot take: unreadable messages and points that break the contract."""
+    from ..session import configure
+    from .ingest import bronze_stream, point_message_stream, rejected_stream, start_file_sink, unreadable_stream
+    configure(spark)
+    d = _run_dirs(spark, "quarantine")
+    land_messages(spark, sf_dir, d["landing"])
+    q1 = start_file_sink(unreadable_stream(spark, d["landing"]), d["bronze"], d["bronze_ckpt"], partition_by=())
+    rejected = rejected_stream(bronze_stream(point_message_stream(spark, d["landing"])))
+    q2 = start_file_sink(rejected.select("tag_name", "event_ts", "reject_reason"), d["silver"], d["silver_ckpt"],
+                         partition_by=())
+    q1.awaitTermination()
+    q2.awaitTermination()
+    bad = spark.read.parquet(d["bronze"]).selectExpr("message", "CAST(NULL AS STRING) AS tag_name",
+                                                     "CAST(NULL AS TIMESTAMP) AS event_ts", "reject_reason")
+    return bad.unionByName(spark.read.parquet(d["silver"]).selectExpr("CAST(NULL AS STRING) AS message", "*"))
+
+
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-06: windowed hourly aggregate in append mode (final windows only)."""
     from ..functions import round6
@@ -63,7 +81,7 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_entries() -> dict:
-    return {"stream_ingest": stream_ingest, "stream_hourly": stream_hourly}
+    return {"stream_ingest": stream_ingest, "stream_hourly": stream_hourly, "stream_quarantine": stream_quarantine}
 
 
 def oracle_entries() -> dict:
@@ -72,6 +90,11 @@ def oracle_entries() -> dict:
         "stream_ingest": """
 SELECT DISTINCT ON (tag_name, event_ts) tag_name, asset_id, event_ts, value, quality, uom, source_system,
        plant_id, area_id, tag_suffix FROM silver_points""",
+        "stream_quarantine": """
+SELECT '[{"tag_name": "broken-' || CAST(event_id AS VARCHAR) AS message, CAST(NULL AS VARCHAR) AS tag_name,
+       CAST(NULL AS TIMESTAMP) AS event_ts, 'unreadable' AS reject_reason FROM events WHERE event_id % 500 = 0
+UNION ALL
+SELECT NULL AS message, tag_name, event_ts, reason AS reject_reason FROM judged_points WHERE reason IS NOT NULL""",
         "stream_hourly": """
 SELECT plant_id, area_id, asset_id, tag_suffix, hour_ts, round(avg_value + 1e-9, 6) AS avg_value, max_value,
        min_value, round(std_value + 1e-9, 6) AS std_value, sample_count

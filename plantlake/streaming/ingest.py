@@ -20,12 +20,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import SILVER_QUALITIES
 from ..functions import tag_suffix
+from ..operators.quality import reject_reason
 from ..schemas import POINT_SCHEMA
-from ..sources.points import bronze_points, parse_messages
+from ..sources.points import bronze_points, parse_messages, unreadable_messages
 
 DEDUP_KEYS = ("tag_name", "event_ts")
 
@@ -46,15 +47,25 @@ def point_message_stream(spark: SparkSession, landing_dir: str, max_files_per_tr
     return parse_messages(reader.text(landing_dir), "value")
 
 
+def unreadable_stream(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """STR-04: the landed messages that :func:`point_message_stream` cannot read, for the quarantine sink."""
+    return unreadable_messages(spark.readStream.text(landing_dir), "value")
+
+
+def rejected_stream(bronze: DataFrame) -> DataFrame:
+    """DQ-01 on the stream: points that break the contract, with the reason, for the quarantine sink."""
+    return bronze.withColumn("reject_reason", reject_reason()).filter("reject_reason IS NOT NULL")
+
+
 def bronze_stream(points: DataFrame) -> DataFrame:
     """STR-01: bronze columns plus the ``event_date`` partition column."""
     return bronze_points(points).withColumn("event_date", F.to_date("event_ts"))
 
 
 def silver_stream(bronze: DataFrame, watermark: str = "1 hour", qualities=SILVER_QUALITIES) -> DataFrame:
-    """STR-05: silver rows, replayed duplicates dropped within the watermark."""
+    """STR-05: contract-valid silver rows (DQ-01), replayed duplicates dropped within the watermark."""
     return (
-        bronze.filter(F.col("quality").isin(list(qualities)))
+        bronze.filter(F.col("quality").isin(list(qualities)) & reject_reason().isNull())
         .withWatermark("event_ts", watermark)
         .dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
         .select("tag_name", "asset_id", "event_ts", "value", "quality", "uom", "source_system", "plant_id",
@@ -89,10 +100,27 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by=("ev
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows dropped as too late, summed over the query's recent progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.stateOperators or []:
-            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-    return total
+class LateRows(StreamingQueryListener):
+    """Rows dropped as too late, summed over every batch since the listener was added
+    (``recentProgress`` only keeps the last batches)."""
+
+    def __init__(self):
+        super().__init__()
+        self.dropped = {}
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        late = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        self.dropped[str(p.id)] = self.dropped.get(str(p.id), 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.id), 0)

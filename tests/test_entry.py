@@ -15,9 +15,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    from plantlake.plans import oracle, registry
+    q, o = registry.queries(), oracle.oracle_sql()
     assert set(q) - set(o) == STREAM_ONLY
     assert set(o) <= set(q)
+    assert set(q) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_oracle_matches_on_small_data(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from plantlake.operators import gold, silver
-from plantlake.plans.pipeline import run_batch
+from plantlake.plans.pipeline import run_batch, run_retention
 from plantlake.plans.tables import catalogue, compact, write_table
 from plantlake.sources import shims
 
@@ -24,8 +24,11 @@ def test_run_batch_writes_every_layer(spark, tmp_path):
     assert rep.quarantined["work_orders_raw"] > 0  # the planted 'n/a' labour hours
     assert os.path.isdir(os.path.join(root, "silver", "pi_timeseries"))
     assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(root, "gold", "asset_tag_hourly")))
-    # views over the written tables
-    assert spark.table("serving_asset_health_daily").count() == rep.rows["gold.asset_health_daily"]
+    # metric and serving objects are written, so every session sees them
+    assert spark.read.parquet(f"{root}/serving_safe/asset_health_daily").count() == rep.rows["gold.asset_health_daily"]
+    assert set(raw) == set(shims.RAW_SHIMS) and "event_date" not in raw["points_raw"].columns  # the argument is unchanged
+    notes = spark.read.parquet(f"{root}/serving_safe/shifts")
+    assert notes.filter("handoff_notes_redacted rlike '(?i)silva|van dam|núñez'").count() == 0
     masked = spark.table("shift_people_masked")
     assert masked.count() == 0  # no groups: the row filter hides every plant
 
@@ -34,13 +37,59 @@ def test_write_table_dynamic_overwrite_and_compact(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(40).select((F.col("id") % 4).alias("p"), F.col("id"))
     assert write_table(df.repartition(8), path, partition_by=("p",)) == 40
-    assert write_table(df.filter("p = 1").withColumn("id", F.col("id") * 100), path, partition_by=("p",)) == 10
+    one = df.filter("p = 1").withColumn("id", F.col("id") * 100)
+    assert write_table(one, path, partition_by=("p",), only_partitions=True) == 10
     back = spark.read.parquet(path)
     assert back.count() == 40 and back.filter("p = 1").agg(F.min("id")).first()[0] == 100
     out = compact(spark, path, target_files=1, partition_by=("p",))
     files = [f for d in os.listdir(out) if d.startswith("p=") for f in os.listdir(os.path.join(out, d))
              if f.endswith(".parquet")]
     assert len(files) == 4 and spark.read.parquet(out).count() == 40
+    assert compact(spark, path, "p = 2", partition_by=("p",)) == path  # the other partitions stay
+    assert spark.read.parquet(path).count() == 40
+    assert write_table(one, path, partition_by=("p",)) == 10  # a full refresh leaves nothing of the old table
+    assert spark.read.parquet(path).select("p").distinct().count() == 1
+
+
+def test_read_table_takes_uris_and_sees_new_rows(spark, tmp_path):
+    path = tmp_path / "events.parquet"
+    spark.range(10).write.parquet(str(path))
+    assert shims.read_table(spark, f"file://{tmp_path}", "events").count() == 10
+    spark.range(5).write.mode("append").parquet(str(path))
+    assert shims.read_table(spark, f"file://{tmp_path}", "events").count() == 15
+
+
+def test_retention_job_writes_back(spark, tmp_path):
+    raw = {name: fn(spark, SF_SMALL) for name, fn in shims.RAW_SHIMS.items()}
+    root = str(tmp_path / "lake")
+    rep = run_batch(spark, raw, root, as_of="2024-01-31 00:00:00")
+    left = run_retention(spark, root, "2024-01-31 00:00:00")
+    for name in ("work_order_people", "alarm_ack_people", "shift_people"):
+        assert spark.read.parquet(f"{root}/ops_pii_restricted/{name}").count() == left[name]
+    assert left["work_order_people"] < rep.rows["ops_pii_restricted.work_order_people"]
+    bronze = spark.read.parquet(f"{root}/bronze/work_orders_raw")
+    assert bronze.count() == rep.rows["bronze.work_orders_raw"]  # the facts stay
+    assert bronze.filter("technician_name is not null").count() == left["work_order_people"]
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from plantlake.session import shared_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
 
 
 def test_catalogue_lists_registered_tables(spark, tmp_path):
