@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow_text import raw_bytes, slices
-from .shared import cut, fresh
+from .shared import counted_side, cut, fresh
 
 PER_LANGUAGE = 500
 MAX_LANGUAGES = 256
@@ -42,7 +42,6 @@ DECLARED = 0.9
 SUFFIX = 0.7
 SMOOTH = 10.0
 MIN_PROBABILITY = 0.5
-MAX_BROADCAST_HOSTS = 50_000
 #: Address suffixes of countries and their main language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en",
                    "au": "en", "nz": "en", "ie": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl"}
@@ -133,8 +132,10 @@ def declared_language(markup: Column) -> Column:
 
 
 def _first_best(scores: Column, languages: list[str]) -> Column:
+    """Name of the (first) best score; null without scores."""
     names = F.array(*[F.lit(x) for x in languages])
-    return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
+    best = F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
+    return F.when(scores.isNotNull(), best)
 
 
 def _counts(languages: list[str], lang: str) -> list[Column]:
@@ -217,13 +218,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text: Colu
     suffix, declared = none if suffix is None else suffix, none if declared is None else declared
     ll = text_evidence(spark, model, text)
     seen = docs.select(host.alias("host"), suffix.alias("suffix"), ll.alias("ll"))
-    priors = cut(host_priors(seen.select("host", "suffix", _first_best(F.col("ll"), languages).alias("lang")),
-                             languages))
+    priors = host_priors(seen.select("host", "suffix", _first_best(F.col("ll"), languages).alias("lang")), languages)
     p = F.struct(F.col("host").alias("p_host"), F.col("suffix").alias("p_suffix"), "prior")
-    priors = priors.select(p.alias(f"{e}_p"))
-    # The priors are one short row per host: broadcast up to a checked number, joined by host beyond it.
-    if priors.count() <= MAX_BROADCAST_HOSTS:
-        priors = F.broadcast(priors)
+    priors = counted_side(priors.select(p.alias(f"{e}_p")))  # one short row per host
     rows = docs.withColumn(e, F.struct(host.alias("host"), suffix.alias("suffix"), declared.alias("declared"),
                                        ll.alias("ll")))
     x, prior = F.col(e), F.col(f"{e}_p")

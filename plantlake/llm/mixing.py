@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality_rules import n_words
-from .shared import cut, fresh
+from .shared import counted_side, cut, fresh
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -113,7 +113,8 @@ def plan(sizes: DataFrame, **options) -> DataFrame:
     cuts = inside.select("sk", "bucket", F.when(fits, F.col("key")).alias("last")) \
         .groupBy("sk").agg(F.coalesce(F.max("last"), F.max("bucket")).alias("cutoff"))
     cutoff = F.when(F.col("rest") > 0, F.coalesce("cutoff", F.lit("g"))).otherwise("")
-    return sources.join(cuts, "sk", "left").select("sk", "source_size", "target", "whole", cutoff.alias("cutoff"))
+    return counted_side(sources.join(cuts, "sk", "left").select(
+        "sk", "source_size", "target", "whole", cutoff.alias("cutoff")))
 
 
 def copies(size: Column, key: Column) -> Column:
@@ -135,8 +136,8 @@ def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     names = {"id_col": id_col, "text_col": text_col, "source_col": source_col, "seed": seed}
     chosen = plan(measured(docs, **names), **options)
     sk = fresh(docs, "__sk")
-    chosen = chosen.select(F.col("sk").alias(sk), F.struct("whole", "cutoff").alias(fresh(docs, "__plan")))
     p = F.col(fresh(docs, "__plan"))
+    chosen = chosen.select(F.col("sk").alias(sk), F.struct("whole", "cutoff").alias(fresh(docs, "__plan")))
     size = n_words(F.coalesce(F.col(text_col), F.lit("")))
     extra = (size > 0) & (order_key(F.col(id_col), F.col(text_col), seed) <= p["cutoff"])
     n = (p["whole"] + F.when(extra, 1).otherwise(0)).cast("int")

@@ -6,6 +6,7 @@ import uuid
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
@@ -16,6 +17,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a computed table that may be broadcast, after they are counted (short rows: a few MB).
+MAX_BROADCAST_ROWS = 50_000
+
+
+def counted_side(df: DataFrame) -> DataFrame:
+    """``df`` (short rows) for a join: written once and counted, then broadcast if it is small enough;
+    otherwise joined by key, where AQE can split a hot key of the other side."""
+    done = cut(df)
+    return F.broadcast(done) if done.count() <= MAX_BROADCAST_ROWS else done
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """URI of a new folder for ``kind`` of files under the shared checkpoint folder."""
     base = shared_dir(spark).rstrip("/")
