@@ -18,9 +18,16 @@ Steps (nodes are distinct normalised texts, named by their 128-bit digest):
 4. pairs are verified exactly: similarity of the multisets >= ``THRESHOLD``;
 5. verified links make classes (minimum label with pointer jumping);
 6. buckets whose nodes fell into several classes are searched again for links
-   between nodes of different classes (``rest`` pairs), so that a link the
-   stars missed is found; pairs are limited by weight (a similarity of s needs
-   weights within a factor of s) before they are verified.
+   between nodes of different classes, with a second, longer signature: a
+   pair is only joined if its weights (a similarity of s needs weights within
+   a factor of s) and two bits of each slot allow it.  ``ROUNDS`` stars with
+   other leaders come first, in buckets of more than ``SMALL`` nodes (such as
+   those of a passage that many texts share) within each of ``FINE_BANDS``
+   narrower bands, then all pairs of the smaller buckets.  No bucket is
+   capped, and no hot bucket's pairs are formed.  At the threshold, the bands
+   of step 2 miss a link with a chance of 3.5e-4, sketches and fine bands with
+   1.5e-4; two texts of a large bucket are also missed if no leader that they
+   meet is similar to both.
 A class's id is its smallest document id.
 
 Edge cases: a text of 1 to 4 words is one shingle; a text without words (or
@@ -45,6 +52,13 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 20
 ROWS = 5
+#: Second look at buckets of several classes: rounds of stars, sketch slots, fine bands and their rows, nodes of a
+#: bucket up to which all its pairs are looked at, and the sketch's margin in standard deviations.
+ROUNDS = 3
+SLOTS = 512
+FINE_BANDS, FINE_ROWS = 48, 8
+SMALL = 64
+SURE = 4.5
 _UNIT = 2.0 ** -53
 _SIG = "struct<node:binary,weight:bigint,bands:array<bigint>>"
 
@@ -217,20 +231,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = _texts(rows, nodes.join(uniq, "node").select("node", "first"))
     links = cut(_verified(star, texts, width, threshold))
     labels = components(nodes, links)
-    # Buckets with several classes left: links between their nodes, other than with the leader.
-    inside = members.join(labels, "node")
-    open_keys = inside.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")) \
-        .filter("least != most").select("key")
-    rest = cut(inside.filter("h != low").join(open_keys, "key").select("key", "node", "weight", "label"))
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                   & (F.col("x.label") != F.col("y.label"))
-                   & (F.col("x.weight") >= threshold * F.col("y.weight"))
-                   & (F.col("y.weight") >= threshold * F.col("x.weight"))) \
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = cut(_verified(pairs, texts, width, threshold))
-    if more.limit(1).count():
-        labels = components(nodes, links.unionAll(more))
+    # Buckets with several classes left: more stars with other leaders, in large buckets per fine band, so that
+    # what belongs together is joined; then the pairs of different classes that are left in the small buckets.
+    sketches = None
+    for step in range(ROUNDS + 1):
+        rest = _open_rows(members, labels)
+        if sketches is None:
+            sketches = cut(rest.select("node").distinct().join(texts, "node").select(
+                "node", _sketch(width)("text").alias("s")).select("node", "s.*"))
+        pairs = _star_pairs(rest, sketches, step, threshold) if step < ROUNDS else _all_pairs(rest, sketches, threshold)
+        more = cut(_verified(pairs, texts, width, threshold))
+        if more.limit(1).count():
+            links = cut(links.unionAll(more))
+            labels = components(nodes, links)
     joined = cut(uniq.select("node", "first", "n_first", "copies").join(labels, "node", "left")
                  .withColumn("label", F.coalesce("label", "node")))
     per_class = joined.groupBy("label").agg(
@@ -241,6 +254,73 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         (F.col("kept.node") == F.col("node")).alias("is_kept")))
 
 
+def _sketch(width: int):
+    @F.arrow_udf("struct<bits:array<bigint>,fine:array<bigint>>")
+    def sketch(texts: pa.Array) -> pa.Array:
+        """Two bits of each slot of a longer signature, packed, and that signature's fine band keys."""
+        bits, fine = [np.empty((0, SLOTS // 32), U64)], [np.empty((0, FINE_BANDS), np.int64)]
+        for piece in slices(texts):
+            h, row, _ = shingles(piece, width)
+            signature = bag_min_hash(*counted(mix(h), row), len(piece), SLOTS)
+            codes = mix(signature.view(U64)) & U64(3)
+            places = U64(2) * np.arange(32, dtype=U64)
+            bits.append((codes.reshape(len(piece), -1, 32) << places).sum(axis=2, dtype=U64))
+            some = np.ascontiguousarray(signature[:, :FINE_BANDS * FINE_ROWS])
+            fine.append(band_keys(some, FINE_BANDS, FINE_ROWS))
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()),
+                                          pa.array(x.view(np.int64).ravel(), pa.int64()))
+                 for x in (np.concatenate(bits), np.concatenate(fine))]
+        return pa.StructArray.from_arrays(lists, ["bits", "fine"])
+
+    return sketch
+
+
+def _open_rows(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, n, node, weight, label) of the buckets whose ``n`` nodes are in more than one class."""
+    inside = members.join(labels, "node")
+    open_keys = inside.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"),
+                                          F.count(F.lit(1)).alias("n")).filter("least != most").select("key", "n")
+    return cut(inside.join(open_keys, "key").select("key", "n", "node", "weight", "label"))
+
+
+def _can_be_similar(threshold: float) -> Column:
+    """Of rows x and y: different classes, weights within the threshold, and sketches that differ in no more
+    slots than ``SURE`` standard deviations allow at the threshold."""
+    agree = threshold + (1 - threshold) / 4  # two bits also agree by chance
+    allowed = SLOTS * (1 - agree) + SURE * (SLOTS * agree * (1 - agree)) ** 0.5
+    differ = F.lit(0)
+    for i in range(SLOTS // 32):
+        z = F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])
+        differ = differ + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return ((F.col("x.label") != F.col("y.label")) & (F.col("x.weight") >= threshold * F.col("y.weight"))
+            & (F.col("y.weight") >= threshold * F.col("x.weight")) & (differ <= int(allowed)))
+
+
+def _star_pairs(rest: DataFrame, sketches: DataFrame, step: int, threshold: float) -> DataFrame:
+    """Candidates (a, b) of every node with the leader of its group in this round, the smallest seeded hash.
+
+    A group is a bucket or, in a large bucket, the nodes that also share a fine band of this round's half."""
+    half = FINE_BANDS // 2
+    bands = F.transform(F.slice("fine", step % 2 * half + 1, half), lambda f: F.xxhash64("key", f))
+    sub = F.when(F.col("n") > SMALL, bands).otherwise(F.array(F.col("key")))
+    rows = rest.join(sketches.select("node", "fine"), "node").select("node", "weight", "label", F.explode(sub).alias("sub")) \
+        .withColumn("h", F.xxhash64("node", F.lit(step)))
+    several = rows.groupBy("sub").agg(F.min("label").alias("least"), F.max("label").alias("most"),
+                                      F.min("h").alias("lead")).filter("least != most").select("sub", "lead")
+    rows = cut(rows.join(several, "sub").join(sketches.select("node", "bits"), "node"))
+    return rows.alias("x").join(rows.filter("h = lead").alias("y"),
+                                (F.col("x.sub") == F.col("y.sub")) & _can_be_similar(threshold)) \
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _all_pairs(rest: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (a, b) of all nodes of the buckets of at most ``SMALL`` nodes."""
+    rows = cut(rest.filter(F.col("n") <= SMALL).join(sketches.select("node", "bits"), "node"))
+    return rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
+                                & _can_be_similar(threshold)) \
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the ``wanted`` (node, first) rows; equal ids with other texts are told apart by the digest."""
     some = rows.alias("r").join(wanted.alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.first"))) \
