@@ -44,7 +44,7 @@ def _store(uri: str) -> tuple[fs.FileSystem, str]:
 
 def open_input(uri: str):
     store, path = _store(uri)
-    return store.open_input_stream(path)
+    return store.open_input_stream(path, compression=None)
 
 
 class atomic_output:
@@ -57,7 +57,7 @@ class atomic_output:
 
     def __enter__(self):
         self.store.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.out = self.store.open_output_stream(self.temp)
+        self.out = self.store.open_output_stream(self.temp, compression=None)
         return self.out
 
     def __exit__(self, kind, *_):

@@ -1,7 +1,8 @@
 """WARC archives through a chunked record table.
 
 Writing: each task streams its rows into archives under the shared folder
-(one file per task, a new one after ``archive_bytes``).  Records with equal
+(one gzip member per record, as is usual; one file per task, a new one after
+``archive_bytes``).  Records with equal
 payloads are written once, as the response of the smallest id; the others are
 revisits that refer to it.  Which they are is found on digests alone, so the
 payloads are shuffled once, by id, and a payload that a third of all rows
@@ -22,8 +23,10 @@ field; only the three named columns are read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +38,7 @@ from .shared import atomic_output, cut, new_folder, open_input
 
 CHUNK_BYTES = 1 << 20
 ARCHIVE_BYTES = 256 << 20
+GZIP_LEVEL = 3
 MIN_REVISIT_BYTES = 0
 DATE = "2000-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: %d\r\n\r\n"
@@ -92,19 +96,22 @@ def write_archives(plan: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
         part, no = TaskContext.get().partitionId(), 0
         row = next(rows, None)
         while row is not None:
-            name = f"{folder}/part-{part:06d}-{no:04d}.warc"
+            name = f"{folder}/part-{part:06d}-{no:04d}.warc.gz"
             n_records = n_bytes = 0
             with atomic_output(name) as out:
                 while row is not None and n_bytes < archive_bytes:
                     page_id, url, sha1, first, payload = row
                     body = memoryview(payload.as_buffer())
                     head = _header(page_id, url, len(body), sha1, first)
-                    out.write(head)
+                    pieces = [head]
                     if first is None:
-                        for a in range(0, len(body), CHUNK_BYTES):
-                            out.write(body[a:a + CHUNK_BYTES])
-                    out.write(b"\r\n\r\n")
-                    n_records, n_bytes = n_records + 1, n_bytes + len(head) + (len(body) if first is None else 0) + 4
+                        pieces += [body[a:a + CHUNK_BYTES] for a in range(0, len(body), CHUNK_BYTES)]
+                    member = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, 31)
+                    for piece in (*pieces, b"\r\n\r\n", None):
+                        data = member.flush() if piece is None else member.compress(piece)
+                        out.write(data)
+                        n_bytes += len(data)
+                    n_records += 1
                     row = next(rows, None)
             yield pa.RecordBatch.from_pydict({"archive": [name], "records": [n_records], "bytes": [n_bytes]})
             no += 1
@@ -196,7 +203,7 @@ def read_chunks(manifest: DataFrame, *, chunk_bytes: int = CHUNK_BYTES, with_pay
         for name in (n for b in batches for n in b.column("archive").to_pylist()):
             rows, size = [], 0
             with open_input(name) as raw:
-                for row in _records(_Lines(raw), chunk_bytes):
+                for row in _records(_Lines(gzip.GzipFile(fileobj=raw)), chunk_bytes):
                     rows.append(row if with_payload else (*row[:-1], None))
                     size += row[6] if with_payload else 0
                     if len(rows) >= 4096 or size >= 8 * CHUNK_BYTES:
