@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +35,23 @@ def counted_side(df: DataFrame) -> DataFrame:
     return F.broadcast(done) if done.count() <= MAX_BROADCAST_ROWS else done
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for sessions whose workers have no path to it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="plantlake-package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """URI of a new folder for ``kind`` of files under the shared checkpoint folder."""
     base = shared_dir(spark).rstrip("/")

@@ -243,8 +243,10 @@ def test_a_damaged_archive_is_an_error(spark):
     pages = frame(spark, [(1, "u", "hello world")], PAGES)
     manifest = warc.write_archives(warc.record_plan(pages), new_folder(spark, "warc"))
     path = manifest.first()["archive"].removeprefix("file:")
-    data = gzip.open(path).read()
-    gzip.open(path, "wb").write(data.replace(b"hello", b"hullo"))
+    with gzip.open(path) as f:
+        data = f.read()
+    with gzip.open(path, "wb") as f:
+        f.write(data.replace(b"hello", b"hullo"))
     with pytest.raises(Exception, match="digest"):
         warc.read_chunks(manifest).collect()
 
