@@ -16,11 +16,12 @@ from plantlake.llm.language_id import identify_documents
 from plantlake.llm.mixing import repeat
 from plantlake.llm.near_dup import keep_one
 from plantlake.llm.secret_scan import redact_secrets
-from plantlake.llm.shared import fresh, new_folder
+from plantlake.llm.shared import fresh, new_folder, ship_package
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is accepted; ``lang`` becomes the identified one."""
+    ship_package(spark)  # this is the first stage
     into = fresh(docs, "__language")
     found = identify_documents(docs, docs, into=into).filter(F.col(into)["accepted"])
     return found.withColumn("lang", F.col(into)["lang"]).select(*docs.columns)
