@@ -299,12 +299,13 @@ def _can_be_similar(threshold: float) -> Column:
 def _star_pairs(rest: DataFrame, sketches: DataFrame, step: int, threshold: float) -> DataFrame:
     """Candidates (a, b) of every node with the leader of its group in this round, the smallest seeded hash.
 
-    A group is a bucket or, in a large bucket, the nodes that also share a fine band of this round's half."""
+    A group is a bucket or, of the nodes of large buckets, those that share a fine band of this round's half."""
     half = FINE_BANDS // 2
-    bands = F.transform(F.slice("fine", step % 2 * half + 1, half), lambda f: F.xxhash64("key", f))
+    bands = F.transform(F.slice("fine", step % 2 * half + 1, half), lambda f: F.xxhash64(F.lit("fine"), f))
     sub = F.when(F.col("n") > SMALL, bands).otherwise(F.array(F.col("key")))
+    # A node of several large buckets is in each of its fine bands once.
     rows = rest.join(sketches.select("node", "fine"), "node").select("node", "weight", "label", F.explode(sub).alias("sub")) \
-        .withColumn("h", F.xxhash64("node", F.lit(step)))
+        .distinct().withColumn("h", F.xxhash64("node", F.lit(step)))
     several = rows.groupBy("sub").agg(F.min("label").alias("least"), F.max("label").alias("most"),
                                       F.min("h").alias("lead")).filter("least != most").select("sub", "lead")
     rows = cut(rows.join(several, "sub").join(sketches.select("node", "bits"), "node"))
