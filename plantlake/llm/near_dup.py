@@ -59,6 +59,8 @@ SLOTS = 512
 FINE_BANDS, FINE_ROWS = 48, 8
 SMALL = 64
 SURE = 4.5
+#: Text bytes that are hashed at once: bounds the arrays a worker holds (about a hundred bytes per shingle).
+PIECE = 1 << 20
 _UNIT = 2.0 ** -53
 _SIG = "struct<node:binary,weight:bigint,bands:array<bigint>>"
 
@@ -121,7 +123,7 @@ def _signatures(width: int, bands: int, rows_per_band: int):
     @F.arrow_udf(_SIG)
     def sign(texts: pa.Array) -> pa.Array:
         nodes, weights, keys, sizes = [], [], [], []
-        for piece in slices(texts):
+        for piece in slices(texts, PIECE):
             h, row, n_words = shingles(piece, width)
             offsets, data = raw_bytes(piece)
             data = data.translate(ALNUM)
@@ -149,11 +151,11 @@ def _similar(width: int):
         """Weighted Jaccard similarity of the shingle multisets of each pair of texts."""
         out = [np.empty(0)]
         at = 0
-        for left in slices(a):
+        for left in slices(a, PIECE):
             right = b.slice(at, len(left))
             at += len(left)
             done = 0
-            for piece in slices(right):
+            for piece in slices(right, PIECE):
                 out.append(_jaccard(left.slice(done, len(piece)), piece, width))
                 done += len(piece)
         return pa.array(np.concatenate(out), pa.float64())
@@ -259,7 +261,7 @@ def _sketch(width: int):
     def sketch(texts: pa.Array) -> pa.Array:
         """Two bits of each slot of a longer signature, packed, and that signature's fine band keys."""
         bits, fine = [np.empty((0, SLOTS // 32), U64)], [np.empty((0, FINE_BANDS), np.int64)]
-        for piece in slices(texts):
+        for piece in slices(texts, PIECE):
             h, row, _ = shingles(piece, width)
             signature = bag_min_hash(*counted(mix(h), row), len(piece), SLOTS)
             codes = mix(signature.view(U64)) & U64(3)
@@ -334,7 +336,7 @@ def _node_column(text: Column) -> Column:
     @F.arrow_udf("binary")
     def node(texts: pa.Array) -> pa.Array:
         out = []
-        for piece in slices(texts):
+        for piece in slices(texts, PIECE):
             offsets, data = raw_bytes(piece)
             data = data.translate(ALNUM)
             for a, b in zip(offsets[:-1], offsets[1:]):
