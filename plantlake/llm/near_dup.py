@@ -53,12 +53,15 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 5
 #: Second look at buckets of several classes: rounds of stars, sketch slots, fine bands and their rows, nodes of a
-#: bucket up to which all its pairs are looked at, and the sketch's margin in standard deviations.
+#: bucket above which it is split by fine bands, and the sketch's margin in standard deviations.
 ROUNDS = 3
 SLOTS = 512
 FINE_BANDS, FINE_ROWS = 48, 8
 SMALL = 64
 SURE = 4.5
+#: Nodes on a side of a block of pairs that one task compares, and shingles on a side of a cell that it verifies.
+BLOCK = 512
+CELL_SHINGLES = 1 << 17
 #: Text bytes that are hashed at once: bounds the arrays a worker holds (about a hundred bytes per shingle).
 PIECE = 1 << 20
 _UNIT = 2.0 ** -53
@@ -234,15 +237,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = cut(_verified(star, texts, width, threshold))
     labels = components(nodes, links)
     # Buckets with several classes left: more stars with other leaders, in large buckets per fine band, so that
-    # what belongs together is joined; then the pairs of different classes that are left in the small buckets.
+    # what belongs together is joined; then all pairs of different classes that are left.
     sketches = None
     for step in range(ROUNDS + 1):
         rest = _open_rows(members, labels)
         if sketches is None:
             sketches = cut(rest.select("node").distinct().join(texts, "node").select(
                 "node", _sketch(width)("text").alias("s")).select("node", "s.*"))
-        pairs = _star_pairs(rest, sketches, step, threshold) if step < ROUNDS else _all_pairs(rest, sketches, threshold)
-        more = cut(_verified(pairs, texts, width, threshold))
+        if step < ROUNDS:
+            more = cut(_verified(_star_pairs(rest, sketches, step, threshold), texts, width, threshold))
+        else:
+            more = cut(_verified_in_cells(cut(_all_pairs(rest, sketches, threshold)), uniq, texts, width, threshold))
         if more.limit(1).count():
             links = cut(links.unionAll(more))
             labels = components(nodes, links)
@@ -298,16 +303,21 @@ def _can_be_similar(threshold: float) -> Column:
             & (F.col("y.weight") >= threshold * F.col("x.weight")) & (differ <= int(allowed)))
 
 
+def _groups(rest: DataFrame, sketches: DataFrame, fine: Column) -> DataFrame:
+    """(node, weight, label, sub) of the groups in which nodes meet: small buckets, or the ``fine`` bands of the nodes
+    of large ones; a node of several large buckets is in each of its fine bands once."""
+    bands = F.transform(fine, lambda f: F.xxhash64(F.lit("fine"), f))
+    sub = F.when(F.col("n") > SMALL, bands).otherwise(F.array(F.col("key")))
+    return rest.join(sketches.select("node", "fine"), "node").select("node", "weight", "label", F.explode(sub).alias("sub")) \
+        .distinct()
+
+
 def _star_pairs(rest: DataFrame, sketches: DataFrame, step: int, threshold: float) -> DataFrame:
     """Candidates (a, b) of every node with the leader of its group in this round, the smallest seeded hash.
 
     A group is a bucket or, of the nodes of large buckets, those that share a fine band of this round's half."""
     half = FINE_BANDS // 2
-    bands = F.transform(F.slice("fine", step % 2 * half + 1, half), lambda f: F.xxhash64(F.lit("fine"), f))
-    sub = F.when(F.col("n") > SMALL, bands).otherwise(F.array(F.col("key")))
-    # A node of several large buckets is in each of its fine bands once.
-    rows = rest.join(sketches.select("node", "fine"), "node").select("node", "weight", "label", F.explode(sub).alias("sub")) \
-        .distinct().withColumn("h", F.xxhash64("node", F.lit(step)))
+    rows = _groups(rest, sketches, F.slice("fine", step % 2 * half + 1, half)).withColumn("h", F.xxhash64("node", F.lit(step)))
     several = rows.groupBy("sub").agg(F.min("label").alias("least"), F.max("label").alias("most"),
                                       F.min("h").alias("lead")).filter("least != most").select("sub", "lead")
     rows = cut(rows.join(several, "sub").join(sketches.select("node", "bits"), "node"))
@@ -317,13 +327,70 @@ def _star_pairs(rest: DataFrame, sketches: DataFrame, step: int, threshold: floa
 
 
 def _all_pairs(rest: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Candidates (a, b) of all nodes of the buckets of at most ``SMALL`` nodes."""
-    rows = cut(rest.filter(F.col("n") <= SMALL).join(sketches.select("node", "bits"), "node"))
-    return rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                                & _can_be_similar(threshold)) \
+    """Candidates (a, b) of all nodes that share a group.
+
+    A group of several blocks of nodes is dealt out as pairs of blocks, so no task gets all pairs of a large one."""
+    rows = cut(_groups(rest, sketches, F.col("fine")))
+    several = rows.groupBy("sub").agg(F.min("label").alias("least"), F.max("label").alias("most"),
+                                      F.count(F.lit(1)).alias("m")).filter("least != most")
+    blocks = several.select("sub", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    rows = cut(rows.join(blocks, "sub").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int"))
+               .join(sketches.select("node", "bits"), "node"))
+    x = rows.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    y = rows.withColumn("other", F.explode(F.sequence(F.lit(0), "block")))
+    meet = ((F.col("x.sub") == F.col("y.sub")) & (F.col("x.block") == F.col("y.other"))
+            & (F.col("x.other") == F.col("y.block")))
+    once = (F.col("x.block") < F.col("y.block")) | (F.col("x.node") < F.col("y.node"))
+    return x.alias("x").join(y.alias("y"), meet & once & _can_be_similar(threshold)) \
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def _verified_in_cells(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links (a, b) that join the same nodes as those of ``pairs`` whose texts are similar enough.
+
+    The nodes are dealt into blocks of about ``CELL_SHINGLES``; a cell has the pairs between two blocks and each of
+    their texts once, and leaves out a pair whose nodes its links have joined already."""
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    weight = ends.join(nodes.select("node", "weight"), "node").agg(F.sum("weight")).first()[0] or 0
+    blocks = max(1, -(-weight // CELL_SHINGLES))
+    block = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit("cell")), F.lit(blocks))
+    cells = pairs.withColumn("i", F.least(block("a"), block("b"))).withColumn("j", F.greatest(block("a"), block("b")))
+    members = cells.select(F.col("i").alias("mi"), F.col("j").alias("mj"), F.explode(F.array("a", "b")).alias("node")) \
+        .distinct().join(texts, "node")
+
+    def verify(pairs: pa.Table, members: pa.Table) -> pa.Table:
+        text = dict(zip(members["node"].to_pylist(), range(len(members))))
+        bags: list[tuple] = []
+        for chunk in members["text"].chunks:
+            for piece in slices(chunk, PIECE):
+                h, row, w = counted(*shingles(piece, width)[:2])
+                at = np.searchsorted(row, np.arange(len(piece) + 1))
+                bags += [(h[p:q], w[p:q]) for p, q in zip(at[:-1], at[1:])]
+        root = list(range(len(bags)))
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        links: list[tuple] = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+            ra, rb = find(text[a]), find(text[b])
+            if ra == rb:
+                continue
+            (ha, wa), (hb, wb) = bags[text[a]], bags[text[b]]
+            at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
+            both = hb[at] == ha
+            common = int(np.minimum(wa[both], wb[at[both]]).sum())
+            if common / (int(wa.sum()) + int(wb.sum()) - common) >= threshold:
+                root[ra] = rb
+                links.append((a, b))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+
+    return cells.groupBy("i", "j").cogroup(members.groupBy("mi", "mj")).applyInArrow(verify, "a binary, b binary")
+
+
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the ``wanted`` (node, first) rows; equal ids with other texts are told apart by the digest."""
     some = rows.alias("r").join(wanted.alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.first"))) \
