@@ -1,9 +1,11 @@
-"""Language-model scoring with an Elias-Fano n-gram trie (words and word pairs).
+"""Language-model scoring with an Elias-Fano n-gram trie (words, word pairs and triples).
 
 Model: the probability of a word after a word is the pair's count with a
 Dirichlet prior on the word's own probability,
 ``(c(v, w) + MU * p(w)) / (c(v) + MU)`` with ``p(w) = (c(w) + 1) / (N + V + 1)``;
-the missing 1 / (N + V + 1) is that of all unknown words.  Every text starts
+the missing 1 / (N + V + 1) is that of all unknown words.  With ``order`` 3,
+behind a pair that was seen it is the triple's count with a Dirichlet prior on
+that, ``(c(u, v, w) + MU * p(w | v)) / (c(u, v) + MU)``.  Every text starts
 from a begin mark and ends with an end mark.
 
 Trie: level 1 holds the words as their sorted 64-bit hashes (Elias-Fano) with
@@ -16,11 +18,15 @@ monotone pointers to their ranges, and the followers (made monotone by adding
 range number * (V + 1)) are Elias-Fano sequences; beside them stand the
 probabilities, quantised to 16 bits of a uniform grid over log10.  A query
 finds the word's range, then searches the follower's successor relative to
-that range.  Workers memory-map the files.
+that range.  Level 3 has the same sequences over the pairs' places in their
+level-2 segments and the words behind them, with exact counts; its segment is
+the pair's segment plus a hash of the last word, so a place names one pair
+there and a frequent pair or word is dealt over all segments.  Counts are
+bytes, the few larger ones are listed apart.  Workers memory-map the files.
 
-Training is two passes over the training texts.  Each task counts its texts
+Training is a pass over the training texts per level.  Each task counts its texts
 in numpy and sends one row of packed counts per segment, so a shuffle carries
-about six bytes per distinct pair of a task, and a word or pair that fills a
+about six bytes per distinct pair of a task, and a word, pair or triple that fills a
 third of the corpus is one entry per task.  The number of segments is the
 training text's bytes / ``SEGMENT_BYTES``, so a segment's build does not grow
 with the corpus.  Scoring is a map over all texts.
@@ -49,6 +55,7 @@ from .elias_fano import EliasFano, read_level, write_level
 from .shared import cut, new_folder
 
 MU = 4.0
+ORDER = 2  # of ``score``'s model unless asked for 3
 SEGMENT_BYTES = 16 << 20
 FOLDS, HELD_OUT = 7, 2
 HOLD_KEYS = 1 << 21  # entries that a task gathers before it sends them on
@@ -82,13 +89,16 @@ def _tokens(piece: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return offsets + np.arange(n + 1), index, np.append(table, U64(_END))
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys with their summed counts."""
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray], segments: list[np.ndarray] | None = None):
+    """Sorted distinct keys with their summed counts; with ``segments``, of each segment, and the segments."""
     key, count = np.concatenate([np.empty(0, U64), *keys]), np.concatenate([np.empty(0, np.int64), *counts])
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1])))
-    return key[first], np.add.reduceat(count[order], first) if len(key) else count
+    segment = np.zeros(len(key), np.int32) if segments is None else np.concatenate(segments)
+    order = np.argsort(key, kind="stable") if segments is None else np.lexsort((key, segment))
+    key, segment = key[order], segment[order]
+    new = (key[1:] != key[:-1]) | (segment[1:] != segment[:-1])
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), new)))
+    merged = key[first], np.add.reduceat(count[order], first) if len(key) else count
+    return merged if segments is None else (*merged, segment[first])
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -128,26 +138,34 @@ def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return _merged(keys, counts)
 
 
-def _counted(texts: DataFrame, count_slice, segment_of) -> DataFrame:
-    """Packed counts per (task, segment) of a one-column frame of texts."""
+def _counted(texts: DataFrame, count_slice, segment_of=None) -> DataFrame:
+    """Packed counts per (task, segment) of a one-column frame of texts.
+
+    Without ``segment_of``, the slices' counts come with their segments, and a key belongs to its segment."""
+
+    def merged(keys, counts, segments):
+        return _merged(keys, counts) if segment_of else _merged(keys, counts, segments)
+
+    def packed(k, c, *segment):
+        return _packed_rows(k, c, *(segment or (segment_of(k),)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
+        keys, counts, segments, held = [], [], [], 0
         for batch in batches:
             for piece in slices(batch.column(0)):
-                k, c = count_slice(piece)
+                k, c, *segment = count_slice(piece)
                 keys.append(k)
                 counts.append(c)
+                segments += segment
                 held += len(k)
                 if held > HOLD_KEYS:
-                    keys, counts = ([x] for x in _merged(keys, counts))
-                    held = len(keys[0])
+                    k, c, *segment = merged(keys, counts, segments)
+                    keys, counts, segments, held = [k], [c], segment, len(k)
                     if held > HOLD_KEYS // 2:
-                        yield from _packed_rows(keys[0], counts[0], segment_of(keys[0]))
-                        keys, counts, held = [], [], 0
+                        yield from packed(k, c, *segment)
+                        keys, counts, segments, held = [], [], [], 0
         if held:
-            k, c = _merged(keys, counts)
-            yield from _packed_rows(k, c, segment_of(k))
+            yield from packed(*merged(keys, counts, segments))
 
     return texts.mapInArrow(run, _PACKED)
 
@@ -173,6 +191,7 @@ class Model:
     tokens: int
     texts: int
     mu: float
+    order: int
 
     @property
     def types(self) -> int:
@@ -239,11 +258,61 @@ def _pairs(model: Model, piece: pa.Array):
     return offsets, count[index], previous, words
 
 
+def _triples(model: Model, offsets: np.ndarray, words: np.ndarray, segment: np.ndarray, place: np.ndarray):
+    """(tokens, segment, key) of the tokens of known words behind a pair that was seen; ``segment`` and ``place``
+    are those of the pair that ends at each token (-1: none)."""
+    inside = np.ones(len(words), bool)
+    inside[offsets[:-1]] = False
+    at = np.flatnonzero(inside & (words >= 0))
+    at = at[place[at - 1] >= 0]
+    word = words[at].astype(U64)
+    shift = ((mix(word + U64(1)) >> U64(32)) * U64(model.segments) >> U64(32)).astype(np.int64)
+    return at, (segment[at - 1] + shift) % model.segments, place[at - 1].astype(U64) << U64(32) | word
+
+
+def _ranges(keys: np.ndarray, types: int) -> tuple[dict[str, EliasFano], np.ndarray, np.ndarray]:
+    """Sequences of sorted (head, word) keys of two 32-bit numbers, and the heads with their numbers of followers."""
+    head, word = keys >> U64(32), keys & U64(0xFFFFFFFF)
+    heads, first = np.unique(head, return_index=True)
+    first = np.append(first, len(keys))
+    lengths = np.diff(first)
+    follower = np.repeat(np.arange(len(heads)), lengths).astype(U64) * U64(types + 1) + word
+    return {"heads": EliasFano.build(heads, int(heads[-1]) + 1 if len(heads) else 1),
+            "pointers": EliasFano.build(first.astype(U64), len(keys) + 1),
+            "followers": EliasFano.build(follower, len(heads) * (types + 1) + 1)}, heads.astype(np.int64), lengths
+
+
+def _find(seqs: dict[str, EliasFano], keys: np.ndarray, types: int) -> np.ndarray:
+    """Place of each (head, word) key, or -1."""
+    out = np.full(len(keys), -1, np.int64)
+    head = seqs["heads"].find(keys >> U64(32))
+    known = np.flatnonzero(head >= 0)
+    head, word = head[known], keys[known] & U64(0xFFFFFFFF)
+    start, end = (seqs["pointers"].get(i).astype(np.int64) for i in (head, head + 1))
+    out[known] = seqs["followers"].find(head.astype(U64) * U64(types + 1) + word, start, end)
+    return out
+
+
+def _bytes_of(counts: np.ndarray) -> tuple[EliasFano, dict[str, np.ndarray]]:
+    """Counts as bytes: 255 stands for the larger ones, whose places are the sequence."""
+    large = np.flatnonzero(counts >= 255)
+    return (EliasFano.build(large.astype(U64), len(counts) + 1),
+            {"count": np.minimum(counts, 255).astype(np.uint8), "large_counts": counts[large].astype("<u8")})
+
+
+def _count_at(seqs: dict[str, EliasFano], plain: dict[str, np.ndarray], place: np.ndarray) -> np.ndarray:
+    out = plain["count"][place].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    if len(large):
+        out[large] = plain["large_counts"][seqs["large"].find(place[large].astype(U64))]
+    return out
+
+
 def _word_log10(model: Model, count: np.ndarray) -> np.ndarray:
     return np.log10(count + 1.0) + model.unseen()
 
 
-def train(texts: DataFrame, *, mu: float = MU, segment_bytes: int = SEGMENT_BYTES) -> Model:
+def train(texts: DataFrame, *, mu: float = MU, segment_bytes: int = SEGMENT_BYTES, order: int = ORDER) -> Model:
     """Build the model's levels in the shared folder from a one-column frame of training texts."""
     spark = texts.sparkSession
     texts = texts.select(F.coalesce(F.col(texts.columns[0]), F.lit("")).alias("text"))
@@ -267,7 +336,7 @@ def train(texts: DataFrame, *, mu: float = MU, segment_bytes: int = SEGMENT_BYTE
     sizes = {r["segment"]: (r["types"], r["tokens"]) for r in built.toLocalIterator()}  # a row per segment
     types = [sizes.get(s, (0, 0))[0] for s in range(segments)]
     model = Model(folder, segments, tuple(np.cumsum([0, *types]).tolist()),
-                  sum(t for _, t in sizes.values()), n_texts, mu)
+                  sum(t for _, t in sizes.values()), n_texts, mu, order)
     if model.types >= 1 << 32:
         raise ValueError("pairs are packed from two 32-bit word numbers")
     shared = spark.sparkContext.broadcast(model)
@@ -279,40 +348,73 @@ def train(texts: DataFrame, *, mu: float = MU, segment_bytes: int = SEGMENT_BYTE
     def build_pairs(rows: pd.DataFrame) -> pd.DataFrame:
         s, m = int(rows["segment"].iloc[0]), shared.value
         keys, counts = _unpacked(rows)
-        previous, words = (keys >> U64(32)).astype(np.int64), (keys & U64(0xFFFFFFFF)).astype(np.int64)
-        heads, first = np.unique(previous, return_index=True)
-        lengths = np.diff(np.append(first, len(keys)))
-        follower = np.repeat(np.arange(len(heads)), lengths).astype(U64) * U64(m.types + 1) + words.astype(U64)
+        words = (keys & U64(0xFFFFFFFF)).astype(np.int64)
+        seqs, heads, lengths = _ranges(keys, m.types)
         base = np.repeat(_counts_of(m, heads), lengths)
         p = (counts + m.mu * 10 ** _word_log10(m, _counts_of(m, words))) / (base + m.mu)
         level = np.clip(np.rint((np.log10(p) - _FLOOR) / _STEP), 0, 65535).astype(np.uint16)
-        write_level(f"{m.folder}/pairs-{s:07d}", {}, {
-            "heads": EliasFano.build(heads.astype(U64), m.types + 1),
-            "pointers": EliasFano.build(np.append(first, len(keys)).astype(U64), len(keys) + 1),
-            "followers": EliasFano.build(follower, len(heads) * (m.types + 1) + 1)}, {"log10p": level})
+        plain = {"log10p": level}
+        if m.order > 2:
+            seqs["large"], exact = _bytes_of(counts)
+            plain |= exact
+        write_level(f"{m.folder}/pairs-{s:07d}", {}, seqs, plain)
         return pd.DataFrame({"segment": [s], "pairs": [len(keys)]})
 
     counted = _counted(texts, count_pairs, lambda k: _pair_segment(k, segments))
     cut(counted.groupBy("segment").applyInPandas(build_pairs, "segment int, pairs bigint"))
+    if order < 3:
+        return model
+
+    def count_triples(piece):
+        m = shared.value
+        offsets, _, previous, words = _pairs(m, piece)
+        keys, inverse = np.unique(previous.astype(U64) << U64(32) | words.astype(U64), return_inverse=True)
+        segment, place, _, _ = _pair_entries(m, keys)
+        _, segment, key = _triples(m, offsets, words, segment[inverse], place[inverse])
+        k, c, of = _merged([key], [np.ones(len(key), np.int64)], [segment])
+        return k, c, of
+
+    def build_triples(rows: pd.DataFrame) -> pd.DataFrame:
+        s, m = int(rows["segment"].iloc[0]), shared.value
+        keys, counts = _unpacked(rows)
+        seqs, _, _ = _ranges(keys, m.types)
+        seqs["large"], plain = _bytes_of(counts)
+        write_level(f"{m.folder}/triples-{s:07d}", {}, seqs, plain)
+        return pd.DataFrame({"segment": [s], "triples": [len(keys)]})
+
+    cut(_counted(texts, count_triples).groupBy("segment").applyInPandas(build_triples, "segment int, triples bigint"))
     return model
 
 
-def _pair_log10(model: Model, keys: np.ndarray) -> np.ndarray:
-    """Quantised log10 probability of each packed pair, or NaN where the pair was not seen."""
-    out = np.full(len(keys), np.nan)
+def _pair_entries(model: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, place, count, quantised log10 probability) of each packed pair; -1, -1, 0 and NaN where the pair was
+    not seen, and counts are read for order 3 only."""
+    segment, place = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
+    count, log10p = np.zeros(len(keys), np.int64), np.full(len(keys), np.nan)
     for s, at in _groups(_pair_segment(keys, model.segments)):
         try:
             _, seqs, plain = _level(f"{model.folder}/pairs-{s:07d}")
         except FileNotFoundError:  # no pair fell into this segment
             continue
-        key = keys[at]
-        head = seqs["heads"].find(key >> U64(32))
-        known = np.flatnonzero(head >= 0)
-        head, at, word = head[known], at[known], key[known] & U64(0xFFFFFFFF)
-        start, end = (seqs["pointers"].get(i).astype(np.int64) for i in (head, head + 1))
-        place = seqs["followers"].find(head.astype(U64) * U64(model.types + 1) + word, start, end)
-        hit = place >= 0
-        out[at[hit]] = plain["log10p"][place[hit]] * _STEP + _FLOOR
+        found = _find(seqs, keys[at], model.types)
+        at, found = at[found >= 0], found[found >= 0]
+        segment[at], place[at] = s, found
+        log10p[at] = plain["log10p"][found] * _STEP + _FLOOR
+        if model.order > 2:
+            count[at] = _count_at(seqs, plain, found)
+    return segment, place, count, log10p
+
+
+def _triple_counts(model: Model, segment: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Count of each triple, 0 where it was not seen."""
+    out = np.zeros(len(keys), np.int64)
+    for s, at in _groups(segment):
+        try:
+            _, seqs, plain = _level(f"{model.folder}/triples-{s:07d}")
+        except FileNotFoundError:  # no triple fell into this segment
+            continue
+        found = _find(seqs, keys[at], model.types)
+        out[at[found >= 0]] = _count_at(seqs, plain, found[found >= 0])
     return out
 
 
@@ -328,8 +430,21 @@ def _score_slice(model: Model, piece: pa.Array):
     score[after] += np.log10(model.mu / (base + model.mu))[inverse]
     both = np.flatnonzero((previous >= 0) & (words >= 0))
     keys, inverse = np.unique(previous[both].astype(U64) << U64(32) | words[both].astype(U64), return_inverse=True)
-    seen = _pair_log10(model, keys)[inverse]
+    entry = _pair_entries(model, keys)
+    seen = entry[3][inverse]
     score[both] = np.where(np.isnan(seen), score[both], seen)
+    if model.order > 2:
+        segment, place, pair_count = (np.full(len(words), -1, np.int64) for _ in range(3))
+        segment[both], place[both], pair_count[both] = (x[inverse] for x in entry[:3])
+        inside = np.ones(len(words), bool)
+        inside[offsets[:-1]] = False
+        behind = np.flatnonzero(inside)
+        behind = behind[place[behind - 1] >= 0]  # a pair that was seen is the context
+        triples = np.zeros(len(words), np.int64)
+        at, segment, key = _triples(model, offsets, words, segment, place)
+        triples[at] = _triple_counts(model, segment, key)
+        base = pair_count[behind - 1]
+        score[behind] = np.log10((triples[behind] + model.mu * 10 ** score[behind]) / (base + model.mu))
     per_row = lambda x: np.bincount(rows, x, minlength=n)
     return np.diff(offsets), per_row(count > 0).astype(np.int64), per_row(alone), per_row(score)
 

@@ -100,7 +100,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_score import score
-    return score(table(spark, sf_dir, "documents"))
+    return score(table(spark, sf_dir, "documents"), order=3)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

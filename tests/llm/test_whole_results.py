@@ -1,8 +1,17 @@
 """Cases in which an operator once gave less than the whole result."""
-from plantlake.llm import near_dup
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from plantlake.llm import lm_score, near_dup
+from plantlake.llm import queries as Q
 
 from .test_corpus_operators import bag, similarity
-from .test_text_operators import frame
+from .test_text_operators import SF, frame
 
 
 def test_pairs_of_a_template_family_are_found(spark):
@@ -14,3 +23,47 @@ def test_pairs_of_a_template_family_are_found(spark):
     assert similarity(bags[0], bags[1]) >= 0.8 and similarity(bags[0], bags[2]) < 0.78
     got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(frame(spark, list(enumerate(texts)))).collect()}
     assert got == {i: i // 2 * 2 for i in range(500)}
+
+
+def brute_order_3(rows):
+    one, two, three, texts = Counter(), Counter(), Counter(), 0
+    split = lambda t: [*re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()), None]
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            ws, texts = ["<s>", *split(t)], texts + 1
+            one.update(ws[1:])
+            two.update(zip(ws, ws[1:]))
+            three.update(zip(ws, ws[1:], ws[2:]))
+    n, v = sum(one.values()), len(one)
+    out = {}
+    for i, t in rows:
+        ws, total = ["<s>", *split(t)], 0.0
+        for k in range(1, len(ws)):
+            p = (one[ws[k]] + 1) / (n + v + 1)
+            p = (two[ws[k - 1], ws[k]] + 4 * p) / ((texts if k == 1 else one[ws[k - 1]]) + 4)
+            if k > 1:
+                p = (three[ws[k - 2], ws[k - 1], ws[k]] + 4 * p) / (two[ws[k - 2], ws[k - 1]] + 4)
+            total += math.log10(p)
+        out[i] = total, len(ws) - 1
+    return out
+
+
+@pytest.mark.parametrize("segment_bytes", [16 << 20, 2000])
+def test_scores_of_order_3_equal_brute_force(spark, segment_bytes):
+    rng = random.Random(3)
+    vocab = ["The", "of", "b", "c,", "d", "x" * 300]
+    rows = [(i, " ".join(rng.choices(vocab, k=rng.randrange(40)))) for i in range(120)]
+    rows += [(200, ""), (201, "the of b " * 5000), *((i, f"only {i} of the rest") for i in range(300, 330))]
+    got = lm_score.score(frame(spark, rows), segment_bytes=segment_bytes, order=3).collect()
+    want = brute_order_3(rows)
+    assert len(got) == len(want)
+    for r in got:
+        total, n = want[r["doc_id"]]
+        assert r["score"] == pytest.approx(total, abs=1e-6 + n * lm_score._STEP)
+
+
+def test_the_query_scores_with_order_3(spark):
+    want = brute_order_3([(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()])
+    for r in Q.op10_lm_score(spark, SF).collect():
+        total, n = want[r["doc_id"]]
+        assert r["score"] == pytest.approx(total, abs=1e-6 + n * lm_score._STEP)
