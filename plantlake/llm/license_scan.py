@@ -5,10 +5,12 @@ digits, and characters above U+007F).  The hashes of ``K`` consecutive words
 are winnowed (the smallest of every ``W`` in a row), so a shared run of
 ``K + W - 1`` words always shares a fingerprint.  The templates' fingerprints
 form an inverted index: fingerprint -> (template, place).  A document's
-winnowed hashes found there vote for a template and a diagonal; votes within
-``BAND`` diagonals form one candidate, and the template is aligned to the
-document in a band around it: the longest common word sequence with at most
-``BAND`` words skipped either way.  A match is reported if it covers at least
+winnowed hashes found there vote for a template and a diagonal.  Votes that
+advance in both texts, each within ``BAND`` diagonals of the one before, chain
+into one candidate, so every occurrence is its own.  The template is aligned
+to the document in a band around the chain, between the chains of other
+occurrences: the longest common word sequence with at most ``BAND`` words
+skipped either way between votes.  A match is reported if it covers at least
 ``MIN_COVERAGE`` of the template.
 
 Spark part: a map over the text column; the index depends on the fixed
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +107,8 @@ class Index:
         self.seen[(self.keys & U64(0xFFFF)).astype(np.int64)] = True
 
     def candidates(self, offsets: np.ndarray, h: np.ndarray):
-        """(row, template, diagonal, first word, last word) of the vote groups of a slice of documents."""
+        """(row, template, diagonal, spread, start, end) of the vote chains of a slice of documents; the words of
+        the occurrence lie in [start, end) of its row."""
         grams = rolling(h, K)
         at = np.flatnonzero(self.seen[(grams & U64(0xFFFF)).astype(np.int64)])
         at = at[self.keys[np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)] == grams[at]]
@@ -127,20 +131,57 @@ class Index:
             a = int(np.searchsorted(self.keys, grams[i], side="left"))
             while a < len(self.keys) and self.keys[a] == grams[i]:
                 where = i - int(offsets[r])
-                votes.append((r, int(self.template[a]), where - int(self.place[a]), where))
+                votes.append((r, int(self.template[a]), where, int(self.place[a])))
                 a += 1
-        groups: list[list] = []
-        for r, t, diagonal, where in sorted(votes):
-            g = groups[-1] if groups else None
-            if g and g[0] == r and g[1] == t and diagonal - g[3] <= BAND:
-                g[3] = diagonal
-            else:
-                groups.append([r, t, diagonal, diagonal])
-        return [(r, t, (a + b) // 2, b - a) for r, t, a, b in groups]
+        out: list[tuple] = []
+        for (r, t), group in groupby(sorted(votes), key=lambda v: v[:2]):
+            out += [(r, t, *c) for c in _chains([v[2:] for v in group], len(self.words[t]))]
+        return out
+
+
+def _chains(votes: list[tuple[int, int]], size: int) -> list[tuple[int, int, int, int]]:
+    """(diagonal, spread, start, end) per chain of one template's (word, place) votes in one document."""
+    chains: list[list[int]] = []  # first word, first diagonal, last word, last place, least and largest diagonal
+    live: list[list[int]] = []
+    for where, place in votes:
+        d = where - place
+        live = [c for c in live if where - c[2] <= size + BAND]
+        fits = [c for c in live if c[2] < where and c[3] < place and abs(d - c[2] + c[3]) <= BAND]
+        if fits:
+            c = min(reversed(fits), key=lambda c: abs(d - c[2] + c[3]))
+            c[2:] = [where, place, min(c[4], d), max(c[5], d)]
+        else:
+            chains.append([where, d, where, place, d, d])
+            live.append(chains[-1])
+    # An occurrence ends before the next one's first vote and starts behind the last vote of the one before;
+    # a chain is the next one if its own start lies behind this chain's last vote.
+    ends = np.array([c[2] + K for c in chains])
+    firsts, starts = np.array([c[0] for c in chains]), np.array([c[1] for c in chains])
+    reach = 2 * (size + BAND)
+    out = []
+    for first, start, last, place, low, high in chains:
+        lo, hi = low - BAND, last + size - place + BAND
+        a, b = np.searchsorted(firsts, [first - reach * BAND, hi])  # chains are sorted by their first vote
+        after = firsts[a:b][starts[a:b] >= last + K]
+        before = ends[a:b][ends[a:b] <= start]
+        out.append(((low + high) // 2, high - low, max(0, lo, int(before.max(initial=0))), int(after.min(initial=hi))))
+    return out
 
 
 def align(template: np.ndarray, words: np.ndarray, diagonal: int, spread: int) -> tuple[int, int, int]:
-    """(common words, first word, last word + 1): longest common sequence in a band around the diagonal."""
+    """(common words, first word, last word + 1): longest common sequence in a band around the diagonal, the one
+    that ends first and of these one that starts last."""
+    common, _, last = _align(template, words, diagonal, spread)
+    if not common:
+        return common, -1, -1
+    # From behind: the template's last word meets word ``last - 1`` or one before it.
+    n, m = last, len(template)
+    back = _align(template[::-1], words[:last][::-1], n - m - diagonal, spread)
+    return common, n - back[2], last
+
+
+def _align(template: np.ndarray, words: np.ndarray, diagonal: int, spread: int) -> tuple[int, int, int]:
+    """(common words, first word, last word + 1) of the longest common sequence that ends first."""
     m, reach = len(template), BAND + spread
     width = 2 * reach + 1
     best = np.zeros((m + 1, width), np.int32)
@@ -176,12 +217,12 @@ def _slice_matches(piece: pa.Array) -> list[list[dict]]:
     offsets, words = split_words(translated(piece, ALNUM))
     h = hashed(words)
     found: dict[int, list] = {}
-    for r, t, diagonal, spread in index.candidates(offsets, h):
-        own, template = h[offsets[r]:offsets[r + 1]], index.words[t]
-        common, first, last = align(template, own, diagonal, spread)
+    for r, t, diagonal, spread, start, end in index.candidates(offsets, h):
+        own, template = h[offsets[r] + start:min(offsets[r] + end, offsets[r + 1])], index.words[t]
+        common, first, last = align(template, own, diagonal - start, spread)
         coverage = common / len(template)
         if coverage >= MIN_COVERAGE:
-            found.setdefault(r, []).append((t, -coverage, first, last))
+            found.setdefault(r, []).append((t, -coverage, first + start, last + start))
     out: list[list[dict]] = [[] for _ in range(len(piece))]
     for r, matches in found.items():
         places = [m.span() for m in _WORD.finditer(piece[r].as_py())]

@@ -9,6 +9,7 @@ import pytest
 
 from plantlake.llm import lm_score, near_dup
 from plantlake.llm import queries as Q
+from plantlake.llm.license_scan import TEMPLATES, scan_licenses
 
 from .test_corpus_operators import bag, similarity
 from .test_text_operators import SF, frame
@@ -67,3 +68,26 @@ def test_the_query_scores_with_order_3(spark):
     for r in Q.op10_lm_score(spark, SF).collect():
         total, n = want[r["doc_id"]]
         assert r["score"] == pytest.approx(total, abs=1e-6 + n * lm_score._STEP)
+
+
+def test_each_of_many_notices_is_reported(spark):
+    """Notices that follow each other, with little or no text between: one span each, as it was written."""
+    rng, rows, want = random.Random(1), [], {}
+    for i, (name, notice) in enumerate(TEMPLATES.items()):
+        text, want[i] = "", []
+        for _ in range(6):
+            text += "and " * rng.randrange(4)
+            want[i].append((name, len(text), len(text.rstrip() + " " * (len(text) - len(text.rstrip())) + notice.rstrip("."))))
+            text += notice + " "
+        rows.append((i, text))
+    got = scan_licenses(frame(spark, rows), into="m").collect()
+    for r in got:
+        mine = [(m["license"], m["start"], m["end"]) for m in r["m"] if m["license"] == want[r["doc_id"]][0][0]]
+        assert mine == want[r["doc_id"]], r["text"][:60]
+
+
+def test_a_notice_with_many_insertions_stays_one_match(spark):
+    ws = TEMPLATES["MIT"].split()
+    text = " ".join(w + " new words put in" * (i % 25 == 24) for i, w in enumerate(ws))
+    m = [m for m in scan_licenses(frame(spark, [(1, text)]), into="m").first()["m"] if m["license"] == "MIT"]
+    assert [(x["start"], x["end"], x["coverage"]) for x in m] == [(0, len(text.rstrip(".")), 1.0)]
