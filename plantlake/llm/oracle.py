@@ -77,7 +77,7 @@ _PHRASES = "|".join(("all rights reserved", "cookie policy", "privacy policy", "
                      "enable javascript", "click here", "subscribe to our newsletter", "sign up for", "log in to",
                      "powered by", "skip to content", "share on"))
 _CLOSED = "regexp_matches(tr, '[.!?\\x{2026}\\x{3002}\\x{FF01}\\x{FF1F}][\"'')\\]\\x{201D}\\x{2019}\\x{BB}]*$')"
-_NAV = "regexp_matches(tr, '(?:[^|\\x{BB}\\x{203A}\\x{B7}\\x{2022}>]*[|\\x{BB}\\x{203A}\\x{B7}\\x{2022}>]){2}')"
+_SEPARATORS = "len(regexp_extract_all(tr, '[|\\x{BB}\\x{203A}\\x{B7}\\x{2022}>]'))"
 
 _OP3 = f"""
 WITH doc AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
@@ -94,7 +94,7 @@ line AS (
   FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM doc)),
 lines AS (
   SELECT rid, count(*) - count(DISTINCT l) AS n_dup,
-         sum(n) FILTER (({_CLOSED} OR (n >= 5 AND NOT {_NAV}))
+         sum(n) FILTER (CASE WHEN {_SEPARATORS} < 2 THEN {_CLOSED} OR n >= 5 ELSE 3 * {_SEPARATORS} < n AND {_CLOSED} END
                         AND 2 * len(regexp_extract_all(tr, '[#*$%&|<>]')) <= n
                         AND NOT regexp_matches(lower(tr), '{_PHRASES}')) AS n_clean
   FROM line WHERE n > 0 GROUP BY rid),
@@ -177,7 +177,31 @@ SELECT page_id, strlen(p)::BIGINT AS payload_bytes,
 FROM five JOIN first USING (p)
 """
 
+_UNITS = "regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+')"
+
+_OP11 = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_UNITS} AS u,
+         sha256(concat('42:', coalesce(doc_id::VARCHAR, ''))) AS d FROM documents),
+draw AS (
+  SELECT *, len(u) AS n, list_transform(range(4), lambda g: ('0x' || substr(d, 8 * g::INT + 1, 8))::BIGINT) AS h FROM doc),
+cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS p, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS m,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50
+              THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM draw),
+part AS (
+  SELECT *, array_to_string(u[1:p], '') AS pre, array_to_string(u[p + 1:m], '') AS mid,
+         array_to_string(u[m + 1:n], '') AS suf FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+                        ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM part
+"""
+
 ORACLE = {
+    "op11_fill_middle": _OP11,
     "op3_quality_rules": _OP3,
     "op5_url_filter": _OP5,
     "op6_mixing": _OP6,

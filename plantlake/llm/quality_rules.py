@@ -3,7 +3,8 @@
 A line (split at \\n) without words is neither kept nor lost.  A line fails if
 - punctuation: it has fewer than ``SHORT`` words and no closing mark at its
   end, or more than one symbol of ``#*$%&|<>`` for every two words;
-- navigation: it has two or more separators and no closing mark at its end;
+- navigation: it has two or more separators, and no closing mark at its end
+  or a separator for every three words (separators between blanks are words);
 - boilerplate: it has one of the fixed phrases.
 What is left is ``clean_text``.  A document is rejected by its base counts
 (fewer than 50 words, or more than half of its words in repeated 3-word
@@ -48,9 +49,10 @@ def _has_phrase(text: Column) -> Column:
 
 
 def _is_sentence(line: Column) -> Column:
-    """Closed, or long enough and without separators."""
-    return line.rlike(CLOSED) | ((F.regexp_count(line, F.lit(WORD)) >= SHORT)
-                                 & (F.regexp_count(line, F.lit(SEPARATOR)) < 2))
+    """Closed, or long enough and without separators; no closing mark makes up for a chain of separators."""
+    words, separators = F.regexp_count(line, F.lit(WORD)), F.regexp_count(line, F.lit(SEPARATOR))
+    return F.when(separators < 2, line.rlike(CLOSED) | (words >= SHORT)).otherwise(
+        (3 * separators < words) & line.rlike(CLOSED))
 
 
 def line_passes(line: Column) -> Column:

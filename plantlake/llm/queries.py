@@ -103,6 +103,26 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), order=3)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fill_middle import restore, transform
+    cut = transform(table(spark, sf_dir, "documents").select("doc_id", "text"), into="r")
+    return cut.select("doc_id", "r.n", "r.form", "r.prefix_chars", "r.middle_chars",
+                      F.sha2("r.output", 256).alias("output_sha256"),
+                      F.sha2(restore(F.col("r.output"), F.col("r.form")), 256).alias("restored_sha256"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import judge
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, table(spark, sf_dir, "labels"), into="r").select("doc_id", "r.held_out", "r.score", "r.predicted")
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_align import align
+    aligned = align(table(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumn("groups_sha256", F.coalesce("groups", F.lit(""))).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id,
@@ -115,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_license_scan,
         op10_lm_score,
+        op11_fill_middle,
+        op12_toxicity,
+        op13_token_align,
         language_id_pages,
     )
 }

@@ -127,9 +127,9 @@ def test_secret_columns_and_edges(spark):
            for r in scan_secrets(docs, into="found").collect()}
     assert got[1] == [("assign", 2, 20)] and got[2] == [] and got[3] == []
     assert got[4] == [("hex", 0, 100_000)]
-    assert got[5] == [("assign", 0, 22), ("hex", 23, 40)]
+    assert got[5] == [("assign", 0, 21), ("hex", 23, 40)]  # the closing quote is not part of the secret
     masked = {r["doc_id"]: r["text"] for r in redact_secrets(docs).collect()}
-    assert masked[1] == "é [SECRET] é" and masked[2] is None and masked[5] == "[SECRET] [SECRET]"
+    assert masked[1] == "é [SECRET] é" and masked[2] is None and masked[5] == "[SECRET]' [SECRET]"
     assert scan_secrets(frame(spark, []), into="found").count() == 0
 
 
@@ -163,7 +163,9 @@ def test_quality_rules_by_line(spark):
     good = " ".join(f"word{i}" for i in range(60)) + "."
     text = "\n".join([good, "Home | News | About | Contact | Shop | Help", "Menu", "All rights reserved by them now ok.",
                       "a### b$$$ c%%% d*** e&&&."])
-    r = judge(frame(spark, [(1, text), (2, good.replace(" ", " | "))])).orderBy("doc_id").collect()
+    quoted = good.replace("word7 ", "word7 > word8 | ")
+    r = judge(frame(spark, [(1, text), (2, good.replace(" ", " | ")), (3, quoted)])).orderBy("doc_id").collect()
+    assert r[2]["kept"] and r[2]["clean_text"] == quoted  # a few separators in a closed sentence do no harm
     assert r[0]["clean_text"] == good and r[0]["kept"]
     assert not r[1]["kept"] and not r[1]["base_failed"]
 
