@@ -22,6 +22,25 @@ def test_every_query_has_oracle():
     assert set(q) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_library_stands_alone(tmp_path):
+    """A copy without the optional subpackage, but with the pipeline beside it, registers the other queries."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    from plantlake.plans import registry
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    shutil.copytree(os.path.join(root, "plantlake"), tmp_path / "plantlake",
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(os.path.join(root, name)):
+            shutil.copy(os.path.join(root, name), tmp_path)
+    code = "import __spark_entry__ as E; print(*sorted(E.queries())); print(*sorted(E.oracle_sql()))"
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}).stdout.splitlines()
+    assert got[0].split() == sorted(registry.queries()) and set(got[1].split()) <= set(got[0].split())
+
+
 def test_oracle_matches_on_small_data(spark):
     """A few queries end to end against DuckDB at sf0.001 (the full check runs at sf0.01)."""
     import os
