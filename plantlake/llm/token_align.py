@@ -45,16 +45,16 @@ from .arrow_text import slices
 from .shared import cut
 
 SLICE_BYTES = 1 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 PIECE_CHARS = 1 << 20
-MEMO = 1 << 18  # windows that a task remembers
+MEMO = 1 << 17  # windows that a task remembers
 MEMO_IDS = 64  # ids of a window that is worth remembering
 TOKENIZER_FOLDER = "/opt/tokenizers"
 #: The byte-level pattern; texts of Latin letters are split by it, others by the tokenizer's own library.
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _OTHER = re.compile("[^\x00-ɏ‐-‧€]")
-_BLANKS = re.compile(r"\s{200}")
-LONG_WORD = 2000
+LONG_TEXT = 20_000  # characters, above which runs are looked at that the faster library is slow on
+_LONG_RUN = re.compile(r"(?<!\S)\S{2000}|(?<!\s)\s{2000}")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -98,11 +98,13 @@ class ByteLevel:
         self.fast = tiktoken.Encoding("a", pat_str=_PATTERN, mergeable_ranks=ranks,
                                       special_tokens={}) if len(ranks) == 256 + len(merged) else None
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.fast is None or _OTHER.search(text) or _BLANKS.search(text) \
-                or max(map(len, text.split()), default=0) > LONG_WORD:
-            return np.array(self.own.encode(text, add_special_tokens=False).ids, np.int32)
-        return np.array(self.fast.encode_ordinary(text), np.int32)
+    def encode(self, text: str) -> tuple[np.ndarray, bytes]:
+        """(ids, the bytes that they stand for)."""
+        if self.fast is None or _OTHER.search(text) or len(text) > LONG_TEXT and _LONG_RUN.search(text):
+            ids = self.own.encode(text, add_special_tokens=False).ids
+            return np.array(ids, np.int32), b"".join(map(self.bytes.__getitem__, ids))
+        ids = self.fast.encode_ordinary(text)
+        return np.array(ids, np.int32), self.fast.decode_bytes(ids)
 
 
 class SentencePiece:
@@ -114,8 +116,9 @@ class SentencePiece:
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                       for i, p in enumerate(map(self.model.id_to_piece, range(self.model.get_piece_size())))]
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text), np.int32)
+    def encode(self, text: str) -> tuple[np.ndarray, bytes]:
+        ids = self.model.encode(text)
+        return np.array(ids, np.int32), b"".join(map(self.bytes.__getitem__, ids))
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -143,14 +146,16 @@ class Pair:
         none = np.empty(0, np.int32)
         if not text:
             return none, none
-        pieces = list(_pieces(text))
-        a = np.concatenate([self.a.encode(" " + p) for p in pieces])
-        b = np.concatenate([self.b.encode(p) for p in pieces])
-        whole = (" " + text).encode()
-        for ids, table in ((a, self.a.bytes), (b, self.b.bytes)):
-            if b"".join(map(table.__getitem__, ids.tolist())) != whole:
+        out_a, out_b = [], []
+        for piece in _pieces(text):
+            whole = (" " + piece).encode()
+            a, restored_a = self.a.encode(" " + piece)
+            b, restored_b = self.b.encode(piece)
+            if restored_a != whole or restored_b != whole:
                 return none, none
-        return a, b
+            out_a.append(a)
+            out_b.append(b)
+        return np.concatenate(out_a), np.concatenate(out_b)
 
 
 _OPEN: dict[Tokenizers, Pair] = {}
