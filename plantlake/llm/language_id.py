@@ -12,30 +12,41 @@ For each row, four kinds of evidence are added in log space:
   host's suffix, and those towards the counts of all rows (``SMOOTH`` pseudo
   rows on each level).
 
-The trigram model is fitted on a bounded sample of labelled rows: at most
-``PER_LANGUAGE`` rows of each label, those with the smallest hash of their id.
+Besides the labels there is one more hypothesis, some other language or none:
+its trigrams are uniform over the buckets, its prior is ``OTHER``, and no
+statement speaks for it.  Where it is the likeliest, the language is ``und``.
+
+The trigram model is fitted on a bounded sample of labelled rows: about
+``PER_LANGUAGE`` rows of each label, drawn by a hash of their id.
 Counts of hosts cover all rows; a host with a third of all rows is reduced to
 one row per language and task before the shuffle.
 
 Edge cases: a text of fewer than three bytes (or null) has no text evidence:
 its language is ``und``, and it is not accepted; a null host or suffix is a
 group of its own; ties go to the first language by name; an empty table of
-labels makes every row ``und``; repeated rows are each judged and counted.
+labels makes every row ``und``, and one of documents gives an empty table;
+repeated rows are each judged and counted; a long text is worked through in
+runs of ``RUN`` bytes; extra columns stay, whatever they are called, and
+``into`` replaces a column only if the caller names it so.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import raw_bytes, slices
-from .shared import counted_side, cut, fresh
+from .shared import cut, fresh
 
 PER_LANGUAGE = 500
 MAX_LANGUAGES = 256
 BUCKETS = 1 << 14
+RUN = 1 << 16  # bytes of text whose trigrams are looked up at once: RUN x labels numbers
+OTHER = 0.01  # prior probability of a language without a label
 ALPHA = 0.5
 TEXT_WEIGHT = 60
 DECLARED = 0.9
@@ -45,23 +56,26 @@ MIN_PROBABILITY = 0.5
 #: Address suffixes of countries and their main language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en",
                    "au": "en", "nz": "en", "ie": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl"}
+_DRAWS = 1 << 30  # resolution of the sample's draw
 _SCALE = 1 << 16  # fixed point, so that sums do not depend on the order of a batch
 
 
-def _trigrams(piece: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row offsets, bucket) of every byte trigram (ASCII lower-cased) that lies inside one row."""
+def _trigrams(piece: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of all byte trigrams (ASCII lower-cased) that lie inside one row, in runs of ``RUN`` bytes:
+    (row of each, bucket of each), rows ascending."""
     offsets, data = raw_bytes(piece)
-    b = np.frombuffer(data.lower(), np.uint8).astype(np.uint32)
-    if len(b) < 3:
-        return np.zeros(len(offsets), np.int64), np.empty(0, np.int64)
-    tri = b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)
-    bucket = (tri * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)
-    n = np.maximum(np.diff(offsets) - 2, 0)
-    inside = np.ones(len(b), bool)
-    for back in (1, 2):
-        at = offsets[1:] - back
-        inside[at[at >= offsets[:-1]]] = False
-    return np.concatenate(([0], np.cumsum(n))), bucket[inside[:-2]]
+    b = np.frombuffer(data.lower(), np.uint8)
+    last = offsets[1:] - 2  # each row's first place that begins no trigram (or before the row's start)
+    for start in range(0, len(b) - 2, RUN):
+        run = b[start:start + RUN + 2].astype(np.uint32)
+        tri = run[:-2] | run[1:-1] << np.uint32(8) | run[2:] << np.uint32(16)
+        bucket = (tri * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)
+        first, stop = np.searchsorted(offsets, (start, start + len(tri) - 1), "right") - 1
+        rows = np.arange(first, stop + 1)
+        lo = np.maximum(offsets[rows] - start, 0)
+        n = np.maximum(np.minimum(last[rows] - start, len(tri)) - lo, 0)
+        inside = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        yield np.repeat(rows, n), bucket[inside]
 
 
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
@@ -69,12 +83,15 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """(languages, fixed-point log likelihoods [bucket, language]) from a bounded sample of labelled rows."""
     known = labelled.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(label_col).alias("lang"),
                             F.col(text_col).alias("text")).filter("lang is not null and text is not null")
-    first = Window.partitionBy("lang").orderBy("h")
-    picked = known.select("h", "lang").distinct().withColumn("no", F.row_number().over(first)) \
-        .filter(F.col("no") <= per_language).select("h", "lang")
-    languages = sorted(r[0] for r in picked.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    languages = sorted(sizes)
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    if not languages:
+        return [], np.empty((BUCKETS, 0), np.int32)
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
+                           for x in (lang, min(int(_DRAWS * per_language / n) + 1, _DRAWS))])
+    sample = known.filter(F.pmod("h", F.lit(_DRAWS)) < share[F.col("lang")]).select("lang", "text").dropDuplicates()
 
     def count(batches):
         for batch in batches:
@@ -82,20 +99,19 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 rows = batch.filter(pa.compute.equal(batch.column("lang"), lang))
                 total = np.zeros(BUCKETS, np.int64)
                 for piece in slices(rows.column("text"), 1 << 20):
-                    total += np.bincount(_trigrams(piece)[1], minlength=BUCKETS)
+                    for _, bucket in _trigrams(piece):
+                        total += np.bincount(bucket, minlength=BUCKETS)
                 at = np.flatnonzero(total)
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()), "bucket": at,
                                                   "n": total[at]})
 
-    # At most per_language rows per label, so the ids are small; counts are at most BUCKETS per label.
-    sample = known.join(F.broadcast(picked), ["h", "lang"]).select("lang", "text").dropDuplicates()
+    # BUCKETS rows of three numbers per label at most.
     counts = sample.mapInArrow(count, "lang string, bucket bigint, n bigint") \
-        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
+        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.full((BUCKETS, len(languages)), ALPHA)
-    place = {lang: i for i, lang in enumerate(languages)}
-    for r in counts:
-        table[r["bucket"], place[r["lang"]]] += r["n"]
-    return languages, np.rint(np.log(table / table.sum(axis=0)) * _SCALE).astype(np.int32) if languages else table
+    place = pa.compute.index_in(counts["lang"], pa.array(languages)).to_numpy()
+    table[counts["bucket"].to_numpy(), place] += counts["n"].to_numpy()
+    return languages, np.rint(np.log(table / table.sum(axis=0)) * _SCALE).astype(np.int32)
 
 
 def text_evidence(spark, model: tuple[list[str], np.ndarray], text: Column) -> Column:
@@ -107,13 +123,14 @@ def text_evidence(spark, model: tuple[list[str], np.ndarray], text: Column) -> C
         languages, table = shared.value
         parts, empty = [np.empty((0, len(languages)))], [np.empty(0, bool)]
         for piece in slices(texts, 1 << 20):
-            offsets, bucket = _trigrams(piece)
-            run = np.concatenate((np.zeros((1, len(languages)), np.int64),
-                                  np.cumsum(table[bucket], axis=0, dtype=np.int64)))
-            n = np.diff(offsets)
-            total = (run[offsets[1:]] - run[offsets[:-1]]) / _SCALE
+            n, total = np.zeros(len(piece), np.int64), np.zeros((len(piece), len(languages)), np.int64)
+            for row, bucket in _trigrams(piece):
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                if len(first):
+                    n[row[first]] += np.diff(np.append(first, len(row)))
+                    total[row[first]] += np.add.reduceat(table[bucket], first, axis=0, dtype=np.int64)
             weight = np.minimum(n, TEXT_WEIGHT) / np.maximum(n, 1)
-            parts.append(total * weight[:, None])
+            parts.append(total * (weight / _SCALE)[:, None])
             empty.append(n == 0)
         values, none = np.concatenate(parts), np.concatenate(empty)
         offsets = pa.array(np.arange(len(values) + 1) * len(languages), pa.int32())
@@ -175,7 +192,7 @@ def _statement(languages: list[str], said: list[str | None], right: float) -> np
 
 def _fusion(languages: list[str]):
     @F.arrow_udf(_FUSED)
-    def fuse(ll: pa.Array, prior: pa.Array, declared: pa.Array, suffix: pa.Array) -> pa.Array:
+    def fuse(ll: pa.Array, size: pa.Array, prior: pa.Array, declared: pa.Array, suffix: pa.Array) -> pa.Array:
         """Posterior of every row from its text, host prior, declared language and address suffix."""
         n, k = len(ll), len(languages)
         has_text, has_prior = ll.is_valid().to_numpy(False), prior.is_valid().to_numpy(False)
@@ -186,15 +203,21 @@ def _fusion(languages: list[str]):
         country = [SUFFIX_LANGUAGE.get(x) for x in suffix.to_pylist()]
         score = (text + np.log(host) + _statement(languages, said, DECLARED)
                  + _statement(languages, country, SUFFIX))
+        score += np.log1p(-OTHER)
+        # weight(n) trigrams, each with a chance of one in BUCKETS
+        other = np.log(OTHER) - np.log(BUCKETS) * np.minimum(size.to_numpy(False), TEXT_WEIGHT)
         best = score.argmax(axis=1)
         rows = np.arange(n)
-        probability = np.where(has_text, 1.0 / np.exp(score - score[rows, best][:, None]).sum(axis=1), 0.0)
+        top = np.maximum(score[rows, best], other)
+        total = np.exp(score - top[:, None]).sum(axis=1) + np.exp(other - top)
+        known = has_text & (score[rows, best] >= other)
+        probability = np.where(known, np.exp(score[rows, best] - top) / total, 0.0)
         names = np.array([*languages, "und"], object)
-        chosen = np.where(has_text, best, k)
+        chosen = np.where(known, best, k)
         guess = np.where(has_text, text.argmax(axis=1), k)
         cols = [pa.array(names[chosen], pa.string()), pa.array(probability),
                 pa.array(names[guess], pa.string(), mask=~has_text), declared, pa.array(country, pa.string()),
-                pa.array(np.where(has_text, host[rows, best], 0.0)), pa.array(probability >= MIN_PROBABILITY)]
+                pa.array(np.where(known, host[rows, best], 0.0)), pa.array(probability >= MIN_PROBABILITY)]
         return pa.StructArray.from_arrays(cols, ["lang", "probability", "text_lang", "declared", "suffix_lang",
                                                  "host_prior", "accepted"])
 
@@ -215,17 +238,18 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text: Colu
             none.alias("declared"), none.alias("suffix_lang"), F.lit(0.0).alias("host_prior"),
             F.lit(False).alias("accepted")))
     e = fresh(docs, "__evidence")
+    p = fresh(docs.withColumn(e, F.lit(0)), "__prior")
     suffix, declared = none if suffix is None else suffix, none if declared is None else declared
     ll = text_evidence(spark, model, text)
     seen = docs.select(host.alias("host"), suffix.alias("suffix"), ll.alias("ll"))
     priors = host_priors(seen.select("host", "suffix", _first_best(F.col("ll"), languages).alias("lang")), languages)
-    p = F.struct(F.col("host").alias("p_host"), F.col("suffix").alias("p_suffix"), "prior")
-    priors = counted_side(priors.select(p.alias(f"{e}_p")))  # one short row per host
+    priors = cut(priors.select(F.struct(F.col("host").alias("p_host"), F.col("suffix").alias("p_suffix"),
+                                        "prior").alias(p)))  # one short row per host
     rows = docs.withColumn(e, F.struct(host.alias("host"), suffix.alias("suffix"), declared.alias("declared"),
-                                       ll.alias("ll")))
-    x, prior = F.col(e), F.col(f"{e}_p")
+                                       F.greatest(F.octet_length(text) - 2, F.lit(0)).alias("n"), ll.alias("ll")))
+    x, prior = F.col(e), F.col(p)
     rows = rows.join(priors, x["host"].eqNullSafe(prior["p_host"]) & x["suffix"].eqNullSafe(prior["p_suffix"]), "left")
-    out = _fusion(languages)(x["ll"], prior["prior"], x["declared"], x["suffix"])
+    out = _fusion(languages)(x["ll"], F.coalesce(x["n"], F.lit(0)), prior["prior"], x["declared"], x["suffix"])
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], out.alias(into))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality_rules import n_words
-from .shared import counted_side, cut, fresh
+from .shared import cut, fresh
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -113,7 +113,7 @@ def plan(sizes: DataFrame, **options) -> DataFrame:
     cuts = inside.select("sk", "bucket", F.when(fits, F.col("key")).alias("last")) \
         .groupBy("sk").agg(F.coalesce(F.max("last"), F.max("bucket")).alias("cutoff"))
     cutoff = F.when(F.col("rest") > 0, F.coalesce("cutoff", F.lit("g"))).otherwise("")
-    return counted_side(sources.join(cuts, "sk", "left").select(
+    return cut(sources.join(cuts, "sk", "left").select(
         "sk", "source_size", "target", "whole", cutoff.alias("cutoff")))
 
 
@@ -132,7 +132,9 @@ def taken(docs: DataFrame, **columns) -> DataFrame:
 
 def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
            seed: int = SEED, copy_col: str = "copy_no", **options) -> DataFrame:
-    """``docs`` as mixed: a row per copy taken, numbered from 1 in ``copy_col``."""
+    """``docs`` as mixed: a row per copy taken, numbered from 1 in ``copy_col`` (with underscores in front where
+    ``docs`` has a column of that name)."""
+    copy_col = fresh(docs, copy_col)
     names = {"id_col": id_col, "text_col": text_col, "source_col": source_col, "seed": seed}
     chosen = plan(measured(docs, **names), **options)
     sk = fresh(docs, "__sk")

@@ -24,17 +24,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-#: Rows of a computed table that may be broadcast, after they are counted (short rows: a few MB).
-MAX_BROADCAST_ROWS = 50_000
-
-
-def counted_side(df: DataFrame) -> DataFrame:
-    """``df`` (short rows) for a join: written once and counted, then broadcast if it is small enough;
-    otherwise joined by key, where AQE can split a hot key of the other side."""
-    done = cut(df)
-    return F.broadcast(done) if done.count() <= MAX_BROADCAST_ROWS else done
-
-
 _SHIPPED: set[str] = set()
 
 

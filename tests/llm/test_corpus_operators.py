@@ -180,9 +180,10 @@ def test_mixing_targets_and_samples(spark):
 
 
 def test_repeat_gives_the_taken_copies(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("sk", F.lit(1)).withColumn("whole", F.lit("x"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("sk", F.lit(1)).withColumn("whole", F.lit("x")) \
+        .withColumn("copy_no", F.lit(0))
     mixed = mixing.repeat(docs)
-    assert mixed.columns == [*docs.columns, "copy_no"]
+    assert mixed.columns == [*docs.columns, "_copy_no"]
     counts = mixed.groupBy("doc_id").count()
     taken = mixing.taken(docs)
     assert taken.join(counts, "doc_id", "left").filter(
@@ -239,6 +240,23 @@ def test_warc_chunks_carry_running_digests(spark):
     assert texts <= {b.decode() for b in bodies.values()}
 
 
+def test_warc_long_payload_is_chunk_rows_before_the_shuffle(spark):
+    n = 100_000_000
+    pages = spark.range(2).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.when(F.col("id") == 0, F.repeat(F.concat(F.lit("123456789"), F.col("id").cast("string")), n // 10)).otherwise("short").alias("html"),
+        F.lit(7).alias("record"), F.lit("x").alias("chunk_no"))
+    plan = warc.record_plan(pages)
+    assert plan.agg(F.max(F.octet_length("payload"))).first()[0] == warc.CHUNK_BYTES
+    folder = new_folder(spark, "warc")
+    chunks = warc.read_chunks(warc.write_archives(plan, folder))
+    got = {r["page_id"]: r for r in warc.records(chunks).collect()}
+    sha = hashlib.sha1(b"1234567890" * (n // 10)).digest()
+    assert got[0]["payload_bytes"] == n and got[0]["payload_digest"] == base64.b32encode(sha).decode()
+    sizes = chunks.filter("page_id = 0").agg(F.count(F.lit(1)), F.max("n_bytes")).first()
+    assert tuple(sizes) == (-(-n // warc.CHUNK_BYTES), warc.CHUNK_BYTES) and got[1]["payload_bytes"] == 5
+
+
 def test_a_damaged_archive_is_an_error(spark):
     pages = frame(spark, [(1, "u", "hello world")], PAGES)
     manifest = warc.write_archives(warc.record_plan(pages), new_folder(spark, "warc"))
@@ -347,14 +365,17 @@ def test_evidence_is_fused_by_bayes(spark):
         docs, model_of(["de", "en", "fr"]), text=F.col("text"), host=F.col("host"), declared=F.col("declared"),
         suffix=F.col("suffix"), into="r").collect()}
     # Every text is a tie, which the first name wins: 5 rows "de" overall, 2 + 1 of host h1 without a suffix.
+    # Four bytes are two trigrams; the model gives each -9, another language log(1 / BUCKETS).
     k, total = 10.0, 5
+    unknown = math.exp(math.log(0.01) - 2 * math.log(language_id.BUCKETS) + 18) / 0.99
     top = [(n + 1) / (total + 3) for n in (5, 0, 0)]
     sfx = [(n + k * t) / (3 + k) for n, t in zip((3, 0, 0), top)]
     host = [(n + k * t) / (3 + k) for n, t in zip((3, 0, 0), sfx)]
     say = [host[0] * 0.05, host[1] * 0.05, host[2] * 0.9]
-    assert got[1]["lang"] == "de" and got[1]["probability"] == pytest.approx(host[0] / sum(host))
+    assert got[1]["lang"] == "de" and got[1]["probability"] == pytest.approx(host[0] / (sum(host) + unknown))
     best = max(range(3), key=say.__getitem__)
-    assert got[2]["lang"] == ["de", "en", "fr"][best] and got[2]["probability"] == pytest.approx(say[best] / sum(say))
+    assert got[2]["lang"] == ["de", "en", "fr"][best] and got[2]["probability"] == pytest.approx(
+        say[best] / (sum(say) + unknown))
     assert got[3]["lang"] == "de" and got[3]["suffix_lang"] == "de"
     assert (got[4]["lang"], got[4]["accepted"], got[4]["probability"]) == ("und", False, 0.0)
     assert got[5]["suffix_lang"] is None and got[5]["lang"] == "de"
@@ -374,6 +395,33 @@ def test_language_edges(spark):
     assert language_id.identify(rows.limit(0), model, text=F.col("text"), host=F.col("source"), into="l").count() == 0
 
 
+def test_noise_and_other_languages_are_rejected(spark):
+    rng = random.Random(9)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(docs)
+    texts = ["".join(rng.choice("bcdfghjklmnpqrstvwxz ") for _ in range(400)), "съешь же ещё этих мягких булок " * 9,
+             "いろはにほへと散りぬるを" * 9, "ab" * 40_000_000]
+    rows = spark.createDataFrame([(i, t, "s", "x", "y") for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, source string, __evidence string, __prior string")
+    got = language_id.identify(rows, model, text=F.col("text"), host=F.col("source"), into="__evidence_p").collect()
+    assert [(r["__evidence_p"]["lang"], r["__evidence_p"]["accepted"]) for r in got[:3]] == [("und", False)] * 3
+    assert len(got) == 4 and all((r["__evidence"], r["__prior"]) == ("x", "y") for r in got)
+    fair = language_id.identify(docs, model, text=F.col("text"), host=F.col("source"), into="r")
+    assert fair.filter("length(text) > 100 and not r.accepted").count() == 0
+
+
+def test_trigrams_of_runs_equal_those_of_rows(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aé b") for _ in range(rng.randrange(40))) for _ in range(50)] + ["", "a", "ab", "abc"]
+    arr = pa.array(texts, pa.string())
+    whole = [(int(r), int(b)) for rows, buckets in language_id._trigrams(arr) for r, b in zip(rows, buckets)]
+    monkeypatch.setattr(language_id, "RUN", 5)
+    assert [(int(r), int(b)) for rows, bs in language_id._trigrams(arr) for r, b in zip(rows, bs)] == whole
+    count = [sum(r == i for r, _ in whole) for i in range(len(texts))]
+    assert count == [max(len(t.encode()) - 2, 0) for t in texts]
+
+
 def test_declared_languages(spark):
     rows = [(1, '<html class=x lang="FR-ca">'), (2, "<html><meta http-equiv=content-language content='de'>"), (3, "<p lang=en>")]
     got = {r[0]: r[1] for r in frame(spark, rows).select(
