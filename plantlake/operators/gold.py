@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..config import HealthRule
 from ..functions import anomaly_flag, health_score, hours_between, safe_ratio, seconds_between
+from ..plans.intervals import hours_once
 
 
 def tag_hourly(points: DataFrame, only_running: bool = False, prepartition: bool = False) -> DataFrame:
@@ -31,7 +32,7 @@ def tag_hourly(points: DataFrame, only_running: bool = False, prepartition: bool
     """
     if only_running:
         from pyspark.sql import Window
-        w = Window.partitionBy("asset_id", "event_ts")
+        w = Window.partitionBy("plant_id", "asset_id", "event_ts")
         run = F.max(F.when(F.col("tag_suffix") == "RunStatus", F.col("value"))).over(w)
         points = points.withColumn("_run", run).filter(F.col("_run").isNull() | (F.col("_run") != 0)).drop("_run")
     if prepartition:
@@ -116,11 +117,34 @@ def _split_at_midnight(events: DataFrame) -> DataFrame:
     )
 
 
+LINE = ("plant_id", "area_id", "line_id")
+
+
+def oee_once(production_events: DataFrame) -> DataFrame:
+    """GLD-05 where events overlap: every instant of a line counts once, on its own day.
+
+    ``run_hours`` and ``down_hours`` are union lengths (an instant that is both
+    is down); counts stay with an event's start day.  Columns as ``oee_daily``;
+    a day that only has hours has zero counts.
+    """
+    hours = hours_once(production_events, list(LINE))
+    counts = production_events.select(
+        *LINE, F.col("event_start").cast("date").alias("day_dt"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good_count", "scrap_count", "planned_count")])
+    both = counts.unionByName(hours, allowMissingColumns=True).groupBy(*LINE, "day_dt").agg(
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("run_hours", "down_hours")],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("good_count", "scrap_count", "planned_count")])
+    return both.select(
+        "*", safe_ratio(F.col("good_count"), F.col("planned_count")).alias("quality_ratio"),
+        safe_ratio(F.col("run_hours"), F.col("run_hours") + F.col("down_hours")).alias("availability_ratio"))
+
+
 def oee_daily(production_events: DataFrame, split_midnight: bool = False) -> DataFrame:
     """GLD-05: per plant, area, line and start day: hours, counts, ratios.
 
     An event across midnight counts wholly for its start day (trap T9) unless
-    ``split_midnight``.  Ratios are DOUBLE and NULL on a zero divisor;
+    ``split_midnight``; overlapping events are summed (:func:`oee_once` counts
+    an instant once).  Ratios are DOUBLE and NULL on a zero divisor;
     ``quality_ratio`` is good / planned (trap T6).
     """
     ev = _split_at_midnight(production_events) if split_midnight else production_events

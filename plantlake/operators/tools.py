@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_WINDOW_HOURS, TAG_SPECS, RcaRule
 from ..functions import overlaps, safe_ratio
+from ..plans.asof import asof_join
+from ..plans.intervals import merged_intervals
 from ..plans.joins import interval_join
 from ..schemas import TAG_DIM_SCHEMA
 from .metrics import anomaly_rate, as_of_date, as_of_ts, mtbf_proxy
@@ -90,6 +92,12 @@ def get_downtime_events(production_events: DataFrame, asset_id: str | None, star
         (F.col("event_type") == "DOWNTIME") & overlaps("event_start", "event_end", _ts(start), _ts(end)))
 
 
+def downtime_islands(production_events: DataFrame, asset_id: str | None = None) -> DataFrame:
+    """TOOL-08, merged: an asset's downtime without double counting, overlapping or touching events as one."""
+    down = _opt(production_events, asset_id=asset_id).filter(F.col("event_type") == "DOWNTIME")
+    return merged_intervals(down, ["plant_id", "asset_id"], "event_start", "event_end")
+
+
 def get_recent_failures(outcomes: DataFrame, asset_id: str | None = None, n: int = 10) -> DataFrame:
     """TOOL-09: each asset's ``n`` latest orders with a failure code (a top-k report).
 
@@ -116,6 +124,26 @@ def get_shift_context(shifts: DataFrame, plant_id: str, area_id: str | None, as_
         (F.col("shift_start") <= t) & (t < F.col("shift_end")))
 
 
+def alarm_context(alarms: DataFrame, points: DataFrame, shifts: DataFrame, assets: DataFrame,
+                  tag_suffix: str = "Vibration", tolerance: str | None = None) -> DataFrame:
+    """TOOL-07, TOOL-10 for many instants at once: each alarm with the asset's last reading of ``tag_suffix`` and the
+    crew on duty in the asset's area when it was raised.
+
+    Both are as-of joins: the last reading, and the last shift start, not after the alarm.  A crew whose shift has
+    ended by then (half-open, as in TOOL-10) is none.
+    """
+    area = assets.groupBy("plant_id", "asset_id").agg(F.min("area_id").alias("area_id"))
+    raised = alarms.select("alarm_id", "plant_id", "asset_id", "raised_at").join(area, ["plant_id", "asset_id"], "left")
+    readings = points.filter(F.col("tag_suffix") == tag_suffix)
+    read = asof_join(raised, readings, ["plant_id", "asset_id"], "raised_at", "event_ts",
+                     {"last_value": "value", "last_value_ts": "event_ts"}, tolerance=tolerance)
+    manned = asof_join(read, shifts, ["plant_id", "area_id"], "raised_at", "shift_start",
+                       {"crew_id": "crew_id", "shift_name": "shift_name", "_until": "shift_end"})
+    on_duty = F.col("raised_at") < F.col("_until")
+    return manned.select("alarm_id", "plant_id", "asset_id", "area_id", "raised_at", "last_value", "last_value_ts",
+                         *[F.when(on_duty, F.col(c)).alias(c) for c in ("crew_id", "shift_name")])
+
+
 def list_overnight_anomalies(health: DataFrame, alarms: DataFrame, plant_id: str | None,
                              hours: int = DEFAULT_WINDOW_HOURS, as_of=None) -> DataFrame:
     """TOOL-11: flagged health days and alarms meeting the last ``hours`` hours.

@@ -27,6 +27,8 @@ from ..session import configure, shared_dir
 from ..sources import shims
 from ..sources.csv import load_csv
 from ..sources.points import bronze_points, parse_messages
+from .changes import apply_changes, table_changes
+from .intervals import overlap_check
 from .pipeline import run_batch
 from .tables import catalogue, compact, create_databases, define_raw_tables, write_table
 
@@ -634,6 +636,69 @@ def _dq04(i: Inputs):
             .unionByName(quality.interval_check(i.shifts, "shifts", "shift_start", "shift_end")))
 
 
+@query("overlap_check")
+def _dq04_overlaps(i: Inputs):
+    """DQ-04: overlapping intervals, whose plain sums count an instant more than once."""
+    downtime = i.production_events.filter("event_type = 'DOWNTIME'")
+    return (overlap_check(i.production_events, "production_events", list(gold.LINE), "event_start", "event_end")
+            .unionByName(overlap_check(downtime, "downtime", ["plant_id", "asset_id"], "event_start", "event_end"))
+            .unionByName(overlap_check(i.shifts, "shifts", ["plant_id", "area_id"], "shift_start", "shift_end"))
+            .unionByName(overlap_check(i.alarms, "alarms", ["plant_id", "asset_id"], "raised_at", "cleared_at")))
+
+
+@query("oee_once")
+def _oee_once(i: Inputs):
+    """GLD-05 with every instant counted once."""
+    return present(gold.oee_once(i.production_events), rounded=("run_hours", "down_hours", "availability_ratio"))
+
+
+@query("downtime_islands")
+def _downtime_islands(i: Inputs):
+    """TOOL-08, merged."""
+    return tools.downtime_islands(i.production_events)
+
+
+@query("alarm_context")
+def _alarm_context(i: Inputs):
+    """TOOL-07, TOOL-10 as of every alarm."""
+    return tools.alarm_context(i.alarms, i.points, i.shifts, i.assets)
+
+
+@query("tag_hourly_running")
+def _tag_hourly_running(i: Inputs):
+    """GLD-01 without readings of stopped assets (T5)."""
+    return present(gold.tag_hourly(i.points, only_running=True), rounded=("avg_value", "std_value"))
+
+
+def _versions(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Two stored versions of a table: work orders as they were, and after some closed, some were dropped, some came, and some came twice; a few
+    have no id."""
+    no = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    old = i.raw("work_orders_raw").withColumn("_no", no).withColumn(
+        "work_order_id", F.when(F.col("_no") % 41 != 0, F.col("work_order_id")))
+    new = old.filter("_no % 29 != 0").withColumn("status", F.when(F.col("_no") % 7 == 0, "CLOSED").otherwise(
+        F.col("status"))).withColumn("notes", F.when(F.col("_no") % 31 != 0, F.col("notes")))
+    added = old.filter("_no % 37 = 0").withColumn("work_order_id", F.concat(F.lit("NEW-"), F.col("_no").cast("string")))
+    twice = old.filter("_no % 43 = 0")
+    columns, root = [c for c in old.columns if c != "_no"], _folder(i, "versions")
+    for name, version in (("old", old), ("new", new.union(added).union(twice))):
+        write_table(version.select(columns), f"{root}/{name}")
+    return i.spark.read.parquet(f"{root}/old"), i.spark.read.parquet(f"{root}/new")
+
+
+@query("table_changes")
+def _table_changes(i: Inputs):
+    """SRC-09: the change rows between two versions of the work orders."""
+    return table_changes(*_versions(i), ["work_order_id"])
+
+
+@query("changes_applied")
+def _changes_applied(i: Inputs):
+    """SRC-09: the old version after its change rows."""
+    old, new = _versions(i)
+    return apply_changes(old, table_changes(old, new, ["work_order_id"]))
+
+
 # -- sources and sinks over the shared folder -----------------------------------------
 
 def _folder(i: Inputs, kind: str) -> str:

@@ -80,8 +80,45 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[round6(c).alias(c) if c in ("avg_value", "std_value") else c for c in out.columns])
 
 
+def stream_daily_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-06: daily health kept up by micro-batches in arbitrary order, each rebuilding only the dates it touches."""
+    from ..functions import round6
+    from ..operators import silver
+    from ..session import configure
+    from ..sources import shims
+    from .daily import daily_health
+    from .ingest import bronze_stream, point_message_stream
+    configure(spark)
+    d = _run_dirs(spark, "daily")
+    land_messages(spark, sf_dir, d["landing"])
+    points = bronze_stream(point_message_stream(spark, d["landing"], max_files_per_trigger=4))
+    assets = silver.silver_assets(shims.assets_raw(spark, sf_dir))
+    tables = daily_health(spark, d["silver"], assets)
+    tables.start(silver.silver_points(points), d["silver_ckpt"]).awaitTermination()
+    rounded = ("vib", "bearing_temp", "motor_amps", "run_frac", "health_score")
+    out = tables.read("health")
+    return out.select(*[round6(c).alias(c) if c in rounded else c for c in out.columns])
+
+
+def stream_daily_oee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-06: daily line figures kept up by micro-batches of landed production events."""
+    from ..operators import silver
+    from ..session import configure
+    from ..sources import shims
+    from .daily import daily_oee
+    configure(spark)
+    d = _run_dirs(spark, "oee")
+    raw = shims.production_events_raw(spark, sf_dir)
+    raw.hint("rebalance", 4, "event_start").write.parquet(d["landing"])
+    landed = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(d["landing"])
+    tables = daily_oee(spark, d["silver"])
+    tables.start(silver.silver_production_events(landed), d["silver_ckpt"]).awaitTermination()
+    return tables.read("oee")
+
+
 def registry_entries() -> dict:
-    return {"stream_ingest": stream_ingest, "stream_hourly": stream_hourly, "stream_quarantine": stream_quarantine}
+    return {"stream_ingest": stream_ingest, "stream_hourly": stream_hourly, "stream_quarantine": stream_quarantine,
+            "stream_daily_health": stream_daily_health, "stream_daily_oee": stream_daily_oee}
 
 
 def oracle_entries() -> dict:
@@ -95,6 +132,24 @@ SELECT '[{"tag_name": "broken-' || CAST(event_id AS VARCHAR) AS message, CAST(NU
        CAST(NULL AS TIMESTAMP) AS event_ts, 'unreadable' AS reject_reason FROM events WHERE event_id % 500 = 0
 UNION ALL
 SELECT NULL AS message, tag_name, event_ts, reason AS reject_reason FROM judged_points WHERE reason IS NOT NULL""",
+        "stream_daily_health": """
+SELECT plant_id, asset_id, asset_name, criticality, day_dt, round(vib + 1e-9, 6) AS vib,
+       round(bearing_temp + 1e-9, 6) AS bearing_temp, round(motor_amps + 1e-9, 6) AS motor_amps,
+       round(run_frac + 1e-9, 6) AS run_frac, round(health_score + 1e-9, 6) AS health_score, anomaly_flag,
+       signals_observed FROM health""",
+        "stream_daily_oee": """
+WITH one AS (SELECT DISTINCT * FROM silver_production),
+sums AS (
+  SELECT plant_id, area_id, line_id, event_start::DATE AS day_dt,
+         coalesce(sum(floor(epoch(event_end)) - floor(epoch(event_start))) FILTER (event_type = 'RUN'), 0) AS run_s,
+         coalesce(sum(floor(epoch(event_end)) - floor(epoch(event_start))) FILTER (event_type = 'DOWNTIME'), 0) AS down_s,
+         coalesce(sum(good_count), 0)::BIGINT AS good_count, coalesce(sum(scrap_count), 0)::BIGINT AS scrap_count,
+         coalesce(sum(planned_count), 0)::BIGINT AS planned_count
+  FROM one WHERE event_start IS NOT NULL GROUP BY ALL)
+SELECT plant_id, area_id, line_id, day_dt, run_s / 3600.0 AS run_hours, down_s / 3600.0 AS down_hours, good_count,
+       scrap_count, planned_count, CASE WHEN planned_count > 0 THEN good_count / planned_count::DOUBLE END AS quality_ratio,
+       CASE WHEN run_s + down_s > 0 THEN run_s / (run_s + down_s) END AS availability_ratio
+FROM sums""",
         "stream_hourly": """
 SELECT plant_id, area_id, asset_id, tag_suffix, hour_ts, round(avg_value + 1e-9, 6) AS avg_value, max_value,
        min_value, round(std_value + 1e-9, 6) AS std_value, sample_count
