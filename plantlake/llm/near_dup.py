@@ -23,8 +23,11 @@ Steps (nodes are distinct normalised texts, named by their 128-bit digest):
    a factor of s) and two bits of each slot allow it.  ``ROUNDS`` stars with
    other leaders come first, in buckets of more than ``SMALL`` nodes (such as
    those of a passage that many texts share) within each of ``FINE_BANDS``
-   narrower bands, then all pairs of the smaller buckets.  No bucket is
-   capped, and no hot bucket's pairs are formed.  At the threshold, the bands
+   narrower bands.  Then all nodes of different classes that still share a
+   group (a smaller bucket, or a narrower band of a large one) are compared:
+   the group's nodes are dealt out to pairs of blocks, a task compares the
+   sketches of its two blocks and verifies there; rows are nodes and links,
+   never pairs.  No bucket is capped.  At the threshold, the bands
    of step 2 miss a link with a chance of 3.5e-4, sketches and fine bands with
    1.5e-4; two texts of a large bucket are also missed if no leader that they
    meet is similar to both.
@@ -247,7 +250,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if step < ROUNDS:
             more = cut(_verified(_star_pairs(rest, sketches, step, threshold), texts, width, threshold))
         else:
-            more = cut(_verified_in_cells(cut(_all_pairs(rest, sketches, threshold)), uniq, texts, width, threshold))
+            more = cut(_links_in_cells(_cells(rest, sketches), texts, width, threshold).distinct())
         if more.limit(1).count():
             links = cut(links.unionAll(more))
             labels = components(nodes, links)
@@ -326,42 +329,63 @@ def _star_pairs(rest: DataFrame, sketches: DataFrame, step: int, threshold: floa
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _all_pairs(rest: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Candidates (a, b) of all nodes that share a group.
+def _cells(rest: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(sub, i, j, block, node, weight, label, bits, subs): the open groups' nodes, dealt out to pairs of blocks.
 
-    A group of several blocks of nodes is dealt out as pairs of blocks, so no task gets all pairs of a large one."""
+    A group is cut into blocks of about ``BLOCK`` nodes and ``CELL_SHINGLES`` shingles; a node goes once to each
+    pair of blocks that has its own.  ``subs`` are the open groups that the node is in (a bounded list)."""
     rows = cut(_groups(rest, sketches, F.col("fine")))
     several = rows.groupBy("sub").agg(F.min("label").alias("least"), F.max("label").alias("most"),
-                                      F.count(F.lit(1)).alias("m")).filter("least != most")
-    blocks = several.select("sub", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = cut(rows.join(blocks, "sub").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int"))
-               .join(sketches.select("node", "bits"), "node"))
-    x = rows.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
-    y = rows.withColumn("other", F.explode(F.sequence(F.lit(0), "block")))
-    meet = ((F.col("x.sub") == F.col("y.sub")) & (F.col("x.block") == F.col("y.other"))
-            & (F.col("x.other") == F.col("y.block")))
-    once = (F.col("x.block") < F.col("y.block")) | (F.col("x.node") < F.col("y.node"))
-    return x.alias("x").join(y.alias("y"), meet & once & _can_be_similar(threshold)) \
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-
-
-def _verified_in_cells(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """Links (a, b) that join the same nodes as those of ``pairs`` whose texts are similar enough.
-
-    The nodes are dealt into blocks of about ``CELL_SHINGLES``; a cell has the pairs between two blocks and each of
-    their texts once, and leaves out a pair whose nodes its links have joined already."""
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    weight = ends.join(nodes.select("node", "weight"), "node").agg(F.sum("weight")).first()[0] or 0
-    blocks = max(1, -(-weight // CELL_SHINGLES))
-    block = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit("cell")), F.lit(blocks))
-    cells = pairs.withColumn("i", F.least(block("a"), block("b"))).withColumn("j", F.greatest(block("a"), block("b")))
-    members = cells.select(F.col("i").alias("mi"), F.col("j").alias("mj"), F.explode(F.array("a", "b")).alias("node")) \
-        .distinct().join(texts, "node")
-
-    def verify(pairs: pa.Table, members: pa.Table) -> pa.Table:
-        text = dict(zip(members["node"].to_pylist(), range(len(members))))
+                                      F.count(F.lit(1)).alias("m"), F.sum("weight").alias("w")).filter("least != most")
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("w") / CELL_SHINGLES)).cast("int")
+    rows = cut(rows.join(several.select("sub", blocks.alias("blocks")), "sub"))
+    subs = rows.groupBy("node").agg(F.collect_set("sub").alias("subs"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int")) \
+        .join(subs, "node").join(sketches.select("node", "bits"), "node")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return rows.withColumn("other", other).select(
+        "sub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "weight",
+        "label", "bits", "subs")
+
+
+def _candidates(cell: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of a cell: different classes, weights and sketches that allow the threshold, and no smaller group
+    that both nodes are in (so every pair belongs to one cell)."""
+    sub, i, j = (cell[c][0].as_py() for c in ("sub", "i", "j"))
+    block, weight = (cell[c].to_numpy() for c in ("block", "weight"))
+    label = cell["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+    bits = cell["bits"].combine_chunks().flatten().to_numpy().view(U64).reshape(len(cell), -1)
+    subs = [set(x) for x in cell["subs"].to_pylist()]
+    agree = threshold + (1 - threshold) / 4  # two bits also agree by chance
+    allowed = SLOTS * (1 - agree) + SURE * (SLOTS * agree * (1 - agree)) ** 0.5
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    out = [np.empty((0, 2), np.int64)]
+    for x in left.tolist():
+        y = right[right > x] if i == j else right
+        y = y[(label[y] != label[x]) & (weight[x] >= threshold * weight[y]) & (weight[y] >= threshold * weight[x])]
+        z = bits[y] ^ bits[x]
+        differ = np.bitwise_count((z | (z >> U64(1))) & U64(0x5555555555555555)).sum(axis=1)
+        y = [k for k in y[differ <= int(allowed)].tolist() if min(subs[x] & subs[k]) == sub]
+        out.append(np.array([(x, k) for k in y], np.int64).reshape(-1, 2))
+    pairs = np.concatenate(out)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _links_in_cells(cells: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links (a, b) that join the same nodes as all pairs of the ``cells`` whose texts are similar enough.
+
+    A task compares the sketches of a cell and names the nodes that need their texts; the texts are sent to these
+    cells, and a task verifies there, leaving out pairs whose nodes its links have joined already.  Nodes and links
+    are rows, pairs never are."""
+    kept = ("sub", "i", "j", "block", "node", "weight", "label", "bits", "subs")
+
+    def wanted(cell: pa.Table) -> pa.Table:
+        a, b = _candidates(cell, threshold)
+        return cell.select(kept).take(np.unique(np.concatenate((a, b))))
+
+    def verify(cell: pa.Table) -> pa.Table:
         bags: list[tuple] = []
-        for chunk in members["text"].chunks:
+        for chunk in cell["text"].chunks:
             for piece in slices(chunk, PIECE):
                 h, row, w = counted(*shingles(piece, width)[:2])
                 at = np.searchsorted(row, np.arange(len(piece) + 1))
@@ -375,20 +399,23 @@ def _verified_in_cells(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, wid
             return k
 
         links: list[tuple] = []
-        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
-            ra, rb = find(text[a]), find(text[b])
+        for a, b in zip(*(x.tolist() for x in _candidates(cell, threshold))):
+            ra, rb = find(a), find(b)
             if ra == rb:
                 continue
-            (ha, wa), (hb, wb) = bags[text[a]], bags[text[b]]
+            (ha, wa), (hb, wb) = bags[a], bags[b]
             at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
             both = hb[at] == ha
             common = int(np.minimum(wa[both], wb[at[both]]).sum())
             if common / (int(wa.sum()) + int(wb.sum()) - common) >= threshold:
                 root[ra] = rb
                 links.append((a, b))
-        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+        node = cell["node"].to_pylist()
+        ends = ([min(node[a], node[b]) for a, b in links], [max(node[a], node[b]) for a, b in links])
+        return pa.table({"a": pa.array(ends[0], pa.binary()), "b": pa.array(ends[1], pa.binary())})
 
-    return cells.groupBy("i", "j").cogroup(members.groupBy("mi", "mj")).applyInArrow(verify, "a binary, b binary")
+    asked = cut(cells.groupBy("sub", "i", "j").applyInArrow(wanted, cells.select(*kept).schema))
+    return asked.join(texts, "node").groupBy("sub", "i", "j").applyInArrow(verify, "a binary, b binary")
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
