@@ -8,6 +8,7 @@ not depend on how many long texts meet in a batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,15 @@ def slices(arr: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
         at = stop
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker is kept for later stages, and what it holds counts there too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def raw_bytes(arr: pa.Array) -> tuple[np.ndarray, bytes]:
     """(row offsets, bytes) of a null-free string array."""
     offsets = np.frombuffer(arr.buffers()[1], np.int32)[arr.offset:arr.offset + len(arr) + 1].astype(np.int64)

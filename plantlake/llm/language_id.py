@@ -32,6 +32,7 @@ runs of ``RUN`` bytes; extra columns stay, whatever they are called, and
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import raw_bytes, slices
+from .arrow_text import raw_bytes, release, slices
 from .shared import cut, fresh
 
 PER_LANGUAGE = 500
@@ -133,6 +134,7 @@ def text_evidence(spark, model: tuple[list[str], np.ndarray], text: Column) -> C
             parts.append(total * (weight / _SCALE)[:, None])
             empty.append(n == 0)
         values, none = np.concatenate(parts), np.concatenate(empty)
+        release()
         offsets = pa.array(np.arange(len(values) + 1) * len(languages), pa.int32())
         return pa.ListArray.from_arrays(offsets, pa.array(values.ravel(), pa.float64()),
                                         mask=pa.array(none)) if len(values) else pa.array([], pa.list_(pa.float64()))
@@ -174,54 +176,45 @@ def host_priors(judged: DataFrame, languages: list[str]) -> DataFrame:
     return hosts.join(suffixes, F.col("suffix").eqNullSafe(F.col("sfx"))).select("host", "suffix", prior.alias("prior"))
 
 
-_FUSED = ("struct<lang:string,probability:double,text_lang:string,declared:string,suffix_lang:string,"
-          "host_prior:double,accepted:boolean>")
-
-
-def _statement(languages: list[str], said: list[str | None], right: float) -> np.ndarray:
-    """Log evidence of statements that are right with probability ``right``; none for other languages or null."""
-    place = {lang: i for i, lang in enumerate(languages)}
-    out = np.zeros((len(said), len(languages)))
-    wrong = np.log((1 - right) / max(len(languages) - 1, 1))
-    for r, lang in enumerate(said):
-        if lang in place:
-            out[r] = wrong
-            out[r, place[lang]] = np.log(right)
-    return out
-
-
-def _fusion(languages: list[str]):
-    @F.arrow_udf(_FUSED)
-    def fuse(ll: pa.Array, size: pa.Array, prior: pa.Array, declared: pa.Array, suffix: pa.Array) -> pa.Array:
-        """Posterior of every row from its text, host prior, declared language and address suffix."""
-        n, k = len(ll), len(languages)
-        has_text, has_prior = ll.is_valid().to_numpy(False), prior.is_valid().to_numpy(False)
-        text, host = np.zeros((n, k)), np.full((n, k), 1.0 / k)
-        text[has_text] = ll.flatten().to_numpy(False).reshape(-1, k)
-        host[has_prior] = prior.flatten().to_numpy(False).reshape(-1, k)
-        said = declared.to_pylist()
-        country = [SUFFIX_LANGUAGE.get(x) for x in suffix.to_pylist()]
-        score = (text + np.log(host) + _statement(languages, said, DECLARED)
-                 + _statement(languages, country, SUFFIX))
-        score += np.log1p(-OTHER)
-        # weight(n) trigrams, each with a chance of one in BUCKETS
-        other = np.log(OTHER) - np.log(BUCKETS) * np.minimum(size.to_numpy(False), TEXT_WEIGHT)
-        best = score.argmax(axis=1)
-        rows = np.arange(n)
-        top = np.maximum(score[rows, best], other)
-        total = np.exp(score - top[:, None]).sum(axis=1) + np.exp(other - top)
-        known = has_text & (score[rows, best] >= other)
-        probability = np.where(known, np.exp(score[rows, best] - top) / total, 0.0)
-        names = np.array([*languages, "und"], object)
-        chosen = np.where(known, best, k)
-        guess = np.where(has_text, text.argmax(axis=1), k)
-        cols = [pa.array(names[chosen], pa.string()), pa.array(probability),
-                pa.array(names[guess], pa.string(), mask=~has_text), declared, pa.array(country, pa.string()),
-                pa.array(np.where(known, host[rows, best], 0.0)), pa.array(probability >= MIN_PROBABILITY)]
-        return pa.StructArray.from_arrays(cols, ["lang", "probability", "text_lang", "declared", "suffix_lang",
-                                                 "host_prior", "accepted"])
-
-    return fuse
+def _statement(languages: list[str], said: Column, right: float) -> Column:
+    """Log evidence per language of a statement that is right with probability ``right``; zeros where it is null or
+    names another language."""
+    names = F.array(*[F.lit(x) for x in languages])
+    wrong = math.log((1 - right) / max(len(languages) - 1, 1))
+    return F.when(F.array_contains(names, said), F.transform(
+        names, lambda x: F.when(x == said, math.log(right)).otherwise(wrong))).otherwise(
+        F.array(*[F.lit(0.0)] * len(languages)))
+
+
+def _fused(languages: list[str], ll: Column, size: Column, prior: Column, declared: Column, suffix: Column) -> Column:
+    """Posterior of a row from its text, host prior, declared language and address suffix (null without text)."""
+    k = len(languages)
+    names = F.array(*[F.lit(x) for x in languages])
+    country = F.create_map(*[F.lit(x) for pair in SUFFIX_LANGUAGE.items() for x in pair])[suffix]
+    host = F.coalesce(prior, F.array(*[F.lit(1.0 / k)] * k))
+    plus = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
+    score = plus(F.zip_with(ll, host, lambda x, y: x + F.log(y) + math.log1p(-OTHER)),
+                 plus(_statement(languages, declared, DECLARED), _statement(languages, country, SUFFIX)))
+    # Trigrams that count, each with a chance of one in BUCKETS in another language.
+    other = math.log(OTHER) - math.log(BUCKETS) * F.least(size, F.lit(TEXT_WEIGHT))
+    return F.struct(score.alias("score"), F.array_max(score).alias("best"), other.alias("other"), host.alias("host"),
+                    declared.alias("declared"), country.alias("country"),
+                    F.element_at(names, F.array_position(ll, F.array_max(ll)).cast("int")).alias("guess"))
+
+
+def _verdict(languages: list[str], f: Column) -> Column:
+    """The result from a row's ``_fused`` numbers."""
+    names = F.array(*[F.lit(x) for x in languages])
+    top = F.greatest(f["best"], f["other"])
+    total = F.aggregate(f["score"], F.exp(f["other"] - top), lambda a, x: a + F.exp(x - top))
+    known = F.coalesce(f["best"] >= f["other"], F.lit(False))  # null: a text without trigrams
+    place = F.array_position(f["score"], f["best"]).cast("int")
+    probability = F.when(known, F.exp(f["best"] - top) / total).otherwise(0.0)
+    return F.struct(
+        F.when(known, F.element_at(names, place)).otherwise("und").alias("lang"), probability.alias("probability"),
+        f["guess"].alias("text_lang"), f["declared"].alias("declared"), f["country"].alias("suffix_lang"),
+        F.when(known, F.element_at(f["host"], place)).otherwise(0.0).alias("host_prior"),
+        (probability >= MIN_PROBABILITY).alias("accepted"))
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text: Column, host: Column,
@@ -249,8 +242,10 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text: Colu
                                        F.greatest(F.octet_length(text) - 2, F.lit(0)).alias("n"), ll.alias("ll")))
     x, prior = F.col(e), F.col(p)
     rows = rows.join(priors, x["host"].eqNullSafe(prior["p_host"]) & x["suffix"].eqNullSafe(prior["p_suffix"]), "left")
-    out = _fusion(languages)(x["ll"], F.coalesce(x["n"], F.lit(0)), prior["prior"], x["declared"], x["suffix"])
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], out.alias(into))
+    fused = _fused(languages, x["ll"], F.coalesce(x["n"], F.lit(0)), prior["prior"], x["declared"], x["suffix"])
+    # One struct of numbers first, so that no expression is computed twice.
+    rows = rows.withColumn(e, fused)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], _verdict(languages, F.col(e)).alias(into))
 
 
 def identify_documents(docs: DataFrame, labelled: DataFrame, into: str = "language") -> DataFrame:

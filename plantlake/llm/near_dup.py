@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow_text import ALNUM, U64, mix, raw_bytes, shingles, slices
+from .arrow_text import ALNUM, U64, mix, raw_bytes, release, shingles, slices
 from .shared import cut, fresh
 
 WIDTH = 5
@@ -280,6 +280,7 @@ def _sketch(width: int):
         lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()),
                                           pa.array(x.view(np.int64).ravel(), pa.int64()))
                  for x in (np.concatenate(bits), np.concatenate(fine))]
+        release()
         return pa.StructArray.from_arrays(lists, ["bits", "fine"])
 
     return sketch
@@ -410,6 +411,8 @@ def _links_in_cells(cells: DataFrame, texts: DataFrame, width: int, threshold: f
             if common / (int(wa.sum()) + int(wb.sum()) - common) >= threshold:
                 root[ra] = rb
                 links.append((a, b))
+        del bags
+        release()
         node = cell["node"].to_pylist()
         ends = ([min(node[a], node[b]) for a, b in links], [max(node[a], node[b]) for a, b in links])
         return pa.table({"a": pa.array(ends[0], pa.binary()), "b": pa.array(ends[1], pa.binary())})
@@ -436,6 +439,7 @@ def _node_column(text: Column) -> Column:
             for a, b in zip(offsets[:-1], offsets[1:]):
                 words = data[a:b].split()
                 out.append(hashlib.md5(b" ".join(words)).digest() if words else None)
+        release()
         return pa.array(out, pa.binary())
 
     return node(text)
