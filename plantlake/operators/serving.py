@@ -26,6 +26,8 @@ OUTCOME_COLUMNS = ("work_order_id", "plant_id", "asset_id", "opened_at", "closed
                    "failure_code", "priority", "parts_used", "labor_hours", "mttr_hours")
 POINT_COLUMNS = ("tag_name", "asset_id", "event_ts", "value", "quality", "uom", "plant_id",
                  "area_id", "tag_suffix")
+EVENT_COLUMNS = ("event_id", "plant_id", "area_id", "line_id", "asset_id", "event_start", "event_end", "event_type",
+                 "downtime_code", "good_count", "scrap_count", "planned_count")
 
 
 def serving_work_orders(work_orders: DataFrame) -> DataFrame:
@@ -140,9 +142,7 @@ def points_recent(points: DataFrame, days: int = DEFAULT_RECENT_DAYS, as_of=None
 
 def serving_production_events(events: DataFrame) -> DataFrame:
     """Production events without free-text notes (trap T17, for TOOL-08)."""
-    return events.select("event_id", "plant_id", "area_id", "line_id", "asset_id", "event_start",
-                         "event_end", "event_type", "downtime_code", "good_count", "scrap_count",
-                         "planned_count")
+    return events.select(*EVENT_COLUMNS)
 
 
 def names_from_people(*people: DataFrame, columns: Iterable[str] = ()) -> DataFrame:

@@ -3,7 +3,8 @@
 Each layer is materialised, so lineage is cut at every table (an executor
 lost late in the run recomputes from the last written table, not from the
 sources).  Points, hourly facts and daily health are partitioned by date; a
-run replaces every table whole.
+run replaces every table whole, as a new version (:mod:`plans.versions`): a
+table that a dead run did not finish stays as it was.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from ..config import CLASSIFIED, REFERENCE_POLICY, HealthRule, Policy
 from ..operators import gold, governance, metrics, quality, serving, silver
+from ..schemas import DATABASES
 from ..session import configure
-from .tables import create_databases, write_table
+from .tables import create_databases
+from .versions import define_live_views, drop_versions, read_current, replace_table
 
 
 @dataclass
@@ -28,29 +31,36 @@ class RunReport:
 
 def run_batch(spark: SparkSession, raw: dict[str, DataFrame], root: str, rule: HealthRule = HealthRule(),
               policy: Policy = REFERENCE_POLICY, as_of: dt.datetime | str | None = None, fmt: str = "parquet",
-              register: bool = False) -> RunReport:
+              register: bool = False, prefix: str = "", keep: int = 2) -> RunReport:
     """Build every table from raw frames (keys: ``points_raw``, ``assets_raw``, ...).
 
     Returns row counts per written table and quarantine counts.  The metric
     and serving views are written into the ``metrics`` and ``serving_safe``
     databases, so that other sessions, and readers with rights on those
     databases only, find them; shift notes lose the names of the list and of
-    the people tables.
+    the people tables.  With ``register`` every table gets a catalogue name
+    (databases ``prefix`` + layer) that follows its current version, and
+    without ``as_of`` the serving names that need no redaction become views
+    that follow their tables and the clock.  The last ``keep`` versions of a
+    table stay on disk.
     """
     configure(spark)
     rep = RunReport()
+    written: list[str] = []
     root = root.rstrip("/")
     if register:
-        create_databases(spark, root)
+        create_databases(spark, root, [prefix + db for db in DATABASES])
 
     def save(df: DataFrame, layer: str, name: str, partition_by=()) -> DataFrame:
         path = f"{root}/{layer}/{name}"
-        table = f"{layer}.{name}" if register else None
-        rep.rows[f"{layer}.{name}"] = write_table(df, path, "overwrite", partition_by, fmt, table, spark)
-        return spark.read.format(fmt).load(path)
+        table = f"{prefix}{layer}.{name}" if register else None
+        rep.rows[f"{layer}.{name}"] = replace_table(df, path, partition_by, fmt, table)
+        written.append(path)
+        return read_current(spark, path, fmt)
 
     def quarantine(df: DataFrame, name: str) -> int:
-        return write_table(df, f"{root}/quarantine/{name}", "overwrite", (), fmt)
+        written.append(f"{root}/quarantine/{name}")
+        return replace_table(df, written[-1], (), fmt)
 
     # bronze: points keep every row (quarantine is reported, not dropped here)
     points_raw = save(raw["points_raw"].withColumn("event_date", F.to_date("event_ts")), "bronze",
@@ -98,6 +108,10 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], root: str, rule: H
         save(df, *name.split("."))
     for name, df in people.items():
         governance.secure_view(df, name, (), policy).createOrReplaceTempView(f"{name}_masked")
+    if register and as_of is None:
+        define_live_views(spark, prefix)
+    for path in written:
+        drop_versions(spark, path, keep)
     return rep
 
 
@@ -105,16 +119,17 @@ def run_retention(spark: SparkSession, root: str, as_of: dt.datetime | str | Non
                   fmt: str = "parquet") -> dict[str, int]:
     """GOV-09 as a job: people rows past their time go, and raw rows lose their classified columns.
 
-    Results are written to a sibling folder first and replace the table only
-    when that is complete.  Returns the people rows left per table.
+    A result is the table's next version, and replaces it only when it is
+    complete; the files of older versions, which still hold what was purged,
+    are deleted after that.  Returns the people rows left per table.
     """
     root = root.rstrip("/")
-    load = lambda table: spark.read.format(fmt).load(f"{root}/{table}")
+    load = lambda table: read_current(spark, f"{root}/{table}", fmt)
 
     def replace(df: DataFrame, table: str) -> int:
-        staged = f"{root}/staging/{table}"
-        write_table(df, staged, "overwrite", (), fmt)
-        return write_table(spark.read.format(fmt).load(staged), f"{root}/{table}", "overwrite", (), fmt)
+        rows = replace_table(df, f"{root}/{table}", (), fmt)
+        drop_versions(spark, f"{root}/{table}")
+        return rows
 
     left = {}
     for name, (src, _) in silver.PEOPLE_BUILDERS.items():

@@ -23,14 +23,16 @@ from ..functions import register_sql_functions, round6
 from ..operators import diagnostics as dgn
 from ..operators import gold, governance, metrics, quality, serving, silver, tools
 from ..schemas import CSV_COLUMNS
-from ..session import configure, shared_dir
+from ..session import configure, shared_dir, ship_package
 from ..sources import shims
-from ..sources.csv import load_csv
+from ..sources.csv import load_csv, load_csv_versions, rescued_cells
 from ..sources.points import bronze_points, parse_messages
+from ..sources.pysource import PointPollSource
 from .changes import apply_changes, table_changes
 from .intervals import overlap_check
 from .pipeline import run_batch
 from .tables import catalogue, compact, create_databases, define_raw_tables, write_table
+from .versions import read_current, replace_table
 
 AS_OF = "2024-01-31 00:00:00"
 LATE_AS_OF = "2024-01-30 12:00:00"
@@ -708,10 +710,7 @@ def _folder(i: Inputs, kind: str) -> str:
 def _csv_query(name: str):
     def run(i: Inputs):
         root = _folder(i, "csv")
-        raw = i.raw(f"{name}_raw")
-        if name == "shifts":  # a landed line is one record
-            raw = raw.withColumn("handoff_notes", F.replace("handoff_notes", F.lit("\n"), F.lit(" ")))
-        raw.write.option("header", True).csv(f"{root}/{name}.csv")
+        i.raw(f"{name}_raw").write.option("header", True).csv(f"{root}/{name}.csv")
         return load_csv(i.spark, f"{root}/{name}.csv", name, file_name=f"{name}.csv").drop("ingest_ts")
     run.__doc__ = f"SRC-01..03, SNK-02, BRZ-05: the {name} frame landed as CSV and loaded again."
     return run
@@ -721,6 +720,62 @@ for _name in CSV_COLUMNS:
     Q[f"csv_{_name}"] = _csv_query(_name)
 
 
+def _landed_versions(i: Inputs) -> DataFrame:
+    """Work orders as they land over the years, in files of four kinds by id: the declared header; the columns in
+    reverse; a new vendor column and no notes; and lines with one cell too many or the last one missing."""
+    root, columns = _folder(i, "csv"), list(CSV_COLUMNS["work_orders"])
+    no = F.regexp_extract("work_order_id", r"(\d+)$", 1).cast("bigint")
+    raw = i.raw("work_orders_raw").withColumn("_no", no).withColumn("vendor", F.concat(F.lit("V,"), F.col("_no")))
+    reverse, vendor = columns[::-1], ["vendor", *[c for c in columns if c != "notes"]]
+    for kind, header in enumerate((columns, reverse, vendor)):
+        raw.filter(F.col("_no") % 4 == kind).select(header).write.option("header", True).option("escape", '"').csv(
+            f"{root}/kind-{kind}")
+    quoted = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in columns]
+    line = F.when(F.col("_no") % 8 == 3, F.concat_ws(",", *quoted, F.lit("late"))).otherwise(
+        F.concat_ws(",", *quoted[:-1]))
+    lines = raw.filter("_no % 4 = 3").select(line.alias(",".join(columns)))
+    # Whole lines: no quoting, and a separator that no line holds.
+    (lines.write.option("header", True).option("sep", "\x01").option("quote", "\x00")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/kind-3"))
+    return load_csv_versions(i.spark, root, "work_orders")
+
+
+@query("csv_versions")
+def _csv_versions(i: Inputs):
+    """SRC-01, SNK-02: files of several header versions, and broken lines, loaded without loss."""
+    return _landed_versions(i).drop("ingest_ts", "source_file")
+
+
+@query("csv_rescued")
+def _csv_rescued(i: Inputs):
+    """SRC-01: rescued rows by unknown column."""
+    return rescued_cells(_landed_versions(i)).groupBy("column_name").agg(F.sum("rows").alias("rows"))
+
+
+@query("poll_replay")
+def _poll_replay(i: Inputs):
+    """SRC-05 (b), STR-04: polls kept in the shared folder, read back by a second query whose endpoints are gone.
+
+    One endpoint per plant; a poll's payload is the plant's landed messages.
+    """
+    ship_package(i.spark)
+    i.spark.dataSource.register(PointPollSource)
+    root = _folder(i, "poll")
+    plant = F.coalesce(F.get_json_object("value", "$[0].plant_id"), F.lit("none"))
+    shims.point_messages(i.spark, i.sf_dir).select("value", plant.alias("plant")).write.partitionBy("plant").text(
+        f"{root}/plants")
+    plants = i.spark.read.text(f"{root}/plants").select("plant").distinct().collect()
+    options = {"endpoints": ",".join(sorted(f"{root}/plants/plant={r.plant}" for r in plants)), "ticks": "1",
+               "store": f"{root}/store"}
+    for run, fetcher in (("first", "plantlake.sources.pysource:file_fetch"), ("again", "no_such_module:fetch")):
+        polled = i.spark.readStream.format("plant_points").options(fetcher=fetcher, **options).load()
+        sink = (bronze_points(polled, dt.datetime(2024, 2, 1)).writeStream.format("parquet")
+                .option("checkpointLocation", f"{root}/checkpoint-{run}").trigger(availableNow=True)
+                .start(f"{root}/{run}"))
+        sink.awaitTermination()
+    return i.spark.read.parquet(f"{root}/again").select(*POINT_COLS)
+
+
 @query("points_landing")
 def _points_landing(i: Inputs):
     """SRC-05/07, BRZ-01..04, FN-18: messages landed as text, parsed, with landing time and payload."""
@@ -749,9 +804,45 @@ def _table_sink(i: Inputs):
         _by_date(i.spark.read.parquet(again), "rows_after_rebuild"), "event_date")
 
 
+@query("table_replace")
+def _table_replace(i: Inputs):
+    """SNK-02, SNK-03: a table replaced under another schema; a third write that dies leaves the second version."""
+    path = _folder(i, "replace")
+    orders = i.raw("work_orders_raw")
+    replace_table(orders.select("work_order_id", "status"), path)
+    replace_table(read_current(i.spark, path).join(orders.select("work_order_id", "priority", "asset_id"),
+                                                   "work_order_id"), path)
+    dies = F.when(F.col("work_order_id").isNotNull(), F.raise_error(F.lit("lost"))).otherwise(F.lit(""))
+    try:
+        replace_table(orders.withColumn("status", dies), path)
+    except Exception as e:  # noqa: BLE001 - this write is meant to fail
+        if "lost" not in str(e):
+            raise
+    return read_current(i.spark, path)
+
+
+@query("live_views")
+def _live_views(i: Inputs):
+    """SNK-04, SRV-01/02/04..07: persistent views of the whole batch pipeline, after its tables were replaced once."""
+    root, prefix = _folder(i, "lake"), f"p{uuid.uuid4().hex[:8]}_"
+    frames = {name: i.raw(name) for name in shims.RAW_SHIMS}
+    run_batch(i.spark, frames, root, register=True, prefix=prefix)
+    later = i.raw("alarms_raw").withColumn("alarm_id", F.concat(F.lit("again-"), "alarm_id"))
+    replace_table(silver.silver_alarms(frames["alarms_raw"].union(later)), f"{root}/silver/alarms",
+                  table=f"{prefix}silver.alarms")
+    out = None
+    for name in ("work_orders", "alarms", "assets", "production_events", "asset_health_daily", "oee_daily",
+                 "maintenance_outcomes"):
+        view = i.spark.table(f"{prefix}serving_safe.{name}")
+        part = view.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("view_name"), "rows", F.lit(len(view.columns)).alias("n_columns"))
+        out = part if out is None else out.union(part)
+    return out
+
+
 @query("table_compact")
 def _table_compact(i: Inputs):
-    """SNK-04: small files rewritten by the advisory size."""
+    """SNK-01: small files rewritten by the advisory size."""
     path = _folder(i, "compact")
     write_table(i.points.withColumn("event_date", F.to_date("event_ts")), path, partition_by=("event_date",))
     return _by_date(i.spark.read.parquet(compact(i.spark, path, partition_by=("event_date",))), "rows")
@@ -785,7 +876,7 @@ def _batch_tables(i: Inputs):
                   "gold.asset_tag_hourly", "gold.asset_health_daily", "gold.maintenance_outcomes", "gold.oee_daily",
                   "metrics.asset_health_score", "serving_safe.alarms", "serving_safe.shifts",
                   "serving_safe.pi_timeseries_recent"):
-        part = i.spark.read.parquet(f"{root}/{table.replace('.', '/')}").agg(F.count(F.lit(1)).alias("rows")).select(
+        part = read_current(i.spark, f"{root}/{table.replace('.', '/')}").agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(table).alias("table_name"), "rows")
         out = part if out is None else out.union(part)
     return out

@@ -9,6 +9,8 @@ run time become broadcast joins and skewed shuffle partitions are split.
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -78,3 +80,20 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application (poll source; nothing else needs it)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="plantlake-core-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)

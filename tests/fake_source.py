@@ -10,3 +10,9 @@ def fetch(endpoint: str, tick: int) -> list[dict]:
          "area_id": "AREA-COMPRESS"}
         for k in range(3)
     ]
+
+
+def fail_after_one(endpoint: str, tick: int):
+    """A poll that breaks off after its first point."""
+    yield from fetch(endpoint, tick)[:1]
+    raise ConnectionError(endpoint)

@@ -292,3 +292,119 @@ def test_daily_oee_equals_the_rebuild(spark, tmp_path):
     for i in range(3):
         tables.apply(spark.createDataFrame(events[i::3] + events[:4], EVENTS), i)
     assert _health(tables.read("oee")) == _health(gold.oee_daily(spark.createDataFrame(events, EVENTS)))
+
+
+# -- header versions, whole-or-nothing tables, replayable polls -----------------------
+
+def test_csv_header_versions_and_rescued_cells(spark, tmp_path):
+    from plantlake.schemas import CSV_COLUMNS
+    from plantlake.sources.csv import header_versions, load_csv, load_csv_versions, rescued_cells
+    cols = list(CSV_COLUMNS["assets"])
+    cells = [f"v{k}" for k in range(len(cols))]
+
+    def land(name, header, *lines):
+        (tmp_path / "in" / name).write_text("\n".join([",".join(header), *lines]) + "\n")
+
+    (tmp_path / "in").mkdir()
+    assert load_csv_versions(spark, str(tmp_path / "in"), "assets").count() == 0
+    land("a.csv", cols, ",".join(cells), ",".join([*cells[:-1], '"two\nlines, ""quoted"""']))
+    land("b [x]%.csv", cols[::-1], ",".join(cells[::-1]))
+    land("c.csv", ["site", *cols[1:], "site", ""], "S," + ",".join(cells[1:]) + ",two,three")
+    land("d.csv", cols, ",".join([*cells, "extra"]), ",".join(cells[:2]))
+    land("e.csv", cols)  # a header alone
+    raw = load_csv_versions(spark, str(tmp_path / "in"), "assets")
+    got = {(r.source_file, r[cols[0]], r[cols[-1]], r.rescued_data) for r in raw.collect()}
+    assert got == {
+        ("a.csv", "v0", cells[-1], None), ("a.csv", "v0", 'two\nlines, "quoted"', None),
+        ("b%20%5Bx%5D%25.csv", "v0", cells[-1], None),
+        ("c.csv", None, cells[-1], f'{{"site":"S","_column_{len(cols) + 1}":"two","_column_{len(cols) + 2}":"three"}}'),
+        ("d.csv", "v0", cells[-1], '{"_record":"' + ",".join([*cells, "extra"]) + '"}'),
+        ("d.csv", "v0", None, '{"_record":"v0,v1"}')}
+    assert raw.filter("rescued_data is not null").count() == 3
+    assert {(r.column_name, r.rows) for r in rescued_cells(raw).collect()} == {
+        ("site", 1), (f"_column_{len(cols) + 1}", 1), (f"_column_{len(cols) + 2}", 1), ("_record", 2)}
+    assert len(header_versions(spark, str(tmp_path / "in"))) == 3
+    one = load_csv(spark, str(tmp_path / "in" / "d.csv"), "assets")
+    assert one.count() == 2
+
+
+def test_replace_table_is_whole_or_nothing(spark, tmp_path):
+
+
+    from plantlake.plans.versions import drop_versions, read_current, replace_table, versions
+    path = str(tmp_path / "t")
+    assert versions(spark, path) == [] and drop_versions(spark, path) == []
+    assert replace_table(spark.range(10), path, table="default.whole_probe") == 10
+    before = read_current(spark, path)
+    # the next version reads the current one and has another schema
+    assert replace_table(before.withColumn("twice", F.col("id") * 2).filter("id < 7"), path,
+                         table="default.whole_probe") == 7
+    assert spark.table("default.whole_probe").columns == ["id", "twice"]
+    assert before.count() == 10  # a reader that began earlier keeps its version
+    bad = spark.range(0, 100, 1, 8).withColumn("twice", F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(1))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(bad, path, table="default.whole_probe")
+    assert read_current(spark, path).count() == 7 and spark.table("default.whole_probe").count() == 7
+    assert [n for n, _, _ in versions(spark, path)] == [1, 2]
+    assert replace_table(spark.range(0), path, table="default.whole_probe") == 0  # an empty table replaces, too
+    assert spark.table("default.whole_probe").count() == 0
+    drop_versions(spark, path, keep=1, leftovers=True)
+    assert [d for d in os.listdir(path) if d.startswith("data-")] == [versions(spark, path)[-1][1]]
+    assert read_current(spark, path).count() == 0
+    with pytest.raises(ValueError):
+        drop_versions(spark, path, keep=0)
+    plain = str(tmp_path / "plain")
+    spark.range(3).write.parquet(plain)
+    assert read_current(spark, plain).count() == 3
+    spark.sql("DROP VIEW default.whole_probe")
+
+
+def test_live_views_follow_their_tables(spark, tmp_path):
+    from conftest import SF_SMALL
+    from plantlake.operators import serving, silver
+    from plantlake.plans.pipeline import run_batch
+    from plantlake.plans.versions import replace_table
+    from plantlake.sources import shims
+    raw = {name: fn(spark, SF_SMALL) for name, fn in shims.RAW_SHIMS.items()}
+    root, p = str(tmp_path / "lake"), "views_"
+    run_batch(spark, raw, root, register=True, prefix=p)
+    for name, fn, table in (("work_orders", serving.serving_work_orders, "silver.work_orders"),
+                            ("alarms", serving.serving_alarms, "silver.alarms"),
+                            ("production_events", serving.serving_production_events, "silver.production_events")):
+        view, want = spark.table(f"{p}serving_safe.{name}"), fn(spark.table(f"{p}{table}"))
+        assert view.columns == want.columns and view.exceptAll(want).count() == want.exceptAll(view).count() == 0
+    assert spark.table(f"{p}serving_safe.pi_timeseries_recent").count() == 0  # all points are old by now
+    replace_table(silver.silver_alarms(raw["alarms_raw"].limit(5)), f"{root}/silver/alarms", table=f"{p}silver.alarms")
+    assert spark.newSession().table(f"{p}serving_safe.alarms").count() == 5
+
+
+def test_stored_polls_replay_and_failures_leave_nothing(spark, tmp_path):
+    from pathlib import Path
+
+    from pyspark.errors import StreamingQueryException
+
+    from plantlake.sources.points import bronze_points
+    from plantlake.sources.pysource import PointPollSource
+    spark.dataSource.register(PointPollSource)
+    store = tmp_path / "store"
+    options = {"endpoints": f"{tmp_path}/PLANT-01,{tmp_path}/PLANT-02", "ticks": "2", "store": str(store)}
+
+    def run(fetcher):
+        points = spark.readStream.format("plant_points").options(fetcher=fetcher, **options).load()
+        return (bronze_points(points).writeStream.format("parquet").trigger(availableNow=True)
+                .option("checkpointLocation", str(tmp_path / "ck")).start(str(tmp_path / "out")))
+
+    with pytest.raises(StreamingQueryException):
+        run("fake_source:fail_after_one").awaitTermination()
+    assert list(Path(store).rglob("*.jsonl")) == [] and list(Path(store).rglob("*.part")) == []
+    for side in ("one", "two"):  # the same batch after a restart: the second time no poll is needed
+        run("fake_source:fetch" if side == "one" else "fake_source:fail_after_one").awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+    assert len(list(Path(store).rglob("2.jsonl"))) == 2
+    again = (spark.readStream.format("plant_points").options(fetcher="fake_source:fail_after_one", **options).load()
+             .writeStream.format("parquet").trigger(availableNow=True)
+             .option("checkpointLocation", str(tmp_path / "ck2")).start(str(tmp_path / "out2")))
+    again.awaitTermination()
+    cols = ["tag_name", "asset_id", "value"]
+    assert (sorted(map(tuple, spark.read.parquet(str(tmp_path / "out2")).select(cols).collect()))
+            == sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(cols).collect())))

@@ -10,6 +10,7 @@ from conftest import SF_SMALL
 from plantlake.operators import gold, silver
 from plantlake.plans.pipeline import run_batch, run_retention
 from plantlake.plans.tables import catalogue, compact, write_table
+from plantlake.plans.versions import read_current, versions
 from plantlake.sources import shims
 
 
@@ -23,11 +24,12 @@ def test_run_batch_writes_every_layer(spark, tmp_path):
     assert rep.rows["bronze.pi_timeseries_raw"] == raw["points_raw"].count()
     assert rep.quarantined["work_orders_raw"] > 0  # the planted 'n/a' labour hours
     assert os.path.isdir(os.path.join(root, "silver", "pi_timeseries"))
-    assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(root, "gold", "asset_tag_hourly")))
+    hourly = os.path.join(root, "gold", "asset_tag_hourly")
+    assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(hourly, versions(spark, hourly)[-1][1])))
     # metric and serving objects are written, so every session sees them
-    assert spark.read.parquet(f"{root}/serving_safe/asset_health_daily").count() == rep.rows["gold.asset_health_daily"]
+    assert read_current(spark, f"{root}/serving_safe/asset_health_daily").count() == rep.rows["gold.asset_health_daily"]
     assert set(raw) == set(shims.RAW_SHIMS) and "event_date" not in raw["points_raw"].columns  # the argument is unchanged
-    notes = spark.read.parquet(f"{root}/serving_safe/shifts")
+    notes = read_current(spark, f"{root}/serving_safe/shifts")
     assert notes.filter("handoff_notes_redacted rlike '(?i)silva|van dam|núñez'").count() == 0
     masked = spark.table("shift_people_masked")
     assert masked.count() == 0  # no groups: the row filter hides every plant
@@ -65,11 +67,13 @@ def test_retention_job_writes_back(spark, tmp_path):
     rep = run_batch(spark, raw, root, as_of="2024-01-31 00:00:00")
     left = run_retention(spark, root, "2024-01-31 00:00:00")
     for name in ("work_order_people", "alarm_ack_people", "shift_people"):
-        assert spark.read.parquet(f"{root}/ops_pii_restricted/{name}").count() == left[name]
+        assert read_current(spark, f"{root}/ops_pii_restricted/{name}").count() == left[name]
     assert left["work_order_people"] < rep.rows["ops_pii_restricted.work_order_people"]
-    bronze = spark.read.parquet(f"{root}/bronze/work_orders_raw")
+    bronze = read_current(spark, f"{root}/bronze/work_orders_raw")
     assert bronze.count() == rep.rows["bronze.work_orders_raw"]  # the facts stay
     assert bronze.filter("technician_name is not null").count() == left["work_order_people"]
+    people = os.path.join(root, "ops_pii_restricted", "shift_people")  # purged rows are on disk no more
+    assert [d for d in os.listdir(people) if d.startswith("data-")] == [versions(spark, people)[-1][1]]
 
 
 def test_shared_folder_must_be_named_on_a_cluster():

@@ -12,7 +12,7 @@ from plantlake.plans import registry as E
 
 
 # These queries write files while they are built, as sinks do.
-WRITERS = ("table_changes", "changes_applied", "csv_", "points_landing", "table_sink", "table_compact", "bronze_tables", "batch_tables", "stream_")
+WRITERS = ("table_changes", "changes_applied", "csv_", "points_landing", "table_sink", "table_compact", "bronze_tables", "batch_tables", "table_replace", "live_views", "poll_replay", "stream_")
 
 
 def plan(df) -> str:
