@@ -40,7 +40,8 @@ _KINDS = (
     ("assign", 1, _HEAD + "[A-Za-z0-9+/_.=-]+", _HEAD, 12),
     ("access", 2, "AKIA[A-Z0-9]+", "", 18),
     ("hex", 3, "[0-9a-f]+", "", 16),
-    ("private_key", 4, "-----BEGIN [A-Z ]*PRIVATE KEY-----", "", 1),
+    ("private_key", 4, "-----BEGIN [A-Z ]*PRIVATE KEY-----([A-Za-z0-9+/=:,.\\x09\\x0A\\x0D\\x20]*"
+                       "-----END [A-Z ]*PRIVATE KEY-----)?", "", 1),
     ("code_host", 5, "gh[pousr]_[A-Za-z0-9]+", "", 40),
     ("chat", 6, "xox[abprs]-[A-Za-z0-9-]+", "", 15),
     ("jwt", 7, "eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", "", 30),

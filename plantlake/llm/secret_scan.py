@@ -7,12 +7,17 @@ transition array of 256 entries per state.  The scan reads each byte once.
 A state without any half-read match is *idle*; no match spans an idle point,
 so the text falls into active segments, and only a segment in which a rule
 accepted is looked at again, to name the leftmost longest spans of that rule
-with the rule's own small automaton.
+with the rule's own small automaton: backwards first, to mark where a match
+begins and how far it can go, then forwards through the matches alone.  Both
+passes are linear, whatever the bytes are.
 
 Spark part: an Arrow UDF over the text column (a map, no shuffle).
 
 Edge cases: a null text is empty and has no spans; positions are code points,
-end exclusive; repeated rows are each reported; only the text column is read.
+end exclusive; repeated rows are each reported; texts are scanned whole, in
+linear time, with 1 byte more per byte of a segment that holds a match (4 for
+rules with over 256 live sets); an empty table gives an empty one; only the
+text column is read, so other columns may have any names but ``into``.
 """
 
 from __future__ import annotations
@@ -50,7 +55,9 @@ BASE_RULES = (
 )
 #: Public token formats that the method adds.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # The key itself, too, where its closing line follows; else the opening line alone.
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----([A-Za-z0-9+/=:,.\x09\x0A\x0D\x20]*"
+                        r"-----END [A-Z ]*PRIVATE KEY-----)?"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 15),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
@@ -245,6 +252,54 @@ class Dfa:
         self.move = array("H", [place[int(group[table[m][byte_kind[b]]])] for m in members for b in range(256)])
         self.accepts = [int(labels[m]) for m in members]
         self.states = len(members)
+        # Run backwards: the sets of states that still lead to a match, numbered as they turn up.
+        self.live, self._number, self._back = [0], {0: 0}, {}
+
+    def ahead(self, data: bytes, at: int, end: int):
+        """For each position of ``data[at:end]``, and for its end: the number, in ``live``, of the set of
+        states from which the bytes from there on still reach a match.  One backward pass."""
+        back, now = self._back, 0
+        sets: bytearray | array = bytearray(end - at + 1)
+        for i in range(end - 1, at - 1, -1):
+            key = now << 8 | data[i]
+            now = back.get(key, -1)
+            if now < 0:
+                now = back[key] = self._before(key)
+            if now > 255 and isinstance(sets, bytearray):
+                sets = array("I", sets)
+            sets[i - at] = now
+        return sets
+
+    def _before(self, key: int) -> int:
+        later, byte = self.live[key >> 8], key & 255
+        states = 0
+        for s in range(self.states):
+            goal = self.move[s << 8 | byte]
+            if self.accepts[goal] or later >> goal & 1:
+                states |= 1 << s
+        if states not in self._number:
+            self._number[states] = len(self.live)
+            self.live.append(states)
+        return self._number[states]
+
+    def matches(self, data: bytes, at: int, end: int):
+        """Leftmost longest matches (start, end) in ``data[at:end]``, in linear time: a run begins only
+        where a match does, and ends where none can follow (``search=False`` only)."""
+        move, accepts, live = self.move, self.accepts, self.live
+        sets = self.ahead(data, at, end)
+        i = at
+        while i < end:
+            if not live[sets[i - at]] & 1:
+                i += 1
+                continue
+            state, stop, k = 0, i, i
+            while k < end and live[sets[k - at]] >> state & 1:
+                state = move[state << 8 | data[k]]
+                k += 1
+                if accepts[state]:
+                    stop = k
+            yield i, stop
+            i = stop
 
     def longest(self, data: bytes, at: int, end: int) -> int:
         """End of the longest match that begins at ``at``, or -1 (``search=False`` only)."""
@@ -310,16 +365,10 @@ class Scanner:
         for k, rule in enumerate(self.rules):
             if not seen >> k & 1:
                 continue
-            dfa, i = self.own[k], at
-            while i < end:
-                stop = dfa.longest(data, i, end)
-                if stop < 0:
-                    i += 1
-                    continue
-                begin = self.head[k].longest(data, i, stop) if self.head[k] else i
+            for start, stop in self.own[k].matches(data, at, end):
+                begin = self.head[k].longest(data, start, stop) if self.head[k] else start
                 if stop - begin >= rule.least:
-                    out.append((i, k, stop))
-                i = stop
+                    out.append((start, k, stop))
 
 
 _BUILT: dict = {}

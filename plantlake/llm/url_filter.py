@@ -5,18 +5,25 @@ the url's path starts with the rule's path; the longest rule text (host plus
 path) wins, and of equally long ones that with more host labels.  The host
 part of the trie is walked from the last label; every node may hold a path
 trie whose edges are whole segments and whose nodes hold the beginnings of
-the next segment.  A url's cost depends on its own labels and segments only.
+the next segment.  A url's cost depends on its own labels and segments, and
+on the lengths of the beginnings that rules name there; it is linear in the
+url's length.
 
 The trie is broadcast; its size is bounded by ``MAX_RULES`` (checked when it
 is built).  Spark part: a map over the url column alone.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and
 no rule, and is blocked as malformed; any other url without a rule gets
-``default``; repeated rows are each judged; only the url column is read.
+``default``; repeated rows are each judged; urls are taken whole, however
+long; an empty table gives an empty one; only the url column is read, so
+other columns may have any names but ``into``.
 """
 
 from __future__ import annotations
 
+from bisect import insort
+from operator import neg
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +43,8 @@ _LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 def build_trie(rules) -> dict:
     """Nested dicts: host node {"next": {label: node}, "path": path node or None};
-    path node {"next": {segment: node}, "starts": {beginning of the next segment: rule}}."""
+    path node {"next": {segment: node}, "starts": {beginning of the next segment: rule},
+    "lengths": lengths of these beginnings, longest first}."""
     rules = list(rules)
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; the broadcast trie takes at most {MAX_RULES}")
@@ -46,7 +54,7 @@ def build_trie(rules) -> dict:
         for label in reversed(host.split(".")):
             node = node["next"].setdefault(label, {"next": {}, "path": None})
         if node["path"] is None:
-            node["path"] = {"next": {}, "starts": {}, "all": None}
+            node["path"] = {"next": {}, "starts": {}, "lengths": [], "all": None}
         at = node["path"]
         rule = (len(host) + len(path), host + path, verdict)
         if not path:
@@ -54,8 +62,10 @@ def build_trie(rules) -> dict:
             continue
         *whole, start = path.split("/")[1:]
         for segment in whole:
-            at = at["next"].setdefault(segment, {"next": {}, "starts": {}, "all": None})
+            at = at["next"].setdefault(segment, {"next": {}, "starts": {}, "lengths": [], "all": None})
         at["starts"][start] = rule
+        if len(start) not in at["lengths"]:
+            insort(at["lengths"], len(start), key=neg)
     return root
 
 
@@ -65,12 +75,10 @@ def _path_rule(at: dict, path: str):
         return best
     segments = path.split("/")[1:]
     for i, segment in enumerate(segments):
-        starts = at["starts"]
-        if starts:
-            for n in range(len(segment), -1, -1):
-                if (rule := starts.get(segment[:n])) is not None:
-                    best = rule if best is None or rule[0] > best[0] else best
-                    break
+        for n in at["lengths"]:
+            if n <= len(segment) and (rule := at["starts"].get(segment[:n])) is not None:
+                best = rule if best is None or rule[0] > best[0] else best
+                break
         at = at["next"].get(segment) if i < len(segments) - 1 else None
         if at is None:
             break

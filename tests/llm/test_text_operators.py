@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -119,6 +120,44 @@ def test_added_rules_keep_the_base_spans():
     assert [RULES[k].kind for _, k, _ in scan.spans(text)] == ["private_key", "code_host", "chat", "jwt"]
 
 
+def test_private_key_body_and_long_hostile_texts():
+    scan = Scanner(RULES)
+    key = b"-----BEGIN RSA PRIVATE KEY-----\nMIIEow+/A=\r\nabc\n-----END RSA PRIVATE KEY-----"
+    kinds = lambda data: [(RULES[k].kind, data[s:e]) for s, k, e in scan.spans(data)]
+    assert kinds(b"x " + key + b" y " + key) == [("private_key", key)] * 2
+    cut = key[:key.index(b"-----END")]  # no closing line: the opening line alone
+    assert kinds(cut + b" and more text") == [("private_key", b"-----BEGIN RSA PRIVATE KEY-----")]
+    # Starts that fail far away, 1 MB of them: linear, so a few seconds; restarting at each took hours.
+    hostile = b"token=" + b"eyJ" * 350_000 + b"..eyJa.b." + b"z" * 40
+    begun = time.monotonic()
+    got = kinds(hostile)
+    assert time.monotonic() - begun < 60
+    assert [k for k, _ in got] == ["assign", "jwt"] and got[1][1] == b"eyJa.b." + b"z" * 40
+
+
+def test_rules_match_a_backtracking_engine():
+    """Spans of all rules against another engine's leftmost matches, tried longest first."""
+    scan, rng = Scanner(RULES), random.Random(11)
+    bits = [b"token=", b"eyJ", b".", b"a", b"AKIA", b"0123456789abcdef", b" ", b"'", b"ghp_", b"XXXXXXXX9", b"xoxb-",
+            b"-----BEGIN ", b"PRIVATE KEY-----", b"-----END ", b"secret : ", b"-", b"\n"]
+    for _ in range(300):
+        data, want = b"".join(rng.choices(bits, k=rng.randrange(1, 12))), []
+        for k, rule in enumerate(RULES):
+            flags = re.IGNORECASE if rule.any_case else 0
+            whole, head = re.compile(rule.pattern.encode(), flags), rule.head and re.compile(rule.head.encode(), flags)
+            longest = lambda p, at, end: next((e for e in range(end, at, -1) if p.fullmatch(data, at, e)), -1)
+            at = 0
+            while at < len(data):
+                stop = longest(whole, at, len(data))
+                if stop < 0:
+                    at += 1
+                    continue
+                if stop - (longest(head, at, stop) if head else at) >= rule.least:
+                    want.append((at, k, stop))
+                at = stop
+        assert scan.spans(data) == sorted(want), data
+
+
 def test_secret_columns_and_edges(spark):
     rows = [(1, "é token=abcdefghijkl é"), (2, None), (3, ""), (4, "a" * 100_000), (1, "é token=abcdefghijkl é"),
             (5, "token = 'ABCdef123456' 0123456789abcdef0")]
@@ -194,6 +233,14 @@ def test_trie_equals_linear_search():
             (host, path)
 
 
+def test_long_urls_take_linear_time():
+    trie, begun = build_trie(URL_RULES), time.monotonic()
+    assert find_rule(trie, "a.example.org", "/" + "e" * 4_000_000)[1] == "org/"
+    assert find_rule(trie, "example.org", "/en/1" + "2" * 4_000_000)[1] == "example.org/en/1"
+    assert find_rule(trie, "example.org", "/en" * 1_000_000)[1] == "org/"
+    assert time.monotonic() - begun < 20
+
+
 def test_urls_and_edges(spark):
     assert split_url("HTTP://WWW.Example.ORG/ES/x?q=/#f") == ("www.example.org", "/ES/x")
     assert split_url("https://a.com?x=/b") == ("a.com", "") and split_url("no scheme") == ("", "")
