@@ -113,3 +113,11 @@ def test_no_cross_or_nested_loop_join_in_any_query(spark):
             continue
         p = plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_rows_cut_from_texts_are_no_broadcast_side(spark):
+    # the files' size tells nothing of the rows that come of cutting the texts; only the dictionary may be broadcast
+    p = plan(E.queries()["serving_shifts_dictionary"](spark, SF_SMALL))
+    joins = [ln for ln in p.splitlines() if "Join" in ln]
+    assert any("LeftSemi" in ln for ln in joins) and any("SortMergeJoin" in ln and "LeftOuter" in ln for ln in joins)
+    assert not [ln for ln in joins if "BuildLeft" in ln or "Inner" in ln or "BroadcastHashJoin" in ln and "LeftOuter" in ln]
