@@ -121,3 +121,17 @@ def test_rows_cut_from_texts_are_no_broadcast_side(spark):
     joins = [ln for ln in p.splitlines() if "Join" in ln]
     assert any("LeftSemi" in ln for ln in joins) and any("SortMergeJoin" in ln and "LeftOuter" in ln for ln in joins)
     assert not [ln for ln in joins if "BuildLeft" in ln or "Inner" in ln or "BroadcastHashJoin" in ln and "LeftOuter" in ln]
+
+
+def test_no_version_of_a_table_is_broadcast(spark, tmp_path):
+    # small files of wide rows, all of which change: only digests may be a broadcast side
+    from plantlake.plans.changes import apply_changes, table_changes
+    for name, text in (("old", "x"), ("new", "y")):
+        spark.range(300).select("id", F.repeat(F.lit(text), 2000).alias("text")).write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    changes = table_changes(old, new, ["id"])
+    joins = [ln for ln in plan(changes).splitlines() if "Join" in ln]
+    assert joins and all("LeftSemi" in ln for ln in joins)
+    assert {r["_change_type"]: r["count"] for r in changes.groupBy("_change_type").count().collect()} == {
+        "update_before": 300, "update_after": 300}
+    assert apply_changes(old, changes).exceptAll(new).count() == 0
