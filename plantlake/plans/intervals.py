@@ -37,13 +37,19 @@ def new_time(keys: list[str], lo: str = "lo", hi: str = "hi") -> Column:
 def _islands(pieces: DataFrame, group: list[str]) -> DataFrame:
     """Pieces of a group merged where they meet or overlap: (group, lo, hi, n)."""
     ordered = Window.partitionBy(*group).orderBy("lo", "hi")
-    reached = F.max("hi").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.coalesce(F.col("lo") > reached, F.lit(True)), F.col("lo"))
-    # The last opening at or before a piece names its island; pieces that start together share it, in any order.
-    upto = Window.partitionBy(*group).orderBy("lo").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return pieces.withColumn("_opens", opens).withColumn("_island", F.max("_opens").over(upto)) \
-        .groupBy(*group, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")) \
-        .drop("_island")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.max("hi").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    marked = pieces.select(
+        *group, "lo", "hi", "n", F.coalesce(F.col("lo") > before, F.lit(True)).alias("_opens"),
+        F.max("hi").over(upto).alias("_reached"), F.lead("lo").over(ordered).alias("_next"), F.sum("n").over(upto).alias("_n"))
+    # An island ends where the next piece starts behind all before it.  Its start, and the count before it, are those
+    # of the last opening, the largest so far.  One sort serves all windows, and nothing is aggregated.
+    last = lambda c: F.max(F.when(F.col("_opens"), c)).over(upto)
+    ends = F.coalesce(F.col("_next") > F.col("_reached"), F.lit(True))
+    return marked.select(
+        *group, last(F.col("lo")).alias("_lo"), "_reached", (F.col("_n") - last(F.col("_n") - F.col("n"))).alias("_n"),
+        ends.alias("_ends")).filter("_ends").select(
+        *group, F.col("_lo").alias("lo"), F.col("_reached").alias("hi"), F.col("_n").alias("n"))
 
 
 def merged_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:

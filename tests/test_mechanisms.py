@@ -181,6 +181,25 @@ def test_only_running_knows_the_plant(spark):
     assert got == {("P1", "RunStatus"), ("P1", "MotorAmps")}
 
 
+def test_islands_of_equal_pieces_equal_a_plain_merge(spark):
+    rng = random.Random(11)
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    data = []
+    for _ in range(250):  # few starts and ends, so many pieces tie, and some islands run over days
+        h = rng.randrange(0, 200, 6)
+        data.append((rng.choice("PQ"), at(h), at(h + rng.choice((0, 2, 4, 6, 30)))))
+    data += data[:40]
+    expected = []
+    for key in "PQ":
+        for s, e in sorted((s, e) for k, s, e in data if k == key and e > s):
+            if expected and expected[-1][0] == key and s <= expected[-1][2]:
+                expected[-1][2], expected[-1][3] = max(expected[-1][2], e), expected[-1][3] + 1
+            else:
+                expected.append([key, s, e, 1])
+    df = spark.createDataFrame(data, "k string, s timestamp, e timestamp").repartition(5)
+    assert sorted(rows(merged_intervals(df, ["k"], "s", "e"))) == sorted(map(tuple, expected))
+
+
 # -- changes -------------------------------------------------------------------------
 
 def test_changes_lead_from_old_to_new(spark):

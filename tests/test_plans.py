@@ -135,3 +135,9 @@ def test_no_version_of_a_table_is_broadcast(spark, tmp_path):
     assert {r["_change_type"]: r["count"] for r in changes.groupBy("_change_type").count().collect()} == {
         "update_before": 300, "update_after": 300}
     assert apply_changes(old, changes).exceptAll(new).count() == 0
+
+
+def test_merged_intervals_hold_one_sort_and_no_map_of_islands(spark):
+    p = plan(E.queries()["downtime_islands"](spark, SF_SMALL))
+    assert "HashAggregate" not in p and "ObjectHashAggregate" not in p and "SortAggregate" not in p
+    assert p.count("Sort [") == 3  # a key's days, for what touches midnight and for what does not, and the stitching
