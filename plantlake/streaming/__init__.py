@@ -109,7 +109,9 @@ def stream_daily_oee(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     d = _run_dirs(spark, "oee")
     raw = shims.production_events_raw(spark, sf_dir)
-    raw.hint("rebalance", 4, "event_start").write.parquet(d["landing"])
+    # No fixed number of partitions: where the table is large, each would be cut into many files with the same dates,
+    # and every one of them would touch these dates again.
+    raw.hint("rebalance", "event_start").write.parquet(d["landing"])
     landed = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(d["landing"])
     tables = daily_oee(spark, d["silver"])
     tables.start(silver.silver_production_events(landed), d["silver_ckpt"]).awaitTermination()

@@ -14,8 +14,8 @@ So each batch
    is there is skipped.
 
 Every step gives the same result when it is repeated.  The work of a batch is
-its dates' rows, not the table; silver folders are partitioned by date, so
-other dates' files are not read.
+its dates' rows, not the table; silver folders are partitioned by date, and
+other dates' folders are neither read nor listed.
 """
 
 from __future__ import annotations
@@ -72,14 +72,20 @@ class DailyGold:
             .groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).orderBy("event_date").collect()  # a row per date
         dates = [r["event_date"] for r in seen]
         if dates:
-            silver = self.spark.read.schema(T.StructType([*rows.schema, _BATCH])).parquet(self.path("silver")) \
-                .filter(F.col("event_date").isin(dates)).dropDuplicates(list(self.keys) or batch.columns)
-            built = {"silver": silver}
+            # Only the folders of these dates are listed; the ledger knows which finished batches have some.
+            earlier = self.ledger().select("batch_id", F.explode("dates").alias("d")).filter(F.col("d").isin(dates))
+            folders = {f"batch={b}/event_date={d}" for b, d in [*earlier.collect(), *((batch_id, d) for d in dates)]}
+            silver = self.spark.read.schema(T.StructType([*rows.schema, _BATCH])) \
+                .option("basePath", self.path("silver")).parquet(*[f"{self.path('silver')}/{f}" for f in sorted(folders)]) \
+                .dropDuplicates(list(self.keys) or batch.columns)
+            built, last = {"silver": silver}, list(self.layers)[-1]
             for table, rebuild in self.layers.items():
                 built[table] = rebuild(built)
                 day = F.expr(self.day_cols[table]).cast("date")
                 built[table].withColumn("gold_date", day).hint("rebalance", "gold_date").write.mode("overwrite") \
                     .partitionBy("gold_date").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+                if table == last:
+                    break
                 # The next layer reads what was written, so nothing is computed twice.
                 built[table] = self.spark.read.schema(built[table].schema).parquet(self.path(table)) \
                     .filter(day.isin(dates))

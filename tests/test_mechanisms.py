@@ -268,6 +268,17 @@ def test_daily_gold_touches_only_its_dates(spark, tmp_path, assets):
     assert files() == before
 
 
+def test_a_batch_lists_only_the_folders_of_its_dates(spark, tmp_path, assets):
+    tables = daily_health(spark, str(tmp_path / "gold"), assets)
+    hourly, listed = tables.layers["hourly"], []
+    tables.layers["hourly"] = lambda t: (listed.append({f.rsplit("/", 2)[0].rsplit("/", 1)[1] + "/" + f.rsplit("/", 2)[1]
+                                                        for f in t["silver"].inputFiles()}), hourly(t))[1]
+    for batch_id, days in enumerate(((0, 1, 2), (1, 3), (2, 3))):
+        tables.apply(spark.createDataFrame(_points(batch_id, days, batch_id), SILVER), batch_id)
+    folders = lambda *of: {f"batch={b}/event_date={(T0 + dt.timedelta(days=d)).date()}" for b, d in of}
+    assert listed[1:] == [folders((0, 1), (1, 1), (1, 3)), folders((0, 2), (2, 2), (1, 3), (2, 3))]
+
+
 def test_daily_gold_after_a_crash_between_write_and_commit(spark, tmp_path, assets):
     landing, ckpt = tmp_path / "landing", str(tmp_path / "ckpt")
     os.makedirs(landing)
