@@ -3,10 +3,9 @@
 Both versions are reduced to (key, row digest) pairs, which one aggregate
 nets: a digest that stands equally often on both sides is no change, so
 repeated rows are handled as a multiset.  The changed digests are written to
-the shared folder, so that they are found once, and the planner knows their
-true size when they go back for their rows; a full row is shuffled once at
-most, and not at all where the changes are few enough for a broadcast.  No
-join may broadcast rows of a version, whatever its files' size.  A key with
+the shared folder, so that they are found once, and go back for their rows
+by a merge join, for which a full row is shuffled once.  No join may broadcast
+rows of a version, nor digests, whatever their files' size.  A key with
 rows that went and rows that came is an update; where a key is null, or a
 row's twin is on no other side, it is a delete or an insert.
 """
@@ -59,7 +58,7 @@ def table_changes(old: DataFrame, new: DataFrame, key: list[str], change_col: st
         """One copy of each changed row of a side, as often as it came or went."""
         changed = kinds.filter(F.col("came") == came)
         packed = df.select(F.unhex(_digest(columns)).alias("d"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-        found = packed.join(changed.select("d"), "d", "left_semi")
+        found = packed.join(changed.select("d").hint("merge"), "d", "left_semi")
         marks = changed.select("d", "n", "kind")
         one = found.unionByName(marks, allowMissingColumns=True).groupBy("d").agg(
             F.any_value("row", F.lit(True)).alias("row"), F.max("n").alias("n"), F.max("kind").alias("kind"))

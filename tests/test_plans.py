@@ -137,6 +137,13 @@ def test_no_version_of_a_table_is_broadcast(spark, tmp_path):
     assert apply_changes(old, changes).exceptAll(new).count() == 0
 
 
+def test_no_step_of_applied_changes_is_broadcast(spark):
+    # neither the orders' last lines nor changed digests go through the driver, small as their files are
+    from plantlake.sources import shims
+    for df in (shims.work_orders_raw(spark, SF_SMALL), E.queries()["changes_applied"](spark, SF_SMALL)):
+        assert "Join" in plan(df) and "Broadcast" not in plan(df)
+
+
 def test_merged_intervals_hold_one_sort_and_no_map_of_islands(spark):
     p = plan(E.queries()["downtime_islands"](spark, SF_SMALL))
     assert "HashAggregate" not in p and "ObjectHashAggregate" not in p and "SortAggregate" not in p
