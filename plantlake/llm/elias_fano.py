@@ -3,7 +3,9 @@
 A monotone sequence of n values below u is cut into low bits (whole bytes,
 stored plainly) and high parts (a bit vector: per high part a one for each of
 its values, then a zero).  A directory of zeros before each 64-bit word makes
-``select`` a search and six halvings of a word.  A file is a JSON line with
+``select`` a search and a word's byte counts; the end of a bucket is the next
+zero.  Searches are quickest for sorted arguments, which walk the arrays in
+order.  A file is a JSON line with
 the arrays' places, then the arrays; on a local or mounted store it is
 memory-mapped, so workers on a machine share its pages.
 """
@@ -18,6 +20,20 @@ from pyarrow import fs
 from .shared import atomic_output
 
 U64 = np.uint64
+_ONES, _TOPS = U64(0x0101010101010101), U64(0x8080808080808080)
+#: Place of the r-th one (from 0) of a byte, at 8 * byte + r.
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[r] for b in range(256) for r in range(8)], np.uint8)
+
+
+def _select(y: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the r-th one (from 0) of each 64-bit word, which has more than r ones."""
+    pairs = y - ((y >> U64(1)) & U64(0x5555555555555555))
+    fours = (pairs & U64(0x3333333333333333)) + ((pairs >> U64(2)) & U64(0x3333333333333333))
+    upto = ((fours + (fours >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _ONES  # ones in the bytes up to each
+    r = r.astype(U64)
+    shift = np.bitwise_count(((r * _ONES) | _TOPS) - upto & _TOPS).astype(U64) << U64(3)  # bits in bytes that end before it
+    r -= (upto << U64(8)) >> shift & U64(0xFF)
+    return (shift + _IN_BYTE[(y >> shift & U64(0xFF)) << U64(3) | r]).astype(np.int64)
 
 
 class EliasFano:
@@ -49,27 +65,33 @@ class EliasFano:
     def _select0(self, k: np.ndarray) -> np.ndarray:
         """Place of the k-th zero (from 0)."""
         word = np.searchsorted(self.zeros, k.astype(self.zeros.dtype), side="right") - 1
-        y = ~self.high[word]
-        r = (k - self.zeros[word]).astype(np.int64)
-        place = word.astype(np.int64) * 64
-        for s in (32, 16, 8, 4, 2, 1):
-            c = np.bitwise_count(y & U64((1 << s) - 1)).astype(np.int64)
-            up = r >= c
-            r -= c * up
-            y = np.where(up, y >> U64(s), y)
-            place += s * up
-        return place
+        return word * 64 + _select(~self.high[word], k - self.zeros[word])
 
     def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Range of the values with this high part."""
-        end = self._select0(high) - high
-        return np.where(high > 0, self._select0(np.maximum(high - 1, 0)) - high + 1, 0), end
+        before = np.where(high > 0, self._select0(np.maximum(high - 1, 0)), -1)  # place of the zero before it
+        after = before + 1
+        rest = ~self.high[after >> 6] >> (after & 63).astype(U64)
+        ones = np.bitwise_count((rest & (~rest + U64(1))) - U64(1)).astype(np.int64)  # up to the next zero
+        beyond = np.flatnonzero(rest == 0)  # it lies in a later word
+        ones[beyond] = self._select0(high[beyond]) - after[beyond]
+        start = after - high
+        return start, start + ones
 
     def _low(self, i: np.ndarray) -> np.ndarray:
-        rows = self.low[i]
-        out = np.zeros(len(i), U64)
-        for b in range(rows.shape[1]):
-            out |= rows[:, b].astype(U64) << U64(8 * b)
+        width = self.low.shape[1]
+        if width in (1, 2, 4):
+            return self.low.view(f"<u{width}").ravel()[i].astype(U64)
+        if width == 0 or self.n < 3:
+            rows = self.low[i]
+            return sum((rows[:, b].astype(U64) << U64(8 * b) for b in range(width)), np.zeros(len(i), U64))
+        # Rows as overlapping numbers, which reach into the next row; the last row has none.
+        size = 4 if width == 3 else 8
+        rows = np.ndarray((self.n - 1,), f"<u{size}", np.ascontiguousarray(self.low), 0, (width,))
+        out = rows[np.minimum(i, self.n - 2)].astype(U64)
+        last = np.flatnonzero(i == self.n - 1)
+        out &= U64((1 << 8 * width) - 1)
+        out[last] = int.from_bytes(self.low[-1].tobytes(), "little")
         return out
 
     def find(self, x: np.ndarray, start=None, end=None) -> np.ndarray:
@@ -105,14 +127,7 @@ class EliasFano:
         """Values at the indexes ``i``: high part by select of the i-th one, low bits as stored."""
         before = np.arange(len(self.zeros), dtype=np.int64) * 64 - self.zeros  # ones before each word
         word = np.searchsorted(before, i, side="right") - 1
-        y, r = self.high[word], i - before[word]
-        place = word.astype(np.int64) * 64
-        for s in (32, 16, 8, 4, 2, 1):
-            c = np.bitwise_count(y & U64((1 << s) - 1)).astype(np.int64)
-            up = r >= c
-            r -= c * up
-            y = np.where(up, y >> U64(s), y)
-            place += s * up
+        place = word * 64 + _select(self.high[word], i - before[word])
         return (place - i).astype(U64) << self.shift | self._low(i)
 
 

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import U64, mix, slices, split_words
+from .arrow_text import U64, mix, raw_bytes, slices, split_words
 from .elias_fano import EliasFano, read_level, write_level
 from .shared import cut, new_folder
 
@@ -79,7 +79,9 @@ def _tokens(piece: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offsets, words = split_words(pc.ascii_lower(piece))
     coded = words.dictionary_encode()
     one = xxhash.xxh3_64_intdigest
-    table = np.fromiter((one(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()), U64, len(coded.dictionary))
+    ends, data = raw_bytes(coded.dictionary)
+    ends = ends.tolist()
+    table = np.fromiter((one(data[a:b]) for a, b in zip(ends, ends[1:])), U64, len(coded.dictionary))
     n = len(piece)
     index = np.full(len(words) + n, len(table), np.int64)
     ends = offsets[1:] + np.arange(n)  # place of each row's end mark
@@ -93,7 +95,9 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray], segments: list[np.
     """Sorted distinct keys with their summed counts; with ``segments``, of each segment, and the segments."""
     key, count = np.concatenate([np.empty(0, U64), *keys]), np.concatenate([np.empty(0, np.int64), *counts])
     segment = np.zeros(len(key), np.int32) if segments is None else np.concatenate(segments)
-    order = np.argsort(key, kind="stable") if segments is None else np.lexsort((key, segment))
+    order = np.argsort(key)
+    if segments is not None:
+        order = order[_by_segment(segment[order])]
     key, segment = key[order], segment[order]
     new = (key[1:] != key[:-1]) | (segment[1:] != segment[:-1])
     first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), new)))
@@ -101,6 +105,12 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray], segments: list[np.
     return merged if segments is None else (*merged, segment[first])
 
 
+def _by_segment(segment: np.ndarray) -> np.ndarray:
+    """Stable order by segment; numbers of two bytes are sorted by their digits."""
+    few = not len(segment) or -1 <= segment.min() and segment.max() < 0x7FFF
+    return np.argsort(segment.astype(np.int16) if few else segment, kind="stable")
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of the values' differences, plane by plane: the shuffle's compression drops the empty planes."""
     if not len(values):
@@ -116,7 +126,7 @@ def _unplaned(data: bytes) -> np.ndarray:
 
 def _packed_rows(keys: np.ndarray, counts: np.ndarray, segment: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One row per segment; keys stay sorted within it."""
-    order = np.argsort(segment, kind="stable")
+    order = _by_segment(segment)
     keys, counts, segment = keys[order], counts[order], segment[order]
     at = np.flatnonzero(np.concatenate((np.ones(min(len(segment), 1), bool), segment[1:] != segment[:-1])))
     for a, b in zip(at, np.append(at[1:], len(segment))):
@@ -215,7 +225,7 @@ def _level(uri: str) -> tuple:
 
 
 def _groups(segment: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(segment, kind="stable")
+    order = _by_segment(segment)
     bounds = np.flatnonzero(np.diff(segment[order])) + 1
     for part in np.split(order, bounds):
         if len(part):
@@ -228,6 +238,7 @@ def word_numbers(model: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for s, at in _groups(_range_of(hashes, model.segments)):
         if model.first_number[s + 1] == model.first_number[s]:
             continue
+        at = at[np.argsort(hashes[at])]
         _, seqs, plain = _level(f"{model.folder}/words-{s:07d}")
         place = seqs["words"].find(hashes[at])
         ok = place >= 0
@@ -283,14 +294,22 @@ def _ranges(keys: np.ndarray, types: int) -> tuple[dict[str, EliasFano], np.ndar
 
 
 def _find(seqs: dict[str, EliasFano], keys: np.ndarray, types: int) -> np.ndarray:
-    """Place of each (head, word) key, or -1."""
+    """Place of each (head, word) key, or -1; each distinct head and key is searched once, in order."""
+    back = slice(None)
+    if not (keys[1:] > keys[:-1]).all():
+        keys, back = np.unique(keys, return_inverse=True)
     out = np.full(len(keys), -1, np.int64)
-    head = seqs["heads"].find(keys >> U64(32))
-    known = np.flatnonzero(head >= 0)
-    head, word = head[known], keys[known] & U64(0xFFFFFFFF)
-    start, end = (seqs["pointers"].get(i).astype(np.int64) for i in (head, head + 1))
-    out[known] = seqs["followers"].find(head.astype(U64) * U64(types + 1) + word, start, end)
-    return out
+    heads = keys >> U64(32)
+    new = np.concatenate((np.ones(min(len(heads), 1), bool), heads[1:] != heads[:-1]))
+    heads, of = heads[new], np.cumsum(new) - 1
+    place = seqs["heads"].find(heads)
+    seen = place >= 0
+    start, end = np.full(len(heads), -1, np.int64), np.full(len(heads), -1, np.int64)
+    start[seen], end[seen] = (seqs["pointers"].get(i).astype(np.int64) for i in (place[seen], place[seen] + 1))
+    known = np.flatnonzero(seen[of])
+    of, word = of[known], keys[known] & U64(0xFFFFFFFF)
+    out[known] = seqs["followers"].find(place[of].astype(U64) * U64(types + 1) + word, start[of], end[of])
+    return out[back]
 
 
 def _bytes_of(counts: np.ndarray) -> tuple[EliasFano, dict[str, np.ndarray]]:
@@ -369,7 +388,7 @@ def train(texts: DataFrame, *, mu: float = MU, segment_bytes: int = SEGMENT_BYTE
         m = shared.value
         offsets, _, previous, words = _pairs(m, piece)
         keys, inverse = np.unique(previous.astype(U64) << U64(32) | words.astype(U64), return_inverse=True)
-        segment, place, _, _ = _pair_entries(m, keys)
+        segment, place = _pair_entries(m, keys, places_only=True)[:2]
         _, segment, key = _triples(m, offsets, words, segment[inverse], place[inverse])
         k, c, of = _merged([key], [np.ones(len(key), np.int64)], [segment])
         return k, c, of
@@ -386,9 +405,10 @@ def train(texts: DataFrame, *, mu: float = MU, segment_bytes: int = SEGMENT_BYTE
     return model
 
 
-def _pair_entries(model: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _pair_entries(model: Model, keys: np.ndarray,
+                  places_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(segment, place, count, quantised log10 probability) of each packed pair; -1, -1, 0 and NaN where the pair was
-    not seen, and counts are read for order 3 only."""
+    not seen, and counts are read for order 3 only; with ``places_only``, the last two are not read."""
     segment, place = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
     count, log10p = np.zeros(len(keys), np.int64), np.full(len(keys), np.nan)
     for s, at in _groups(_pair_segment(keys, model.segments)):
@@ -399,6 +419,8 @@ def _pair_entries(model: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
         found = _find(seqs, keys[at], model.types)
         at, found = at[found >= 0], found[found >= 0]
         segment[at], place[at] = s, found
+        if places_only:
+            continue
         log10p[at] = plain["log10p"][found] * _STEP + _FLOOR
         if model.order > 2:
             count[at] = _count_at(seqs, plain, found)
