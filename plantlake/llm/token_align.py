@@ -1,10 +1,16 @@
 """Alignment of two tokenizers' tokens over a corpus.
 
-Every text is tokenised whole by both tokenizers.  A place where both begin a
-space-marked token is a verified shared end of the tokens before it: an
-anchor.  Anchors cut a text into windows of token ids, about a word each.  A
-window's alignment (its groups, and its links) depends on its ids alone, so a
-task aligns a window once and remembers it by its two id tuples.
+Every text is tokenised whole by both tokenizers, window by window: windows,
+about a word each, begin at the single blanks between other characters, where
+neither joins tokens (no token holds a blank behind such a character, so both
+tokenizers work on either side alone).  A window's tokens and its alignment
+(its groups, and its links) depend on its characters alone, so a task
+tokenises and aligns a window once and remembers it.  The windows of a text
+that are new to a task are tokenised together, which also checks that both
+begin a token at each.  Where a tokenizer has tokens across such blanks, texts
+are tokenised first, and windows begin where both begin a space-marked token:
+a verified shared end of the tokens before it, an anchor; they are remembered
+by their two id tuples.
 
 Groups are cut where tokens of both end.  A link is a pair of overlapping
 tokens.  A pair's count is its number of links in the corpus; a link is best
@@ -36,6 +42,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +55,8 @@ SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 3 << 20
 PIECE_CHARS = 1 << 20
 MEMO = 1 << 17  # windows that a task remembers
-MEMO_IDS = 64  # ids of a window that is worth remembering
+MEMO_IDS = 64  # ids, or
+MEMO_CHARS = 64  # characters of a window that is worth remembering
 TOKENIZER_FOLDER = "/opt/tokenizers"
 #: The byte-level pattern; texts of Latin letters are split by it, others by the tokenizer's own library.
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -56,6 +64,7 @@ _OTHER = re.compile("[^\x00-ɏ‐-‧€]")
 LONG_TEXT = 20_000  # characters, above which runs are looked at that the faster library is slow on
 _LONG_RUN = re.compile(r"(?<!\S)\S{2000}|(?<!\s)\s{2000}")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_ACROSS = re.compile(r"\S ")
 
 
 @dataclass(frozen=True)
@@ -140,6 +149,7 @@ class Pair:
         self.a, self.b = ByteLevel(paths.a), SentencePiece(paths.b)
         self.len_a, self.len_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b))
         self.mark_a, self.mark_b = (np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
+        self.across = any(_ACROSS.search(x.decode("utf-8", "replace")) for x in self.a.bytes + self.b.bytes)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both, or none where one does not restore blank + text."""
@@ -191,9 +201,9 @@ class Block:
         self.clear()
 
     def forget(self) -> None:
-        self.memo: dict[tuple[bytes, bytes], int] = {}
+        self.memo: dict[str | tuple[bytes, bytes], int] = {}
         self.text: list[str] = []  # groups of each window
-        self.n_groups = self.n_links = self.links = np.empty(0, np.int64)
+        self.n_a = self.n_b = self.n_groups = self.n_links = self.links = np.empty(0, np.int64)
 
     def clear(self) -> None:
         """A new block; the memo is kept while it is small."""
@@ -203,6 +213,41 @@ class Block:
         if len(self.text) > MEMO:
             self.forget()
 
+    def add_text(self, text: str | None) -> None:
+        """Adds a text: cuts it into windows and looks them up; new ones wait for ``align_new``."""
+        if self.pair.across:
+            self.add(*self.pair.encode(text))
+            return
+        parts = _CUT.split(text) if text else []
+        found = [*map(self.memo.get, parts)]
+        if None in found:
+            new = [*dict.fromkeys([part for part, number in zip(parts, found) if number is None])]
+            windows, first = self.encode_new(new), len(self.text) + len(self.new)
+            numbers = {part: first + i for i, part in enumerate(new)} if windows else {}
+            found = [numbers[part] if number is None else number for part, number in zip(parts, found)] if windows else []
+            self.new += windows
+            self.memo.update((part, number) for part, number in numbers.items() if len(part) <= MEMO_CHARS)
+        self.windows.append(np.array(found, np.int64))
+
+    def encode_new(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
+        """The ids of some windows of a text, or none where one is not restored."""
+        p, joined = self.pair, " ".join(parts)
+        a, b = p.encode(joined)
+        if not len(a):
+            return []
+        sizes = map(len, parts if joined.isascii() else [part.encode() for part in parts])
+        starts = np.cumsum([0, *sizes])
+        starts += np.arange(len(starts))  # and a blank before each
+        cuts = []
+        for ids, lengths in ((a, p.len_a), (b, p.len_b)):
+            at = np.append(0, np.cumsum(lengths[ids]))
+            cuts.append(np.searchsorted(at, starts))
+            if (at[cuts[-1]] != starts).any():
+                raise ValueError("a token spans the blank before a word")
+        ids_a, ids_b = a.tobytes(), b.tobytes()
+        cut_a, cut_b = ((4 * cut).tolist() for cut in cuts)
+        return [(ids_a[i:j], ids_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         """Adds a text by its ids: cuts it into windows and looks them up; new ones wait for ``align_new``."""
         if not len(a):
@@ -224,7 +269,6 @@ class Block:
                         self.memo[key] = number
                 found.append(number)
         self.windows.append(np.array(found, np.int64))
-        self.bytes += int(start_a[-1])
 
     def align_new(self) -> None:
         """Aligns the windows seen first in this block.  Laid end to end, they have equal offsets for A and B."""
@@ -247,16 +291,18 @@ class Block:
         table = self.shown
         tokens, to = [table[i] for i in shown[order].tolist()], np.cumsum(size_a + size_b).tolist()
         self.text += ["".join(tokens[x:y]) for x, y in zip([0, *to], to)]
+        self.n_a, self.n_b = np.append(self.n_a, size_a), np.append(self.n_b, size_b)
         self.n_groups = np.append(self.n_groups, np.diff(groups_to, prepend=0))
         self.n_links = np.append(self.n_links, n_links)
         self.links = np.append(self.links, np.repeat(a, n) << 32 | b[_ragged(first, n)])
         self.new = []
 
-    def groups(self, text: int) -> tuple[int, str | None]:
-        """(number of groups, groups) of a text of the block."""
+    def groups(self, text: int) -> tuple[int, int, int, str | None]:
+        """(tokens of A and of B, number of groups, groups) of a text of the block."""
         windows = self.windows[text]
         shown = self.text
-        return int(self.n_groups[windows].sum()), "".join([shown[w] for w in windows.tolist()])[:-1] or None
+        return (*(int(n[windows].sum()) for n in (self.n_a, self.n_b, self.n_groups)),
+                "".join([shown[w] for w in windows.tolist()])[:-1] or None)
 
     def pairs(self) -> tuple[list[int], dict[str, np.ndarray]]:
         """(links per text, arrays of the block's row): distinct pairs, and each text's pairs with their counts."""
@@ -294,11 +340,10 @@ def _aligner(paths: Tokenizers, id_type: pa.DataType):
         def rows() -> pa.RecordBatch:
             block.align_new()
             n, (links, arrays) = len(held), block.pairs()
-            ids, n_a, n_b = zip(*held)
-            n_groups, groups = zip(*map(block.groups, range(n)))
+            n_a, n_b, n_groups, groups = zip(*map(block.groups, range(n)))
             out = {"block": pa.array([first + number] * (n + 1), pa.int64()),
                    "no": pa.array([*range(n), -1], pa.int32()),
-                   "id": pa.array([*ids, None], id_type),
+                   "id": pa.array([*held, None], id_type),
                    "n_a": pa.array([*n_a, None], pa.int64()), "n_b": pa.array([*n_b, None], pa.int64()),
                    "n_groups": pa.array([*n_groups, None], pa.int64()),
                    "n_links": pa.array([*links, None], pa.int64()), "groups": pa.array([*groups, None], pa.string())}
@@ -311,10 +356,10 @@ def _aligner(paths: Tokenizers, id_type: pa.DataType):
         for batch in batches:
             ids, at = batch.column(0).to_pylist(), 0
             for piece in slices(batch.column(1), SLICE_BYTES):
-                for text in piece.to_pylist():
-                    a, b = block.pair.encode(text)
-                    held.append((ids[at], len(a), len(b)))
-                    block.add(a, b)
+                for text, size in zip(piece.to_pylist(), pc.binary_length(piece).to_pylist()):
+                    held.append(ids[at])
+                    block.add_text(text)
+                    block.bytes += size
                     at += 1
                     if block.bytes >= BLOCK_BYTES or len(held) >= 1 << 16:
                         yield rows()

@@ -125,6 +125,38 @@ def test_blocks_and_forgetting_change_nothing(spark, monkeypatch, pair):
     assert len(small.text) <= 50 + 30_000
 
 
+def test_a_known_word_is_tokenised_once(monkeypatch, pair):
+    rng = random.Random(7)
+    texts = [t for t in TEXTS if t] + ["".join(rng.choice(["the ", "ing", "é", " ", "\n ", "zq", "日", ".", "\u00a0 "])
+                                               for _ in range(60)) for _ in range(80)]
+    asked = []
+    whole = type(pair).encode
+    monkeypatch.setattr(type(pair), "encode", lambda self, text: asked.append(text) or whole(self, text))
+    block = Block(pair)
+    for text in ("one two two  three", "two one four"):
+        block.add_text(text)
+    assert asked == ["one two two  three", "four"]
+    block.add_text("one ▁ five")  # not restored
+    block.add_text("five two")
+    block.align_new()
+    assert [block.groups(i)[0] > 0 for i in range(4)] == [True, True, False, True]
+    monkeypatch.setattr(token_align, "MEMO", 50)
+    small, ids = Block(pair), Block(pair)  # windows cut from texts, and from ids
+    for text in texts:
+        small.add_text(text)
+        ids.add(*whole(pair, text))
+        small.align_new()
+        ids.align_new()
+        assert (small.groups(0), small.pairs()[0]) == (ids.groups(0), ids.pairs()[0])
+        small.clear()
+        ids.clear()
+    monkeypatch.setattr(pair, "across", True)
+    assert asked.clear() is None
+    small.add_text("two two")
+    small.add_text("two two")
+    assert asked == ["two two"] * 2
+
+
 def test_long_texts_are_tokenised_in_pieces(monkeypatch, pair):
     text = " ".join(f"Wörter-{i} and, it's  two\n" for i in range(400))
     whole = pair.encode(text)
